@@ -53,10 +53,15 @@ def strict_double(c: Column) -> tuple[Column, Column]:
     return value, is_bad
 
 
+# Cheap shape test: only texts that start like one of the layouts above are
+# handed to the parsers, so ordinary words cost one regex, not ten parses.
+_DATE_SHAPE = r"^[0-9]{1,4}[-/][0-9A-Za-z]{1,3}[-/][0-9]{1,4}|^[0-9]{8}$"
+
+
 def parse_datetime(c: Column) -> Column:
     """First layout that parses, as a wall-clock timestamp (no time zone)."""
     attempts = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATETIME_FORMATS]
-    return F.coalesce(*attempts).cast(T.TimestampNTZType())
+    return F.when(c.rlike(_DATE_SHAPE), F.coalesce(*attempts)).cast(T.TimestampNTZType())
 
 
 def strict_timestamp(c: Column) -> tuple[Column, Column]:
