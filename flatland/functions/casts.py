@@ -46,7 +46,7 @@ def strict_double(c: Column) -> tuple[Column, Column]:
     Spark also accepts a trailing d/f type suffix, which the strict rule does
     not, so those texts are refused first. NaN parses but lands as null.
     """
-    suffixed = c.rlike(r"[dDfF]\s*$")
+    suffixed = c.rlike(r"[0-9.][dDfF]\s*$")
     parsed = F.when(~suffixed, c.try_cast("double"))
     value = F.when(~F.isnan(parsed), parsed)
     is_bad = c.isNotNull() & parsed.isNull()
@@ -121,7 +121,7 @@ def round_to_second(ts: Column) -> Column:
     return pg_timestamp0(ts)
 
 
-_TYPE_RE = re.compile(r"^\s*([a-z_ ]+?)\s*(?:\(\s*([0-9?]+)\s*(?:,\s*([0-9]+)\s*)?\))?\s*$")
+_TYPE_RE = re.compile(r"^\s*([a-z][a-z0-9_ ]*?)\s*(?:\(\s*([0-9?]+)\s*(?:,\s*([0-9]+)\s*)?\))?\s*$")
 
 
 def parse_db_type(type_text: str) -> tuple[str, int | None, int | None]:

@@ -39,6 +39,7 @@ AUDIT_TS = "load_timestamp"
 _PATH = "_path"
 _REASON = "_reason"
 _CORRUPT = "_corrupt_record"
+_SHAPE = "_shape"
 
 
 @dataclass(frozen=True)
@@ -98,7 +99,8 @@ def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[s
                           + [T.StructField(_CORRUPT, T.StringType())])
     raw = csv_reader(spark, feed, schema).csv(paths)
     file_name = F.col("_metadata.file_name")
-    load_file_name = F.when(F.col("_metadata.file_path").startswith(expand_dir),
+    bare_dir = expand_dir[5:] if expand_dir.startswith("file:") else expand_dir
+    load_file_name = F.when(F.col("_metadata.file_path").contains(bare_dir.lstrip("/")),
                             F.regexp_extract(file_name, r"^[0-9]{6}-(.*)\.plain$", 1)).otherwise(file_name)
     cols = [F.col("_metadata.file_path").alias(_PATH)]
     reasons = [F.when(too_many_fields(F.col(_CORRUPT), len(names), feed), F.lit("too many fields"))]
@@ -117,9 +119,17 @@ def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[s
     cols.append(load_file_name.alias(AUDIT_FILE))
     cols.append(F.lit(job_ts).cast("timestamp_ntz").alias(AUDIT_TS))
     cols.append(F.coalesce(*reasons).alias(_REASON))
+    long_row = too_many_fields(F.col(_CORRUPT), len(names), feed)
+    cols.append(F.when(long_row, F.lit("long")).when(F.col(_CORRUPT).isNotNull(), F.lit("short"))
+                .otherwise(F.lit("ok")).alias(_SHAPE))
     return raw.select(*cols)
 
 
+def profile_rows(parsed: DataFrame) -> DataFrame:
+    """Rows as the profiler reads them: long rows skipped, not failing."""
+    return parsed.filter(F.col(_SHAPE) != "long").drop(_PATH, _REASON, _SHAPE)
+
+
 def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
               job_start: datetime | str, run_dir: str | None = None,
               paths: list[str] | None = None) -> LandResult:
@@ -175,7 +185,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         row_bad = (parsed.filter(F.col(_REASON).isNotNull())
                    .groupBy(_PATH).agg(F.min(_REASON).alias("reason"), F.count(F.lit(1)).alias("bad_rows")))
         bad = header_bad_df.withColumn("bad_rows", F.lit(None).cast("long")).unionByName(row_bad)
-        rows = join_small(parsed, bad.select(_PATH), _PATH, "left_anti", n_files).drop(_REASON, _CORRUPT)
+        rows = join_small(parsed, bad.select(_PATH), _PATH, "left_anti", n_files).drop(_REASON, _SHAPE)
         loaded = rows.groupBy(_PATH).agg(F.count(F.lit(1)).alias("records_loaded"))
     else:
         bad = header_bad_df.withColumn("bad_rows", F.lit(None).cast("long"))

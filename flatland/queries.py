@@ -273,3 +273,363 @@ def q_modify_stamp(spark, sf_dir):
                            ColumnMap("c_acctbal", "c_acctbal", "decimal(12,2)"),
                            ColumnMap("c_mktsegment", "c_mktsegment", "varchar(255)")])
     return add_modify_stamp(tgt, JOB_TIME)
+
+
+# --------------------------------------------------------------------------
+# Feeds written from the given tables
+# --------------------------------------------------------------------------
+
+from flatland.functions.casts import strict_double, strict_timestamp  # noqa: E402
+from flatland.operators.land import _REASON, _SHAPE, LandingField, land_feed  # noqa: E402
+from flatland.plans.feed import Feed  # noqa: E402
+from flatland.sources.files import detect_delimiter, file_headers, raw_line_counts  # noqa: E402
+from flatland.sources.writers import write_archives, write_delimited  # noqa: E402
+
+
+def _as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
+def _feed_dir(spark, sf_dir, name, df_fn, n_files=3, **kw) -> str:
+    def build(d):
+        write_delimited(spark, _as_text(df_fn()), d, name, n_files=n_files, **kw)
+    return fixture(spark, sf_dir, f"feed_{name}", build)
+
+
+CUSTOMER_FIELDS = [LandingField("c_custkey", "float64"), LandingField("c_name"),
+                   LandingField("c_nationkey", "float64"), LandingField("c_acctbal", "float64"),
+                   LandingField("c_mktsegment")]
+
+
+@query("scan_roundtrip", f"""
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       TIMESTAMP '{JOB_TIME}' AS load_timestamp
+FROM customer""")
+def q_scan_roundtrip(spark, sf_dir):
+    d = _feed_dir(spark, sf_dir, "customer", lambda: table(spark, sf_dir, "customer"))
+    res = land_feed(spark, Feed("customer", d), CUSTOMER_FIELDS, JOB_TIME)
+    return map_columns(res.rows, [
+        ColumnMap("c_custkey", "c_custkey", "bigint"), ColumnMap("c_name", "c_name", "string"),
+        ColumnMap("c_nationkey", "c_nationkey", "integer"), ColumnMap("c_acctbal", "c_acctbal", "float64"),
+        ColumnMap("c_mktsegment", "c_mktsegment", "string"), ColumnMap("load_timestamp", "load_timestamp", "timestamp")])
+
+
+LINEITEM_FIELDS = ([LandingField(c, "float64") for c in LINEITEM_COLS[:8]]
+                   + [LandingField("l_returnflag"), LandingField("l_linestatus"),
+                      LandingField("l_shipdate", "timestamp")])
+LINEITEM_STAGE = [ColumnMap(c, c, t) for c, t in [
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "integer"),
+    ("l_quantity", "float64"), ("l_extendedprice", "float64"), ("l_discount", "float64"), ("l_tax", "float64"),
+    ("l_returnflag", "varchar(1)"), ("l_linestatus", "varchar(1)"), ("l_shipdate", "timestamp")]]
+
+
+@query("land_lineitem", f"SELECT {', '.join(LINEITEM_COLS)} FROM lineitem")
+def q_land_lineitem(spark, sf_dir):
+    d = _feed_dir(spark, sf_dir, "lineitem", lambda: table(spark, sf_dir, "lineitem"), n_files=8)
+    res = land_feed(spark, Feed("lineitem", d), LINEITEM_FIELDS, JOB_TIME)
+    return map_columns(res.rows, LINEITEM_STAGE)
+
+
+DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _documents_feed(spark, sf_dir):
+    return _feed_dir(spark, sf_dir, "documents", lambda: table(spark, sf_dir, "documents"), n_files=2,
+                     delimiter=",", quoting=1, extension="csv")
+
+
+DOCS_FEED = dict(extension="csv", delimiter=",", quoting=1)
+
+
+@query("scan_quoted_multiline", f"""
+SELECT doc_id, {sql_clean('text', True)} AS text, {sql_clean('lang', True)} AS lang,
+       {sql_clean('source', True)} AS source, n_chars
+FROM documents""")
+def q_scan_quoted_multiline(spark, sf_dir):
+    d = _documents_feed(spark, sf_dir)
+    res = land_feed(spark, Feed("documents", d, **DOCS_FEED),
+                    [LandingField("doc_id", "float64"), LandingField("n_chars", "float64")], JOB_TIME)
+    return map_columns(res.rows, [ColumnMap("doc_id", "doc_id", "bigint"), ColumnMap("text", "text", "string"),
+                                  ColumnMap("lang", "lang", "string"), ColumnMap("source", "source", "string"),
+                                  ColumnMap("n_chars", "n_chars", "bigint")])
+
+
+@query("reconcile_counts", """
+SELECT 'documents' AS feed, count(*) AS records_loaded,
+       sum(1 + length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))) AS raw_records,
+       sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))) AS record_difference
+FROM documents""")
+def q_reconcile_counts(spark, sf_dir):
+    from flatland.operators.metrics import reconcile
+    d = _documents_feed(spark, sf_dir)
+    res = land_feed(spark, Feed("documents", d, **DOCS_FEED), [LandingField("doc_id", "float64")], JOB_TIME)
+    files = reconcile(res.files)
+    return files.groupBy("feed").agg(
+        F.sum("records_loaded").alias("records_loaded"), F.sum("raw_records").alias("raw_records"),
+        F.sum(F.col("raw_records") - F.col("records_loaded")).alias("record_difference"))
+
+
+NATION_FIELDS = [LandingField("n_nationkey", "float64"), LandingField("n_name"),
+                 LandingField("n_regionkey", "float64")]
+
+
+@query("scan_compressed", " UNION ALL ".join(
+    f"SELECT n_nationkey, n_name, n_regionkey, '{c}' AS codec FROM nation" for c in ["gz", "bz2", "zip", "xz"]))
+def q_scan_compressed(spark, sf_dir):
+    def build(d):
+        nation = _as_text(table(spark, sf_dir, "nation"))
+        write_delimited(spark, nation, d, "nation_gz", compression="gzip")
+        write_delimited(spark, nation, d, "nation_bz2", compression="bzip2")
+        plain = write_delimited(spark, nation, f"{d}_plain", "nation_plain")
+        for p, kind in zip(write_archives(spark, plain, d, "zip"), ["zip"]):
+            storage.rename(spark, p, f"{d}/nation_zip_00000.txt.zip")
+        for p in write_archives(spark, plain, d, "xz"):
+            storage.rename(spark, p, f"{d}/nation_xz_00000.txt.xz")
+    d = fixture(spark, sf_dir, "feed_nation_codecs", build)
+    res = land_feed(spark, Feed("nation", d), NATION_FIELDS, JOB_TIME)
+    out = map_columns(res.rows, [ColumnMap("n_nationkey", "n_nationkey", "integer"),
+                                 ColumnMap("n_name", "n_name", "string"),
+                                 ColumnMap("n_regionkey", "n_regionkey", "integer"),
+                                 ColumnMap("load_file_name", "load_file_name", "string")])
+    return out.withColumn("codec", F.regexp_extract("load_file_name", r"\.([^.]+)$", 1)).drop("load_file_name")
+
+
+SUPPLIER_FIELDS = [LandingField("s_suppkey", "float64"), LandingField("s_name"),
+                   LandingField("s_nationkey", "float64"), LandingField("s_acctbal", "float64")]
+SUPPLIER_STAGE = [ColumnMap("s_suppkey", "s_suppkey", "bigint"), ColumnMap("s_name", "s_name", "string"),
+                  ColumnMap("s_nationkey", "s_nationkey", "integer"), ColumnMap("s_acctbal", "s_acctbal", "float64")]
+
+
+@query("scan_header_groups", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def q_scan_header_groups(spark, sf_dir):
+    def build(d):
+        s = _as_text(table(spark, sf_dir, "supplier"))
+        even = s.filter(F.col("s_suppkey").cast("long") % 2 == 0)
+        odd = s.filter(F.col("s_suppkey").cast("long") % 2 == 1)
+        write_delimited(spark, even, d, "supplier_a", n_files=2)
+        # Same columns, other order and other spelling of the names.
+        write_delimited(spark, odd.select(F.col("s_acctbal").alias("S-ACCTBAL"), F.col("s_nationkey").alias("S NationKey"),
+                                          F.col("s_name").alias("s_name"), F.col("s_suppkey").alias("S_SUPPKEY")),
+                        d, "supplier_b", n_files=2)
+    d = fixture(spark, sf_dir, "feed_supplier_groups", build)
+    res = land_feed(spark, Feed("supplier", d), SUPPLIER_FIELDS, JOB_TIME)
+    return map_columns(res.rows, SUPPLIER_STAGE)
+
+
+@query("spec_conformance", """
+SELECT 'loaded' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS raw_records
+FROM supplier WHERE s_suppkey % 2 = 0
+UNION ALL
+SELECT 'bad', 'missing column: s_acctbal', count(*) FROM supplier WHERE s_suppkey % 2 = 1""")
+def q_spec_conformance(spark, sf_dir):
+    def build(d):
+        s = _as_text(table(spark, sf_dir, "supplier"))
+        write_delimited(spark, s.filter(F.col("s_suppkey").cast("long") % 2 == 0), d, "supplier_full", n_files=2)
+        write_delimited(spark, s.filter(F.col("s_suppkey").cast("long") % 2 == 1).drop("s_acctbal"),
+                        d, "supplier_short", n_files=2)
+    d = fixture(spark, sf_dir, "feed_supplier_conformance", build)
+    res = land_feed(spark, Feed("supplier", d), SUPPLIER_FIELDS, JOB_TIME)
+    return (res.files.groupBy("status", "reason")
+            .agg(F.sum("raw_records").alias("raw_records")))
+
+
+@query("raw_line_count", """
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'orders_even' ELSE 'orders_odd' END AS feed, count(*) AS raw_records
+FROM orders GROUP BY 1""")
+def q_raw_line_count(spark, sf_dir):
+    def build(d):
+        o = _as_text(table(spark, sf_dir, "orders"))
+        write_delimited(spark, o.filter(F.col("o_orderkey").cast("long") % 2 == 0), f"{d}/orders_even", "orders", n_files=3)
+        write_delimited(spark, o.filter(F.col("o_orderkey").cast("long") % 2 == 1), f"{d}/orders_odd", "orders", n_files=3)
+    d = fixture(spark, sf_dir, "feeds_orders_split", build)
+    paths = [p for sub in ("orders_even", "orders_odd")
+             for p, _, _ in storage.glob_files(spark, f"{d}/{sub}/*.txt")]
+    counts = raw_line_counts(spark, paths)
+    return (counts.withColumn("feed", F.regexp_extract("path", r"/(orders_[a-z]+)/[^/]+$", 1))
+            .groupBy("feed").agg(F.sum("raw_records").alias("raw_records")))
+
+
+@query("delimiter_detect", """
+SELECT * FROM (VALUES ('customer', 'comma'), ('lineitem', 'tab'), ('orders', 'pipe')) AS t(feed, delimiter)""")
+def q_delimiter_detect(spark, sf_dir):
+    def build(d):
+        write_delimited(spark, _as_text(table(spark, sf_dir, "lineitem")), f"{d}/lineitem", "lineitem",
+                        n_files=2, delimiter="\t")
+        write_delimited(spark, _as_text(table(spark, sf_dir, "orders")), f"{d}/orders", "orders",
+                        n_files=2, delimiter="|", quoting=0)
+        write_delimited(spark, _as_text(table(spark, sf_dir, "customer")), f"{d}/customer", "customer",
+                        n_files=2, delimiter=",", quoting=0)
+    d = fixture(spark, sf_dir, "feeds_delimiters", build)
+    paths = [p for sub in ("lineitem", "orders", "customer") for p, _, _ in storage.glob_files(spark, f"{d}/{sub}/*.txt")]
+    heads = file_headers(spark, paths)
+    names = F.create_map(F.lit("\t"), F.lit("tab"), F.lit("|"), F.lit("pipe"), F.lit(","), F.lit("comma"))
+    return (heads.select(F.regexp_extract("path", r"/([a-z]+)/[^/]+$", 1).alias("feed"),
+                         names[detect_delimiter(F.col("header"))].alias("delimiter"))
+            .distinct())
+
+
+EVENTS_NULL_VALUE = "MISSING"
+_NEAR_MISSES = ["nan", "N/A", "null ", "NONE", " NULL"]
+
+
+@query("null_markers", f"""
+SELECT event_id,
+       CASE WHEN event_id % 16 < 15 THEN NULL ELSE event_type END AS event_type,
+       CASE event_id % 6 {' '.join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(_NEAR_MISSES))} ELSE props END AS props
+FROM events""")
+def q_null_markers(spark, sf_dir):
+    def build(d):
+        ev = table(spark, sf_dir, "events")
+        markers = F.array(*[F.lit(m) for m in list(NULL_MARKERS) + [EVENTS_NULL_VALUE]])
+        k16, k6 = F.col("event_id") % 16, F.col("event_id") % 6
+        misses = F.array(*[F.lit(m) for m in _NEAR_MISSES])
+        planted = ev.select(
+            F.col("event_id").cast("string").alias("event_id"),
+            F.when(k16 < 15, F.element_at(markers, (k16 + 1).cast("int"))).otherwise(F.col("event_type")).alias("event_type"),
+            F.when(k6 < 5, F.element_at(misses, (k6 + 1).cast("int"))).otherwise(F.col("props")).alias("props"))
+        write_delimited(spark, planted, d, "events", n_files=3)
+    d = fixture(spark, sf_dir, "feed_events_markers", build)
+    res = land_feed(spark, Feed("events", d, null_value=EVENTS_NULL_VALUE),
+                    [LandingField("event_id", "float64")], JOB_TIME)
+    return map_columns(res.rows, [ColumnMap("event_id", "event_id", "bigint"),
+                                  ColumnMap("event_type", "event_type", "string"),
+                                  ColumnMap("props", "props", "string")])
+
+
+_QTY_RULE = "(l_orderkey + l_linenumber) % 11"
+
+
+@query("strict_number", f"""
+SELECT l_orderkey, l_linenumber, qty_text,
+       CASE r WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 4 THEN 100000.0
+              WHEN 5 THEN CAST('inf' AS DOUBLE) WHEN 6 THEN -0.5 ELSE l_quantity END AS qty_value,
+       r IN (0, 1, 2) AS qty_bad
+FROM (SELECT l_orderkey, l_linenumber, l_quantity, {_QTY_RULE} AS r,
+             CASE {_QTY_RULE} WHEN 0 THEN 'abc' WHEN 1 THEN '1,5' WHEN 2 THEN CAST(l_quantity AS VARCHAR) || 'd'
+                  WHEN 3 THEN ' ' || CAST(l_quantity AS VARCHAR) || ' ' WHEN 4 THEN '1e5' WHEN 5 THEN 'inf'
+                  WHEN 6 THEN '-0.5' ELSE CAST(l_quantity AS VARCHAR) END AS qty_text
+      FROM lineitem) t""")
+def q_strict_number(spark, sf_dir):
+    def build(d):
+        li = table(spark, sf_dir, "lineitem")
+        r = F.expr(_QTY_RULE)
+        q = F.col("l_quantity").cast("string")
+        text = (F.when(r == 0, F.lit("abc")).when(r == 1, F.lit("1,5")).when(r == 2, F.concat(q, F.lit("d")))
+                .when(r == 3, F.concat(F.lit(" "), q, F.lit(" "))).when(r == 4, F.lit("1e5"))
+                .when(r == 5, F.lit("inf")).when(r == 6, F.lit("-0.5")).otherwise(q))
+        write_delimited(spark, li.select(F.col("l_orderkey").cast("string").alias("l_orderkey"),
+                                         F.col("l_linenumber").cast("string").alias("l_linenumber"),
+                                         text.alias("l_quantity")), d, "lineitem_qty", n_files=4)
+    d = fixture(spark, sf_dir, "feed_lineitem_qty", build)
+    res = land_feed(spark, Feed("lineitem_qty", d),
+                    [LandingField("l_orderkey", "float64"), LandingField("l_linenumber", "float64"),
+                     LandingField("l_quantity")], JOB_TIME)
+    value, bad = strict_double(F.col("l_quantity"))
+    return res.rows.select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
+                           F.col("l_linenumber").cast("int").alias("l_linenumber"),
+                           F.col("l_quantity").alias("qty_text"), value.alias("qty_value"), bad.alias("qty_bad"))
+
+
+_TS_RULE = "(l_orderkey + l_linenumber) % 10"
+_TS_TRUE_SQL = "(l_shipdate + to_seconds(l_orderkey % 86400))"
+
+
+@query("strict_timestamp", f"""
+SELECT l_orderkey, l_linenumber, ship_text,
+       CASE r WHEN 0 THEN t WHEN 1 THEN t WHEN 3 THEN date_trunc('minute', t)
+              WHEN 6 THEN NULL WHEN 7 THEN NULL ELSE date_trunc('day', t) END AS ship_ts,
+       r = 6 AS ship_bad
+FROM (SELECT l_orderkey, l_linenumber, {_TS_RULE} AS r, {_TS_TRUE_SQL} AS t,
+             CASE {_TS_RULE}
+               WHEN 0 THEN strftime({_TS_TRUE_SQL}, '%Y-%m-%d %H:%M:%S')
+               WHEN 1 THEN strftime({_TS_TRUE_SQL}, '%-m/%-d/%Y %-H:%M:%S')
+               WHEN 2 THEN strftime({_TS_TRUE_SQL}, '%-m/%-d/%Y')
+               WHEN 3 THEN strftime({_TS_TRUE_SQL}, '%-m/%-d/%Y %-I:%M %p')
+               WHEN 4 THEN strftime({_TS_TRUE_SQL}, '%Y%m%d')
+               WHEN 5 THEN strftime({_TS_TRUE_SQL}, '%-d-%b-%Y')
+               WHEN 6 THEN 'x'
+               WHEN 7 THEN '9999-12-31 00:00:00'
+               WHEN 8 THEN strftime({_TS_TRUE_SQL}, '%Y-%m-%d')
+               ELSE CASE WHEN day({_TS_TRUE_SQL}) > 12 THEN strftime({_TS_TRUE_SQL}, '%d/%m/%Y')
+                         ELSE strftime({_TS_TRUE_SQL}, '%Y-%m-%d') END
+             END AS ship_text
+      FROM lineitem) s""")
+def q_strict_timestamp(spark, sf_dir):
+    def build(d):
+        li = table(spark, sf_dir, "lineitem")
+        r = F.expr(_TS_RULE)
+        t = F.timestamp_add("SECOND", F.col("l_orderkey") % 86400, F.col("l_shipdate"))
+        fmt = lambda p: F.date_format(t, p)
+        text = (F.when(r == 0, fmt("yyyy-MM-dd HH:mm:ss")).when(r == 1, fmt("M/d/yyyy H:mm:ss"))
+                .when(r == 2, fmt("M/d/yyyy")).when(r == 3, fmt("M/d/yyyy h:mm a"))
+                .when(r == 4, fmt("yyyyMMdd")).when(r == 5, fmt("d-MMM-yyyy"))
+                .when(r == 6, F.lit("x")).when(r == 7, F.lit("9999-12-31 00:00:00"))
+                .when(r == 8, fmt("yyyy-MM-dd"))
+                .otherwise(F.when(F.dayofmonth(t) > 12, fmt("dd/MM/yyyy")).otherwise(fmt("yyyy-MM-dd"))))
+        write_delimited(spark, li.select(F.col("l_orderkey").cast("string").alias("l_orderkey"),
+                                         F.col("l_linenumber").cast("string").alias("l_linenumber"),
+                                         text.alias("l_shipdate")), d, "lineitem_ship", n_files=4)
+    d = fixture(spark, sf_dir, "feed_lineitem_ship", build)
+    res = land_feed(spark, Feed("lineitem_ship", d),
+                    [LandingField("l_orderkey", "float64"), LandingField("l_linenumber", "float64"),
+                     LandingField("l_shipdate")], JOB_TIME)
+    value, bad = strict_timestamp(F.col("l_shipdate"))
+    return res.rows.select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
+                           F.col("l_linenumber").cast("int").alias("l_linenumber"),
+                           F.col("l_shipdate").alias("ship_text"), value.alias("ship_ts"), bad.alias("ship_bad"))
+
+
+@query("ragged_rows", """
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 7 = 3 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+       CASE o_orderkey % 7 WHEN 3 THEN 'short' WHEN 5 THEN 'long' WHEN 6 THEN 'long' ELSE 'ok' END AS row_shape
+FROM orders""")
+def q_ragged_rows(spark, sf_dir):
+    def build(d):
+        o = table(spark, sf_dir, "orders")
+        cols = [F.col(c).cast("string") for c in ORDERS_COLS]
+        r = F.col("o_orderkey") % 7
+        line = (F.when(r == 3, F.concat_ws("\t", *cols[:-1]))
+                .when(r == 5, F.concat_ws("\t", *cols, F.lit("EXTRA")))
+                .when(r == 6, F.concat_ws("\t", *cols, F.lit("")))
+                .otherwise(F.concat_ws("\t", *cols)))
+        write_delimited(spark, o.select(line.alias("\t".join(ORDERS_COLS))), d, "orders_ragged", n_files=3)
+    d = fixture(spark, sf_dir, "feed_orders_ragged", build)
+    res = land_feed(spark, Feed("orders", d), [LandingField("o_orderkey", "float64")], JOB_TIME)
+    parsed = spark.read.parquet(res.parsed_path)
+    return parsed.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderpriority",
+                         F.col(_SHAPE).alias("row_shape"))
+
+
+@query("file_quarantine", """
+SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_orderkey % 4 <> 2""")
+def q_file_quarantine(spark, sf_dir):
+    def build(d):
+        o = _as_text(table(spark, sf_dir, "orders"))
+        k = F.col("o_orderkey").cast("long")
+        for b in range(4):
+            part = o.filter(k % 4 == b)
+            if b == 2:
+                part = part.withColumn("o_totalprice", F.when(k == 2, F.lit("bad")).otherwise(F.col("o_totalprice")))
+            write_delimited(spark, part, d, f"orders_b{b}", n_files=1)
+    d = fixture(spark, sf_dir, "feed_orders_quarantine", build)
+    res = land_feed(spark, Feed("orders", d),
+                    [LandingField("o_orderkey", "float64"), LandingField("o_totalprice", "float64"),
+                     LandingField("o_orderdate", "timestamp")], JOB_TIME)
+    return map_columns(res.rows, [ColumnMap("o_orderkey", "o_orderkey", "bigint"),
+                                  ColumnMap("o_totalprice", "o_totalprice", "float64"),
+                                  ColumnMap("o_orderdate", "o_orderdate", "timestamp")])
+
+
+@query("quarantine_report", """
+SELECT 'orders_b2_00000.txt' AS load_file_name, 'bad number in o_totalprice' AS reason,
+       CAST(1 AS BIGINT) AS bad_rows, count(*) AS raw_records
+FROM orders WHERE o_orderkey % 4 = 2""")
+def q_quarantine_report(spark, sf_dir):
+    q_file_quarantine(spark, sf_dir)  # builds the feed folder if needed
+    d = fixture(spark, sf_dir, "feed_orders_quarantine", lambda _: None)
+    res = land_feed(spark, Feed("orders", d),
+                    [LandingField("o_orderkey", "float64"), LandingField("o_totalprice", "float64"),
+                     LandingField("o_orderdate", "timestamp")], JOB_TIME)
+    return (res.files.filter(F.col("status") == "bad")
+            .select("load_file_name", "reason", "bad_rows", "raw_records"))

@@ -54,3 +54,39 @@ def write_delimited(spark: SparkSession, df: DataFrame, out_dir: str, base_name:
         out.append(dst)
     storage.delete(spark, tmp)
     return out
+
+
+def write_archives(spark: SparkSession, plain_paths: list[str], out_dir: str, kind: str) -> list[str]:
+    """Compress plain files into ``zip`` (one member) or ``xz`` archives, one task each."""
+    import pandas as pd
+
+    suffix = {"zip": ".zip", "xz": ".xz"}[kind]
+    pairs = [(p, f"{out_dir.rstrip('/')}/{p.rsplit('/', 1)[-1]}{suffix}") for p in plain_paths]
+    frame = spark.createDataFrame(pairs, "src string, dst string").repartition(max(1, len(pairs)))
+
+    def compress(batches):
+        import lzma
+        import os
+        import zipfile
+
+        def local(p):
+            p = p[5:] if p.startswith("file:") else p
+            while p.startswith("//"):
+                p = p[1:]
+            return p
+        for pdf in batches:
+            for src, dst in zip(pdf["src"], pdf["dst"]):
+                os.makedirs(os.path.dirname(local(dst)), exist_ok=True)
+                if kind == "zip":
+                    with zipfile.ZipFile(local(dst), "w", compression=zipfile.ZIP_DEFLATED) as zf:
+                        zf.write(local(src), arcname=os.path.basename(local(src)))
+                else:
+                    with open(local(src), "rb") as fi, lzma.open(local(dst), "wb") as fo:
+                        while True:
+                            chunk = fi.read(1 << 20)
+                            if not chunk:
+                                break
+                            fo.write(chunk)
+            yield pdf
+    frame.mapInPandas(compress, "src string, dst string").collect()
+    return [d for _, d in pairs]
