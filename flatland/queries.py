@@ -633,3 +633,256 @@ def q_quarantine_report(spark, sf_dir):
                      LandingField("o_orderdate", "timestamp")], JOB_TIME)
     return (res.files.filter(F.col("status") == "bad")
             .select("load_file_name", "reason", "bad_rows", "raw_records"))
+
+
+# --------------------------------------------------------------------------
+# Names, profiling, inference, spec
+# --------------------------------------------------------------------------
+
+from flatland.functions.names import (LANDING_DROPPED_CHARS, STAGE_KEYWORDS,  # noqa: E402
+                                      landing_name_col, stage_name_col)
+from flatland.operators.land import profile_rows  # noqa: E402
+from flatland.operators.profile import PROFILE_FIELDS, distinct_values, infer_types, profile_columns  # noqa: E402
+from flatland.operators.validate import key_check  # noqa: E402
+from flatland.plans.spec import build_spec, plan_from_spec, read_spec, write_spec  # noqa: E402
+
+_SUFFIXES = ["ID", "Name", " (USD)", "qty"]
+
+
+def _sample_names_sql() -> str:
+    word2 = "split_part(p_name, ' ', 2)"
+    suffix = "CASE p_size % 4 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_SUFFIXES)) + " END"
+    return (f"SELECT DISTINCT lower(split_part(p_name, ' ', 1)) || upper(substr({word2}, 1, 1)) || "
+            f"lower(substr({word2}, 2)) || {suffix} || '-' || p_type AS sample FROM part")
+
+
+def _landing_sql(x: str) -> str:
+    out = f"lower(replace(replace({x}, ' ', '_'), '-', '_'))"
+    for ch in LANDING_DROPPED_CHARS:
+        out = f"replace({out}, '{ch}', '')"
+    return out
+
+
+def _stage_sql_select() -> str:
+    s = "regexp_replace(sample, '([A-Z]+)([A-Z][a-z])', '\\1_\\2', 'g')"
+    s = f"regexp_replace({s}, '([a-z0-9])([A-Z])', '\\1_\\2', 'g')"
+    s = f"regexp_replace(regexp_replace(lower({s}), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"
+    whens = " ".join(
+        f"WHEN suffix(x0, '{kw}') AND length(x0) > {len(kw)} AND NOT suffix(x0, '_{kw}') "
+        f"THEN substr(x0, 1, length(x0) - {len(kw)}) || '_{kw}'" for kw in STAGE_KEYWORDS)
+    return f"{s} AS x0, CASE {whens} ELSE x0 END AS stage_name"
+
+
+@query("clean_names", f"""
+SELECT sample, {_landing_sql('sample')} AS landing_name, stage_name
+FROM (SELECT sample, {_stage_sql_select()} FROM ({_sample_names_sql()}) s) t""")
+def q_clean_names(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    w1, w2 = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    suffix = F.element_at(F.array(*[F.lit(s) for s in _SUFFIXES]), (F.col("p_size") % 4 + 1).cast("int"))
+    sample = F.concat(F.lower(w1), F.upper(F.substring(w2, 1, 1)), F.lower(F.substring(w2, 2, 1 << 20)),
+                      suffix, F.lit("-"), F.col("p_type"))
+    s = p.select(sample.alias("sample")).distinct()
+    return s.select("sample", landing_name_col(F.col("sample")).alias("landing_name"),
+                    stage_name_col(F.col("sample")).alias("stage_name"))
+
+
+def _lineitem_text_rows(spark, sf_dir):
+    d = _feed_dir(spark, sf_dir, "lineitem", lambda: table(spark, sf_dir, "lineitem"), n_files=8)
+    res = land_feed(spark, Feed("lineitem", d), [], JOB_TIME)
+    return profile_rows(spark.read.parquet(res.parsed_path)).drop("load_file_name", "load_timestamp")
+
+
+_DT_SQL = "try_strptime({s}, '%Y-%m-%d %H:%M:%S')"
+
+
+def _profile_sql_for(table_name: str, cols: list[str], ts_parse: str = _DT_SQL) -> str:
+    parts = []
+    for i, c in enumerate(cols):
+        s = f"CAST({c} AS VARCHAR)"
+        v = f"TRY_CAST({s} AS DOUBLE)"
+        fin = f"({v} IS NOT NULL AND NOT isnan({v}) AND NOT isinf({v}))"
+        plain = f"({fin} AND NOT regexp_matches({s}, '[eE]'))"
+        ts = ts_parse.format(s=s)
+        right = (f"length(regexp_replace(CASE WHEN contains(trim({s}), '.') THEN split_part(trim({s}), '.', 2) "
+                 f"ELSE '' END, '0+$', ''))")
+        parts.append(
+            f"SELECT '{c}' AS column_name, {i + 1} AS position, count(*) AS n_rows, count({s}) AS n_nonnull, "
+            f"count(*) FILTER (WHERE {s} IS NULL) AS n_null, CAST(max(length({s})) AS INTEGER) AS max_len, "
+            f"count(*) FILTER (WHERE {s} IS NOT NULL AND {v} IS NULL) AS n_bad_number, "
+            f"count(*) FILTER (WHERE {s} IS NOT NULL AND {ts} IS NULL) AS n_bad_datetime, "
+            f"coalesce(bool_and(CASE WHEN {fin} THEN {v} % 1 = 0 END), true) AS all_integral, "
+            f"min(CASE WHEN {fin} THEN {v} END) AS min_number, max(CASE WHEN {fin} THEN {v} END) AS max_number, "
+            f"CAST(max(CASE WHEN {plain} THEN greatest(length(split_part(trim({s}), '.', 1)), 1) END) AS INTEGER) AS max_left, "
+            f"CAST(max(CASE WHEN {plain} THEN {right} END) AS INTEGER) AS max_right, "
+            f"coalesce(bool_or({ts} <> date_trunc('day', {ts})), false) AS has_time "
+            f"FROM {table_name}")
+    return " UNION ALL ".join(parts)
+
+
+@query("profile_columns", _profile_sql_for("lineitem", LINEITEM_COLS))
+def q_profile_columns(spark, sf_dir):
+    return profile_columns(_lineitem_text_rows(spark, sf_dir))
+
+
+@query("distinct_values", """
+WITH kv AS (
+  SELECT 'l_returnflag' AS column_name, l_returnflag AS value FROM lineitem
+  UNION ALL SELECT 'l_linestatus', l_linestatus FROM lineitem
+  UNION ALL SELECT 'l_quantity', CAST(l_quantity AS VARCHAR) FROM lineitem
+  UNION ALL SELECT 'l_suppkey', CAST(l_suppkey AS VARCHAR) FROM lineitem),
+c AS (SELECT column_name, value, count(*) AS frequency FROM kv GROUP BY ALL),
+n AS (SELECT column_name, count(value) AS n_distinct FROM c GROUP BY ALL)
+SELECT c.column_name, value, frequency, rank, n_distinct FROM (
+  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY frequency DESC, value ASC NULLS FIRST) AS rank
+  FROM c) c JOIN n USING (column_name) WHERE rank <= 10""")
+def q_distinct_values(spark, sf_dir):
+    rows = _lineitem_text_rows(spark, sf_dir)
+    return distinct_values(rows, ["l_returnflag", "l_linestatus", "l_quantity", "l_suppkey"], top_n=10)
+
+
+def _infer_sql(table_name: str, cols: list[str]) -> str:
+    prof = _profile_sql_for(table_name, cols, "TRY_CAST({s} AS TIMESTAMP)")
+    scale = "(max_right + 1)"
+    prec = f"least(max_left + {scale} + 2, 38)"
+    ladder = "CASE WHEN max_len = 1 THEN 1 " + " ".join(
+        f"WHEN {n} > floor(max_len * 1.3) THEN {n}" for n in [10, 20, 40, 60, 80, 100, 255, 500, 2000, 4000]) + \
+        " ELSE 4000 END"
+    landing = ("CASE WHEN n_nonnull = 0 THEN 'string' WHEN n_bad_number = 0 THEN 'float64' "
+               "WHEN n_bad_datetime = 0 THEN CASE WHEN has_time THEN 'timestamp' ELSE 'date' END ELSE 'string' END")
+    return f"""SELECT '{table_name}' AS table_name, column_name, landing_type,
+  CASE WHEN landing_type = 'timestamp' THEN 'timestamp(0)' WHEN landing_type = 'date' THEN 'date'
+       WHEN landing_type = 'float64' THEN CASE WHEN all_integral THEN
+            CASE WHEN max_number > 9223372036854775807.0 OR min_number < -9223372036854775808.0 THEN 'decimal(38,0)'
+                 WHEN max_number > 2147483647 OR min_number < -2147483648 THEN 'bigint' ELSE 'integer' END
+            ELSE 'decimal(' || {prec} || ',' || least({scale}, {prec}) || ')' END
+       WHEN n_nonnull = 0 THEN 'varchar(?)'
+       ELSE 'varchar(' || {ladder} || ')' END AS db_type, position
+FROM (SELECT *, {landing} AS landing_type FROM ({prof}) p) q"""
+
+
+PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def _text_table(spark, sf_dir, name):
+    """A given table's rows as the strings a delimited file would hold."""
+    return _as_text(table(spark, sf_dir, name))
+
+
+@query("infer_types", " UNION ALL ".join([
+    _infer_sql("orders", ORDERS_COLS), _infer_sql("part", PART_COLS), _infer_sql("events", EVENTS_COLS)]))
+def q_infer_types(spark, sf_dir):
+    out = None
+    for name in ("orders", "part", "events"):
+        inferred = infer_types(profile_columns(_text_table(spark, sf_dir, name)))
+        part = inferred.select(F.lit(name).alias("table_name"), "column_name", "landing_type", "db_type", "position")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+SPEC_NAMES = {"wrk_schema": "wrk_schema", "wrk_table": "wrk_{t}", "stg_schema": "stg_schema",
+              "stg_table": "stg_{t}", "tgt_schema": "tgt_schema", "tgt_table": "{t}"}
+
+
+def _spec_names(t: str) -> dict:
+    return {k: v.format(t=t) for k, v in SPEC_NAMES.items()}
+
+
+def _build_spec_sql(t: str, cols: list[str]) -> str:
+    from flatland.functions.names import stage_name
+    n = _spec_names(t)
+    k = len(cols)
+    stg_names = "CASE column_name " + " ".join(f"WHEN '{c}' THEN '{stage_name(c)}'" for c in cols) + " END"
+    cols_out = ("action, schema, target_table, target_field, comment, type, char_encoding, pk, fk, "
+                "source_system, source_table, source_fields, layer, position")
+    N = "CAST(NULL AS VARCHAR)"
+
+    def fixed(layer, pos, action, field, typ, comment, system, table_, source):
+        q = lambda v: N if v is None else "'" + v + "'"
+        return (f"SELECT {q(action)}, '{n[layer + '_schema']}', '{n[layer + '_table']}', {q(field)}, {q(comment)}, "
+                f"{q(typ)}, {N}, {N}, {N}, {q(system)}, {q(table_)}, {q(source)}, '{layer}', {pos}")
+    rows = [
+        fixed("wrk", 0, "Create Table", None, None, None, None, None, None),
+        fixed("wrk", k + 1, "Add Field", "load_file_name", "string", "Automatically added by the application",
+              "Flat File", "System Generated", "load_file_name"),
+        fixed("wrk", k + 2, "Add Field", "load_timestamp", "timestamp", "Automatically added by the application",
+              "Flat File", "System Generated", "load_timestamp"),
+        fixed("stg", 0, "Create Table", None, None, None, None, None, None),
+        fixed("stg", k + 1, "Add Field", "load_file_name", "varchar(255)", "", "DB Internal", n["wrk_table"],
+              "load_file_name"),
+        fixed("stg", k + 2, "Add Field", "load_timestamp", "timestamp(0)", "", "DB Internal", n["wrk_table"],
+              "load_timestamp"),
+        fixed("tgt", 0, "Create Table", None, None, None, None, None, None),
+        fixed("tgt", k + 1, "Add Field", "modify_date_time", "timestamp(0)", None, "System Generated",
+              "System Generated", "System Generated"),
+        fixed("tgt", k + 2, "Add Field", "load_file_name", "varchar(255)", None, "DB Internal", n["stg_table"],
+              "load_file_name"),
+        fixed("tgt", k + 3, "Add Field", "load_timestamp", "timestamp(0)", None, "DB Internal", n["stg_table"],
+              "load_timestamp"),
+    ]
+    inf = _infer_sql(t, cols)
+    layer_rows = [
+        f"SELECT 'Add Field', '{n['wrk_schema']}', '{n['wrk_table']}', column_name, {N}, landing_type, {N}, {N}, {N}, "
+        f"'Flat File', 'Flat File', column_name, 'wrk', position FROM inf",
+        f"SELECT 'Add Field', '{n['stg_schema']}', '{n['stg_table']}', {stg_names}, "
+        f"CASE WHEN db_type = 'varchar(?)' THEN 'All records are NULL value, fix data type' END, db_type, {N}, {N}, {N}, "
+        f"'DB Internal', '{n['wrk_table']}', column_name, 'stg', position FROM inf",
+        f"SELECT 'Add Field', '{n['tgt_schema']}', '{n['tgt_table']}', {stg_names}, {N}, db_type, {N}, {N}, {N}, "
+        f"'DB Internal', '{n['stg_table']}', {stg_names}, 'tgt', position FROM inf",
+    ]
+    body = " UNION ALL ".join(rows + layer_rows)
+    return f"WITH inf AS ({inf}) SELECT * FROM ({body}) AS s({cols_out})"
+
+
+@query("build_spec", _build_spec_sql("customer", CUSTOMER_COLS))
+def q_build_spec(spark, sf_dir):
+    inferred = infer_types(profile_columns(_text_table(spark, sf_dir, "customer")))
+    return build_spec(spark, inferred, _spec_names("customer"))
+
+
+# The part spec inferred at sf 0.01, written out as the cast list it implies.
+@query("spec_plan", f"""
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS INTEGER) AS p_size,
+       CAST(p_retailprice AS DECIMAL(7,2)) AS p_retail_price,
+       TIMESTAMP '{JOB_TIME_ROUNDED}' AS modify_date_time, TIMESTAMP '{JOB_TIME_ROUNDED}' AS load_timestamp
+FROM part""")
+def q_spec_plan(spark, sf_dir):
+    from flatland.plans.run import run_feed
+    d = _feed_dir(spark, sf_dir, "part", lambda: table(spark, sf_dir, "part"), n_files=2)
+    feed = Feed("part", d)
+    # 1. profile the files, 2. write the spec, 3. a user marks the key, 4. plan from the spec file alone.
+    probe = land_feed(spark, feed, [], JOB_TIME)
+    rows = profile_rows(spark.read.parquet(probe.parsed_path)).drop("load_file_name", "load_timestamp")
+    spec = build_spec(spark, infer_types(profile_columns(rows)), _spec_names("part"))
+    spec = spec.withColumn("pk", F.when((F.col("layer") == "tgt") & (F.col("target_field") == "p_partkey"),
+                                        F.lit("Y")).otherwise(F.col("pk")))
+    run = new_run_dir(spark, "spec_plan")
+    write_spec(spec, f"{run}/spec")
+    plan = plan_from_spec(read_spec(spark, f"{run}/spec"))
+    result = run_feed(spark, feed, plan, VersionedTable(spark, f"{run}/target"), JOB_TIME, run_dir=f"{run}/load")
+    return VersionedTable(spark, f"{run}/target").read(result.target_version).drop("load_file_name")
+
+
+@query("key_check", """
+WITH ld AS (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+            GROUP BY ALL HAVING count(*) > 1),
+od AS (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
+SELECT 'lineitem' AS table_name, 'l_orderkey,l_linenumber' AS key_columns,
+       (SELECT count(*) FROM ld) = 0 AS is_unique,
+       (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL) = 0 AS no_nulls,
+       (SELECT count(*) FROM ld) AS duplicate_keys,
+       (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS null_key_rows,
+       (SELECT string_agg(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR), ','
+                          ORDER BY l_orderkey, l_linenumber)
+        FROM (SELECT * FROM ld ORDER BY l_orderkey, l_linenumber LIMIT 5) s) AS sample
+UNION ALL
+SELECT 'orders', 'o_orderkey', (SELECT count(*) FROM od) = 0,
+       (SELECT count(*) FROM orders WHERE o_orderkey IS NULL) = 0, (SELECT count(*) FROM od),
+       (SELECT count(*) FROM orders WHERE o_orderkey IS NULL),
+       (SELECT string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)
+        FROM (SELECT * FROM od ORDER BY o_orderkey LIMIT 5) s)""")
+def q_key_check(spark, sf_dir):
+    li = key_check(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
+    od = key_check(table(spark, sf_dir, "orders"), ["o_orderkey"], "orders")
+    return li.unionByName(od)

@@ -29,6 +29,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", os.environ.get("FLATLAND_DRIVER_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
