@@ -64,21 +64,23 @@ def format_job_time(job_start: datetime | str) -> str:
     return job_start.strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
-def csv_reader(spark: SparkSession, feed: Feed, schema: T.StructType):
-    reader = (spark.read.schema(schema)
-              .option("header", True)
-              .option("enforceSchema", True)
-              .option("sep", feed.delimiter)
-              .option("encoding", feed.encoding)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", _CORRUPT)
-              .option("ignoreLeadingWhiteSpace", False)
-              .option("ignoreTrailingWhiteSpace", False))
+def csv_options(feed: Feed) -> dict[str, str]:
+    """Reader options for a feed: header row, PERMISSIVE with the corrupt
+    record kept, no whitespace trimming; quoted feeds parse quotes (doubled
+    quote as escape) across lines, unquoted feeds take quotes literally and
+    stay splittable."""
+    opts = {"header": "true", "enforceSchema": "true", "sep": feed.delimiter, "encoding": feed.encoding,
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     if feed.quoted:
-        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
+        opts.update(quote='"', escape='"', multiLine="true")
     else:
-        reader = reader.option("quote", "\u0000").option("escape", "\u0000")
-    return reader
+        opts.update(quote="\u0000", escape="\u0000")
+    return opts
+
+
+def csv_reader(spark: SparkSession, feed: Feed, schema: T.StructType):
+    return spark.read.schema(schema).options(**csv_options(feed))
 
 
 def too_many_fields(corrupt: "F.Column", n_cols: int, feed: Feed) -> "F.Column":
@@ -92,18 +94,18 @@ def too_many_fields(corrupt: "F.Column", n_cols: int, feed: Feed) -> "F.Column":
     return corrupt.isNotNull() & (n_tokens > F.lit(n_cols))
 
 
-def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[str],
-                fields: dict[str, str], job_ts: str, expand_dir: str) -> DataFrame:
+def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, str], job_ts: str,
+               load_file_name: "F.Column", path: "F.Column") -> DataFrame:
+    """Positional string columns -> named, cleaned, strictly cast rows with lineage.
+
+    ``raw`` holds ``_c0.._cN`` and the corrupt-record column. Adds the
+    audit columns, ``_path``, the first reason the row is bad (or null) and
+    the row shape (ok / short / long).
+    """
     positional = [f"_c{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(p, T.StringType()) for p in positional]
-                          + [T.StructField(_CORRUPT, T.StringType())])
-    raw = csv_reader(spark, feed, schema).csv(paths)
-    file_name = F.col("_metadata.file_name")
-    bare_dir = expand_dir[5:] if expand_dir.startswith("file:") else expand_dir
-    load_file_name = F.when(F.col("_metadata.file_path").contains(bare_dir.lstrip("/")),
-                            F.regexp_extract(file_name, r"^[0-9]{6}-(.*)\.plain$", 1)).otherwise(file_name)
-    cols = [F.col("_metadata.file_path").alias(_PATH)]
-    reasons = [F.when(too_many_fields(F.col(_CORRUPT), len(names), feed), F.lit("too many fields"))]
+    cols = [path.alias(_PATH)]
+    long_row = too_many_fields(F.col(_CORRUPT), len(names), feed)
+    reasons = [F.when(long_row, F.lit("too many fields"))]
     for pos, name in zip(positional, names):
         cell = clean_cell(F.col(pos), feed.null_value, feed.quoted)
         kind = fields.get(name, "string")
@@ -119,12 +121,35 @@ def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[s
     cols.append(load_file_name.alias(AUDIT_FILE))
     cols.append(F.lit(job_ts).cast("timestamp_ntz").alias(AUDIT_TS))
     cols.append(F.coalesce(*reasons).alias(_REASON))
-    long_row = too_many_fields(F.col(_CORRUPT), len(names), feed)
     cols.append(F.when(long_row, F.lit("long")).when(F.col(_CORRUPT).isNotNull(), F.lit("short"))
                 .otherwise(F.lit("ok")).alias(_SHAPE))
     return raw.select(*cols)
 
 
+def positional_schema(n: int) -> T.StructType:
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)]
+                        + [T.StructField(_CORRUPT, T.StringType())])
+
+
+def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[str],
+                fields: dict[str, str], job_ts: str, expand_dir: str) -> DataFrame:
+    raw = csv_reader(spark, feed, positional_schema(len(names))).csv(paths)
+    file_name = F.col("_metadata.file_name")
+    bare_dir = expand_dir[5:] if expand_dir.startswith("file:") else expand_dir
+    load_file_name = F.when(F.col("_metadata.file_path").contains(bare_dir.lstrip("/")),
+                            F.regexp_extract(file_name, r"^[0-9]{6}-(.*)\.plain$", 1)).otherwise(file_name)
+    return clean_cast(raw, names, feed, fields, job_ts, load_file_name, F.col("_metadata.file_path"))
+
+
+def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None) -> tuple[DataFrame, DataFrame]:
+    """(landed rows, bad files): a file with any bad row lands nothing (V5)."""
+    row_bad = (parsed.filter(F.col(_REASON).isNotNull())
+               .groupBy(_PATH).agg(F.min(_REASON).alias("reason"), F.count(F.lit(1)).alias("bad_rows")))
+    bad = header_bad.withColumn("bad_rows", F.lit(None).cast("long")).unionByName(row_bad)
+    rows = join_small(parsed, bad.select(_PATH), _PATH, "left_anti", n_files).drop(_REASON, _SHAPE)
+    return rows, bad
+
+
 def profile_rows(parsed: DataFrame) -> DataFrame:
     """Rows as the profiler reads them: long rows skipped, not failing."""
     return parsed.filter(F.col(_SHAPE) != "long").drop(_PATH, _REASON, _SHAPE)
@@ -182,10 +207,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     n_files = len(paths)
     header_bad_df = spark.createDataFrame(header_bad, f"{_PATH} string, reason string")
     if parsed is not None:
-        row_bad = (parsed.filter(F.col(_REASON).isNotNull())
-                   .groupBy(_PATH).agg(F.min(_REASON).alias("reason"), F.count(F.lit(1)).alias("bad_rows")))
-        bad = header_bad_df.withColumn("bad_rows", F.lit(None).cast("long")).unionByName(row_bad)
-        rows = join_small(parsed, bad.select(_PATH), _PATH, "left_anti", n_files).drop(_REASON, _SHAPE)
+        rows, bad = split_verdict(parsed, header_bad_df, n_files)
         loaded = rows.groupBy(_PATH).agg(F.count(F.lit(1)).alias("records_loaded"))
     else:
         bad = header_bad_df.withColumn("bad_rows", F.lit(None).cast("long"))

@@ -886,3 +886,228 @@ def q_key_check(spark, sf_dir):
     li = key_check(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
     od = key_check(table(spark, sf_dir, "orders"), ["o_orderkey"], "orders")
     return li.unionByName(od)
+
+
+# --------------------------------------------------------------------------
+# Metrics, summary, manifest, retention
+# --------------------------------------------------------------------------
+
+from flatland.operators.metrics import (flatten_summary, load_counters, load_summary, new_files,  # noqa: E402
+                                        retention_report)
+
+_LEVEL_SQL = "CASE grouping(feed, load_file_name) WHEN 0 THEN 'file' WHEN 1 THEN 'folder' ELSE 'job' END"
+_EVENTS_AS_FILES = ("SELECT *, event_type AS feed, 'user_' || CAST(user_id AS VARCHAR) || '.txt' AS load_file_name "
+                    "FROM events")
+
+
+def _events_as_landed(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("*", F.col("event_type").alias("feed"),
+                     F.concat(F.lit("user_"), F.col("user_id").cast("string"), F.lit(".txt")).alias("load_file_name"))
+
+
+@query("load_counters", f"""
+SELECT feed, load_file_name, {_LEVEL_SQL} AS level, count(*) AS records, count(DISTINCT load_file_name) AS files,
+       format('{{:,}}', count(*)) AS records_text
+FROM ({_EVENTS_AS_FILES}) e GROUP BY ROLLUP (feed, load_file_name)""")
+def q_load_counters(spark, sf_dir):
+    return load_counters(_events_as_landed(spark, sf_dir))
+
+
+@query("load_durations", f"""
+SELECT feed, load_file_name, {_LEVEL_SQL} AS level, count(*) AS records, count(DISTINCT load_file_name) AS files,
+       format('{{:,}}', count(*)) AS records_text, min(ts) AS level_start, max(ts) AS level_end,
+       date_sub('second', min(ts), max(ts)) AS duration_seconds,
+       CAST(date_sub('second', min(ts), max(ts)) AS VARCHAR) || ' seconds' AS duration_text
+FROM ({_EVENTS_AS_FILES}) e GROUP BY ROLLUP (feed, load_file_name)""")
+def q_load_durations(spark, sf_dir):
+    return load_counters(_events_as_landed(spark, sf_dir), start_col="ts")
+
+
+RETENTION_NOW = "2024-02-01 00:00:00"
+RETENTION_DAYS = 10
+
+
+@query("retention", f"""
+WITH a AS (SELECT event_type, CAST(floor(date_sub('second', ts, TIMESTAMP '{RETENTION_NOW}') / 86400) AS BIGINT) AS age
+           FROM events)
+SELECT event_type, count(*) FILTER (WHERE age <= {RETENTION_DAYS}) AS kept_rows,
+       count(*) FILTER (WHERE age > {RETENTION_DAYS}) AS expired_rows,
+       max(CASE WHEN age <= {RETENTION_DAYS} THEN age END) AS oldest_kept_age_days
+FROM a GROUP BY event_type""")
+def q_retention(spark, sf_dir):
+    now = F.lit(RETENTION_NOW).cast("timestamp_ntz")
+    return retention_report(table(spark, sf_dir, "events"), "ts", now, RETENTION_DAYS, "event_type")
+
+
+def _events_tree(spark, sf_dir) -> str:
+    """events as five feed folders (one per event type), one file per day."""
+    def build(d):
+        ev = table(spark, sf_dir, "events")
+        cols = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in EVENTS_COLS]
+        lines = ev.select(F.concat_ws("\t", *cols).alias("\t".join(EVENTS_COLS)), "event_type",
+                          F.date_format("ts", "yyyyMMdd").alias("day"))
+        tmp = f"{d}/_tmp"
+        (lines.repartition("event_type", "day").write.partitionBy("event_type", "day")
+         .option("header", True).option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+         .option("escapeQuotes", False).option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(tmp))
+        for tdir, is_dir in storage.list_dir(spark, tmp):
+            if not is_dir:
+                continue
+            etype = tdir.rstrip("/").rsplit("event_type=", 1)[-1]
+            for ddir, _ in storage.list_dir(spark, tdir):
+                day = ddir.rstrip("/").rsplit("day=", 1)[-1]
+                for f, _ in storage.list_dir(spark, ddir):
+                    if f.rsplit("/", 1)[-1].startswith("part-"):
+                        storage.rename(spark, f, f"{d}/{etype}/events_{etype}_{day}.txt")
+        storage.delete(spark, tmp)
+    return fixture(spark, sf_dir, "feeds_events_by_day", build)
+
+
+_EVENT_FILE_SQL = "'events_' || event_type || '_' || strftime(ts, '%Y%m%d') || '.txt'"
+MANIFEST_CUTOFF = "20240115"
+
+
+@query("load_manifest", f"""
+SELECT {_EVENT_FILE_SQL} AS load_file_name, count(*) AS records_loaded
+FROM events WHERE strftime(ts, '%Y%m%d') >= '{MANIFEST_CUTOFF}' GROUP BY 1""")
+def q_load_manifest(spark, sf_dir):
+    d = _events_tree(spark, sf_dir)
+    files = storage.glob_files(spark, f"{d}/*/*.txt")
+    listing = spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p, _, _ in files], "path string, load_file_name string")
+    # The manifest of an earlier run: every file of the days before the cut-off.
+    manifest = listing.filter(F.regexp_extract("load_file_name", r"_([0-9]{8})\.txt$", 1) < MANIFEST_CUTOFF)
+    todo = [r["path"] for r in new_files(listing, manifest, manifest_rows=len(files)).collect()]
+    res = land_feed(spark, Feed("events", d), [LandingField("event_id", "float64")], JOB_TIME, paths=todo)
+    return res.files.select("load_file_name", "records_loaded")
+
+
+@query("load_summary", f"""
+WITH f AS (SELECT event_type AS folder, {_EVENT_FILE_SQL} AS fileName, count(*) AS n FROM events GROUP BY ALL)
+SELECT 'events-load' AS jobName, folder, fileName, n AS fileRawRecords, n AS fileRecordsLoaded,
+       sum(n) OVER (PARTITION BY folder) AS folderRecordsLoaded, sum(n) OVER () AS jobRecordsLoaded,
+       count(*) OVER () AS jobFilesLoaded
+FROM f""")
+def q_load_summary(spark, sf_dir):
+    d = _events_tree(spark, sf_dir)
+    paths = [p for p, _, _ in storage.glob_files(spark, f"{d}/*/*.txt")]
+    res = land_feed(spark, Feed("events", d), [LandingField("event_id", "float64"), LandingField("ts", "timestamp")],
+                    JOB_TIME, paths=paths)
+    files = (res.files.withColumn("feed", F.regexp_extract("source_path", r"/([^/]+)/[^/]+$", 1))
+             .withColumn("file_start", F.lit(JOB_TIME).cast("timestamp_ntz"))
+             .withColumn("file_end", F.lit(JOB_TIME).cast("timestamp_ntz")))
+    summary = load_summary(files, "events-load")
+    run = new_run_dir(spark, "load_summary")
+    summary.write.json(f"{run}/summary")                                       # K7
+    back = spark.read.schema(summary.schema).json(f"{run}/summary")
+    flat = flatten_summary(back)
+    totals = back.select("jobRecordsLoaded", "jobFilesLoaded")
+    folders = back.select(F.explode("folders").alias("f")).select(F.col("f.folderPath").alias("folder"),
+                                                                  F.col("f.folderRecordsLoaded").alias("folderRecordsLoaded"))
+    return (flat.join(folders, "folder")
+            .join(totals.withColumn("jobName", F.lit("events-load")), "jobName")
+            .select("jobName", "folder", "fileName", "fileRawRecords", "fileRecordsLoaded", "folderRecordsLoaded",
+                    "jobRecordsLoaded", "jobFilesLoaded"))
+
+
+# --------------------------------------------------------------------------
+# Streaming
+# --------------------------------------------------------------------------
+
+from flatland.streaming.incremental import incremental_land, publish_batches, read_landed  # noqa: E402
+
+EVENT_FIELDS = [LandingField("event_id", "float64"), LandingField("ts", "timestamp"),
+                LandingField("user_id", "float64"), LandingField("value", "float64")]
+EVENT_STAGE = [ColumnMap("event_id", "event_id", "bigint"), ColumnMap("ts", "ts", "timestamp"),
+               ColumnMap("user_id", "user_id", "bigint"), ColumnMap("event_type", "event_type", "string"),
+               ColumnMap("value", "value", "float64"), ColumnMap("props", "props", "string")]
+_DROPS = [("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")]
+
+
+def _stream_drops(spark, sf_dir, on_batch_factory=None):
+    """Three drops of event files into an incoming folder, one availableNow run after each."""
+    run = new_run_dir(spark, "stream")
+    incoming, sink, ckpt, archive = f"{run}/incoming", f"{run}/sink", f"{run}/checkpoint", f"{run}/archive"
+    ev = table(spark, sf_dir, "events")
+    feed = Feed("events", incoming)
+    hook = on_batch_factory(run) if on_batch_factory else None
+    for i, (lo, hi) in enumerate(_DROPS):
+        drop = ev.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+        write_delimited(spark, _as_text(drop), incoming, f"drop{i}", n_files=2)
+        incremental_land(spark, feed, "\t".join(EVENTS_COLS), EVENT_FIELDS, sink, ckpt, JOB_TIME,
+                         archive_dir=archive, on_batch=hook)
+    return run, sink
+
+
+@query("stream_land", f"SELECT {', '.join(EVENTS_COLS)} FROM events")
+def q_stream_land(spark, sf_dir):
+    _run, sink = _stream_drops(spark, sf_dir)
+    return map_columns(read_landed(spark, sink), EVENT_STAGE)
+
+
+@query("stream_publish", f"""
+SELECT {', '.join(EVENTS_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST,
+                               event_type DESC NULLS FIRST, value DESC NULLS FIRST, props DESC NULLS FIRST) AS rn
+  FROM events) e WHERE rn = 1""")
+def q_stream_publish(spark, sf_dir):
+    holder = {}
+
+    def factory(run):
+        holder["target"] = VersionedTable(spark, f"{run}/target")
+        return publish_batches(spark, holder["target"], ["user_id"], ["ts"],
+                               transform=lambda rows: map_columns(rows, EVENT_STAGE))
+    _stream_drops(spark, sf_dir, factory)
+    return holder["target"].read()
+
+
+# --------------------------------------------------------------------------
+# Flagship: a feed end to end, driven by a spec
+# --------------------------------------------------------------------------
+
+from flatland.plans.spec import SPEC_SCHEMA, SPEC_COLUMNS  # noqa: E402
+
+
+def _orders_spec(spark):
+    """The mapping spec a user would keep for the orders feed."""
+    wrk = [("o_orderkey", "float64"), ("o_custkey", "float64"), ("o_orderstatus", "string"),
+           ("o_totalprice", "float64"), ("o_orderdate", "date"), ("o_orderpriority", "string"),
+           ("load_file_name", "string"), ("load_timestamp", "timestamp")]
+    stg = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "varchar(1)"),
+           ("o_totalprice", "decimal(12,2)"), ("o_orderdate", "date"), ("o_orderpriority", "varchar(15)"),
+           ("load_file_name", "varchar(255)"), ("load_timestamp", "timestamp(0)")]
+    rows = []
+
+    def add(layer, pos, field, typ, system, source, pk=None, action="Add Field"):
+        r = dict.fromkeys(SPEC_COLUMNS)
+        r.update(action=action, schema=f"{layer}_schema", target_table=f"{layer}_orders", target_field=field,
+                 type=typ, source_system=system, source_fields=source, pk=pk, layer=layer, position=pos)
+        rows.append(tuple(r[c] for c in SPEC_COLUMNS))
+    for layer in ("wrk", "stg", "tgt"):
+        add(layer, 0, None, None, None, None, action="Create Table")
+    for i, (c, t) in enumerate(wrk, 1):
+        add("wrk", i, c, t, "Flat File", c)
+    for i, (c, t) in enumerate(stg, 1):
+        add("stg", i, c, t, "DB Internal", c)
+    for i, (c, t) in enumerate(stg[:6], 1):
+        add("tgt", i, c, t, "DB Internal", c, pk="Y" if c == "o_orderkey" else None)
+    add("tgt", 7, "modify_date_time", "timestamp(0)", "System Generated", "System Generated")
+    add("tgt", 8, "load_file_name", "varchar(255)", "DB Internal", "load_file_name")
+    add("tgt", 9, "load_timestamp", "timestamp(0)", "DB Internal", "load_timestamp")
+    return spark.createDataFrame(rows, SPEC_SCHEMA)
+
+
+@query("entry_load", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority,
+       TIMESTAMP '{JOB_TIME_ROUNDED}' AS modify_date_time, TIMESTAMP '{JOB_TIME_ROUNDED}' AS load_timestamp
+FROM orders""")
+def q_entry_load(spark, sf_dir):
+    from flatland.plans.run import run_feed
+    d = _feed_dir(spark, sf_dir, "orders", lambda: table(spark, sf_dir, "orders"), n_files=4)
+    plan = plan_from_spec(_orders_spec(spark))
+    run = new_run_dir(spark, "entry_load")
+    target = VersionedTable(spark, f"{run}/target")
+    result = run_feed(spark, Feed("orders", d), plan, target, JOB_TIME, run_dir=f"{run}/load")
+    return target.read(result.target_version).drop("load_file_name")
