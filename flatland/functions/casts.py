@@ -40,17 +40,24 @@ TS_MAX = "2262-04-11 23:47:16.854775"
 VARCHAR_LADDER = [10, 20, 40, 60, 80, 100, 255, 500, 2000, 4000]
 
 
+def number_attempt(c: Column) -> Column:
+    """try_cast to double, refusing the d/f type suffix Spark would accept."""
+    return F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c.try_cast("double"))
+
+
+def number_value(attempt: Column) -> Column:
+    """NaN parses but lands as null."""
+    return F.when(~F.isnan(attempt), attempt)
+
+
 def strict_double(c: Column) -> tuple[Column, Column]:
     """(value, is_bad) for a landing float64 column (V3).
 
-    Spark also accepts a trailing d/f type suffix, which the strict rule does
-    not, so those texts are refused first. NaN parses but lands as null.
+    Surrounding blanks, exponents and inf are accepted; a present cell that
+    does not parse is bad.
     """
-    suffixed = c.rlike(r"[0-9.][dDfF]\s*$")
-    parsed = F.when(~suffixed, c.try_cast("double"))
-    value = F.when(~F.isnan(parsed), parsed)
-    is_bad = c.isNotNull() & parsed.isNull()
-    return value, is_bad
+    parsed = number_attempt(c)
+    return number_value(parsed), c.isNotNull() & parsed.isNull()
 
 
 # Cheap shape test: only texts that start like one of the layouts above are
@@ -64,13 +71,16 @@ def parse_datetime(c: Column) -> Column:
     return F.when(c.rlike(_DATE_SHAPE), F.coalesce(*attempts)).cast(T.TimestampNTZType())
 
 
+def datetime_value(attempt: Column) -> Column:
+    """Parsed values outside the representable range land as null (not bad)."""
+    lo, hi = F.lit(TS_MIN).cast("timestamp_ntz"), F.lit(TS_MAX).cast("timestamp_ntz")
+    return F.when(attempt.between(lo, hi), attempt)
+
+
 def strict_timestamp(c: Column) -> tuple[Column, Column]:
     """(value, is_bad) for a landing date/timestamp column (V4)."""
     parsed = parse_datetime(c)
-    in_range = parsed.between(F.lit(TS_MIN).cast("timestamp_ntz"), F.lit(TS_MAX).cast("timestamp_ntz"))
-    value = F.when(in_range, parsed)
-    is_bad = c.isNotNull() & parsed.isNull()
-    return value, is_bad
+    return datetime_value(parsed), c.isNotNull() & parsed.isNull()
 
 
 def pg_integer(c: Column, bigint: bool = False) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flatland.functions.casts import strict_double, strict_timestamp
+from flatland.functions.casts import datetime_value, number_attempt, number_value, parse_datetime
 from flatland.functions.names import landing_name
 from flatland.functions.nulls import clean_cell
 from flatland.operators.joins import join_small
@@ -101,29 +101,45 @@ def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, s
     ``raw`` holds ``_c0.._cN`` and the corrupt-record column. Adds the
     audit columns, ``_path``, the first reason the row is bad (or null) and
     the row shape (ok / short / long).
+
+    Two projections: the first cleans every cell and parses each typed cell
+    once; the second derives value, bad flag and reason from those results.
+    Catalyst keeps them apart because the parses are referenced more than
+    once, so no parse runs twice for a cell.
     """
     positional = [f"_c{i}" for i in range(len(names))]
-    cols = [path.alias(_PATH)]
+    first = [path.alias(_PATH), load_file_name.alias(AUDIT_FILE), F.col(_CORRUPT)]
+    for i, (pos, name) in enumerate(zip(positional, names)):
+        cell = clean_cell(F.col(pos), feed.null_value, feed.quoted)
+        kind = fields.get(name, "string")
+        first.append(cell.alias(f"_x{i}"))
+        if kind == "float64":
+            first.append(number_attempt(cell).alias(f"_p{i}"))
+        elif kind in ("date", "timestamp"):
+            first.append(parse_datetime(cell).alias(f"_p{i}"))
+    parsed = raw.select(*first)
+
+    cols = [F.col(_PATH)]
     long_row = too_many_fields(F.col(_CORRUPT), len(names), feed)
     reasons = [F.when(long_row, F.lit("too many fields"))]
-    for pos, name in zip(positional, names):
-        cell = clean_cell(F.col(pos), feed.null_value, feed.quoted)
+    for i, name in enumerate(names):
+        cell, attempt = F.col(f"_x{i}"), F.col(f"_p{i}")
         kind = fields.get(name, "string")
         if kind == "float64":
-            value, bad = strict_double(cell)
-            reasons.append(F.when(bad, F.lit(f"bad number in {name}")))
+            value = number_value(attempt)
+            reasons.append(F.when(cell.isNotNull() & attempt.isNull(), F.lit(f"bad number in {name}")))
         elif kind in ("date", "timestamp"):
-            value, bad = strict_timestamp(cell)
-            reasons.append(F.when(bad, F.lit(f"bad date in {name}")))
+            value = datetime_value(attempt)
+            reasons.append(F.when(cell.isNotNull() & attempt.isNull(), F.lit(f"bad date in {name}")))
         else:
             value = cell
         cols.append(value.alias(name))
-    cols.append(load_file_name.alias(AUDIT_FILE))
+    cols.append(F.col(AUDIT_FILE))
     cols.append(F.lit(job_ts).cast("timestamp_ntz").alias(AUDIT_TS))
     cols.append(F.coalesce(*reasons).alias(_REASON))
     cols.append(F.when(long_row, F.lit("long")).when(F.col(_CORRUPT).isNotNull(), F.lit("short"))
                 .otherwise(F.lit("ok")).alias(_SHAPE))
-    return raw.select(*cols)
+    return parsed.select(*cols)
 
 
 def positional_schema(n: int) -> T.StructType:

@@ -2,8 +2,7 @@
 
 ``profile_columns`` computes, for every string column at once, the counts and
 extremes that type inference needs (A3, A5-A8) with partial aggregation, so
-the pass is one scan and one tiny shuffle whatever the row count. Columns are
-processed in groups to keep generated code small for very wide files.
+the pass is one scan and one tiny shuffle whatever the row count.
 ``infer_types`` turns those facts into a landing type and a database type
 (I1-I6). ``distinct_values`` is the top-N value analysis (A4, O4).
 """
@@ -17,8 +16,6 @@ from pyspark.sql import functions as F
 
 from flatland.functions.casts import VARCHAR_LADDER, parse_datetime, strict_double
 
-COLUMNS_PER_PASS = 100
-
 PROFILE_FIELDS = [
     ("n_rows", "long"), ("n_nonnull", "long"), ("n_null", "long"), ("max_len", "int"),
     ("n_bad_number", "long"), ("n_bad_datetime", "long"), ("all_integral", "boolean"),
@@ -40,45 +37,44 @@ def _digits_right(text: Column) -> Column:
     return F.length(F.regexp_replace(frac, "0+$", ""))
 
 
-def _column_aggs(c: str) -> list[Column]:
-    s = F.col(f"`{c}`")
-    num, bad_num = strict_double(s)
-    finite = num.isNotNull() & ~F.isnan(num) & (F.abs(num) != float("inf"))
-    plain = finite & ~s.rlike("[eE]")
-    ts = parse_datetime(s)
-    return [
-        F.count(F.lit(1)).alias(f"{c}|n_rows"),
-        F.count(s).alias(f"{c}|n_nonnull"),
-        F.count_if(s.isNull()).alias(f"{c}|n_null"),
-        F.max(F.length(s)).alias(f"{c}|max_len"),
-        F.count_if(bad_num).alias(f"{c}|n_bad_number"),
-        F.count_if(s.isNotNull() & ts.isNull()).alias(f"{c}|n_bad_datetime"),
-        F.coalesce(F.bool_and(F.when(finite, num % 1 == 0)), F.lit(True)).alias(f"{c}|all_integral"),
-        F.min(F.when(finite, num)).alias(f"{c}|min_number"),
-        F.max(F.when(finite, num)).alias(f"{c}|max_number"),
-        F.max(F.when(plain, _digits_left(s))).alias(f"{c}|max_left"),
-        F.max(F.when(plain, _digits_right(s))).alias(f"{c}|max_right"),
-        F.coalesce(F.bool_or(ts != F.date_trunc("DAY", ts).cast("timestamp_ntz")), F.lit(False))
-         .alias(f"{c}|has_time"),
-    ]
-
-
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: ``column_name, position`` and the PROFILE_FIELDS."""
+    """One row per column: ``column_name, position`` and the PROFILE_FIELDS.
+
+    The rows are unpivoted to (column, value) inside the scan's pipeline,
+    each cell is parsed once (number, date, digit counts), and one grouped
+    aggregate per column combines map-side, so the shuffle carries one small
+    row per column per task. Generated code stays the same size however wide
+    the file is, and the input is scanned once.
+    """
     columns = list(columns or df.columns)
-    parts = []
-    for start in range(0, len(columns), COLUMNS_PER_PASS):
-        chunk = columns[start:start + COLUMNS_PER_PASS]
-        wide = df.agg(*[a for c in chunk for a in _column_aggs(c)])
-        rows = F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.lit(start + i + 1).alias("position"),
-                     *[F.col(f"`{c}|{name}`").cast(t).alias(name) for name, t in PROFILE_FIELDS])
-            for i, c in enumerate(chunk)])
-        parts.append(wide.select(F.inline(rows)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(i + 1).alias("position"),
+                 F.col(f"`{c}`").cast("string").alias("s"))
+        for i, c in enumerate(columns)])))
+    s = F.col("s")
+    num, bad_num = strict_double(s)
+    facts = long.select("column_name", "position", "s", num.alias("v"), bad_num.alias("b"),
+                        parse_datetime(s).alias("t"), _digits_left(s).alias("l"), _digits_right(s).alias("r"),
+                        s.rlike("[eE]").alias("e"))
+    v, t = F.col("v"), F.col("t")
+    finite = v.isNotNull() & (F.abs(v) != float("inf"))
+    plain = finite & ~F.col("e")
+    aggs = {
+        "n_rows": F.count(F.lit(1)),
+        "n_nonnull": F.count(s),
+        "n_null": F.count_if(s.isNull()),
+        "max_len": F.max(F.length(s)),
+        "n_bad_number": F.count_if(F.col("b")),
+        "n_bad_datetime": F.count_if(s.isNotNull() & t.isNull()),
+        "all_integral": F.coalesce(F.bool_and(F.when(finite, v % 1 == 0)), F.lit(True)),
+        "min_number": F.min(F.when(finite, v)),
+        "max_number": F.max(F.when(finite, v)),
+        "max_left": F.max(F.when(plain, F.col("l"))),
+        "max_right": F.max(F.when(plain, F.col("r"))),
+        "has_time": F.coalesce(F.bool_or(t != F.date_trunc("DAY", t).cast("timestamp_ntz")), F.lit(False)),
+    }
+    out = facts.groupBy("column_name", "position").agg(*[e.alias(k) for k, e in aggs.items()])
+    return out.select("column_name", "position", *[F.col(k).cast(ty).alias(k) for k, ty in PROFILE_FIELDS])
 
 
 def varchar_size(max_len: Column) -> Column:
