@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flatland import storage
 from flatland.functions.casts import datetime_value, number_attempt, number_value, parse_datetime
 from flatland.functions.names import landing_name
 from flatland.functions.nulls import clean_cell
@@ -180,7 +181,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     if paths is None:
         listing = list_feed_files(spark, feed)
         paths = [p for p, _, _ in listing]
-    expand_dir = f"{run_dir}/expanded"
+    expand_dir = storage.qualify(spark, f"{run_dir}/expanded")
     expanded = expand_archives(spark, paths, expand_dir)
     read_path = {p: expanded.get(p, p) for p in paths}
 

@@ -89,3 +89,9 @@ def glob_files(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
     out = [(st.getPath().toString(), int(st.getLen()), int(st.getModificationTime()))
            for st in statuses if st.isFile()]
     return sorted(out)
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified form of a path (scheme included), as Spark reports file paths."""
+    fs, jpath = _fs(spark, path)
+    return fs.makeQualified(jpath).toString()
