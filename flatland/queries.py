@@ -39,6 +39,11 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+def _buckets(spark: SparkSession) -> int:
+    """Bucket count of published targets: the session's shuffle width."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -193,9 +198,10 @@ def q_publish_upsert_composite(spark, sf_dir):
     d = spark.read.parquet(f"{run}/dedup")
     tgt = d.filter(F.col("l_orderkey") % 3 != 0)
     stg = d.filter(F.col("l_linenumber") % 2 == 0).withColumn("l_quantity", F.col("l_quantity") + 1)
-    target = VersionedTable(spark, f"{run}/target")
+    keys = ["l_orderkey", "l_linenumber"]
+    target = VersionedTable(spark, f"{run}/target", keys, _buckets(spark))
     target.write(tgt)
-    v = publish(spark, stg, target, ["l_orderkey", "l_linenumber"])
+    v = publish(spark, stg, target, keys)
     return target.read(v)
 
 
@@ -860,8 +866,9 @@ def q_spec_plan(spark, sf_dir):
     run = new_run_dir(spark, "spec_plan")
     write_spec(spec, f"{run}/spec")
     plan = plan_from_spec(read_spec(spark, f"{run}/spec"))
-    result = run_feed(spark, feed, plan, VersionedTable(spark, f"{run}/target"), JOB_TIME, run_dir=f"{run}/load")
-    return VersionedTable(spark, f"{run}/target").read(result.target_version).drop("load_file_name")
+    target = VersionedTable(spark, f"{run}/target", ["p_partkey"], _buckets(spark))
+    result = run_feed(spark, feed, plan, target, JOB_TIME, run_dir=f"{run}/load")
+    return target.read(result.target_version).drop("load_file_name")
 
 
 @query("key_check", """
@@ -1055,7 +1062,7 @@ def q_stream_publish(spark, sf_dir):
     holder = {}
 
     def factory(run):
-        holder["target"] = VersionedTable(spark, f"{run}/target")
+        holder["target"] = VersionedTable(spark, f"{run}/target", ["user_id"], _buckets(spark))
         return publish_batches(spark, holder["target"], ["user_id"], ["ts"],
                                transform=lambda rows: map_columns(rows, EVENT_STAGE))
     _stream_drops(spark, sf_dir, factory)
@@ -1108,6 +1115,6 @@ def q_entry_load(spark, sf_dir):
     d = _feed_dir(spark, sf_dir, "orders", lambda: table(spark, sf_dir, "orders"), n_files=4)
     plan = plan_from_spec(_orders_spec(spark))
     run = new_run_dir(spark, "entry_load")
-    target = VersionedTable(spark, f"{run}/target")
+    target = VersionedTable(spark, f"{run}/target", ["o_orderkey"], _buckets(spark))
     result = run_feed(spark, Feed("orders", d), plan, target, JOB_TIME, run_dir=f"{run}/load")
     return target.read(result.target_version).drop("load_file_name")
