@@ -1118,3 +1118,72 @@ def q_entry_load(spark, sf_dir):
     target = VersionedTable(spark, f"{run}/target", ["o_orderkey"], _buckets(spark))
     result = run_feed(spark, Feed("orders", d), plan, target, JOB_TIME, run_dir=f"{run}/load")
     return target.read(result.target_version).drop("load_file_name")
+
+
+# --------------------------------------------------------------------------
+# File analyzer over a folder of mixed files (S9, S10, S11, K11) and error counters
+# --------------------------------------------------------------------------
+
+from flatland.operators.metrics import error_counters  # noqa: E402
+from flatland.plans.analyze import file_settings, profile_folder  # noqa: E402
+
+NATION_COLS = ["n_nationkey", "n_name", "n_regionkey"]
+SUPPLIER_COLS = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
+
+
+def _analyzer_folder(spark, sf_dir):
+    def build(d):
+        write_delimited(spark, _as_text(table(spark, sf_dir, "customer")), d, "customer", n_files=2,
+                        delimiter=",", quoting=0, extension="csv")
+        write_delimited(spark, _as_text(table(spark, sf_dir, "supplier")), d, "supplier", n_files=1,
+                        delimiter="\t", extension="tsv")
+        write_delimited(spark, _as_text(table(spark, sf_dir, "nation")), d, "nation", n_files=1,
+                        delimiter="|", quoting=0, extension="dat")
+        write_delimited(spark, _as_text(table(spark, sf_dir, "region")), d, "region", n_files=1,
+                        delimiter="|", quoting=0, extension="json")   # not an analyzer extension
+    return fixture(spark, sf_dir, "analyzer_folder", build)
+
+
+def _subject_sql(subject: str, table_name: str, cols: list[str]) -> str:
+    return (f"SELECT '{subject}' AS subject, column_name, landing_type, db_type, position "
+            f"FROM ({_infer_sql(table_name, cols)}) i")
+
+
+@query("profile_folder", " UNION ALL ".join([
+    _subject_sql("customer_00000", "customer", CUSTOMER_COLS),
+    _subject_sql("nation_00000", "nation", NATION_COLS),
+    _subject_sql("supplier_00000", "supplier", SUPPLIER_COLS)]))
+def q_profile_folder(spark, sf_dir):
+    out = profile_folder(spark, _analyzer_folder(spark, sf_dir))
+    return out.select("subject", "column_name", "landing_type", "db_type", "position")
+
+
+@query("file_settings", """
+SELECT * FROM (VALUES ('customer_00000.csv', 'csv', ',', 'utf-8'), ('customer_00001.csv', 'csv', ',', 'utf-8'),
+                      ('nation_00000.dat', 'dat', '|', 'utf-8'), ('supplier_00000.tsv', 'tsv', chr(9), 'utf-8'))
+       AS t(file_name, extension, delimiter, encoding)""")
+def q_file_settings(spark, sf_dir):
+    from flatland.plans.analyze import analyzer_files
+    d = _analyzer_folder(spark, sf_dir)
+    return file_settings(spark, analyzer_files(spark, d)).select("file_name", "extension", "delimiter", "encoding")
+
+
+@query("load_errors", """
+SELECT feed, bad_files, warnings, files_loaded, records_loaded FROM (VALUES
+  ('orders', 1, 0, 3, (SELECT count(*) FROM orders WHERE o_orderkey % 4 <> 2)),
+  ('supplier', 2, 0, 2, (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0)),
+  (NULL, 3, 0, 5, (SELECT count(*) FROM orders WHERE o_orderkey % 4 <> 2)
+                  + (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0)))
+  AS t(feed, bad_files, warnings, files_loaded, records_loaded)""")
+def q_load_errors(spark, sf_dir):
+    q_file_quarantine(spark, sf_dir)          # makes sure both feed folders exist
+    q_spec_conformance(spark, sf_dir)
+    orders = land_feed(spark, Feed("orders", fixture(spark, sf_dir, "feed_orders_quarantine", lambda _: None)),
+                       [LandingField("o_orderkey", "float64"), LandingField("o_totalprice", "float64"),
+                        LandingField("o_orderdate", "timestamp")], JOB_TIME)
+    supp = land_feed(spark, Feed("supplier", fixture(spark, sf_dir, "feed_supplier_conformance", lambda _: None)),
+                     SUPPLIER_FIELDS, JOB_TIME)
+    out = error_counters(orders.files.unionByName(supp.files))
+    return out.select("feed", F.col("bad_files").cast("int").alias("bad_files"),
+                      F.col("warnings").cast("int").alias("warnings"),
+                      F.col("files_loaded").cast("int").alias("files_loaded"), "records_loaded")
