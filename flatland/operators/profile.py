@@ -37,25 +37,21 @@ def _digits_right(text: Column) -> Column:
     return F.length(F.regexp_replace(frac, "0+$", ""))
 
 
-def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: ``column_name, position`` and the PROFILE_FIELDS.
-
-    The rows are unpivoted to (column, value) inside the scan's pipeline,
-    each cell is parsed once (number, date, digit counts), and one grouped
-    aggregate per column combines map-side, so the shuffle carries one small
-    row per column per task. Generated code stays the same size however wide
-    the file is, and the input is scanned once.
-    """
+def unpivot(df: DataFrame, columns: Sequence[str] | None = None, **extra: Column) -> DataFrame:
+    """(extra..., column_name, position, s): one row per cell, as text."""
     columns = list(columns or df.columns)
-    long = df.select(F.inline(F.array(*[
+    return df.select(*[v.alias(k) for k, v in extra.items()], F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(i + 1).alias("position"),
                  F.col(f"`{c}`").cast("string").alias("s"))
         for i, c in enumerate(columns)])))
+
+
+def profile_long(long: DataFrame, by: Sequence[str] = ("column_name", "position")) -> DataFrame:
+    """Profile facts per group of an unpivoted frame (``s`` holds the cell text)."""
     s = F.col("s")
     num, bad_num = strict_double(s)
-    facts = long.select("column_name", "position", "s", num.alias("v"), bad_num.alias("b"),
-                        parse_datetime(s).alias("t"), _digits_left(s).alias("l"), _digits_right(s).alias("r"),
-                        s.rlike("[eE]").alias("e"))
+    facts = long.select(*by, "s", num.alias("v"), bad_num.alias("b"), parse_datetime(s).alias("t"),
+                        _digits_left(s).alias("l"), _digits_right(s).alias("r"), s.rlike("[eE]").alias("e"))
     v, t = F.col("v"), F.col("t")
     finite = v.isNotNull() & (F.abs(v) != float("inf"))
     plain = finite & ~F.col("e")
@@ -73,8 +69,20 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         "max_right": F.max(F.when(plain, F.col("r"))),
         "has_time": F.coalesce(F.bool_or(t != F.date_trunc("DAY", t).cast("timestamp_ntz")), F.lit(False)),
     }
-    out = facts.groupBy("column_name", "position").agg(*[e.alias(k) for k, e in aggs.items()])
-    return out.select("column_name", "position", *[F.col(k).cast(ty).alias(k) for k, ty in PROFILE_FIELDS])
+    out = facts.groupBy(*by).agg(*[e.alias(k) for k, e in aggs.items()])
+    return out.select(*by, *[F.col(k).cast(ty).alias(k) for k, ty in PROFILE_FIELDS])
+
+
+def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per column: ``column_name, position`` and the PROFILE_FIELDS.
+
+    The rows are unpivoted to (column, value) inside the scan's pipeline,
+    each cell is parsed once (number, date, digit counts), and one grouped
+    aggregate per column combines map-side, so the shuffle carries one small
+    row per column per task. Generated code stays the same size however wide
+    the file is, and the input is scanned once.
+    """
+    return profile_long(unpivot(df, columns))
 
 
 def varchar_size(max_len: Column) -> Column:

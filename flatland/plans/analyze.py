@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from flatland import storage
 from flatland.functions.names import landing_name
 from flatland.operators.land import land_feed, profile_rows
-from flatland.operators.profile import infer_types, profile_columns
+from flatland.operators.profile import infer_types, profile_long, unpivot
 from flatland.plans.feed import Feed
 from flatland.session import new_run_dir
 from flatland.sources.files import COMPRESSED_EXTENSIONS, PROFILE_EXTENSIONS, detect_delimiter, file_headers
@@ -56,15 +56,15 @@ def profile_folder(spark: SparkSession, folder: str, encoding: str = "utf-8",
         if r["header"] is not None:
             groups[(r["header"], r["delimiter"])].append(r["path"])
     run = new_run_dir(spark, "analyze")
-    profiles = []
+    longs = []
     for i, ((header, delim), group) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
         group = sorted(group)
         subject = subject_name(group[0].rsplit("/", 1)[-1])
         feed = Feed(subject, folder, delimiter=delim, encoding=encoding, null_value=null_value, quoting=1)
         res = land_feed(spark, feed, [], "1970-01-01 00:00:00", run_dir=f"{run}/{i:04d}", paths=group)
         rows = profile_rows(spark.read.parquet(res.parsed_path)).drop("load_file_name", "load_timestamp")
-        profiles.append(infer_types(profile_columns(rows)).withColumn("subject", F.lit(subject)))
-    out = profiles[0]
-    for p in profiles[1:]:
-        out = out.unionByName(p)
-    return out
+        longs.append(unpivot(rows, subject=F.lit(subject)))
+    long = longs[0]
+    for part in longs[1:]:
+        long = long.unionByName(part)
+    return infer_types(profile_long(long, by=("subject", "column_name", "position")))
