@@ -17,6 +17,7 @@ Plan per feed
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from dataclasses import dataclass
 from datetime import datetime
@@ -34,6 +35,7 @@ from flatland.plans.feed import Feed
 from flatland.session import new_run_dir
 from flatland.sources.archives import expand_archives
 from flatland.sources.files import file_headers, list_feed_files, raw_line_counts, split_header
+from flatland.sources.quoted import can_split, parse_records, quoted_records
 
 AUDIT_FILE = "load_file_name"
 AUDIT_TS = "load_timestamp"
@@ -148,14 +150,55 @@ def positional_schema(n: int) -> T.StructType:
                         + [T.StructField(_CORRUPT, T.StringType())])
 
 
-def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[str],
-                fields: dict[str, str], job_ts: str, expand_dir: str) -> DataFrame:
-    raw = csv_reader(spark, feed, positional_schema(len(names))).csv(paths)
-    file_name = F.col("_metadata.file_name")
+def _load_file_name(file_name: "F.Column", file_path: "F.Column", expand_dir: str) -> "F.Column":
+    """Base name of the file as delivered: an expanded archive copy is named after its archive."""
     bare_dir = expand_dir[5:] if expand_dir.startswith("file:") else expand_dir
-    load_file_name = F.when(F.col("_metadata.file_path").contains(bare_dir.lstrip("/")),
-                            F.regexp_extract(file_name, r"^[0-9]{6}-(.*)\.plain$", 1)).otherwise(file_name)
-    return clean_cast(raw, names, feed, fields, job_ts, load_file_name, F.col("_metadata.file_path"))
+    return F.when(file_path.contains(bare_dir.lstrip("/")),
+                  F.regexp_extract(file_name, r"^[0-9]{6}-(.*)\.plain$", 1)).otherwise(file_name)
+
+
+def split_threshold(spark: SparkSession, feed: Feed) -> int:
+    """Quoted files above this size are read in parallel splits."""
+    if feed.quoted_split_bytes:
+        return int(feed.quoted_split_bytes)
+    return byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def byte_size(text: str) -> int:
+    """'128m', '128MB', '134217728b' or '134217728' -> bytes."""
+    m = re.fullmatch(r"\s*([0-9]+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[str],
+                fields: dict[str, str], job_ts: str, expand_dir: str,
+                lengths: dict[str, int] | None = None, records_dir: str | None = None) -> DataFrame:
+    """One header group: small or unsplittable files through the CSV reader;
+    quoted files bigger than one split through the split reader (sources/quoted.py)."""
+    schema = positional_schema(len(names))
+    big: list[str] = []
+    if feed.quoted and lengths is not None and records_dir:
+        limit = split_threshold(spark, feed)
+        big = [p for p in paths if can_split(p, feed.encoding) and lengths.get(p, 0) > limit]
+    small = [p for p in paths if p not in set(big)]
+    parts = []
+    if small:
+        raw = csv_reader(spark, feed, schema).csv(small)
+        path = F.col("_metadata.file_path")
+        parts.append(clean_cast(raw, names, feed, fields, job_ts,
+                                _load_file_name(F.col("_metadata.file_name"), path, expand_dir), path))
+    if big:
+        records = quoted_records(spark, big, records_dir, feed.quoted_split_bytes)
+        raw = parse_records(records, schema, csv_options(feed))
+        parts.append(clean_cast(raw, names, feed, fields, job_ts,
+                                _load_file_name(F.col("name"), F.col("path"), expand_dir), F.col("path")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None) -> tuple[DataFrame, DataFrame]:
@@ -178,12 +221,18 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     """Land every data file of ``feed`` (or the given ``paths``)."""
     run_dir = run_dir or new_run_dir(spark, f"land-{feed.name}")
     job_ts = format_job_time(job_start)
+    lengths: dict[str, int] | None = None
     if paths is None:
         listing = list_feed_files(spark, feed)
         paths = [p for p, _, _ in listing]
+        lengths = {p: n for p, n, _ in listing}
     expand_dir = storage.qualify(spark, f"{run_dir}/expanded")
     expanded = expand_archives(spark, paths, expand_dir)
     read_path = {p: expanded.get(p, p) for p in paths}
+    if feed.quoted:
+        # Sizes decide which quoted files are read in splits; archives are sized after expansion.
+        missing = [q for q in read_path.values() if lengths is None or q not in lengths]
+        lengths = {**(lengths or {}), **(storage.file_lengths(spark, missing) if missing else {})}
 
     field_types = {landing_name(f.source): f.type for f in fields}
     field_types.pop(AUDIT_TS, None)
@@ -200,7 +249,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
             groups[r["header"]].append(r["path"])
 
     parts = []
-    for header, group_paths in sorted(groups.items(), key=lambda kv: min(kv[1])):
+    for gi, (header, group_paths) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
         names = [landing_name(n, feed.quoted) for n in split_header(header, feed.delimiter, feed.quoted)]
         dupes = sorted({n for n in names if names.count(n) > 1})
         missing = [w for w in wanted if w not in set(names) | {AUDIT_FILE, AUDIT_TS}]
@@ -209,7 +258,8 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         elif missing:
             header_bad += [(p, "missing column: " + ", ".join(missing)) for p in group_paths]
         else:
-            parts.append(_scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts, expand_dir))
+            parts.append(_scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts, expand_dir,
+                                     lengths, f"{run_dir}/records/g{gi:04d}"))
 
     parsed_path = f"{run_dir}/parsed"
     if parts:

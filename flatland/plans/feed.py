@@ -24,6 +24,9 @@ class Feed:
     ignore: bool = False
     archive_expire_days: int | None = None
     log_expire_days: int | None = None
+    # Quoted files larger than this are read in parallel splits of this size
+    # (sources/quoted.py); unset means the session's maxPartitionBytes.
+    quoted_split_bytes: int | None = None
     tags: dict = field(default_factory=dict)
 
     def __post_init__(self):

@@ -360,6 +360,24 @@ def q_scan_quoted_multiline(spark, sf_dir):
                                   ColumnMap("n_chars", "n_chars", "bigint")])
 
 
+# Split size for the split reader of quoted files: small enough that every
+# data folder's files are cut into several splits, many of them inside a value.
+QUOTED_SPLIT_BYTES = 256 * 1024
+
+
+@query("scan_quoted_split", f"""
+SELECT doc_id, {sql_clean('text', True)} AS text, {sql_clean('lang', True)} AS lang,
+       {sql_clean('source', True)} AS source, n_chars
+FROM documents""")
+def q_scan_quoted_split(spark, sf_dir):
+    d = _documents_feed(spark, sf_dir)
+    feed = Feed("documents", d, quoted_split_bytes=QUOTED_SPLIT_BYTES, **DOCS_FEED)
+    res = land_feed(spark, feed, [LandingField("doc_id", "float64"), LandingField("n_chars", "float64")], JOB_TIME)
+    return map_columns(res.rows, [ColumnMap("doc_id", "doc_id", "bigint"), ColumnMap("text", "text", "string"),
+                                  ColumnMap("lang", "lang", "string"), ColumnMap("source", "source", "string"),
+                                  ColumnMap("n_chars", "n_chars", "bigint")])
+
+
 @query("reconcile_counts", """
 SELECT 'documents' AS feed, count(*) AS records_loaded,
        sum(1 + length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))) AS raw_records,

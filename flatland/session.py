@@ -63,9 +63,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not jdir.isDefined():
         spark.sparkContext.setCheckpointDir(current)
+    ship_package(spark)
     return current
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers (as ``--py-files`` would).
+
+    The few helpers that run Python on executors refer to functions of this
+    package; the workers must be able to import it wherever the driver runs.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="flatland-pyfiles-"), "flatland.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for flatland's own intermediates, inside the checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -95,3 +95,22 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified form of a path (scheme included), as Spark reports file paths."""
     fs, jpath = _fs(spark, path)
     return fs.makeQualified(jpath).toString()
+
+
+def file_lengths(spark: SparkSession, paths: list[str]) -> dict[str, int]:
+    """Length in bytes of each path, one directory listing per parent folder."""
+    by_dir: dict[str, set[str]] = {}
+    for p in paths:
+        by_dir.setdefault(p.rstrip("/").rsplit("/", 1)[0], set()).add(p)
+    out: dict[str, int] = {}
+    for d, wanted in by_dir.items():
+        fs, jpath = _fs(spark, d)
+        if not fs.exists(jpath):
+            continue
+        for st in fs.listStatus(jpath):
+            full = st.getPath().toString()
+            bare = full[5:] if full.startswith("file:") else full
+            for cand in (full, bare, "file:" + bare, "file://" + bare):
+                if cand in wanted:
+                    out[cand] = int(st.getLen())
+    return out
