@@ -35,10 +35,16 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str],
     keys = list(keys)
     if not keys:
         raise ValueError("publish needs key columns")
-    stage_keys = stage.select(*keys)
-    survivors = join_small(target, stage_keys, keys, "left_anti", stage_key_rows)
+    # Target rows with a null key part can never match: they pass around the
+    # join instead of all hashing to one shuffle partition.
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(f"`{k}`").isNull()
+    kept_null = target.filter(any_null)
     inserts = stage.dropna(subset=keys)
-    return survivors.unionByName(inserts.select(*target.columns))
+    stage_keys = inserts.select(*keys)
+    survivors = join_small(target.filter(~any_null), stage_keys, keys, "left_anti", stage_key_rows)
+    return survivors.unionByName(kept_null).unionByName(inserts.select(*target.columns))
 
 
 def assert_unique_keys(stage: DataFrame, keys: Sequence[str]) -> None:
