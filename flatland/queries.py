@@ -205,6 +205,31 @@ def q_publish_upsert_composite(spark, sf_dir):
     return target.read(v)
 
 
+PUBLISH_SPLIT_DAY = "2000-01-01"
+PUBLISH_STAGE_FROM = "1999-07-01"
+ORDERS_PER_PART = 1000
+
+
+@query("publish_partitions", f"""
+WITH tgt AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{PUBLISH_SPLIT_DAY}'),
+stg AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+        FROM orders WHERE o_orderdate >= TIMESTAMP '{PUBLISH_STAGE_FROM}')
+SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM stg WHERE stg.o_orderkey = tgt.o_orderkey)
+UNION ALL SELECT * FROM stg""")
+def q_publish_partitions(spark, sf_dir):
+    """Orders loaded up to a day, then a later load overlapping it by half a year,
+    published into a target partitioned by key range."""
+    from flatland.operators.publish import PartitionedTable, publish_partitions
+    o = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate")
+    target = PartitionedTable(spark, f"{new_run_dir(spark, 'publish_partitions')}/target", ["o_orderkey"],
+                              part_expr=F.floor(F.col("o_orderkey") / ORDERS_PER_PART))
+    target.write(o.filter(day < F.lit(PUBLISH_SPLIT_DAY)))
+    stage = o.filter(day >= F.lit(PUBLISH_STAGE_FROM)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    publish_partitions(spark, stage, target)
+    return target.read().select(*ORDERS_COLS)
+
+
 # --------------------------------------------------------------------------
 # Fix-up steps (P12, P13, P15, X3) and target stamp
 # --------------------------------------------------------------------------
