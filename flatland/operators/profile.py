@@ -141,5 +141,8 @@ def distinct_values(df: DataFrame, columns: Sequence[str], top_n: int = 10) -> D
     from pyspark.sql import Window
     w = Window.partitionBy("column_name").orderBy(F.col("frequency").desc(), F.col("value").asc_nulls_first())
     top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
-    n_distinct = counts.groupBy("column_name").agg(F.count("value").alias("n_distinct"))
+    # Reads ``frequency`` so that both branches share one (column, value)
+    # aggregate and its shuffle is reused instead of scanning the input again.
+    present = F.when(F.col("frequency") > 0, F.col("value"))
+    n_distinct = counts.groupBy("column_name").agg(F.count(present).alias("n_distinct"))
     return top.join(F.broadcast(n_distinct), "column_name")
