@@ -28,7 +28,9 @@ def write_delimited(spark: SparkSession, df: DataFrame, out_dir: str, base_name:
     """
     tmp = f"{out_dir.rstrip('/')}/_tmp_{base_name}"
     cols = [F.col(f"`{c}`").cast("string") for c in df.columns]
-    data = df.repartition(n_files) if n_files > 1 else df.coalesce(1)
+    # One file is one writer task, but the scan and projection upstream stay
+    # parallel: repartition, not coalesce, which would pull them into that task.
+    data = df.repartition(n_files)
     if quoting == 3:
         line = F.concat_ws(delimiter, *[F.coalesce(c, F.lit("")) for c in cols])
         head = delimiter.join(df.columns) if header else "value"
