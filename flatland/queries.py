@@ -1065,7 +1065,7 @@ def q_load_summary(spark, sf_dir):
 # Streaming
 # --------------------------------------------------------------------------
 
-from flatland.streaming.incremental import incremental_land, publish_batches, read_landed  # noqa: E402
+from flatland.streaming.incremental import incremental_land, publish_batches, read_counters, read_landed  # noqa: E402
 
 EVENT_FIELDS = [LandingField("event_id", "float64"), LandingField("ts", "timestamp"),
                 LandingField("user_id", "float64"), LandingField("value", "float64")]
@@ -1096,6 +1096,24 @@ def q_stream_land(spark, sf_dir):
     return map_columns(read_landed(spark, sink), EVENT_STAGE)
 
 
+def _drop_case_sql() -> str:
+    whens = " ".join(f"WHEN ts >= TIMESTAMP '{lo}' AND ts < TIMESTAMP '{hi}' THEN {i}" for i, (lo, hi) in enumerate(_DROPS))
+    return f"CASE {whens} END"
+
+
+@query("stream_counters", f"""
+SELECT CAST({_drop_case_sql()} AS BIGINT) AS batch_id, CAST(2 AS BIGINT) AS files_loaded,
+       count(*) AS records_loaded, CAST(0 AS BIGINT) AS bad_files
+FROM events WHERE {_drop_case_sql()} IS NOT NULL GROUP BY 1""")
+def q_stream_counters(spark, sf_dir):
+    """Per-batch load counters (T3): one availableNow run per drop, so one batch per drop."""
+    _run, sink = _stream_drops(spark, sf_dir)
+    c = read_counters(spark, sink)
+    return c.groupBy("batch_id").agg(F.count_if(F.col("status") == "loaded").alias("files_loaded"),
+                                     F.sum("records_loaded").alias("records_loaded"),
+                                     F.count_if(F.col("status") == "bad").alias("bad_files"))
+
+
 @query("stream_publish", f"""
 SELECT {', '.join(EVENTS_COLS)} FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST,

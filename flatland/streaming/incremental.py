@@ -59,9 +59,11 @@ def incremental_land(spark: SparkSession, feed: Feed, header: str, fields: list[
         parsed.write.mode("overwrite").parquet(parsed_path)
         parsed = spark.read.parquet(parsed_path)
         header_bad = spark.createDataFrame([], f"{_PATH} string, reason string")
-        rows, _bad = split_verdict(parsed, header_bad, None)
+        rows, bad = split_verdict(parsed, header_bad, None)
         rows = rows.drop(_PATH)
         rows.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
+        batch_counters(parsed, bad, batch_id).write.mode("overwrite").parquet(
+            f"{sink.rstrip('/')}/_metrics/batch={batch_id}")
         if on_batch is not None:
             on_batch(spark.read.parquet(f"{sink.rstrip('/')}/batch={batch_id}"), batch_id)
 
@@ -71,6 +73,27 @@ def incremental_land(spark: SparkSession, feed: Feed, header: str, fields: list[
     q.awaitTermination()
 
 
+def batch_counters(parsed: DataFrame, bad: DataFrame, batch_id: int) -> DataFrame:
+    """Per-file counters of one micro-batch (T3): rows read, rows loaded, verdict.
+
+    A grouped count per file with map-side combine; the bad-file list is one
+    row per bad file of the batch, joined by file.
+    """
+    per_file = parsed.groupBy(_PATH, AUDIT_FILE).agg(F.count(F.lit(1)).alias("records_read"))
+    verdict = bad.groupBy(_PATH).agg(F.min("reason").alias("reason"))
+    return (per_file.join(verdict, _PATH, "left")
+            .select(F.lit(batch_id).cast("long").alias("batch_id"), AUDIT_FILE, "records_read",
+                    F.when(F.col("reason").isNull(), F.col("records_read")).otherwise(F.lit(0))
+                    .cast("long").alias("records_loaded"),
+                    F.when(F.col("reason").isNull(), F.lit("loaded")).otherwise(F.lit("bad")).alias("status"),
+                    "reason"))
+
+
+def read_counters(spark: SparkSession, sink: str) -> DataFrame:
+    """Counters of every landed micro-batch, one row per file."""
+    return spark.read.parquet(f"{sink.rstrip('/')}/_metrics").drop("batch")
+
+
 def read_landed(spark: SparkSession, sink: str) -> DataFrame:
     """All landed batches (the ``batch`` partition column is dropped)."""
     return spark.read.parquet(sink).drop("batch")
