@@ -405,8 +405,8 @@ def q_scan_quoted_split(spark, sf_dir):
 
 @query("reconcile_counts", """
 SELECT 'documents' AS feed, count(*) AS records_loaded,
-       sum(1 + length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))) AS raw_records,
-       sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))) AS record_difference
+       CAST(sum(1 + length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))) AS BIGINT) AS raw_records,
+       CAST(sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))) AS BIGINT) AS record_difference
 FROM documents""")
 def q_reconcile_counts(spark, sf_dir):
     from flatland.operators.metrics import reconcile
@@ -783,7 +783,7 @@ WITH kv AS (
 c AS (SELECT column_name, value, count(*) AS frequency FROM kv GROUP BY ALL),
 n AS (SELECT column_name, count(value) AS n_distinct FROM c GROUP BY ALL)
 SELECT c.column_name, value, frequency, rank, n_distinct FROM (
-  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY frequency DESC, value ASC NULLS FIRST) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY column_name ORDER BY frequency DESC, value ASC NULLS FIRST) AS INTEGER) AS rank
   FROM c) c JOIN n USING (column_name) WHERE rank <= 10""")
 def q_distinct_values(spark, sf_dir):
     rows = _lineitem_text_rows(spark, sf_dir)
@@ -1036,7 +1036,8 @@ def q_load_manifest(spark, sf_dir):
 @query("load_summary", f"""
 WITH f AS (SELECT event_type AS folder, {_EVENT_FILE_SQL} AS fileName, count(*) AS n FROM events GROUP BY ALL)
 SELECT 'events-load' AS jobName, folder, fileName, n AS fileRawRecords, n AS fileRecordsLoaded,
-       sum(n) OVER (PARTITION BY folder) AS folderRecordsLoaded, sum(n) OVER () AS jobRecordsLoaded,
+       CAST(sum(n) OVER (PARTITION BY folder) AS BIGINT) AS folderRecordsLoaded,
+       CAST(sum(n) OVER () AS BIGINT) AS jobRecordsLoaded,
        count(*) OVER () AS jobFilesLoaded
 FROM f""")
 def q_load_summary(spark, sf_dir):
