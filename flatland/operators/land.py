@@ -30,7 +30,7 @@ from flatland import storage
 from flatland.functions.casts import datetime_value, number_attempt, number_value, parse_datetime
 from flatland.functions.names import landing_name
 from flatland.functions.nulls import clean_cell
-from flatland.operators.joins import join_small
+from flatland.operators.joins import BROADCAST_ROW_LIMIT, join_small
 from flatland.plans.feed import Feed
 from flatland.session import new_run_dir
 from flatland.sources.archives import expand_archives
@@ -206,7 +206,13 @@ def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None)
     row_bad = (parsed.filter(F.col(_REASON).isNotNull())
                .groupBy(_PATH).agg(F.min(_REASON).alias("reason"), F.count(F.lit(1)).alias("bad_rows")))
     bad = header_bad.withColumn("bad_rows", F.lit(None).cast("long")).unionByName(row_bad)
-    rows = join_small(parsed, bad.select(_PATH), _PATH, "left_anti", n_files).drop(_REASON, _SHAPE)
+    bound = n_files
+    if bound is None or bound > BROADCAST_ROW_LIMIT:
+        # The file count does not bound the list small enough: count the bad
+        # files themselves (a scan of two columns of the parsed rows), so the
+        # usual short list is still broadcast and the rows are never shuffled.
+        bound = bad.count()
+    rows = join_small(parsed, bad.select(_PATH), _PATH, "left_anti", bound).drop(_REASON, _SHAPE)
     return rows, bad
 
 
