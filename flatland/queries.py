@@ -1131,6 +1131,29 @@ def q_stream_publish(spark, sf_dir):
     return holder["target"].read()
 
 
+USERS_PER_PART = 8
+
+
+@query("stream_publish_partitions", f"""
+SELECT {', '.join(EVENTS_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST,
+                               event_type DESC NULLS FIRST, value DESC NULLS FIRST, props DESC NULLS FIRST) AS rn
+  FROM events) e WHERE rn = 1""")
+def q_stream_publish_partitions(spark, sf_dir):
+    """Each micro-batch publishes into a target partitioned by user range,
+    rewriting only the partitions of the users it carries (T2)."""
+    holder = {}
+
+    def factory(run):
+        from flatland.operators.publish import PartitionedTable
+        holder["target"] = PartitionedTable(spark, f"{run}/target", ["user_id"],
+                                            part_expr=F.floor(F.col("user_id") / USERS_PER_PART))
+        return publish_batches(spark, holder["target"], ["user_id"], ["ts"],
+                               transform=lambda rows: map_columns(rows, EVENT_STAGE))
+    _stream_drops(spark, sf_dir, factory)
+    return holder["target"].read().select(*EVENTS_COLS)
+
+
 # --------------------------------------------------------------------------
 # Flagship: a feed end to end, driven by a spec
 # --------------------------------------------------------------------------

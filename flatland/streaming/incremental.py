@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from flatland.functions.names import landing_name
 from flatland.operators.land import (AUDIT_FILE, _PATH, LandingField, clean_cast, csv_options, format_job_time,
                                      positional_schema, split_verdict)
-from flatland.operators.publish import VersionedTable, publish
+from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
 from flatland.operators.stage import dedup_latest
 from flatland.plans.feed import Feed
 from flatland.sources.files import split_header
@@ -99,16 +99,24 @@ def read_landed(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(sink).drop("batch")
 
 
-def publish_batches(spark: SparkSession, target: VersionedTable, keys: list[str], order_desc: list[str],
+def publish_batches(spark: SparkSession, target: VersionedTable | PartitionedTable, keys: list[str],
+                    order_desc: list[str],
                     transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """``on_batch`` hook: stage, keep the latest row per key, publish.
 
-    The batch id fixes the target version (batch + 1), and the base is the
-    newest version below it, so a replayed batch rewrites the same version.
+    Into a ``VersionedTable`` the batch id fixes the target version
+    (batch + 1), and the base is the newest version below it, so a replayed
+    batch rewrites the same version. Into a ``PartitionedTable`` each batch
+    rewrites only the partitions its keys fall in; a replay of the last batch
+    (the only one Spark replays) repeats an idempotent upsert.
     """
     def run(rows: DataFrame, batch_id: int) -> None:
         staged = transform(rows) if transform else rows
         latest = dedup_latest(staged.drop(AUDIT_FILE) if AUDIT_FILE in staged.columns and AUDIT_FILE not in order_desc
                               else staged, keys, order_desc)
-        publish(spark, latest, target, keys, version=batch_id + 1)
+        if isinstance(target, PartitionedTable):
+            publish_partitions(spark, latest, target)
+        else:
+            publish(spark, latest, target, keys, version=batch_id + 1)
     return run
+
