@@ -160,6 +160,13 @@ def publish(spark: SparkSession, stage: DataFrame, table: VersionedTable, keys:
     return table.write(new, version)
 
 
+def _rebalanced(df: DataFrame, part: str) -> DataFrame:
+    """Rows of one partition value together before a partitioned write, so
+    each value gets few files rather than one per task. REBALANCE lets AQE
+    split a value that holds many rows and merge small ones."""
+    return df.hint("rebalance", part)
+
+
 class PartitionedTable:
     """A keyed target stored ``partitionBy`` a column computed from the key.
 
@@ -201,8 +208,8 @@ class PartitionedTable:
 
     def write(self, df: DataFrame) -> None:
         """Replace the whole table (first load)."""
-        (df.withColumn(self.part_col, self.part_expr).write.mode("overwrite")
-         .partitionBy(self.part_col).parquet(self.root))
+        _rebalanced(df.withColumn(self.part_col, self.part_expr), self.part_col).write.mode("overwrite") \
+            .partitionBy(self.part_col).parquet(self.root)
 
 
 def publish_partitions(spark: SparkSession, stage: DataFrame, table: PartitionedTable,
@@ -233,7 +240,7 @@ def publish_partitions(spark: SparkSession, stage: DataFrame, table: Partitioned
     hit = current.filter(F.col(part).isin(touched))
     merged = upsert(hit, staged.select(*hit.columns), [part] + keys, stage_key_rows)
     staging = f"{table.root}.staging/{uuid.uuid4().hex[:12]}"
-    merged.write.mode("overwrite").partitionBy(part).parquet(staging)
+    _rebalanced(merged, part).write.mode("overwrite").partitionBy(part).parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(table.root))
     storage.delete(spark, staging)
