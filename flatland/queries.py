@@ -1086,7 +1086,7 @@ def _stream_drops(spark, sf_dir, on_batch_factory=None):
     for i, (lo, hi) in enumerate(_DROPS):
         drop = ev.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
         write_delimited(spark, _as_text(drop), incoming, f"drop{i}", n_files=2)
-        incremental_land(spark, feed, "\t".join(EVENTS_COLS), EVENT_FIELDS, sink, ckpt, JOB_TIME,
+        incremental_land(spark, feed, EVENT_FIELDS, sink, ckpt, JOB_TIME,
                          archive_dir=archive, on_batch=hook)
     return run, sink
 

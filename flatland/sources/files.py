@@ -30,9 +30,14 @@ LISTING_SCHEMA = T.StructType([
 ])
 
 
-def feed_pattern(feed: Feed) -> str:
+def feed_name_glob(feed: Feed) -> str:
+    """File-name glob of a feed's data files: its own extension, or compressed."""
     exts = [feed.extension] + [f"{feed.extension}.{c}" for c in COMPRESSED_EXTENSIONS] + COMPRESSED_EXTENSIONS
-    return f"{feed.path.rstrip('/')}/*.{{{','.join(dict.fromkeys(exts))}}}"
+    return f"*.{{{','.join(dict.fromkeys(exts))}}}"
+
+
+def feed_pattern(feed: Feed) -> str:
+    return f"{feed.path.rstrip('/')}/{feed_name_glob(feed)}"
 
 
 def list_feed_files(spark: SparkSession, feed: Feed) -> list[tuple[str, int, int]]:

@@ -1,14 +1,18 @@
 """Each arriving file is landed once.
 
-A file-stream source over the feed folder, run with ``availableNow`` so that
-every run takes what has arrived and stops. The checkpoint is what keeps a
-file from being loaded twice; ``cleanSource=archive`` moves consumed files
-away (one batch late, so tests must not expect the newest files moved).
-
-Each micro-batch is cleaned and strictly cast exactly as a batch load is,
-written once to the run folder, split into landed rows and bad files, and
-the landed rows are written to ``sink/batch=<id>``. Writing a batch replaces
-that batch's folder, so a replayed batch leaves the same result.
+A file-stream source over the feed folder tracks which files have arrived;
+it is a ``binaryFile`` stream that selects only path and length, so it never
+reads file contents. Run with ``availableNow``, every run takes what has
+arrived and stops; the checkpoint is what keeps a file from being loaded
+twice, and ``cleanSource=archive`` moves consumed files away (one batch late,
+so tests must not expect the newest files moved).
+
+Each micro-batch lands its new files exactly as a batch load does
+(``land_feed``): header groups bound by name, archives, quoted files in
+splits, strict casts and per-file verdicts. Landed rows go to
+``sink/batch=<id>`` and per-file counters to ``sink/_metrics/batch=<id>``;
+both are replaced when a batch is replayed, so a replay leaves the same
+result.
 """
 
 from __future__ import annotations
@@ -19,74 +23,54 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatland.functions.names import landing_name
-from flatland.operators.land import (AUDIT_FILE, _PATH, LandingField, clean_cast, csv_options, format_job_time,
-                                     positional_schema, split_verdict)
+from flatland.operators.land import AUDIT_FILE, LandingField, format_job_time, land_feed
 from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
 from flatland.operators.stage import dedup_latest
 from flatland.plans.feed import Feed
-from flatland.sources.files import split_header
+from flatland.sources.files import feed_name_glob
 
 
-def incremental_land(spark: SparkSession, feed: Feed, header: str, fields: list[LandingField],
+# The binaryFile source's own columns; only path and length are selected.
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def incremental_land(spark: SparkSession, feed: Feed, fields: list[LandingField],
                      sink: str, checkpoint: str, job_start: datetime | str,
                      archive_dir: str | None = None,
                      on_batch: Callable[[DataFrame, int], None] | None = None,
                      max_files_per_batch: int | None = None) -> None:
-    """Land whatever has arrived in ``feed.path`` since the last run, then stop.
-
-    ``header`` is the feed's header line: a file stream binds columns by
-    position, so a feed whose files differ in column order must be split into
-    several streams (one per layout) by the caller.
-    """
-    names = [landing_name(n, feed.quoted) for n in split_header(header, feed.delimiter, feed.quoted)]
-    types = {landing_name(f.source): f.type for f in fields}
+    """Land whatever has arrived in ``feed.path`` since the last run, then stop."""
     job_ts = format_job_time(job_start)
-    stream = (spark.readStream.schema(positional_schema(len(names)))
-              .options(**csv_options(feed))
-              .option("pathGlobFilter", f"*.{feed.extension}"))
+    sink = sink.rstrip("/")
+    stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", feed_name_glob(feed)))
     if archive_dir:
         stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_batch:
         stream = stream.option("maxFilesPerTrigger", max_files_per_batch)
-    raw = stream.csv(feed.path)
-    with_meta = raw.select("*", F.col("_metadata.file_path").alias("_mpath"),
-                           F.col("_metadata.file_name").alias("_mname"))
+    arrivals = stream.load(feed.path).select("path", "length")
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = clean_cast(batch, names, feed, types, job_ts, F.col("_mname"), F.col("_mpath"))
-        parsed_path = f"{sink.rstrip('/')}/_parsed/batch={batch_id}"
-        parsed.write.mode("overwrite").parquet(parsed_path)
-        parsed = spark.read.parquet(parsed_path)
-        header_bad = spark.createDataFrame([], f"{_PATH} string, reason string")
-        rows, bad = split_verdict(parsed, header_bad, None)
-        rows = rows.drop(_PATH)
-        rows.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
-        batch_counters(parsed, bad, batch_id).write.mode("overwrite").parquet(
-            f"{sink.rstrip('/')}/_metrics/batch={batch_id}")
+        # The batch's new files: a listing (one row per file), not data.
+        paths = sorted(r["path"] for r in batch.collect())
+        if not paths:
+            return
+        res = land_feed(spark, feed, fields, job_ts, run_dir=f"{sink}/_runs/batch={batch_id}", paths=paths)
+        res.rows.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        batch_counters(res.files, batch_id).write.mode("overwrite").parquet(f"{sink}/_metrics/batch={batch_id}")
         if on_batch is not None:
-            on_batch(spark.read.parquet(f"{sink.rstrip('/')}/batch={batch_id}"), batch_id)
+            on_batch(spark.read.parquet(f"{sink}/batch={batch_id}"), batch_id)
 
-    q = (with_meta.writeStream.foreachBatch(land_batch)
+    q = (arrivals.writeStream.foreachBatch(land_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def batch_counters(parsed: DataFrame, bad: DataFrame, batch_id: int) -> DataFrame:
-    """Per-file counters of one micro-batch (T3): rows read, rows loaded, verdict.
-
-    A grouped count per file with map-side combine; the bad-file list is one
-    row per bad file of the batch, joined by file.
-    """
-    per_file = parsed.groupBy(_PATH, AUDIT_FILE).agg(F.count(F.lit(1)).alias("records_read"))
-    verdict = bad.groupBy(_PATH).agg(F.min("reason").alias("reason"))
-    return (per_file.join(verdict, _PATH, "left")
-            .select(F.lit(batch_id).cast("long").alias("batch_id"), AUDIT_FILE, "records_read",
-                    F.when(F.col("reason").isNull(), F.col("records_read")).otherwise(F.lit(0))
-                    .cast("long").alias("records_loaded"),
-                    F.when(F.col("reason").isNull(), F.lit("loaded")).otherwise(F.lit("bad")).alias("status"),
-                    "reason"))
+def batch_counters(files: DataFrame, batch_id: int) -> DataFrame:
+    """Per-file counters of one micro-batch (T3): lines, rows loaded, verdict."""
+    return files.select(F.lit(batch_id).cast("long").alias("batch_id"), AUDIT_FILE, "raw_records",
+                        "records_loaded", "status", "reason")
 
 
 def read_counters(spark: SparkSession, sink: str) -> DataFrame:

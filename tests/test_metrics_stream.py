@@ -8,7 +8,7 @@ from flatland.operators.metrics import (flatten_summary, load_counters, load_sum
                                         retention, retention_report)
 from flatland.operators.land import LandingField
 from flatland.plans.feed import Feed
-from flatland.streaming.incremental import incremental_land, read_landed
+from flatland.streaming.incremental import incremental_land, read_counters, read_landed
 from tests.conftest import write
 
 T = dt.datetime
@@ -66,13 +66,25 @@ def test_incremental_landing_loads_each_file_once(spark, tmp_path):
     feed = Feed("s", str(incoming))
     write(incoming / "a.txt", head + "\n1\tx\n2\ty\n")
     write(incoming / "b.txt", head + "\n3\tz\n")
-    incremental_land(spark, feed, head, [LandingField("k", "float64")], sink, ckpt, "2024-01-01 00:00:00",
+    incremental_land(spark, feed, [LandingField("k", "float64")], sink, ckpt, "2024-01-01 00:00:00",
                      archive_dir=archive)
     write(incoming / "c.txt", head + "\n4\tw\n5\tbad\n")
     write(incoming / "d.txt", head + "\nnot-a-number\tq\n")
-    incremental_land(spark, feed, head, [LandingField("k", "float64")], sink, ckpt, "2024-01-01 00:00:00",
+    incremental_land(spark, feed, [LandingField("k", "float64")], sink, ckpt, "2024-01-01 00:00:00",
                      archive_dir=archive)
-    incremental_land(spark, feed, head, [LandingField("k", "float64")], sink, ckpt, "2024-01-01 00:00:00",
+    incremental_land(spark, feed, [LandingField("k", "float64")], sink, ckpt, "2024-01-01 00:00:00",
                      archive_dir=archive)   # nothing new: no reload
     got = sorted(r["k"] for r in read_landed(spark, sink).collect())
     assert got == [1.0, 2.0, 3.0, 4.0, 5.0]   # d.txt is bad and lands nothing
+
+
+def test_incremental_landing_binds_columns_by_name(spark, tmp_path):
+    incoming, sink, ckpt = tmp_path / "in", str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    feed = Feed("s", str(incoming))
+    write(incoming / "a.txt", "k\tv\n1\tx\n")
+    write(incoming / "b.txt", "V\tK\ny\t2\n")          # other order, other spelling
+    incremental_land(spark, feed, [LandingField("k", "float64")], sink, ckpt, "2024-01-01 00:00:00")
+    got = sorted((r["k"], r["v"]) for r in read_landed(spark, sink).collect())
+    assert got == [(1.0, "x"), (2.0, "y")]
+    counters = {r["load_file_name"]: (r["records_loaded"], r["status"]) for r in read_counters(spark, sink).collect()}
+    assert counters == {"a.txt": (1, "loaded"), "b.txt": (1, "loaded")}
