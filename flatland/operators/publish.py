@@ -206,6 +206,16 @@ class PartitionedTable:
         return sorted(p.rstrip("/").rsplit("/", 1)[-1] for p, is_dir in storage.list_dir(self.spark, self.root)
                       if is_dir and f"/{self.part_col}=" in p)
 
+    def replace(self, df: DataFrame) -> None:
+        """Replace the whole table with ``df``, which may read this table: it is
+        written to a staging folder first, then the staged copy replaces every
+        partition (used by fix-up steps over the whole target)."""
+        staging = f"{self.root}.staging/{uuid.uuid4().hex[:12]}"
+        _rebalanced(df.withColumn(self.part_col, self.part_expr), self.part_col).write.mode("overwrite") \
+            .partitionBy(self.part_col).parquet(staging)
+        self.spark.read.parquet(staging).write.mode("overwrite").partitionBy(self.part_col).parquet(self.root)
+        storage.delete(self.spark, staging)
+
     def write(self, df: DataFrame) -> None:
         """Replace the whole table (first load)."""
         _rebalanced(df.withColumn(self.part_col, self.part_expr), self.part_col).write.mode("overwrite") \

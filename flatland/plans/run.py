@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatland.operators.land import LandResult, format_job_time, land_feed
-from flatland.operators.publish import VersionedTable, publish
+from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
 from flatland.operators.stage import Step, add_modify_stamp, dedup_latest, map_columns, run_steps
 from flatland.plans.feed import Feed
 from flatland.plans.spec import SpecPlan
@@ -34,7 +34,7 @@ class FeedRun:
     error: str | None = None
 
 
-def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedTable,
+def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedTable | PartitionedTable,
              job_start: datetime | str, stage_steps: Sequence[Step] = (),
              target_steps: Sequence[Step] = (), run_dir: str | None = None) -> FeedRun:
     run_dir = run_dir or new_run_dir(spark, f"feed-{feed.name}")
@@ -65,6 +65,15 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
     order = [f.name for f in plan.target_schema.fields if f.name in names or f.name == "modify_date_time"]
     stamped = stamped.select(*order)
     tgt_keys = [m.target for m in plan.target if m.source in plan.keys]
+    if isinstance(target, PartitionedTable):
+        if list(target.keys) != tgt_keys:
+            raise ValueError(f"feed {feed.name}: target keys {target.keys} differ from the spec's {tgt_keys}")
+        publish_partitions(spark, stamped, target)                              # K4, touched partitions
+        if target_steps:
+            fixed, counts = run_steps(target.read(), target_steps, "target")
+            result.step_counts.append(counts)
+            target.replace(fixed)
+        return result
     version = publish(spark, stamped, target, tgt_keys)                        # K4
     if target_steps:
         fixed, counts = run_steps(target.read(version), target_steps, "target")
@@ -75,7 +84,7 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
 
 
 def run_all(spark: SparkSession, feeds: Sequence[Feed], plans: dict[str, SpecPlan],
-            targets: dict[str, VersionedTable], job_start: datetime | str,
+            targets: dict[str, VersionedTable | PartitionedTable], job_start: datetime | str,
             only: str | None = None) -> list[FeedRun]:
     """Folder sweep (S6): every feed, or the one named; ignored feeds and feeds
     without a plan are skipped; a failing feed does not stop the others."""

@@ -58,3 +58,16 @@ def test_required_settings(spark):
     with pytest.raises(ValueError, match="stg_table"):
         build_spec(spark, df, {"wrk_schema": "w", "wrk_table": "w", "stg_schema": "s", "stg_table": "",
                                "tgt_schema": "t", "tgt_table": "t"})
+
+
+def test_feed_into_partitioned_target(spark, tmp_path):
+    from flatland.operators.publish import PartitionedTable
+    target = PartitionedTable(spark, str(tmp_path / "t"), ["k"], part_expr=F.floor(F.col("k") / 10))
+    write(tmp_path / "f1" / "a.txt", "k\tv\n1\tone\n2\ttwo\n15\tfif\n")
+    run_feed(spark, Feed("f", str(tmp_path / "f1")), plan(), target, "2024-01-01 00:00:00")
+    assert target.partitions() == ["_key_part=0", "_key_part=1"]
+    write(tmp_path / "f2" / "b.txt", "k\tv\n2\tdos\n31\tthirt\n")
+    run_feed(spark, Feed("f", str(tmp_path / "f2")), plan(), target, "2024-01-02 00:00:00",
+             target_steps=[Step("shout", "update", pred=F.col("k") == 1, assignments={"v": "ONE"})])
+    out = {r["k"]: r["v"] for r in target.read().collect()}
+    assert out == {1: "ONE", 2: "dos", 15: "fif", 31: "thirt"}
