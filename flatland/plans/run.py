@@ -32,6 +32,8 @@ class FeedRun:
     target_version: int | None = None
     step_counts: list[DataFrame] = field(default_factory=list)
     error: str | None = None
+    files_path: str | None = None
+    quarantine_path: str | None = None
 
 
 def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedTable | PartitionedTable,
@@ -42,7 +44,12 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
     land = land_feed(spark, feed, plan.landing, job_ts, run_dir)
     wrk_path = f"{run_dir}/wrk"
     land.rows.write.mode("overwrite").parquet(wrk_path)                        # K1
-    result = FeedRun(feed.name, land, wrk_path)
+    # Per-file counters and the quarantine list of this run (K5, K7 inputs);
+    # one row per file, kept with the run.
+    land.files.write.mode("overwrite").parquet(f"{run_dir}/files")
+    land.quarantine.write.mode("overwrite").parquet(f"{run_dir}/quarantine")    # K5
+    result = FeedRun(feed.name, land, wrk_path, files_path=f"{run_dir}/files",
+                     quarantine_path=f"{run_dir}/quarantine")
     wrk = spark.read.parquet(wrk_path)
     if wrk.limit(1).count() == 0:                                               # D7
         return result

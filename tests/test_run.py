@@ -71,3 +71,14 @@ def test_feed_into_partitioned_target(spark, tmp_path):
              target_steps=[Step("shout", "update", pred=F.col("k") == 1, assignments={"v": "ONE"})])
     out = {r["k"]: r["v"] for r in target.read().collect()}
     assert out == {1: "ONE", 2: "dos", 15: "fif", 31: "thirt"}
+
+
+def test_run_keeps_file_counters_and_quarantine(spark, tmp_path):
+    write(tmp_path / "q" / "a.txt", "k\tv\n1\tone\n")
+    write(tmp_path / "q" / "b.txt", "k\tv\nx\tbad\n")
+    target = VersionedTable(spark, str(tmp_path / "t"), ["k"], 4)
+    run = run_feed(spark, Feed("q", str(tmp_path / "q")), plan(), target, "2024-01-01 00:00:00")
+    files = {r["load_file_name"]: r["status"] for r in spark.read.parquet(run.files_path).collect()}
+    assert files == {"a.txt": "loaded", "b.txt": "bad"}
+    q = spark.read.parquet(run.quarantine_path).collect()
+    assert [(r["load_file_name"], r["reason"]) for r in q] == [("b.txt", "bad number in k")]
