@@ -68,3 +68,34 @@ def test_records_cross_many_splits(spark, tmp_path):
     recs = quoted_records(spark, [str(tmp_path / "one.csv")], str(tmp_path / "out"), split_bytes=300)
     texts = sorted(r["text"] for r in recs.collect())
     assert texts == ['"1","' + big + "\n" + big + '"', '"2","end"']
+
+
+def _random_csv(seed, n, eol):
+    import csv
+    import io
+    import random
+    rnd = random.Random(seed)
+    alphabet = ['a', 'b', ' ', ',', '"', '\n', 'x', 'é', '1', '.']
+    buf = io.StringIO()
+    w = csv.writer(buf, delimiter=",", quotechar='"', doublequote=True, quoting=csv.QUOTE_MINIMAL,
+                   lineterminator=eol)
+    w.writerow(["id", "t1", "t2"])
+    for i in range(n):
+        if rnd.random() < 0.05:
+            buf.write(eol)                                   # blank line
+        cells = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(2)]
+        w.writerow([str(i)] + [c.replace("\n", eol) for c in cells])
+    return buf.getvalue()
+
+
+def test_split_reader_any_split_size(spark, feed_dir):
+    write(feed_dir / "r_lf.csv", _random_csv(7, 300, "\n"))
+    write(feed_dir / "r_crlf.csv", _random_csv(11, 200, "\r\n"))
+    feed = Feed("rand", str(feed_dir), extension="csv", delimiter=",", quoting=0)
+    fields = [LandingField("id", "float64")]
+    whole = land_feed(spark, feed, fields, JOB)
+    assert whole.rows.count() == 500
+    for size in (97, 333, 2048):
+        split = land_feed(spark, feed.with_(quoted_split_bytes=size), fields, JOB)
+        _same(whole.rows, split.rows)
+        _same(whole.files.drop("source_path"), split.files.drop("source_path"))
