@@ -80,17 +80,23 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    _SHIPPED.add(app)          # first, since scratch_root() below comes back here
+    import io
     import zipfile
+
+    from flatland import storage
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="flatland-pyfiles-"), "flatland.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _dirs, files in os.walk(pkg):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    # Into the shared scratch area, where every executor can fetch it.
+    out = f"{scratch_root(spark)}/pyfiles/{app}-{uuid.uuid4().hex[:8]}/flatland.zip"
+    storage.write_bytes(spark, out, buf.getvalue())
     sc.addPyFile(out)
-    _SHIPPED.add(app)
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -58,6 +58,16 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small binary file (a zipped package, say)."""
+    fs, jpath = _fs(spark, path)
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def read_small_text(spark: SparkSession, path: str) -> str | None:
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
