@@ -7,6 +7,8 @@ Plan per feed
    differently;
 3. one CSV read per header group, every column a string, bound by position
    within the group, with the corrupt-record column kept for ragged rows;
+   quoted files bigger than one split are read in parallel splits instead
+   (sources/quoted.py), which also yields their line counts;
 4. clean cells (null markers, quotes), add lineage columns, strictly cast the
    spec's typed columns and record the first reason a row is bad;
 5. write those parsed rows once to the run folder (parse once, cut lineage);
@@ -35,7 +37,7 @@ from flatland.plans.feed import Feed
 from flatland.session import new_run_dir
 from flatland.sources.archives import expand_archives
 from flatland.sources.files import file_headers, list_feed_files, raw_line_counts, split_header
-from flatland.sources.quoted import can_split, parse_records, quoted_records
+from flatland.sources.quoted import can_split, parse_records, quoted_records, split_line_counts
 
 AUDIT_FILE = "load_file_name"
 AUDIT_TS = "load_timestamp"
@@ -178,9 +180,14 @@ def byte_size(text: str) -> int:
 
 def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[str],
                 fields: dict[str, str], job_ts: str, expand_dir: str,
-                lengths: dict[str, int] | None = None, records_dir: str | None = None) -> DataFrame:
+                lengths: dict[str, int] | None = None,
+                records_dir: str | None = None) -> tuple[DataFrame, DataFrame | None]:
     """One header group: small or unsplittable files through the CSV reader;
-    quoted files bigger than one split through the split reader (sources/quoted.py)."""
+    quoted files bigger than one split through the split reader (sources/quoted.py).
+
+    Returns the parsed rows and, for files the split reader took, their line
+    counts (from its own parity pass, so those files are not scanned again).
+    """
     schema = positional_schema(len(names))
     big: list[str] = []
     if feed.quoted and lengths is not None and records_dir:
@@ -193,12 +200,14 @@ def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[s
         path = F.col("_metadata.file_path")
         parts.append(clean_cast(raw, names, feed, fields, job_ts,
                                 _load_file_name(F.col("_metadata.file_name"), path, expand_dir), path))
+    counts = None
     if big:
         records = quoted_records(spark, big, records_dir, feed.quoted_split_bytes)
+        counts = split_line_counts(spark, records_dir)
         raw = parse_records(records, schema, csv_options(feed))
         parts.append(clean_cast(raw, names, feed, fields, job_ts,
                                 _load_file_name(F.col("name"), F.col("path"), expand_dir), F.col("path")))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])), counts
 
 
 def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None) -> tuple[DataFrame, DataFrame]:
@@ -255,6 +264,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
             groups[r["header"]].append(r["path"])
 
     parts = []
+    split_counts: list[DataFrame] = []
     for gi, (header, group_paths) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
         names = [landing_name(n, feed.quoted) for n in split_header(header, feed.delimiter, feed.quoted)]
         dupes = sorted({n for n in names if names.count(n) > 1})
@@ -264,8 +274,11 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         elif missing:
             header_bad += [(p, "missing column: " + ", ".join(missing)) for p in group_paths]
         else:
-            parts.append(_scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts, expand_dir,
-                                     lengths, f"{run_dir}/records/g{gi:04d}"))
+            part, counts = _scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts, expand_dir,
+                                       lengths, f"{run_dir}/records/g{gi:04d}")
+            parts.append(part)
+            if counts is not None:
+                split_counts.append(counts)
 
     parsed_path = f"{run_dir}/parsed"
     if parts:
@@ -291,7 +304,12 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     listing_df = spark.createDataFrame(
         [(read_path[p], p, p.rstrip("/").rsplit("/", 1)[-1]) for p in paths],
         f"{_PATH} string, source_path string, {AUDIT_FILE} string")
-    raw = raw_line_counts(spark, list(read_path.values()))
+    # Line counts: from the split reader's parity pass where it read the file,
+    # else one text scan over the remaining files.
+    counted = {r["path"] for c in split_counts for r in c.select("path").collect()}
+    raw = raw_line_counts(spark, [p for p in read_path.values() if p not in counted])
+    for c in split_counts:
+        raw = raw.unionByName(c)
     files = (listing_df
              .join(raw, listing_df[_PATH] == raw["path"], "left").drop("path")
              .join(loaded, _PATH, "left")

@@ -80,13 +80,20 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
                     F.col("_metadata.file_block_start").alias("block")))
 
 
-def split_start_states(lines: DataFrame) -> DataFrame:
-    """(path, block) of every split that starts inside a quoted value (pass A)."""
+def split_table(lines: DataFrame) -> DataFrame:
+    """Pass A: per split, its quote parity, its line count, and whether it
+    starts inside a quoted value (a running sum over the file's splits)."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    per_split = lines.groupBy("path", "block").agg((F.sum(quotes) % 2).alias("parity"))
+    per_split = lines.groupBy("path", "block").agg((F.sum(quotes) % 2).alias("parity"),
+                                                   F.count(F.lit(1)).alias("n_lines"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2 == 1
-    return per_split.withColumn("inside", inside).filter("inside").select("path", "block")
+    return per_split.withColumn("inside", inside)
+
+
+def split_start_states(lines: DataFrame) -> DataFrame:
+    """(path, block) of every split that starts inside a quoted value."""
+    return split_table(lines).filter("inside").select("path", "block")
 
 
 def _cut_records(odd_starts):
@@ -204,22 +211,33 @@ def quoted_records(spark: SparkSession, paths: list[str], out_dir: str,
                    split_bytes: int | None = None) -> DataFrame:
     """(path, name, text): one row per data record of the files, headers dropped.
 
-    Pass B's output is written to ``out_dir`` once, so the text is scanned
-    twice (parity, then records) and never again.
+    The split table (pass A) and pass B's output are written under
+    ``out_dir`` once, so the text is scanned twice (parity and line counts,
+    then records) and never again; ``split_line_counts`` reads the line
+    counts back for reconciliation.
     """
     with _split_size(spark, split_bytes):
         lines = _lines(spark, paths)
-        odd = {(r["path"], int(r["block"])) for r in split_start_states(lines).collect()}
+        split_table(lines).write.mode("overwrite").parquet(f"{out_dir}/splits")
+        starts = spark.read.parquet(f"{out_dir}/splits").filter("inside")
+        odd = {(r["path"], int(r["block"])) for r in starts.select("path", "block").collect()}
         odd_bc = spark.sparkContext.broadcast(frozenset(odd))
         (lines.mapInArrow(_cut_records(odd_bc), FRAGMENT_SCHEMA)
-         .write.mode("overwrite").parquet(out_dir))
-    frags = spark.read.parquet(out_dir)
+         .write.mode("overwrite").parquet(f"{out_dir}/fragments"))
+    frags = spark.read.parquet(f"{out_dir}/fragments")
     whole = frags.filter(F.col("kind") == "record").select("path", "name", "first", "text")
     records = whole.unionByName(stitch(frags).select("path", "name", "first", "text"))
     return (records.filter(~F.col("first") & (F.col("text") != ""))    # blank lines are not records
             .select("path", "name", "text"))
 
 
+def split_line_counts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(path, raw_records): physical lines per file minus the header, never below
+    0, from the split table of ``quoted_records`` (lines end at "\\n")."""
+    splits = spark.read.parquet(f"{out_dir}/splits")
+    return splits.groupBy("path").agg(F.greatest(F.sum("n_lines") - 1, F.lit(0)).alias("raw_records"))
+
+
 def parse_records(records: DataFrame, schema: T.StructType, options: dict[str, str]) -> DataFrame:
     """Records -> positional columns and the corrupt-record column, as the file reader gives."""
     parse_opts = {k: v for k, v in options.items()
