@@ -146,7 +146,8 @@ def publish(spark: SparkSession, stage: DataFrame, table: VersionedTable, keys:
     With ``version`` given (a streaming batch id, say) the base is the newest
     version below it, so a replay of that version gives the same result. For
     a bucketed table the stage is hash-partitioned into the table's buckets
-    once and that shuffle serves both the anti join and the insert.
+    (its keys for the anti join, its rows for the insert); the target is read
+    bucket by bucket and never shuffled.
     """
     keys = list(keys)
     if table.bucketed:
