@@ -84,14 +84,47 @@ def _opener(path: str):
 HEADER_SCHEMA = "path string, header string"
 
 
+def python_can_open(path: str) -> bool:
+    """Whether the per-file Python helpers can open ``path`` (local files, or a
+    store pyarrow knows); others go through the JVM readers."""
+    if path.startswith("file:") or path.startswith("/"):
+        return True
+    try:
+        import pyarrow.fs as pafs
+        pafs.FileSystem.from_uri(path.replace("s3a://", "s3://"))
+        return True
+    except Exception:  # noqa: BLE001 - any failure means: use the JVM path
+        return False
+
+
+def _jvm_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """First non-blank line per file through Spark's text reader (any Hadoop file system).
+
+    Only each file's first split is kept; within it, lines come in file order,
+    so the line with the smallest row id is the first one.
+    """
+    lines = (spark.read.text(paths)
+             .select(F.col("_metadata.file_path").alias("path"), "value",
+                     F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+             .filter((F.col("block") == 0) & (F.trim("value") != "")))
+    firsts = lines.groupBy("path").agg(F.min_by("value", "row").alias("header"))
+    listing = spark.createDataFrame([(p,) for p in paths], "path string")
+    cleaned = F.regexp_replace(F.regexp_replace("header", "\r$", ""), "^\ufeff", "")
+    return listing.join(firsts, "path", "left").select("path", cleaned.alias("header"))
+
+
 def file_headers(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
     """First non-blank line of each file (S8), read on the executors.
 
     Only the first line is read, so the cost per file is one small read, not
-    a block scan. A zero-byte file yields a null header.
+    a block scan. A zero-byte file yields a null header. Where Python cannot
+    open the files, Spark's text reader reads each file's first split.
     """
     if not paths:
         return spark.createDataFrame([], HEADER_SCHEMA)
+    if not python_can_open(paths[0]):
+        return _jvm_headers(spark, paths)
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
     listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
 

@@ -139,3 +139,15 @@ def test_result_independent_of_partitioning(spark, feed_dir):
     b = sorted(tuple(r) for r in res.rows.drop("load_timestamp").repartition(7).collect())
     assert a == b and len(a) == 2000
     assert res.rows.agg(F.sum("k")).first()[0] == sum(range(2000))
+
+
+def test_header_readers_agree(spark, feed_dir):
+    from flatland.sources.files import _jvm_headers, file_headers
+    write(feed_dir / "plain.txt", "a\tb\n1\t2\n")
+    write(feed_dir / "blank_first.txt", "\n\n  \na\tb\n1\t2\n")
+    write(feed_dir / "bom.txt", "﻿a\tb\r\n1\t2\r\n")
+    write(feed_dir / "empty.txt", "")
+    paths = sorted(f"file:{p}" for p in map(str, feed_dir.iterdir()))
+    py = {r["path"].rsplit("/", 1)[-1]: r["header"] for r in file_headers(spark, paths).collect()}
+    jvm = {r["path"].rsplit("/", 1)[-1]: r["header"] for r in _jvm_headers(spark, paths).collect()}
+    assert py == jvm == {"plain.txt": "a\tb", "blank_first.txt": "a\tb", "bom.txt": "a\tb", "empty.txt": None}
