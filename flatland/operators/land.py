@@ -181,12 +181,13 @@ def byte_size(text: str) -> int:
 def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[str],
                 fields: dict[str, str], job_ts: str, expand_dir: str,
                 lengths: dict[str, int] | None = None,
-                records_dir: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+                records_dir: str | None = None) -> tuple[DataFrame, DataFrame | None, list[str]]:
     """One header group: small or unsplittable files through the CSV reader;
     quoted files bigger than one split through the split reader (sources/quoted.py).
 
-    Returns the parsed rows and, for files the split reader took, their line
-    counts (from its own parity pass, so those files are not scanned again).
+    Returns the parsed rows and, for the files the split reader took (also
+    returned), their line counts from its own parity pass, so those files are
+    not scanned again.
     """
     schema = positional_schema(len(names))
     big: list[str] = []
@@ -207,7 +208,7 @@ def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[s
         raw = parse_records(records, schema, csv_options(feed))
         parts.append(clean_cast(raw, names, feed, fields, job_ts,
                                 _load_file_name(F.col("name"), F.col("path"), expand_dir), F.col("path")))
-    return (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])), counts
+    return (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])), counts, big
 
 
 def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None) -> tuple[DataFrame, DataFrame]:
@@ -265,6 +266,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
 
     parts = []
     split_counts: list[DataFrame] = []
+    counted: set[str] = set()
     for gi, (header, group_paths) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
         names = [landing_name(n, feed.quoted) for n in split_header(header, feed.delimiter, feed.quoted)]
         dupes = sorted({n for n in names if names.count(n) > 1})
@@ -274,11 +276,12 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         elif missing:
             header_bad += [(p, "missing column: " + ", ".join(missing)) for p in group_paths]
         else:
-            part, counts = _scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts, expand_dir,
-                                       lengths, f"{run_dir}/records/g{gi:04d}")
+            part, counts, big = _scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts,
+                                            expand_dir, lengths, f"{run_dir}/records/g{gi:04d}")
             parts.append(part)
             if counts is not None:
                 split_counts.append(counts)
+                counted.update(big)
 
     parsed_path = f"{run_dir}/parsed"
     if parts:
@@ -306,7 +309,6 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         f"{_PATH} string, source_path string, {AUDIT_FILE} string")
     # Line counts: from the split reader's parity pass where it read the file,
     # else one text scan over the remaining files.
-    counted = {r["path"] for c in split_counts for r in c.select("path").collect()}
     raw = raw_line_counts(spark, [p for p in read_path.values() if p not in counted])
     for c in split_counts:
         raw = raw.unionByName(c)
