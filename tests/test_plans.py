@@ -72,3 +72,16 @@ def test_one_big_quoted_file_is_read_in_many_splits(spark, tmp_path):
     recs = quoted_records(spark, [str(tmp_path / "big.csv")], out, split_bytes=4096)
     assert recs.count() == 3000
     assert spark.read.parquet(f"{out}/splits").count() > 10            # many tasks, not one
+
+
+def test_file_verdict_broadcasts_the_bad_file_list(spark, tmp_path):
+    from flatland.operators.land import LandingField, land_feed
+    from flatland.plans.feed import Feed
+    feed_dir = tmp_path / "feed"
+    write(feed_dir / "good.txt", "k\tv\n" + "".join(f"{i}\tx\n" for i in range(500)))
+    write(feed_dir / "bad.txt", "k\tv\n1\tx\nnope\ty\n")
+    res = land_feed(spark, Feed("f", str(feed_dir)), [LandingField("k", "float64")], "2024-01-01 00:00:00")
+    plan = _executed(res.rows)
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "SortMergeJoin" not in plan
+    assert res.rows.count() == 500
