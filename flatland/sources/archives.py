@@ -25,6 +25,9 @@ def expand_archives(spark: SparkSession, paths: list[str], out_dir: str) -> dict
     todo = [p for p in paths if needs_expansion(p)]
     if not todo:
         return {}
+    from flatland.sources.files import python_can_open
+    if not (python_can_open(todo[0]) and python_can_open(out_dir)):
+        raise ValueError(f"zip/xz files need a file system the Python workers can open: {todo[0]}")
     targets = [(p, f"{out_dir.rstrip('/')}/{i:06d}-{p.rsplit('/', 1)[-1]}.plain") for i, p in enumerate(todo)]
     frame = spark.createDataFrame(targets, "src string, dst string").repartition(len(targets))
 
