@@ -231,6 +231,13 @@ def profile_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(_SHAPE) != "long").drop(_PATH, _REASON, _SHAPE)
 
 
+def quarantine_rows(files: DataFrame, job_ts: str) -> DataFrame:
+    """One row per bad file of a run, with its reason (K5)."""
+    return (files.filter(F.col("status") == "bad")
+            .select("feed", AUDIT_FILE, "source_path",
+                    F.lit(job_ts).cast("timestamp_ntz").alias("run_ts"), "reason", "bad_rows"))
+
+
 def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
               job_start: datetime | str, run_dir: str | None = None,
               paths: list[str] | None = None) -> LandResult:
@@ -324,8 +331,6 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
                       .when(F.coalesce("records_loaded", F.lit(0)) == 0, F.lit("empty"))
                       .otherwise(F.lit("loaded")).alias("status"),
                      "reason", F.coalesce("bad_rows", F.lit(0)).alias("bad_rows")))
-    quarantine = (files.filter(F.col("status") == "bad")
-                  .select("feed", AUDIT_FILE, "source_path",
-                          F.lit(job_ts).cast("timestamp_ntz").alias("run_ts"), "reason", "bad_rows"))
+    quarantine = quarantine_rows(files, job_ts)
     rows = rows.drop(_PATH) if _PATH in rows.columns else rows
     return LandResult(rows=rows, files=files, quarantine=quarantine, parsed_path=parsed_path)

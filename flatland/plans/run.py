@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatland.operators.land import LandResult, format_job_time, land_feed
+from flatland.operators.land import LandResult, format_job_time, land_feed, quarantine_rows
 from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
 from flatland.operators.stage import Step, add_modify_stamp, dedup_latest, map_columns, run_steps
 from flatland.plans.feed import Feed
@@ -25,6 +25,9 @@ from flatland.session import new_run_dir
 
 @dataclass
 class FeedRun:
+    """What a feed run left behind. ``wrk_path`` holds the parsed rows of every
+    file; the landing table itself is ``land.rows`` (those of good files)."""
+
     feed: str
     land: LandResult
     wrk_path: str
@@ -42,16 +45,18 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
     run_dir = run_dir or new_run_dir(spark, f"feed-{feed.name}")
     job_ts = format_job_time(job_start)
     land = land_feed(spark, feed, plan.landing, job_ts, run_dir)
-    wrk_path = f"{run_dir}/wrk"
-    land.rows.write.mode("overwrite").parquet(wrk_path)                        # K1
+    # K1: the landing table of this run is its parsed rows (already written
+    # once) minus the bad files, a broadcast anti join on read; the landed
+    # data is not copied a second time.
+    wrk = land.rows
     # Per-file counters and the quarantine list of this run (K5, K7 inputs);
     # one row per file, kept with the run.
     land.files.write.mode("overwrite").parquet(f"{run_dir}/files")
-    land.quarantine.write.mode("overwrite").parquet(f"{run_dir}/quarantine")    # K5
-    result = FeedRun(feed.name, land, wrk_path, files_path=f"{run_dir}/files",
+    files = spark.read.parquet(f"{run_dir}/files")
+    quarantine_rows(files, job_ts).write.mode("overwrite").parquet(f"{run_dir}/quarantine")   # K5
+    result = FeedRun(feed.name, land, land.parsed_path, files_path=f"{run_dir}/files",
                      quarantine_path=f"{run_dir}/quarantine")
-    wrk = spark.read.parquet(wrk_path)
-    if wrk.limit(1).count() == 0:                                               # D7
+    if not (files.agg(F.sum("records_loaded")).first()[0] or 0):               # D7, from the file report
         return result
     stage = map_columns(wrk, plan.stage)
     stage, counts = run_steps(stage, stage_steps, "stage")
