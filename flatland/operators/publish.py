@@ -175,7 +175,9 @@ class PartitionedTable:
     its cost follows the stage, not the table: with keys that arrive roughly
     in order (surrogate keys, dates in the key), a range expression such as
     ``floor(key / width)`` keeps each load in a few partitions. The default is
-    a hash of the key into ``buckets`` partitions.
+    a hash of the key into ``buckets`` partitions. ``part_expr`` must depend on
+    the key columns only: a key then always lives in one partition, which is
+    what lets delete-by-key look at the touched partitions alone.
 
     Partitions are replaced with dynamic partition overwrite. A reader during
     that commit may see some partitions new and some old; the publish itself
