@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatland import storage
-from flatland.functions.casts import pg_timestamp0
 from flatland.functions.nulls import NULL_MARKERS
 from flatland.operators.publish import VersionedTable, publish
 from flatland.operators.stage import ColumnMap, Step, add_modify_stamp, dedup_latest, map_columns, run_steps
@@ -311,7 +310,7 @@ def q_modify_stamp(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 from flatland.functions.casts import strict_double, strict_timestamp  # noqa: E402
-from flatland.operators.land import _REASON, _SHAPE, LandingField, land_feed  # noqa: E402
+from flatland.operators.land import _SHAPE, LandingField, land_feed  # noqa: E402
 from flatland.plans.feed import Feed  # noqa: E402
 from flatland.sources.files import detect_delimiter, file_headers, raw_line_counts  # noqa: E402
 from flatland.sources.writers import write_archives, write_delimited  # noqa: E402
@@ -691,7 +690,7 @@ def q_quarantine_report(spark, sf_dir):
 from flatland.functions.names import (LANDING_DROPPED_CHARS, STAGE_KEYWORDS,  # noqa: E402
                                       landing_name_col, stage_name_col)
 from flatland.operators.land import profile_rows  # noqa: E402
-from flatland.operators.profile import PROFILE_FIELDS, distinct_values, infer_types, profile_columns  # noqa: E402
+from flatland.operators.profile import distinct_values, infer_types, profile_columns  # noqa: E402
 from flatland.operators.validate import key_check  # noqa: E402
 from flatland.plans.spec import build_spec, plan_from_spec, read_spec, write_spec  # noqa: E402
 
