@@ -103,9 +103,13 @@ class VersionedTable:
     def _register(self, version: int) -> str:
         name = self.table_name(version)
         if not self.spark.catalog.tableExists(name):
-            cols = ", ".join(f"`{k}`" for k in self.keys)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet CLUSTERED BY ({cols}) "
-                           f"SORTED BY ({cols}) INTO {self.buckets} BUCKETS LOCATION '{self.path(version)}'")
+            # A version written by another session: register it again, with its
+            # columns as the files have them (bucketing needs the column list).
+            schema = self.spark.read.parquet(self.path(version)).schema
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
+                           f"SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path(version)}'")
         return name
 
     def read(self, version: int | None = None) -> DataFrame | None:

@@ -70,12 +70,7 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
         return result
     if not plan.keys:
         raise ValueError(f"feed {feed.name}: publishing needs key columns in the spec")  # D19
-    stg = spark.read.parquet(stage_path)
-    mapped = map_columns(stg, [m for m in plan.target])
-    names = [m.target for m in plan.target]
-    stamped = add_modify_stamp(mapped, job_ts)
-    order = [f.name for f in plan.target_schema.fields if f.name in names or f.name == "modify_date_time"]
-    stamped = stamped.select(*order)
+    stamped = target_rows(plan, spark.read.parquet(stage_path), job_ts)
     tgt_keys = [m.target for m in plan.target if m.source in plan.keys]
     if isinstance(target, PartitionedTable):
         if list(target.keys) != tgt_keys:
@@ -95,6 +90,20 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
     return result
 
 
+def target_rows(plan: SpecPlan, stage: DataFrame, job_start: datetime | str) -> DataFrame:
+    """Stage rows through the spec's target mapping, stamped with the job time."""
+    names = [m.target for m in plan.target]
+    stamped = add_modify_stamp(map_columns(stage, plan.target), format_job_time(job_start))
+    order = [f.name for f in plan.target_schema.fields if f.name in names or f.name == "modify_date_time"]
+    return stamped.select(*order)
+
+
+def landed_to_target(plan: SpecPlan, landed: DataFrame, job_start: datetime | str) -> DataFrame:
+    """Landed (wrk) rows through the stage and target mappings: the ``transform``
+    of a streaming publish (``publish_batches``)."""
+    return target_rows(plan, map_columns(landed, plan.stage), job_start)
+
+
 def run_all(spark: SparkSession, feeds: Sequence[Feed], plans: dict[str, SpecPlan],
             targets: dict[str, VersionedTable | PartitionedTable], job_start: datetime | str,
             only: str | None = None) -> list[FeedRun]:

@@ -90,7 +90,8 @@ def publish_batches(spark: SparkSession, target: VersionedTable | PartitionedTab
 
     Into a ``VersionedTable`` the batch id fixes the target version
     (batch + 1), and the base is the newest version below it, so a replayed
-    batch rewrites the same version. Into a ``PartitionedTable`` each batch
+    batch rewrites the same version; its versions are this stream's batches,
+    so such a table must be the stream's own. Into a ``PartitionedTable`` each batch
     rewrites only the partitions its keys fall in; a replay of the last batch
     (the only one Spark replays) repeats an idempotent upsert.
     """

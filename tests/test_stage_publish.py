@@ -97,3 +97,15 @@ def test_assert_unique_keys(spark):
     except ValueError:
         return
     raise AssertionError("duplicate keys not reported")
+
+
+def test_versioned_table_is_read_again_by_a_new_session(spark, tmp_path):
+    from flatland.operators.publish import VersionedTable, publish
+    df = spark.createDataFrame([(1, "a", 1.5), (2, "b", 2.5)], "k long, v string, x double")
+    t = VersionedTable(spark, str(tmp_path / "t"), ["k"], 4)
+    v = t.write(df)
+    spark.sql(f"DROP TABLE {t.table_name(v)}")             # as a new session's catalog would be
+    again = VersionedTable(spark, str(tmp_path / "t"), ["k"], 4)
+    assert sorted(r["k"] for r in again.read().collect()) == [1, 2]
+    publish(spark, spark.createDataFrame([(2, "B", 0.0)], "k long, v string, x double"), again, ["k"])
+    assert {r["k"]: r["v"] for r in again.read().collect()} == {1: "a", 2: "B"}
