@@ -9,10 +9,10 @@ so tests must not expect the newest files moved).
 
 Each micro-batch lands its new files exactly as a batch load does
 (``land_feed``): header groups bound by name, archives, quoted files in
-splits, strict casts and per-file verdicts. Landed rows go to
-``sink/batch=<id>`` and per-file counters to ``sink/_metrics/batch=<id>``;
-both are replaced when a batch is replayed, so a replay leaves the same
-result.
+splits, strict casts and per-file verdicts. Parsed rows go to
+``sink/_runs/batch=<id>`` (written once; the landed rows are those of good
+files, on read) and per-file counters to ``sink/_metrics/batch=<id>``; both
+are replaced when a batch is replayed, so a replay leaves the same result.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatland.operators.land import AUDIT_FILE, LandingField, format_job_time, land_feed
+from flatland import storage
+from flatland.operators.land import _PATH, AUDIT_FILE, LandingField, format_job_time, land_feed, split_verdict
 from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
 from flatland.operators.stage import dedup_latest
 from flatland.plans.feed import Feed
@@ -55,11 +56,12 @@ def incremental_land(spark: SparkSession, feed: Feed, fields: list[LandingField]
         paths = sorted(r["path"] for r in batch.collect())
         if not paths:
             return
+        # The batch's parsed rows are written once, in its run folder; its
+        # landed rows are those minus its bad files, on read (no second copy).
         res = land_feed(spark, feed, fields, job_ts, run_dir=f"{sink}/_runs/batch={batch_id}", paths=paths)
-        res.rows.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
         batch_counters(res.files, batch_id).write.mode("overwrite").parquet(f"{sink}/_metrics/batch={batch_id}")
         if on_batch is not None:
-            on_batch(spark.read.parquet(f"{sink}/batch={batch_id}"), batch_id)
+            on_batch(res.rows, batch_id)
 
     q = (arrivals.writeStream.foreachBatch(land_batch)
          .option("checkpointLocation", checkpoint)
@@ -79,8 +81,20 @@ def read_counters(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def read_landed(spark: SparkSession, sink: str) -> DataFrame:
-    """All landed batches (the ``batch`` partition column is dropped)."""
-    return spark.read.parquet(sink).drop("batch")
+    """Landed rows of every batch: each batch's parsed rows minus its bad files.
+
+    A bad file is one with a bad row (files with a bad header were never
+    parsed); the list of them is an aggregate of the parsed rows' reason
+    column, broadcast when its counted size allows.
+    """
+    runs = sorted(p for p, is_dir in storage.list_dir(spark, f"{sink}/_runs") if is_dir)
+    parsed_dirs = [f"{r}/parsed" for r in runs if storage.exists(spark, f"{r}/parsed/_SUCCESS")]
+    if not parsed_dirs:
+        return spark.createDataFrame([], f"{AUDIT_FILE} string, load_timestamp timestamp_ntz")
+    parsed = spark.read.option("mergeSchema", "true").parquet(*parsed_dirs)
+    no_header_bad = spark.createDataFrame([], f"{_PATH} string, reason string")
+    rows, _bad = split_verdict(parsed, no_header_bad, None)
+    return rows.drop(_PATH)
 
 
 def publish_batches(spark: SparkSession, target: VersionedTable | PartitionedTable, keys: list[str],
