@@ -121,3 +121,22 @@ def new_files(listing: DataFrame, manifest: DataFrame, on: str = "load_file_name
               manifest_rows: int | None = None) -> DataFrame:
     """Files in the folder that the manifest has not recorded yet (K6)."""
     return join_small(listing, manifest.select(on), on, "left_anti", manifest_rows)
+
+
+def expire_runs(spark, runs_root: str, now_ms: int, keep_days: int, dry_run: bool = False) -> list[str]:
+    """Delete run folders older than ``keep_days`` whole days.
+
+    A run folder holds one run's parsed rows, stage, file counters and
+    quarantine list: the archive and the logs of a load. Age is whole days
+    since the folder was last modified, floored, and a folder expires when it
+    is strictly older than ``keep_days`` (as ``retention``). Only folder
+    metadata is listed; returns the folders removed (or that would be).
+    """
+    from flatland import storage
+    gone = []
+    for path, is_dir, modified_ms in storage.list_dir_times(spark, runs_root):
+        if is_dir and (now_ms - modified_ms) // 86_400_000 > keep_days:
+            if not dry_run:
+                storage.delete(spark, path)
+            gone.append(path)
+    return sorted(gone)

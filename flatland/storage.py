@@ -124,3 +124,12 @@ def file_lengths(spark: SparkSession, paths: list[str]) -> dict[str, int]:
                 if cand in wanted:
                     out[cand] = int(st.getLen())
     return out
+
+
+def list_dir_times(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
+    """(full path, is_directory, modification ms) of the direct children of ``path``."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return [(st.getPath().toString(), bool(st.isDirectory()), int(st.getModificationTime()))
+            for st in fs.listStatus(jpath)]

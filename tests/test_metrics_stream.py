@@ -88,3 +88,21 @@ def test_incremental_landing_binds_columns_by_name(spark, tmp_path):
     assert got == [(1.0, "x"), (2.0, "y")]
     counters = {r["load_file_name"]: (r["records_loaded"], r["status"]) for r in read_counters(spark, sink).collect()}
     assert counters == {"a.txt": (1, "loaded"), "b.txt": (1, "loaded")}
+
+
+def test_expire_runs_whole_days(spark, tmp_path):
+    import os
+    import time
+
+    from flatland.operators.metrics import expire_runs
+    day = 86_400_000
+    now = int(time.time() * 1000)
+    for name, age_days in [("r_new", 0), ("r_ten", 10), ("r_ten_and_half", 10.5), ("r_eleven", 11)]:
+        d = tmp_path / "runs" / name
+        d.mkdir(parents=True)
+        stamp = (now - int(age_days * day)) / 1000
+        os.utime(d, (stamp, stamp))
+    root = f"file:{tmp_path / 'runs'}"
+    assert [p.rsplit("/", 1)[-1] for p in expire_runs(spark, root, now, 10, dry_run=True)] == ["r_eleven"]
+    expire_runs(spark, root, now, 10)
+    assert sorted(os.listdir(tmp_path / "runs")) == ["r_new", "r_ten", "r_ten_and_half"]
