@@ -62,8 +62,11 @@ def load_summary(files: DataFrame, job_name: str) -> DataFrame:
     """Nested summary: one row, job -> folders[] -> files[] (K7).
 
     ``files`` has feed, load_file_name, raw_records, records_loaded, status,
-    reason, file_start, file_end.
+    reason and, when known, file_start and file_end (else they are null).
     """
+    for c in ("file_start", "file_end"):
+        if c not in files.columns:
+            files = files.withColumn(c, F.lit(None).cast("timestamp_ntz"))
     per_file = files.select(
         "feed",
         F.struct(F.col("load_file_name").alias("fileName"),

@@ -106,3 +106,14 @@ def test_expire_runs_whole_days(spark, tmp_path):
     assert [p.rsplit("/", 1)[-1] for p in expire_runs(spark, root, now, 10, dry_run=True)] == ["r_eleven"]
     expire_runs(spark, root, now, 10)
     assert sorted(os.listdir(tmp_path / "runs")) == ["r_new", "r_ten", "r_ten_and_half"]
+
+
+def test_summary_without_file_times(spark):
+    from flatland.operators.metrics import flatten_summary, load_summary
+    files = spark.createDataFrame([("f", "a.txt", 3, 3, "loaded", None), ("f", "b.txt", 2, 0, "bad", "bad number in k")],
+                                  "feed string, load_file_name string, raw_records long, records_loaded long, "
+                                  "status string, reason string")
+    summary = load_summary(files, "job")
+    row = summary.collect()[0]
+    assert (row["jobFilesLoaded"], row["jobRecordsLoaded"], row["jobBadFiles"]) == (1, 3, 1)
+    assert sorted(r["fileName"] for r in flatten_summary(summary).collect()) == ["a.txt", "b.txt"]
