@@ -45,6 +45,7 @@ _PATH = "_path"
 _REASON = "_reason"
 _CORRUPT = "_corrupt_record"
 _SHAPE = "_shape"
+_SAMPLE = "_sample"
 
 
 @dataclass(frozen=True)
@@ -127,21 +128,25 @@ def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, s
     cols = [F.col(_PATH)]
     long_row = too_many_fields(F.col(_CORRUPT), len(names), feed)
     reasons = [F.when(long_row, F.lit("too many fields"))]
+    samples = [F.when(long_row, F.col(_CORRUPT))]          # the offending text, in the same order
     for i, name in enumerate(names):
         cell, attempt = F.col(f"_x{i}"), F.col(f"_p{i}")
         kind = fields.get(name, "string")
         if kind == "float64":
             value = number_value(attempt)
             reasons.append(F.when(cell.isNotNull() & attempt.isNull(), F.lit(f"bad number in {name}")))
+            samples.append(F.when(cell.isNotNull() & attempt.isNull(), cell))
         elif kind in ("date", "timestamp"):
             value = datetime_value(attempt)
             reasons.append(F.when(cell.isNotNull() & attempt.isNull(), F.lit(f"bad date in {name}")))
+            samples.append(F.when(cell.isNotNull() & attempt.isNull(), cell))
         else:
             value = cell
         cols.append(value.alias(name))
     cols.append(F.col(AUDIT_FILE))
     cols.append(F.lit(job_ts).cast("timestamp_ntz").alias(AUDIT_TS))
     cols.append(F.coalesce(*reasons).alias(_REASON))
+    cols.append(F.coalesce(*samples).alias(_SAMPLE))
     cols.append(F.when(long_row, F.lit("long")).when(F.col(_CORRUPT).isNotNull(), F.lit("short"))
                 .otherwise(F.lit("ok")).alias(_SHAPE))
     return parsed.select(*cols)
@@ -213,29 +218,33 @@ def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[s
 
 def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None) -> tuple[DataFrame, DataFrame]:
     """(landed rows, bad files): a file with any bad row lands nothing (V5)."""
+    # Per bad file: its smallest reason with that reason's smallest offending text.
+    first = F.min(F.struct(F.col(_REASON).alias("r"), F.col(_SAMPLE).alias("s")))
     row_bad = (parsed.filter(F.col(_REASON).isNotNull())
-               .groupBy(_PATH).agg(F.min(_REASON).alias("reason"), F.count(F.lit(1)).alias("bad_rows")))
-    bad = header_bad.withColumn("bad_rows", F.lit(None).cast("long")).unionByName(row_bad)
+               .groupBy(_PATH).agg(first.alias("m"), F.count(F.lit(1)).alias("bad_rows"))
+               .select(_PATH, F.col("m.r").alias("reason"), F.col("m.s").alias("sample"), "bad_rows"))
+    bad = (header_bad.withColumn("sample", F.lit(None).cast("string"))
+           .withColumn("bad_rows", F.lit(None).cast("long")).unionByName(row_bad))
     bound = n_files
     if bound is None or bound > BROADCAST_ROW_LIMIT:
         # The file count does not bound the list small enough: count the bad
         # files themselves (a scan of two columns of the parsed rows), so the
         # usual short list is still broadcast and the rows are never shuffled.
         bound = bad.count()
-    rows = join_small(parsed, bad.select(_PATH), _PATH, "left_anti", bound).drop(_REASON, _SHAPE)
+    rows = join_small(parsed, bad.select(_PATH), _PATH, "left_anti", bound).drop(_REASON, _SHAPE, _SAMPLE)
     return rows, bad
 
 
 def profile_rows(parsed: DataFrame) -> DataFrame:
     """Rows as the profiler reads them: long rows skipped, not failing."""
-    return parsed.filter(F.col(_SHAPE) != "long").drop(_PATH, _REASON, _SHAPE)
+    return parsed.filter(F.col(_SHAPE) != "long").drop(_PATH, _REASON, _SHAPE, _SAMPLE)
 
 
 def quarantine_rows(files: DataFrame, job_ts: str) -> DataFrame:
     """One row per bad file of a run, with its reason (K5)."""
     return (files.filter(F.col("status") == "bad")
             .select("feed", AUDIT_FILE, "source_path",
-                    F.lit(job_ts).cast("timestamp_ntz").alias("run_ts"), "reason", "bad_rows"))
+                    F.lit(job_ts).cast("timestamp_ntz").alias("run_ts"), "reason", "bad_rows", "sample"))
 
 
 def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
@@ -306,7 +315,8 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         rows, bad = split_verdict(parsed, header_bad_df, n_files)
         loaded = rows.groupBy(_PATH).agg(F.count(F.lit(1)).alias("records_loaded"))
     else:
-        bad = header_bad_df.withColumn("bad_rows", F.lit(None).cast("long"))
+        bad = (header_bad_df.withColumn("sample", F.lit(None).cast("string"))
+               .withColumn("bad_rows", F.lit(None).cast("long")))
         rows = spark.createDataFrame([], f"{_PATH} string, {AUDIT_FILE} string")
         rows = rows.withColumn(AUDIT_TS, F.lit(job_ts).cast("timestamp_ntz"))
         loaded = spark.createDataFrame([], f"{_PATH} string, records_loaded long")
@@ -330,7 +340,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
                      F.when(F.col("reason").isNotNull(), F.lit("bad"))
                       .when(F.coalesce("records_loaded", F.lit(0)) == 0, F.lit("empty"))
                       .otherwise(F.lit("loaded")).alias("status"),
-                     "reason", F.coalesce("bad_rows", F.lit(0)).alias("bad_rows")))
+                     "reason", F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"), "sample"))
     quarantine = quarantine_rows(files, job_ts)
     rows = rows.drop(_PATH) if _PATH in rows.columns else rows
     return LandResult(rows=rows, files=files, quarantine=quarantine, parsed_path=parsed_path)

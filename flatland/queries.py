@@ -671,7 +671,7 @@ def q_file_quarantine(spark, sf_dir):
 
 @query("quarantine_report", """
 SELECT 'orders_b2_00000.txt' AS load_file_name, 'bad number in o_totalprice' AS reason,
-       CAST(1 AS BIGINT) AS bad_rows, count(*) AS raw_records
+       CAST(1 AS BIGINT) AS bad_rows, count(*) AS raw_records, 'bad' AS sample
 FROM orders WHERE o_orderkey % 4 = 2""")
 def q_quarantine_report(spark, sf_dir):
     q_file_quarantine(spark, sf_dir)  # builds the feed folder if needed
@@ -680,7 +680,7 @@ def q_quarantine_report(spark, sf_dir):
                     [LandingField("o_orderkey", "float64"), LandingField("o_totalprice", "float64"),
                      LandingField("o_orderdate", "timestamp")], JOB_TIME)
     return (res.files.filter(F.col("status") == "bad")
-            .select("load_file_name", "reason", "bad_rows", "raw_records"))
+            .select("load_file_name", "reason", "bad_rows", "raw_records", "sample"))
 
 
 # --------------------------------------------------------------------------

@@ -151,3 +151,13 @@ def test_header_readers_agree(spark, feed_dir):
     py = {r["path"].rsplit("/", 1)[-1]: r["header"] for r in file_headers(spark, paths).collect()}
     jvm = {r["path"].rsplit("/", 1)[-1]: r["header"] for r in _jvm_headers(spark, paths).collect()}
     assert py == jvm == {"plain.txt": "a\tb", "blank_first.txt": "a\tb", "bom.txt": "a\tb", "empty.txt": None}
+
+
+def test_quarantine_keeps_a_sample_of_the_offending_text(spark, feed_dir):
+    write(feed_dir / "a.txt", "k\tv\n1\tx\n2\ty\n")
+    write(feed_dir / "b.txt", "k\tv\n1\tx\nzz\ty\nyy\tw\n")          # two bad numbers: smallest sample kept
+    write(feed_dir / "c.txt", "k\tv\n1\tx\textra\n")                # a long row: its raw text
+    res = land_feed(spark, Feed("s", str(feed_dir)), [LandingField("k", "float64")], "2024-01-01 00:00:00")
+    q = {r["load_file_name"]: (r["reason"], r["sample"], r["bad_rows"]) for r in res.quarantine.collect()}
+    assert q == {"b.txt": ("bad number in k", "yy", 2), "c.txt": ("too many fields", "1\tx\textra", 1)}
+    assert res.rows.count() == 2
