@@ -55,8 +55,7 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str],
 
 def assert_unique_keys(stage: DataFrame, keys: Sequence[str]) -> None:
     """Publish expects a de-duplicated stage."""
-    dup = stage.groupBy(*keys).count().filter("count > 1").limit(1).count()
-    if dup:
+    if not stage.groupBy(*keys).count().filter("count > 1").isEmpty():
         raise ValueError(f"stage has duplicate keys on {list(keys)}; run dedup_latest first")
 
 

@@ -80,7 +80,7 @@ def update_where(df: DataFrame, assignments: dict[str, Column | object], pred: C
 def delete_where(df: DataFrame, pred: Column | None = None) -> DataFrame:
     """DELETE FROM t [WHERE pred] (P13). A null predicate keeps the row."""
     if pred is None:
-        return df.limit(0)
+        return df.filter(F.lit(False))
     return df.filter(~F.coalesce(pred, F.lit(False)))
 
 
