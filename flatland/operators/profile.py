@@ -50,8 +50,9 @@ def profile_long(long: DataFrame, by: Sequence[str] = ("column_name", "position"
     """Profile facts per group of an unpivoted frame (``s`` holds the cell text)."""
     s = F.col("s")
     num, bad_num = strict_double(s)
+    exponent = s.contains("e") | s.contains("E")
     facts = long.select(*by, "s", num.alias("v"), bad_num.alias("b"), parse_datetime(s).alias("t"),
-                        _digits_left(s).alias("l"), _digits_right(s).alias("r"), s.rlike("[eE]").alias("e"))
+                        _digits_left(s).alias("l"), _digits_right(s).alias("r"), exponent.alias("e"))
     v, t = F.col("v"), F.col("t")
     finite = v.isNotNull() & (F.abs(v) != float("inf"))
     plain = finite & ~F.col("e")
