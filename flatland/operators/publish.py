@@ -228,6 +228,12 @@ class PartitionedTable:
             .partitionBy(self.part_col).parquet(self.root)
 
 
+def touched_partitions(current: DataFrame, part: str, touched: list) -> DataFrame:
+    """The target's rows in the touched partitions only: a partition filter, so
+    the scan lists and reads those partition folders and no others."""
+    return current.filter(F.col(part).isin(touched))
+
+
 def publish_partitions(spark: SparkSession, stage: DataFrame, table: PartitionedTable,
                        stage_key_rows: int | None = None) -> list:
     """Publish ``stage`` into ``table`` by key, rewriting only touched partitions.
@@ -253,7 +259,7 @@ def publish_partitions(spark: SparkSession, stage: DataFrame, table: Partitioned
     touched = sorted(r[0] for r in staged.select(part).distinct().collect())
     if not touched:
         return []
-    hit = current.filter(F.col(part).isin(touched))
+    hit = touched_partitions(current, part, touched)
     merged = upsert(hit, staged.select(*hit.columns), [part] + keys, stage_key_rows)
     staging = f"{table.root}.staging/{uuid.uuid4().hex[:12]}"
     _rebalanced(merged, part).write.mode("overwrite").partitionBy(part).parquet(staging)
