@@ -71,10 +71,11 @@ def _split_size(spark: SparkSession, split_bytes: int | None):
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    # Lines end at "\n"; a "\r" before it is part of the line ending. Inside a
-    # quoted value that makes "\r\n" a "\n", as the multi-line reader has it.
+    # Lines end at "\n". In a file whose lines end "\r\n" the "\r" belongs to
+    # the line ending and is dropped in pass B (so "\r\n" inside a value reads
+    # as "\n", as the multi-line reader has it); in other files it is data.
     return (spark.read.option("lineSep", "\n").text(paths)
-            .select(F.regexp_replace("value", "\r$", "").alias("value"),
+            .select("value", F.monotonically_increasing_id().alias("row"),
                     F.col("_metadata.file_path").alias("path"),
                     F.col("_metadata.file_name").alias("name"),
                     F.col("_metadata.file_block_start").alias("block")))
@@ -85,7 +86,8 @@ def split_table(lines: DataFrame) -> DataFrame:
     starts inside a quoted value (a running sum over the file's splits)."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     per_split = lines.groupBy("path", "block").agg((F.sum(quotes) % 2).alias("parity"),
-                                                   F.count(F.lit(1)).alias("n_lines"))
+                                                   F.count(F.lit(1)).alias("n_lines"),
+                                                   F.min_by(F.col("value").endswith("\r"), "row").alias("crlf"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2 == 1
     return per_split.withColumn("inside", inside)
@@ -109,7 +111,7 @@ def _cut_records(odd_starts):
     names = [f.name for f in FRAGMENT_SCHEMA.fields]
 
     def run(batches):
-        odd = odd_starts.value
+        odd, crlf = odd_starts.value
         st = {"key": None}
         out: list[pa.RecordBatch] = []
 
@@ -156,6 +158,8 @@ def _cut_records(odd_starts):
                     st.update(key=key, name=batch.column("name")[a].as_py(), parity=1 if key in odd else 0,
                               head=[], rec=None, rec_first=False, seen_start=False)
                 vals = values.slice(a, b - a)
+                if key[0] in crlf:
+                    vals = pc.replace_substring_regex(vals, "\r$", "")
                 q = pc.count_substring(vals, '"').to_numpy(zero_copy_only=False).astype(np.int64) & 1
                 before = (st["parity"] + np.cumsum(q) - q) & 1
                 starts = np.flatnonzero(before == 0)
@@ -219,10 +223,12 @@ def quoted_records(spark: SparkSession, paths: list[str], out_dir: str,
     with _split_size(spark, split_bytes):
         lines = _lines(spark, paths)
         split_table(lines).write.mode("overwrite").parquet(f"{out_dir}/splits")
-        starts = spark.read.parquet(f"{out_dir}/splits").filter("inside")
-        odd = {(r["path"], int(r["block"])) for r in starts.select("path", "block").collect()}
-        odd_bc = spark.sparkContext.broadcast(frozenset(odd))
-        (lines.mapInArrow(_cut_records(odd_bc), FRAGMENT_SCHEMA)
+        splits = spark.read.parquet(f"{out_dir}/splits")
+        odd = {(r["path"], int(r["block"])) for r in splits.filter("inside").select("path", "block").collect()}
+        # A file's line ending is that of its first line (the header), in its first split.
+        crlf = {r["path"] for r in splits.filter((F.col("block") == 0) & F.col("crlf")).select("path").collect()}
+        odd_bc = spark.sparkContext.broadcast((frozenset(odd), frozenset(crlf)))
+        (lines.drop("row").mapInArrow(_cut_records(odd_bc), FRAGMENT_SCHEMA)
          .write.mode("overwrite").parquet(f"{out_dir}/fragments"))
     frags = spark.read.parquet(f"{out_dir}/fragments")
     whole = frags.filter(F.col("kind") == "record").select("path", "name", "first", "text")

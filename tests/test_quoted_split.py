@@ -99,3 +99,13 @@ def test_split_reader_any_split_size(spark, feed_dir):
         split = land_feed(spark, feed.with_(quoted_split_bytes=size), fields, JOB)
         _same(whole.rows, split.rows)
         _same(whole.files.drop("source_path"), split.files.drop("source_path"))
+
+
+def test_line_endings_inside_values_follow_the_file(spark, feed_dir):
+    lf = b'"id","t"\n"1","a\r\nb"\n"2","c\nd"\n' + b"".join(f'"{i}","x"\n'.encode() for i in range(3, 200))
+    (feed_dir / "lf.csv").write_bytes(lf)
+    feed = Feed("m", str(feed_dir), extension="csv", delimiter=",", quoting=1)
+    whole, split = _both(spark, feed, [LandingField("id", "float64")])
+    _same(whole.rows, split.rows)
+    got = [r["t"] for r in split.rows.filter("id < 3").orderBy("id").collect()]
+    assert got == ["a\r\nb", "c\nd"]                           # an LF file keeps a CRLF inside a value
