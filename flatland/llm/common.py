@@ -6,6 +6,7 @@ import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flatland.session import ensure_checkpoint_dir
 
@@ -37,3 +38,13 @@ def fold_of_value(doc_id: int | None, folds: int = 5) -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def whole_row(frame: DataFrame, keep: list[str] | None = None) -> Column:
+    """The columns of a row as one struct ``row``, to pass through a Python operator under no other name."""
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in (frame.columns if keep is None else keep)]).alias("row")
+
+
+def with_row(frame: DataFrame, more: str) -> T.StructType:
+    """Schema of the struct ``row`` of a frame and what is added to it."""
+    return T.StructType([frame.schema["row"], *T.StructType.fromDDL(more).fields])

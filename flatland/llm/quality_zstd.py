@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatland.llm.common import fold_of
+from flatland.llm.common import fold_of, whole_row, with_row
 
 PIECE_BYTES = 2048
 DICTIONARY_BYTES = 256 << 10
@@ -150,9 +150,9 @@ def train_quality(documents: DataFrame, labels: DataFrame, learn: Column | None
     if not got[0] or not got[1]:
         return neutral
     model = QualityModel(train_dictionary(got[1]), train_dictionary(got[0]))
-    fit = measure(sample.where(F.col("curve")), model, ["quality"]).select("quality", "difference").toPandas()
+    fit = measure(sample.where(F.col("curve")), model, keep=["quality"]).select("row.quality", "difference").toPandas()
     if fit["quality"].nunique() < 2:            # too few rows to set some aside: those of the dictionaries then
-        fit = measure(sample, model, ["quality"]).select("quality", "difference").limit(CALIBRATION_ROWS).toPandas()
+        fit = measure(sample, model, keep=["quality"]).select("row.quality", "difference").limit(CALIBRATION_ROWS).toPandas()
     fit = fit.sort_values(["quality", "difference"])
     slope, offset = fit_curve(fit["difference"].to_numpy(dtype=float), fit["quality"].to_numpy(dtype=float))
     # The curve saw as many rows of either class as there were, up to its bound; set the prior right beyond it.
@@ -162,27 +162,30 @@ def train_quality(documents: DataFrame, labels: DataFrame, learn: Column | None
     return QualityModel(model.good, model.bad, slope, offset)
 
 
-def measure(documents: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
-    """``keep`` columns, difference and score of every row's ``text``."""
+def measure(documents: DataFrame, model: QualityModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (default: all) of every row in ``row``, with its difference and score."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    frame = documents.select(*[F.col(f"`{c}`") for c in keep], F.col("text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
+    frame = documents.select(whole_row(documents, keep), F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         difference = Difference(model)
         for batch in batches:
-            x = [difference(t.as_py()) for t in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(keep))] + [pa.array(x, pa.float64()), pa.array([curve(v, model) for v in x], pa.float64())],
-                names=[*keep, "difference", "score"])
+            x = [difference(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.float64()), pa.array([curve(v, model) for v in x], pa.float64())],
+                                             names=["row", "difference", "score"])
 
-    return frame.mapInArrow(run, f"{kinds}, difference double, score double")
+    return frame.mapInArrow(run, with_row(frame, "difference double, score double"))
 
 
 def score_quality(documents: DataFrame, model: QualityModel, threshold: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted and difference of every row."""
-    frame = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return measure(frame, model, ["doc_id"]).select(
+    slim = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    return measure(slim, model, keep=["doc_id"]).select("row.*", "difference", "score").select(
         "doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"), "difference")
+
+
+def keep_good(documents: DataFrame, model: QualityModel, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """The rows of ``documents`` that score ``threshold`` or more, as they are."""
+    return measure(documents, model, text).where(F.col("score") >= threshold).select("row.*")

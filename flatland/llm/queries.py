@@ -6,9 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatland.llm import html_extract, language_id, packing, quality_zstd, topk_search, url_filter
+from flatland.llm import (
+    decontaminate, html_extract, language_id, line_dedup, ngram_join, packing, pii_feistel, quality_zstd, topk_search, url_filter,
+)
 from flatland.llm.common import table
 
+#: A demonstration key; a user of the operator passes a secret one.
+PII_KEY = b"demonstration key, not a secret"
+
 URL_RULES = [
     url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"),
     url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"), url_filter.Rule("block", "net", "/fr/"),
@@ -19,12 +24,24 @@ def op1_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_feistel.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op4_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality_zstd.train_quality(documents, table(spark, sf_dir, "labels"))
     return quality_zstd.score_quality(documents, model, threshold=0.3)
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op6_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
@@ -43,10 +60,29 @@ def op9_language_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(documents, language_id.train_languages(documents))
 
 
+def op10_decontaminate_cgk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_html_mincut, op4_quality_zstd, op6_bin_packing, op7_topk_histogram, op8_url_rules, op9_language_backoff)}
+    op1_html_mincut, op2_line_windows, op3_pii_feistel, op4_quality_zstd, op5_ngram_jaccard, op6_bin_packing, op7_topk_histogram,
+    op8_url_rules, op9_language_backoff, op10_decontaminate_cgk)}
 
 ORACLES = {
+    "op2_line_windows": r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS p FROM d),
+b AS (SELECT doc_id, p, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS t FROM l),
+w AS (
+  SELECT doc_id, p, lead(p, 2) OVER o AS last_p, t || chr(10) || lead(t, 1) OVER o || chr(10) || lead(t, 2) OVER o AS k
+  FROM b WHERE t <> '' WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+r AS (SELECT doc_id, p, last_p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM w WHERE k IS NOT NULL),
+gone AS (SELECT DISTINCT l.doc_id, l.p FROM l JOIN r ON r.doc_id = l.doc_id AND l.p BETWEEN r.p AND r.last_p WHERE r.n > 1),
+kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.p) FILTER (WHERE gone.p IS NULL) AS text, count(gone.p) AS n_removed
+  FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.p = l.p GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text, CAST(coalesce(n_removed, 0) AS INTEGER) AS n_removed
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
     "op7_topk_histogram": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e

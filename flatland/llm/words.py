@@ -1,7 +1,7 @@
 """Vectorised word and shingle hashing over Arrow string columns.
 
-A word is a run of bytes other than the ASCII white space 0x20 and 0x09-0x0D; A-Z
-count as a-z. Words are hashed straight from the column's UTF-8 buffer with a
+A word is a run of bytes other than the ASCII white space 0x20 and 0x09-0x0D (or other than all
+ASCII signs but letters and digits); A-Z count as a-z. Words are hashed straight from the column's UTF-8 buffer with a
 few numpy passes, so no Python object is made per word. Hashes have 64 bits: within one pair of
 documents of 10,000 words two different shingles meet with probability below 1e-11.
 """
@@ -40,8 +40,11 @@ def _byte_table() -> np.ndarray:
 
 
 _CODES = _byte_table()
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes between words: ASCII white space; or all of ASCII but letters and digits.
+WHITE_SPACE = np.zeros(256, dtype=bool)
+WHITE_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[[b for b in range(128) if not chr(b).isalnum()]] = True
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -67,9 +70,9 @@ class Words:
     bounds: np.ndarray      # int64, one more than texts
 
 
-def _hash_buffer(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_buffer(raw: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes, starts and ends of one buffer."""
-    inside = ~_SPACE[raw]
+    inside = ~between[raw]
     edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
@@ -92,7 +95,7 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
-def iter_words(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
+def iter_words(column: pa.Array, between: np.ndarray = WHITE_SPACE) -> Iterator[tuple[int, int, Words]]:
     """Yield (first, last, words) for runs of texts of about BLOCK_BYTES bytes.
 
     A text longer than that is a run of its own and is hashed whole.
@@ -110,25 +113,42 @@ def iter_words(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
         shift = np.repeat(np.arange(n), np.diff(own))
         buf[np.arange(hi - lo) + shift] = raw[lo:hi]
         base = own + np.arange(n + 1)
-        hashes, starts, ends = _hash_buffer(buf)
+        hashes, starts, ends = _hash_buffer(buf, between)
         bounds = np.searchsorted(starts, base)
         owner = np.repeat(np.arange(n), np.diff(bounds))
         yield first, last, Words(hashes, starts - base[owner], ends - base[owner], bounds)
         first = last
 
 
-def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of the runs of ``size`` words; a shorter text is one run, none gives none."""
-    n = len(words)
-    if n == 0:
-        return np.empty(0, np.uint64)
-    width = min(size, n)
-    out = np.full(n - width + 1, np.uint64(width), dtype=np.uint64)
-    for k in range(width):
-        out = mix(out * np.uint64(_MULT) + words[k:n - width + 1 + k])
+def runs_of(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words; ``size`` counts, too."""
+    out = np.full(max(0, len(words) - size + 1), np.uint64(size), dtype=np.uint64)
+    for k in range(size):
+        out = mix(out * np.uint64(_MULT) + words[k:k + len(out)])
     return out
 
 
-def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
-    """Distinct shingle hashes, ascending."""
-    return np.unique(shingle_hashes(words, size))
+def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``size`` words of every text, and the texts' bounds in them.
+
+    A shorter text is one run, a text without words has none.
+    """
+    counts = np.diff(words.bounds)
+    runs = runs_of(words.hashes, size)
+    own = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
+    bounds = np.concatenate(([0], np.cumsum(own)))
+    at = np.arange(bounds[-1]) - np.repeat(bounds[:-1] - words.bounds[:-1], own)
+    out = np.empty(bounds[-1], dtype=np.uint64)
+    whole = at < len(runs)
+    out[whole] = runs[at[whole]]
+    for i in np.flatnonzero((counts > 0) & (counts < size)):
+        lo, hi = words.bounds[i], words.bounds[i + 1]
+        out[bounds[i]] = runs_of(words.hashes[lo:hi], hi - lo)[0]
+    return out, bounds
+
+
+def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
+    """The distinct shingle hashes of every text, ascending."""
+    hashes, bounds = shingles(words, size)
+    for lo, hi in zip(bounds, bounds[1:]):
+        yield np.unique(hashes[lo:hi])
