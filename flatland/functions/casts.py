@@ -1,7 +1,9 @@
 """Strict landing casts and PostgreSQL-semantics stage casts.
 
 Landing (V3, V4): a cell that is present but does not parse makes its file
-bad; the result is null for it. Stage (V7-V11): the conversions a relational
+bad; the result is null for it. A ``number`` column lands as its checked text,
+so integers beyond 2^53 and decimals keep every digit until the stage cast; a
+``float64`` column lands as double. Stage (V7-V11): the conversions a relational
 target applies on insert, restated with Spark built-ins: half-even integer
 rounding, half-away decimal rounding, silent varchar truncation, timestamp(0)
 rounding.
@@ -18,16 +20,28 @@ from pyspark.sql import types as T
 # The date/time layouts accepted on landing, tried in this
 # order (month first; day first only as the last resort).
 DATETIME_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd",
-    "M/d/yyyy H:mm[:ss]",
+    "yyyy-M-d H:mm[:ss][.SSSSSS]",
+    "yyyy-M-d",
+    "yyyy/M/d H:mm[:ss][.SSSSSS]",
+    "yyyy/M/d",
+    "M/d/yyyy H:mm[:ss][.SSSSSS]",
     "M/d/yyyy h:mm[:ss] a",
     "M/d/yyyy",
+    "M/d/yy H:mm[:ss]",
+    "M/d/yy",
     "yyyyMMdd",
-    "d-MMM-yyyy",
-    "d/M/yyyy H:mm[:ss]",
+    "yyyyMMdd HHmmss",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "d-MMM-yy[ H:mm[:ss]]",
+    "d MMMM yyyy[ H:mm[:ss]]",
+    "d MMM yyyy[ H:mm[:ss]]",
+    "MMMM d yyyy[ H:mm[:ss]]",
+    "MMM d yyyy[ H:mm[:ss]]",
+    "M-d-yyyy[ H:mm[:ss]]",
+    "d/M/yyyy H:mm[:ss][.SSSSSS]",
     "d/M/yyyy",
+    "d/M/yy",
+    "d.M.yyyy[ H:mm[:ss]]",
 ]
 
 # The representable range of the landing timestamp (nanosecond
@@ -45,6 +59,11 @@ def number_attempt(c: Column) -> Column:
     return F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c.try_cast("double"))
 
 
+def number_text(cell: Column, attempt: Column) -> Column:
+    """The checked text of a number, without blanks around it; NaN lands as null."""
+    return F.when(attempt.isNotNull() & ~F.isnan(attempt), F.trim(cell))
+
+
 def number_value(attempt: Column) -> Column:
     """NaN parses but lands as null."""
     return F.when(~F.isnan(attempt), attempt)
@@ -60,15 +79,34 @@ def strict_double(c: Column) -> tuple[Column, Column]:
     return number_value(parsed), c.isNotNull() & parsed.isNull()
 
 
-# Cheap shape test: only texts that start like one of the layouts above are
-# handed to the parsers, so ordinary words cost one regex, not ten parses.
-_DATE_SHAPE = r"^[0-9]{1,4}[-/][0-9A-Za-z]{1,3}[-/][0-9]{1,4}|^[0-9]{8}$"
+# Cheap shape test: only texts that look like one of the layouts above (three
+# parts of digits or a month's name; or eight digits) are handed to the
+# parsers, so ordinary words cost one regex, not a parse for each layout.
+_DATE_SHAPE = (r"^(?:[0-9]{1,4}[-/.][0-9A-Za-z]{1,9}[-/.][0-9]{1,4}|[0-9]{8}"
+               r"|[0-9]{1,2} [A-Za-z]{3,9},? [0-9]{4}|[A-Za-z]{3,9} [0-9]{1,2},? [0-9]{4})(?![0-9A-Za-z])")
+# A time's zone (Z or an offset) and what Spark's microseconds cannot hold.
+_ZONE = r"(?<=[0-9])\s*(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})$"
+_FRACTION = r"(:[0-9]{2}\.[0-9]{6})[0-9]+$"
+
 
+def datetime_text(c: Column) -> Column:
+    """The text in the spelling of the layouts: trimmed, a blank for ``T``, the comma after
+    a day gone, the wall clock of its own zone, at most microseconds."""
+    t = F.regexp_replace(F.trim(c), r"(?<=[0-9])T(?=[0-9])", " ")
+    t = F.regexp_replace(t, r"(?<=[0-9A-Za-z]), ", " ")
+    t = F.when(t.contains(":"), F.regexp_replace(F.regexp_replace(t, _ZONE, ""), _FRACTION, "$1")).otherwise(t)
+    return t
 
-def parse_datetime(c: Column) -> Column:
-    """First layout that parses, as a wall-clock timestamp (no time zone)."""
-    attempts = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATETIME_FORMATS]
-    return F.when(c.rlike(_DATE_SHAPE), F.coalesce(*attempts)).cast(T.TimestampNTZType())
+
+def parse_datetime(c: Column, layouts: list[str] | tuple[str, ...] = ()) -> Column:
+    """First layout that parses, as a wall-clock timestamp (no time zone).
+
+    ``layouts`` are a feed's own, tried first on the trimmed text as it is.
+    """
+    own = [F.try_to_timestamp(F.trim(c), F.lit(fmt)) for fmt in layouts]
+    t = datetime_text(c)
+    known = F.when(t.rlike(_DATE_SHAPE), F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in DATETIME_FORMATS]))
+    return F.coalesce(*own, known).cast(T.TimestampNTZType())
 
 
 def datetime_value(attempt: Column) -> Column:
@@ -83,9 +121,25 @@ def strict_timestamp(c: Column) -> tuple[Column, Column]:
     return datetime_value(parsed), c.isNotNull() & parsed.isNull()
 
 
-def pg_integer(c: Column, bigint: bool = False) -> Column:
-    """Number -> integer/bigint, rounding half to even (V7)."""
-    return F.rint(c).cast("bigint" if bigint else "int")
+_INTEGER_TEXT = r"^[+-]?[0-9]{1,38}$"
+
+
+def pg_integer(c: Column, bigint: bool = False, source: T.DataType | None = None) -> Column:
+    """Number -> integer/bigint, rounding half to even (V7).
+
+    Integers, decimals and integer texts are cast as they are, never through
+    a double; ``source`` is the type of ``c`` where the caller knows it.
+    """
+    to = "bigint" if bigint else "int"
+    if isinstance(source, T.IntegralType):
+        return c.cast(to)
+    if isinstance(source, T.DecimalType):
+        return F.bround(c, 0).cast(to)
+    if isinstance(source, T.StringType):
+        t = F.trim(c)
+        return F.when(t.rlike(_INTEGER_TEXT), t.cast("decimal(38,0)").cast(to)).otherwise(F.rint(t.cast("double")).cast(to))
+    whole = F.typeof(c).isin("tinyint", "smallint", "int", "bigint")
+    return F.when(whole, c.cast(to)).otherwise(F.rint(c).cast(to))
 
 
 def pg_decimal(c: Column, precision: int, scale: int) -> Column:
@@ -126,11 +180,6 @@ def duration_text(seconds: Column) -> Column:
     return F.concat(seconds.cast("bigint").cast("string"), F.lit(" seconds"))
 
 
-def round_to_second(ts: Column) -> Column:
-    """Current-timestamp style value kept to whole seconds."""
-    return pg_timestamp0(ts)
-
-
 _TYPE_RE = re.compile(r"^\s*([a-z][a-z0-9_ ]*?)\s*(?:\(\s*([0-9?]+)\s*(?:,\s*([0-9]+)\s*)?\))?\s*$")
 
 
@@ -164,13 +213,13 @@ def spark_type(type_text: str) -> T.DataType:
     raise ValueError(f"unsupported column type {type_text!r}")
 
 
-def db_cast(c: Column, type_text: str) -> Column:
-    """CAST(c AS type) with relational semantics."""
+def db_cast(c: Column, type_text: str, source: T.DataType | None = None) -> Column:
+    """CAST(c AS type) with relational semantics (P8/P9); ``source`` is the type of ``c`` where known."""
     base, a, b = parse_db_type(type_text)
     if base in ("integer", "int", "int4"):
-        return pg_integer(c)
+        return pg_integer(c, source=source)
     if base in ("bigint", "int8"):
-        return pg_integer(c, bigint=True)
+        return pg_integer(c, bigint=True, source=source)
     if base in ("decimal", "numeric"):
         return pg_decimal(c, a or 38, b or 0)
     if base in ("timestamp", "timestamp without time zone"):

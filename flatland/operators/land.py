@@ -7,7 +7,7 @@ Plan per feed
    differently;
 3. one CSV read per header group, every column a string, bound by position
    within the group, with the corrupt-record column kept for ragged rows;
-   quoted files bigger than one split are read in parallel splits instead
+   quoted files are cut into records first, in parallel splits
    (sources/quoted.py), which also yields their line counts;
 4. clean cells (null markers, quotes), add lineage columns, strictly cast the
    spec's typed columns and record the first reason a row is bad;
@@ -19,7 +19,6 @@ Plan per feed
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from dataclasses import dataclass
 from datetime import datetime
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatland import storage
-from flatland.functions.casts import datetime_value, number_attempt, number_value, parse_datetime
+from flatland.functions.casts import datetime_value, number_attempt, number_text, number_value, parse_datetime
 from flatland.functions.names import landing_name
 from flatland.functions.nulls import clean_cell
 from flatland.operators.joins import BROADCAST_ROW_LIMIT, join_small
@@ -53,7 +52,7 @@ class LandingField:
     """One 'Flat File' row of the spec: source column and landing type."""
 
     source: str
-    type: str = "string"  # string | float64 | date | timestamp
+    type: str = "string"  # string | number (checked text, exact) | float64 | date | timestamp
 
 
 @dataclass
@@ -95,7 +94,9 @@ def too_many_fields(corrupt: "F.Column", n_cols: int, feed: Feed) -> "F.Column":
     Tokens are counted on the raw record text after removing quoted spans, so
     delimiters inside quotes do not count.
     """
-    text = F.regexp_replace(corrupt, r'"(?:[^"]|"")*"', "") if feed.quoted else corrupt
+    # Doubled quotes go first, so that the pattern needs no group: Java's regex engine recurses for each turn of one.
+    slim = F.replace(corrupt, F.lit('""'), F.lit(""))
+    text = F.regexp_replace(slim, r'"[^"]*+"', "") if feed.quoted else corrupt
     n_tokens = F.size(F.split(text, "\\Q" + feed.delimiter + "\\E", -1))
     return corrupt.isNotNull() & (n_tokens > F.lit(n_cols))
 
@@ -119,10 +120,10 @@ def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, s
         cell = clean_cell(F.col(pos), feed.null_value, feed.quoted)
         kind = fields.get(name, "string")
         first.append(cell.alias(f"_x{i}"))
-        if kind == "float64":
+        if kind in ("float64", "number"):
             first.append(number_attempt(cell).alias(f"_p{i}"))
         elif kind in ("date", "timestamp"):
-            first.append(parse_datetime(cell).alias(f"_p{i}"))
+            first.append(parse_datetime(cell, feed.date_layouts).alias(f"_p{i}"))
     parsed = raw.select(*first)
 
     cols = [F.col(_PATH)]
@@ -132,8 +133,10 @@ def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, s
     for i, name in enumerate(names):
         cell, attempt = F.col(f"_x{i}"), F.col(f"_p{i}")
         kind = fields.get(name, "string")
-        if kind == "float64":
-            value = number_value(attempt)
+        if name in (AUDIT_FILE, AUDIT_TS):
+            continue                    # a file's own columns of these names give way to the load's
+        if kind in ("float64", "number"):
+            value = number_value(attempt) if kind == "float64" else number_text(cell, attempt)
             reasons.append(F.when(cell.isNotNull() & attempt.isNull(), F.lit(f"bad number in {name}")))
             samples.append(F.when(cell.isNotNull() & attempt.isNull(), cell))
         elif kind in ("date", "timestamp"):
@@ -164,56 +167,24 @@ def _load_file_name(file_name: "F.Column", file_path: "F.Column", expand_dir: st
                   F.regexp_extract(file_name, r"^[0-9]{6}-(.*)\.plain$", 1)).otherwise(file_name)
 
 
-def split_threshold(spark: SparkSession, feed: Feed) -> int:
-    """Quoted files above this size are read in parallel splits."""
-    if feed.quoted_split_bytes:
-        return int(feed.quoted_split_bytes)
-    return byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def byte_size(text: str) -> int:
-    """'128m', '128MB', '134217728b' or '134217728' -> bytes."""
-    m = re.fullmatch(r"\s*([0-9]+)\s*([a-zA-Z]*)\s*", str(text))
-    if not m or m.group(2).lower() not in _UNITS:
-        raise ValueError(f"not a byte size: {text!r}")
-    return int(m.group(1)) * _UNITS[m.group(2).lower()]
-
-
 def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[str],
                 fields: dict[str, str], job_ts: str, expand_dir: str,
-                lengths: dict[str, int] | None = None,
-                records_dir: str | None = None) -> tuple[DataFrame, DataFrame | None, list[str]]:
-    """One header group: small or unsplittable files through the CSV reader;
-    quoted files bigger than one split through the split reader (sources/quoted.py).
-
-    Returns the parsed rows and, for the files the split reader took (also
-    returned), their line counts from its own parity pass, so those files are
-    not scanned again.
+                records_dir: str) -> tuple[DataFrame, DataFrame | None]:
+    """One header group: quoted files by the record reader (sources/quoted.py), whatever
+    their size; unquoted ones, and quoted ones in an encoding it does not read, by the CSV reader.
+
+    Returns the parsed rows and, from the record reader, the files' line
+    counts from its own first pass, so those files are not scanned again.
     """
     schema = positional_schema(len(names))
-    big: list[str] = []
-    if feed.quoted and lengths is not None and records_dir:
-        limit = split_threshold(spark, feed)
-        big = [p for p in paths if can_split(p, feed.encoding) and lengths.get(p, 0) > limit]
-    small = [p for p in paths if p not in set(big)]
-    parts = []
-    if small:
-        raw = csv_reader(spark, feed, schema).csv(small)
-        path = F.col("_metadata.file_path")
-        parts.append(clean_cast(raw, names, feed, fields, job_ts,
-                                _load_file_name(F.col("_metadata.file_name"), path, expand_dir), path))
-    counts = None
-    if big:
-        records = quoted_records(spark, big, records_dir, feed.quoted_split_bytes)
-        counts = split_line_counts(spark, records_dir)
+    if feed.quoted and can_split(feed.encoding):
+        records = quoted_records(spark, paths, records_dir, feed.quoted_split_bytes, feed.delimiter, len(names))
         raw = parse_records(records, schema, csv_options(feed))
-        parts.append(clean_cast(raw, names, feed, fields, job_ts,
-                                _load_file_name(F.col("name"), F.col("path"), expand_dir), F.col("path")))
-    return (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])), counts, big
+        rows = clean_cast(raw, names, feed, fields, job_ts, _load_file_name(F.col("name"), F.col("path"), expand_dir), F.col("path"))
+        return rows, split_line_counts(spark, records_dir)
+    raw = csv_reader(spark, feed, schema).csv(paths)
+    path = F.col("_metadata.file_path")
+    return clean_cast(raw, names, feed, fields, job_ts, _load_file_name(F.col("_metadata.file_name"), path, expand_dir), path), None
 
 
 def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None) -> tuple[DataFrame, DataFrame]:
@@ -253,19 +224,11 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     """Land every data file of ``feed`` (or the given ``paths``)."""
     run_dir = run_dir or new_run_dir(spark, f"land-{feed.name}")
     job_ts = format_job_time(job_start)
-    lengths: dict[str, int] | None = None
     if paths is None:
-        listing = list_feed_files(spark, feed)
-        paths = [p for p, _, _ in listing]
-        lengths = {p: n for p, n, _ in listing}
+        paths = [p for p, _, _ in list_feed_files(spark, feed)]
     expand_dir = storage.qualify(spark, f"{run_dir}/expanded")
     expanded = expand_archives(spark, paths, expand_dir)
     read_path = {p: expanded.get(p, p) for p in paths}
-    if feed.quoted:
-        # Sizes decide which quoted files are read in splits; archives are sized after expansion.
-        missing = [q for q in read_path.values() if lengths is None or q not in lengths]
-        lengths = {**(lengths or {}), **(storage.file_lengths(spark, missing) if missing else {})}
-
     field_types = {landing_name(f.source): f.type for f in fields}
     field_types.pop(AUDIT_TS, None)
     field_types.pop(AUDIT_FILE, None)
@@ -285,6 +248,8 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     counted: set[str] = set()
     for gi, (header, group_paths) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
         names = [landing_name(n, feed.quoted) for n in split_header(header, feed.delimiter, feed.quoted)]
+        # A header's empty names (a trailing delimiter) are numbered by place.
+        names = [n or f"column_{i + 1}" for i, n in enumerate(names)]
         dupes = sorted({n for n in names if names.count(n) > 1})
         missing = [w for w in wanted if w not in set(names) | {AUDIT_FILE, AUDIT_TS}]
         if dupes:
@@ -292,12 +257,12 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         elif missing:
             header_bad += [(p, "missing column: " + ", ".join(missing)) for p in group_paths]
         else:
-            part, counts, big = _scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts,
-                                            expand_dir, lengths, f"{run_dir}/records/g{gi:04d}")
+            part, counts = _scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts,
+                                       expand_dir, f"{run_dir}/records/g{gi:04d}")
             parts.append(part)
             if counts is not None:
                 split_counts.append(counts)
-                counted.update(big)
+                counted.update(group_paths)
 
     parsed_path = f"{run_dir}/parsed"
     if parts:

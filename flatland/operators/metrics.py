@@ -1,9 +1,9 @@
 """Run metrics, load summary, manifest and retention.
 
-Counters for job, folder and file come from one ``rollup`` with
-``grouping_id`` (A1, A2, A11); the load summary nests them as
-job -> folders[] -> files[] with ``struct``/``collect_list`` (K7). The
-nested lists hold one entry per file, i.e. run metadata, never data rows.
+Records are counted per file first; counters for job, folder and file are then
+one ``rollup`` with ``grouping_id`` over that small table (A1, A2, A11). The
+load summary has one row per folder, with the job's totals, the folder's and
+its files[] (K7): run metadata, never data rows, and never a whole job in one row.
 """
 
 from __future__ import annotations
@@ -24,10 +24,13 @@ def load_counters(rows: DataFrame, feed_col: str = "feed", file_col: str = "load
     ``rows`` is one row per landed record (or per file with a ``records``
     column summed instead). Start/end columns give min/max times per level.
     """
-    aggs = [F.count(F.lit(1)).alias("records"), F.count_distinct(file_col).alias("files")]
+    first = [F.count(F.lit(1)).alias("records")]
+    aggs = [F.sum("records").alias("records"), F.count_distinct(file_col).alias("files")]
     if start_col:
-        aggs += [F.min(start_col).alias("level_start"), F.max(end_col or start_col).alias("level_end")]
-    out = rows.rollup(feed_col, file_col).agg(*aggs, F.grouping_id().alias("gid"))
+        first += [F.min(start_col).alias("level_start"), F.max(end_col or start_col).alias("level_end")]
+        aggs += [F.min("level_start").alias("level_start"), F.max("level_end").alias("level_end")]
+    per_file = rows.groupBy(feed_col, file_col).agg(*first)
+    out = per_file.rollup(feed_col, file_col).agg(*aggs, F.grouping_id().alias("gid"))
     out = out.withColumn("level", F.element_at(F.create_map(*[x for k, v in LEVELS.items()
                                                              for x in (F.lit(k), F.lit(v))]), F.col("gid")))
     out = out.withColumn("records_text", F.format_number(F.col("records"), 0))
@@ -59,7 +62,7 @@ def reconcile(files: DataFrame) -> DataFrame:
 
 
 def load_summary(files: DataFrame, job_name: str) -> DataFrame:
-    """Nested summary: one row, job -> folders[] -> files[] (K7).
+    """One row per folder: the job's totals, the folder's, and its files[] (K7).
 
     ``files`` has feed, load_file_name, raw_records, records_loaded, status,
     reason and, when known, file_start and file_end (else they are null).
@@ -84,24 +87,20 @@ def load_summary(files: DataFrame, job_name: str) -> DataFrame:
         F.sort_array(F.collect_list("file")).alias("files"))
     folders = folders.withColumn("folderTotalDuration",
                                  duration_text(F.timestamp_diff("SECOND", "folderStart", "folderEnd")))
-    folder_struct = F.struct(F.col("feed").alias("folderPath"), "folderFilesLoaded", "folderRecordsLoaded",
-                             "folderBadFiles", "folderStart", "folderEnd", "folderTotalDuration", "files")
-    job = folders.agg(
+    folders = folders.withColumnRenamed("feed", "folderPath").withColumn("jobName", F.lit(job_name))
+    job = folders.groupBy("jobName").agg(
         F.count(F.lit(1)).alias("jobFoldersProcessed"),
         F.sum("folderFilesLoaded").alias("jobFilesLoaded"),
         F.sum("folderRecordsLoaded").alias("jobRecordsLoaded"),
         F.sum("folderBadFiles").alias("jobBadFiles"),
-        F.min("folderStart").alias("jobStart"), F.max("folderEnd").alias("jobEnd"),
-        F.sort_array(F.collect_list(folder_struct)).alias("folders"))
-    return job.select(F.lit(job_name).alias("jobName"), "*").withColumn(
-        "jobTotalDuration", duration_text(F.timestamp_diff("SECOND", "jobStart", "jobEnd")))
+        F.min("folderStart").alias("jobStart"), F.max("folderEnd").alias("jobEnd"))
+    job = job.withColumn("jobTotalDuration", duration_text(F.timestamp_diff("SECOND", "jobStart", "jobEnd")))
+    return folders.join(F.broadcast(job), "jobName")        # the job's totals are a single row
 
 
 def flatten_summary(summary: DataFrame) -> DataFrame:
-    """Back from the nested summary to one row per file."""
-    folders = summary.select("jobName", F.explode("folders").alias("f"))
-    return folders.select("jobName", F.col("f.folderPath").alias("folder"),
-                          F.explode("f.files").alias("file")).select("jobName", "folder", "file.*")
+    """Back from the folders' rows to one row per file."""
+    return summary.select("jobName", F.col("folderPath").alias("folder"), F.explode("files").alias("file")).select("jobName", "folder", "file.*")
 
 
 def retention(df: DataFrame, ts_col: str, now: Column, keep_days: int) -> tuple[DataFrame, DataFrame]:
@@ -126,8 +125,8 @@ def new_files(listing: DataFrame, manifest: DataFrame, on: str = "load_file_name
     return join_small(listing, manifest.select(on), on, "left_anti", manifest_rows)
 
 
-def expire_runs(spark, runs_root: str, now_ms: int, keep_days: int, dry_run: bool = False) -> list[str]:
-    """Delete run folders older than ``keep_days`` whole days.
+def expire_runs(spark, runs_root: str, now_ms: int, keep_days: int, dry_run: bool = False, prefix: str = "") -> list[str]:
+    """Delete run folders (whose names begin with ``prefix``) older than ``keep_days`` whole days.
 
     A run folder holds one run's parsed rows, stage, file counters and
     quarantine list: the archive and the logs of a load. Age is whole days
@@ -138,7 +137,8 @@ def expire_runs(spark, runs_root: str, now_ms: int, keep_days: int, dry_run: boo
     from flatland import storage
     gone = []
     for path, is_dir, modified_ms in storage.list_dir_times(spark, runs_root):
-        if is_dir and (now_ms - modified_ms) // 86_400_000 > keep_days:
+        mine = path.rstrip("/").rsplit("/", 1)[-1].startswith(prefix)
+        if is_dir and mine and (now_ms - modified_ms) // 86_400_000 > keep_days:
             if not dry_run:
                 storage.delete(spark, path)
             gone.append(path)

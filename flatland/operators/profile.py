@@ -111,7 +111,8 @@ def db_type() -> Column:
     scale = F.col("max_right") + 1
     precision = F.least(F.col("max_left") + scale + 2, F.lit(38))
     decimal = F.format_string("decimal(%d,%d)", precision, F.least(scale, precision))
-    int_class = (F.when((F.col("max_number") > 9223372036854775807.0) | (F.col("min_number") < -9223372036854775808.0),
+    # Doubles near 2^63 stand for several integers: only what is surely below is a bigint.
+    int_class = (F.when((F.col("max_number") >= 9223372036854775808.0) | (F.col("min_number") < -9223372036854775808.0),
                         F.lit("decimal(38,0)"))
                  .when((F.col("max_number") > 2147483647) | (F.col("min_number") < -2147483648), F.lit("bigint"))
                  .otherwise(F.lit("integer")))

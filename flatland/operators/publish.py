@@ -18,13 +18,17 @@ import hashlib
 import re
 import uuid
 from typing import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flatland import storage
 from flatland.operators.joins import join_small
 
+# Fixed value: the folder of rows whose partition value is null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _VERSION_RE = re.compile(r"/v(\d{6})$")
 
 
@@ -54,8 +58,8 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str],
 
 
 def assert_unique_keys(stage: DataFrame, keys: Sequence[str]) -> None:
-    """Publish expects a de-duplicated stage."""
-    if not stage.groupBy(*keys).count().filter("count > 1").isEmpty():
+    """Publish expects a de-duplicated stage (D23). Rows with a null key part are not published and don't count."""
+    if not stage.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1").isEmpty():
         raise ValueError(f"stage has duplicate keys on {list(keys)}; run dedup_latest first")
 
 
@@ -120,13 +124,18 @@ class VersionedTable:
         return self.spark.read.parquet(self.path(version))
 
     def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as a version (next one by default) and return its number."""
+        """Write ``df`` as a version (next one by default) and return its number.
+
+        A bucketed version is dealt by bucket first, so each bucket is one
+        file; a frame that already is (a publish) is not shuffled again.
+        """
         if version is None:
             version = (self.current_version() or 0) + 1
         if self.bucketed:
             name = self.table_name(version)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")   # external: drops the entry, not the files
-            (df.write.mode("overwrite").format("parquet").bucketBy(self.buckets, *self.keys)
+            dealt = df.repartition(self.buckets, *[F.col(f"`{k}`") for k in self.keys])
+            (dealt.write.mode("overwrite").format("parquet").bucketBy(self.buckets, *self.keys)
              .sortBy(*self.keys).option("path", self.path(version)).saveAsTable(name))
         else:
             df.write.mode("overwrite").parquet(self.path(version))
@@ -153,6 +162,7 @@ def publish(spark: SparkSession, stage: DataFrame, table: VersionedTable, keys:
     bucket by bucket and never shuffled.
     """
     keys = list(keys)
+    assert_unique_keys(stage, keys)
     if table.bucketed:
         stage = stage.repartition(table.buckets, *keys)
     existing = [v for v in table.versions() if version is None or v < version]
@@ -182,10 +192,14 @@ class PartitionedTable:
     the key columns only: a key then always lives in one partition, which is
     what lets delete-by-key look at the touched partitions alone.
 
-    Partitions are replaced with dynamic partition overwrite. A reader during
-    that commit may see some partitions new and some old; the publish itself
-    is an idempotent upsert, so re-running it after a failure converges to
-    the same table.
+    Partitions are replaced with dynamic partition overwrite: new files are
+    written aside and moved in when the job commits, so a failed write leaves
+    the table as it was. A reader during that commit may see some partitions
+    new and some old; the publish itself is an idempotent upsert, so
+    re-running it after a failure converges to the same table.
+
+    Text partition values are written with a mark before them, so that they are
+    read back as text: ``01`` and ``1``, an empty text and null stay apart.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
@@ -212,26 +226,49 @@ class PartitionedTable:
         return sorted(p.rstrip("/").rsplit("/", 1)[-1] for p, is_dir in storage.list_dir(self.spark, self.root)
                       if is_dir and f"/{self.part_col}=" in p)
 
+    def with_part(self, df: DataFrame) -> DataFrame:
+        out = df.withColumn(self.part_col, self.part_expr)
+        if isinstance(out.schema[self.part_col].dataType, T.StringType):
+            out = out.withColumn(self.part_col, F.coalesce(F.concat(F.lit("p"), F.col(self.part_col)), F.lit("null")))
+        return out
+
+    def overwrite_partitions(self, df: DataFrame) -> None:
+        """Replace the partitions that ``df`` (with the partition column) has rows of; ``df`` may read this table."""
+        (_rebalanced(df, self.part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.part_col).parquet(self.root))
+
     def replace(self, df: DataFrame) -> None:
-        """Replace the whole table with ``df``, which may read this table: it is
-        written to a staging folder first, then the staged copy replaces every
-        partition (used by fix-up steps over the whole target)."""
+        """Replace the whole table with ``df``, which may read this table.
+
+        The new rows are written to a folder of their own first; then they
+        replace their partitions, and partitions without rows go last. At no
+        time is there no table.
+        """
         staging = f"{self.root}.staging/{uuid.uuid4().hex[:12]}"
-        _rebalanced(df.withColumn(self.part_col, self.part_expr), self.part_col).write.mode("overwrite") \
-            .partitionBy(self.part_col).parquet(staging)
-        self.spark.read.parquet(staging).write.mode("overwrite").partitionBy(self.part_col).parquet(self.root)
+        self.with_part(df).write.parquet(staging)
+        new = self.spark.read.parquet(staging)
+        # As many values as the table has partitions.
+        kept = {f"{self.part_col}={NULL_FOLDER if r[0] is None else r[0]}" for r in new.select(F.col(self.part_col).cast("string")).distinct().collect()}
+        old = {unquote(p): p for p in self.partitions()} if self.exists() else {}
+        self.overwrite_partitions(new)
+        for name, folder in old.items():
+            if name not in kept:
+                storage.delete(self.spark, f"{self.root}/{folder}")
         storage.delete(self.spark, staging)
 
     def write(self, df: DataFrame) -> None:
-        """Replace the whole table (first load)."""
-        _rebalanced(df.withColumn(self.part_col, self.part_expr), self.part_col).write.mode("overwrite") \
-            .partitionBy(self.part_col).parquet(self.root)
+        """Load the table with ``df`` in place of what it holds."""
+        if self.exists():
+            self.replace(df)
+        else:
+            _rebalanced(self.with_part(df), self.part_col).write.mode("overwrite").partitionBy(self.part_col).parquet(self.root)
 
 
 def touched_partitions(current: DataFrame, part: str, touched: list) -> DataFrame:
     """The target's rows in the touched partitions only: a partition filter, so
     the scan lists and reads those partition folders and no others."""
-    return current.filter(F.col(part).isin(touched))
+    hit = F.col(part).isin([t for t in touched if t is not None])
+    return current.filter(hit | F.col(part).isNull() if None in touched else hit)
 
 
 def publish_partitions(spark: SparkSession, stage: DataFrame, table: PartitionedTable,
@@ -241,29 +278,25 @@ def publish_partitions(spark: SparkSession, stage: DataFrame, table: Partitioned
     1. the stage's partition values (at most the table's partition count) are
        collected and used as a partition filter, so untouched partitions are
        never read;
-    2. the touched partitions are upserted (anti join on partition + key) and
-       written once to a staging folder, because a path cannot be overwritten
-       while it is read;
-    3. the staged partitions replace their originals (dynamic partition
-       overwrite); all other partitions stay as they are.
+    2. the touched partitions are upserted (anti join on the key) and written
+       once: files are written aside and replace their partitions when the
+       job commits; all other partitions stay as they are.
 
     Returns the touched partition values.
     """
     part = table.part_col
     keys = list(table.keys)
-    staged = stage.dropna(subset=keys).withColumn(part, table.part_expr)
+    assert_unique_keys(stage, keys)
+    stage = stage.dropna(subset=keys)
+    staged = table.with_part(stage)
     current = table.read_with_part()
+    touched = sorted((r[0] for r in staged.select(part).distinct().collect()), key=lambda v: (v is not None, v))
     if current is None:
-        table.write(stage.dropna(subset=keys))
-        return sorted(r[0] for r in table.read_with_part().select(part).distinct().collect())
-    touched = sorted(r[0] for r in staged.select(part).distinct().collect())
+        table.write(stage)
+        return touched
     if not touched:
         return []
     hit = touched_partitions(current, part, touched)
-    merged = upsert(hit, staged.select(*hit.columns), [part] + keys, stage_key_rows)
-    staging = f"{table.root}.staging/{uuid.uuid4().hex[:12]}"
-    _rebalanced(merged, part).write.mode("overwrite").partitionBy(part).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part).parquet(table.root))
-    storage.delete(spark, staging)
+    merged = upsert(hit, staged.select(*hit.columns), keys, stage_key_rows)
+    table.overwrite_partitions(merged)
     return touched

@@ -35,7 +35,8 @@ class ColumnMap:
 
 def map_columns(df: DataFrame, mapping: Sequence[ColumnMap]) -> DataFrame:
     """SELECT CAST(src AS type) AS tgt, ...."""
-    return df.select(*[db_cast(F.col(f"`{m.source}`"), m.type).alias(m.target) for m in mapping])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[db_cast(F.col(f"`{m.source}`"), m.type, kinds.get(m.source)).alias(m.target) for m in mapping])
 
 
 def add_modify_stamp(df: DataFrame, job_time: str | None = None, name: str = "modify_date_time") -> DataFrame:

@@ -1,21 +1,21 @@
-"""File analyzer: a folder of files in, one inferred spec per file layout out.
+"""File analyzer: a folder of files in, one inferred spec per file out.
 
 Files with the analyzer's extensions are listed (S11); each file's header
-line gives its delimiter (S9); files are grouped by (header, delimiter) and
-each group is one subject, named after the cleaned stem of its first file.
-Rows are read as the profiler reads them, long rows skipped (S10), and all
-groups are profiled in one aggregate keyed by subject.
+line gives its delimiter (S9). Files of one (header, delimiter) are read
+together, as the profiler reads them, long rows skipped (S10); each file is a
+subject of its own, named after its cleaned stem, and all are profiled in one
+aggregate keyed by subject.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatland import storage
-from flatland.functions.names import landing_name
+from flatland.functions.names import landing_name_col
 from flatland.operators.land import land_feed, profile_rows
 from flatland.operators.profile import infer_types, profile_long, unpivot
 from flatland.plans.feed import Feed
@@ -41,30 +41,42 @@ def file_settings(spark: SparkSession, paths: list[str], encoding: str = "utf-8"
         "header", "path")
 
 
-def subject_name(file_name: str) -> str:
-    stem = file_name.split(".", 1)[0]
-    return landing_name(stem)
+_STEM = (rf"^(.+?)(?:\.(?:{'|'.join(PROFILE_EXTENSIONS)}))?(?:\.(?:{'|'.join(COMPRESSED_EXTENSIONS)}))?$")
+PROFILE_FOLDER_SCHEMA = "subject string, column_name string, position int, s string"
 
 
-def profile_folder(spark: SparkSession, folder: str, encoding: str = "utf-8",
-                   null_value: str | None = None) -> DataFrame:
-    """Inferred types per subject and column: subject, column_name, position, landing_type, db_type, ..."""
-    paths = analyzer_files(spark, folder)
-    settings = file_settings(spark, paths, encoding, null_value).select("path", "header", "delimiter").collect()
+def subject_of(file_name: Column) -> Column:
+    """The cleaned stem of a file: its name without the data and compression extensions."""
+    return landing_name_col(F.regexp_extract(file_name, _STEM, 1))
+
+
+def profile_folder(spark: SparkSession, folder: str, encoding: str = "utf-8", null_value: str | None = None) -> DataFrame:
+    """Inferred types per subject (file) and column: subject, column_name, position, landing_type, db_type, ..."""
+    return profile_files(spark, analyzer_files(spark, folder), encoding, null_value)
+
+
+def profile_files(spark: SparkSession, paths: list[str], encoding: str = "utf-8", null_value: str | None = None) -> DataFrame:
+    """As ``profile_folder``, of the given files; without any the frame is empty."""
+    settings = file_settings(spark, paths, encoding, null_value).select("path", "header", "delimiter").collect() if paths else []
     groups: dict[tuple[str, str], list[str]] = defaultdict(list)
     for r in settings:
         if r["header"] is not None:
             groups[(r["header"], r["delimiter"])].append(r["path"])
     run = new_run_dir(spark, "analyze")
-    longs = []
-    for i, ((header, delim), group) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
-        group = sorted(group)
-        subject = subject_name(group[0].rsplit("/", 1)[-1])
-        feed = Feed(subject, folder, delimiter=delim, encoding=encoding, null_value=null_value, quoting=1)
-        res = land_feed(spark, feed, [], "1970-01-01 00:00:00", run_dir=f"{run}/{i:04d}", paths=group)
-        rows = profile_rows(spark.read.parquet(res.parsed_path)).drop("load_file_name", "load_timestamp")
-        longs.append(unpivot(rows, subject=F.lit(subject)))
-    long = longs[0]
-    for part in longs[1:]:
-        long = long.unionByName(part)
+    long = spark.createDataFrame([], PROFILE_FOLDER_SCHEMA)
+    for i, ((_, delim), group) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
+        feed = Feed(f"analyze-{i}", group[0].rsplit("/", 1)[0], delimiter=delim, encoding=encoding, null_value=null_value, quoting=1)
+        res = land_feed(spark, feed, [], "1970-01-01 00:00:00", run_dir=f"{run}/{i:04d}", paths=sorted(group))
+        if not storage.exists(spark, f"{res.parsed_path}/_SUCCESS"):
+            continue                        # no file of this layout could be read (duplicate columns)
+        rows = profile_rows(spark.read.parquet(res.parsed_path)).drop("load_timestamp")
+        long = long.unionByName(unpivot(rows, [c for c in rows.columns if c != "load_file_name"], subject=subject_of(F.col("load_file_name"))))
     return infer_types(profile_long(long, by=("subject", "column_name", "position")))
+
+
+def analyze_folder(spark: SparkSession, folder: str, out: str, encoding: str = "utf-8", null_value: str | None = None) -> None:
+    """Write what the analyzer finds: detected settings and inferred types (K11), as CSV."""
+    paths = analyzer_files(spark, folder)
+    if paths:
+        file_settings(spark, paths, encoding, null_value).drop("header", "path").write.mode("overwrite").option("header", True).csv(f"{out.rstrip('/')}/settings")
+    profile_files(spark, paths, encoding, null_value).write.mode("overwrite").option("header", True).csv(f"{out.rstrip('/')}/profile")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,8 @@ class Feed:
     # Quoted files larger than this are read in parallel splits of this size
     # (sources/quoted.py); unset means the session's maxPartitionBytes.
     quoted_split_bytes: int | None = None
-    tags: dict = field(default_factory=dict)
+    # The feed's own date layouts (Spark patterns), tried before the common ones.
+    date_layouts: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.delimiter == "\\t":

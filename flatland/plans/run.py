@@ -1,4 +1,4 @@
-"""Run a feed end to end: land -> wrk -> stage (+ steps) -> dedup -> publish (+ steps).
+"""Run a feed end to end: land -> wrk -> (steps) stage -> dedup (+ steps) -> (steps) publish (+ steps).
 
 Steps run only when at least one file loaded (D7). A failing step stops this
 feed; other feeds of the sweep still run (D5). Every layer is written to the
@@ -8,19 +8,25 @@ costs a task retry rather than a recomputation from text.
 
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from flatland import storage
 from flatland.operators.land import LandResult, format_job_time, land_feed, quarantine_rows
+from flatland.operators.metrics import expire_runs, load_summary
 from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
 from flatland.operators.stage import Step, add_modify_stamp, dedup_latest, map_columns, run_steps
 from flatland.plans.feed import Feed
-from flatland.plans.spec import SpecPlan
-from flatland.session import new_run_dir
+from flatland.plans.spec import SpecPlan, enforce_schema
+from flatland.session import new_run_dir, scratch_root
+from flatland.sources.files import list_feed_files, listing_frame
 
 
 @dataclass
@@ -39,55 +45,123 @@ class FeedRun:
     quarantine_path: str | None = None
 
 
+@dataclass(frozen=True)
+class FeedSteps:
+    """User steps of a feed at the four points of a load, each in order.
+
+    ``load`` runs on the mapped rows before the latest row per key is taken,
+    ``stage`` after it, ``publish`` on the rows about to be published and
+    ``target`` on the whole target afterwards.
+    """
+
+    load: Sequence[Step] = ()
+    stage: Sequence[Step] = ()
+    publish: Sequence[Step] = ()
+    target: Sequence[Step] = ()
+
+
+MANIFEST_SCHEMA = ("feed string, load_file_name string, source_path string, modified_ms long, records_loaded long, "
+                   "status string, load_timestamp timestamp_ntz")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Files that earlier runs have loaded (K6); empty before the first."""
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+
+
+def unloaded_files(spark: SparkSession, feed: Feed, manifest: str) -> list[str]:
+    """The feed's files that the manifest has not; a file delivered again (a later change) counts as new."""
+    listing = list_feed_files(spark, feed)
+    if not listing:
+        return []
+    frame = listing_frame(spark, listing).withColumn("feed", F.lit(feed.name))
+    known = read_manifest(spark, manifest).select("feed", F.col("source_path").alias("path"), "modified_ms")
+    # Paths only, one for each file of the folder.
+    return sorted(r["path"] for r in frame.join(known, ["feed", "path", "modified_ms"], "left_anti").select("path").collect())
+
+
 def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedTable | PartitionedTable,
              job_start: datetime | str, stage_steps: Sequence[Step] = (),
-             target_steps: Sequence[Step] = (), run_dir: str | None = None) -> FeedRun:
+             target_steps: Sequence[Step] = (), run_dir: str | None = None,
+             steps: FeedSteps | None = None, manifest: str | None = None, keep_versions: int | None = None) -> FeedRun:
+    """Load one feed.
+
+    With ``manifest`` (a folder) files that an earlier run loaded are passed
+    over, and this run's good files are added once they are published; bad
+    files stay out of it and are tried again. ``feed.archive_expire_days``
+    removes this feed's older run folders first. ``keep_versions`` drops all but so many
+    versions of the target after the publish.
+    """
+    steps = steps or FeedSteps(stage=tuple(stage_steps), target=tuple(target_steps))
+    if feed.archive_expire_days is not None:
+        expire_runs(spark, f"{scratch_root(spark)}/runs", int(time.time() * 1000), feed.archive_expire_days, prefix=f"feed-{feed.name}-")   # R1
     run_dir = run_dir or new_run_dir(spark, f"feed-{feed.name}")
     job_ts = format_job_time(job_start)
-    land = land_feed(spark, feed, plan.landing, job_ts, run_dir)
+    paths = unloaded_files(spark, feed, manifest) if manifest else None
+    started = datetime.now()
+    land = land_feed(spark, feed, plan.landing, job_ts, run_dir, paths=paths)
     # K1: the landing table of this run is its parsed rows (already written
     # once) minus the bad files, a broadcast anti join on read; the landed
     # data is not copied a second time.
     wrk = land.rows
     # Per-file counters and the quarantine list of this run (K5, K7 inputs);
-    # one row per file, kept with the run.
-    land.files.write.mode("overwrite").parquet(f"{run_dir}/files")
+    # one row per file, kept with the run. Files of a feed are read together, so
+    # a file's times are those of the feed's landing.
+    times = {"file_start": F.lit(started).cast("timestamp_ntz"), "file_end": F.lit(datetime.now()).cast("timestamp_ntz")}
+    land.files.withColumns(times).write.mode("overwrite").parquet(f"{run_dir}/files")
     files = spark.read.parquet(f"{run_dir}/files")
     quarantine_rows(files, job_ts).write.mode("overwrite").parquet(f"{run_dir}/quarantine")   # K5
     result = FeedRun(feed.name, land, land.parsed_path, files_path=f"{run_dir}/files",
                      quarantine_path=f"{run_dir}/quarantine")
     if not (files.agg(F.sum("records_loaded")).first()[0] or 0):               # D7, from the file report
         return result
-    stage = map_columns(wrk, plan.stage)
-    stage, counts = run_steps(stage, stage_steps, "stage")
-    result.step_counts.append(counts)
+    stage = _stepped(map_columns(wrk, plan.stage), steps.load, "load", result)
     if plan.keys:
+        # The latest row per key first: a step that deletes it must not bring an older one back.
         stage = dedup_latest(stage, plan.keys)                                  # W1
+    stage = _stepped(stage, steps.stage, "stage", result)
     stage_path = f"{run_dir}/stg"
     stage.write.mode("overwrite").parquet(stage_path)                           # K3
     result.stage_path = stage_path
-    if not plan.target:
-        return result
+    if plan.target:
+        _publish(spark, feed, plan, target, job_ts, steps, result)
+        if keep_versions and isinstance(target, VersionedTable):
+            target.expire(keep_versions)
+    if manifest:
+        modified = listing_frame(spark, list_feed_files(spark, feed)).select(F.col("path").alias("source_path"), "modified_ms")
+        done = files.filter(F.col("status") != "bad").join(modified, "source_path").withColumn("load_timestamp", F.lit(job_ts).cast("timestamp_ntz"))
+        done.select(*[f.name for f in T.StructType.fromDDL(MANIFEST_SCHEMA).fields]).coalesce(1).write.mode("append").parquet(manifest)   # K6
+    return result
+
+
+def _stepped(df: DataFrame, steps: Sequence[Step], point: str, result: FeedRun) -> DataFrame:
+    out, counts = run_steps(df, steps, point)
+    result.step_counts.append(counts)
+    return out
+
+
+def _publish(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedTable | PartitionedTable, job_ts: str,
+             steps: FeedSteps, result: FeedRun) -> None:
     if not plan.keys:
         raise ValueError(f"feed {feed.name}: publishing needs key columns in the spec")  # D19
-    stamped = target_rows(plan, spark.read.parquet(stage_path), job_ts)
     tgt_keys = [m.target for m in plan.target if m.source in plan.keys]
+    stamped = target_rows(plan, spark.read.parquet(result.stage_path), job_ts)
+    if steps.publish:
+        stamped = _stepped(stamped, steps.publish, "publish", result)
+    stamped = enforce_schema(stamped.dropna(subset=tgt_keys), plan.target_schema)   # I9
     if isinstance(target, PartitionedTable):
         if list(target.keys) != tgt_keys:
             raise ValueError(f"feed {feed.name}: target keys {target.keys} differ from the spec's {tgt_keys}")
         publish_partitions(spark, stamped, target)                              # K4, touched partitions
-        if target_steps:
-            fixed, counts = run_steps(target.read(), target_steps, "target")
-            result.step_counts.append(counts)
-            target.replace(fixed)
-        return result
+        if steps.target:
+            target.replace(_stepped(target.read(), steps.target, "target", result))
+        return
     version = publish(spark, stamped, target, tgt_keys)                        # K4
-    if target_steps:
-        fixed, counts = run_steps(target.read(version), target_steps, "target")
-        result.step_counts.append(counts)
-        version = target.write(fixed)
+    if steps.target:
+        version = target.write(_stepped(target.read(version), steps.target, "target", result))
     result.target_version = version
-    return result
 
 
 def target_rows(plan: SpecPlan, stage: DataFrame, job_start: datetime | str) -> DataFrame:
@@ -104,29 +178,52 @@ def landed_to_target(plan: SpecPlan, landed: DataFrame, job_start: datetime | st
     return target_rows(plan, map_columns(landed, plan.stage), job_start)
 
 
+#: Feeds of a sweep that run at the same time; each is a chain of Spark jobs that share the cluster.
+FEEDS_AT_ONCE = 4
+
+
 def run_all(spark: SparkSession, feeds: Sequence[Feed], plans: dict[str, SpecPlan],
             targets: dict[str, VersionedTable | PartitionedTable], job_start: datetime | str,
-            only: str | None = None) -> list[FeedRun]:
+            only: str | None = None, steps: dict[str, FeedSteps] | None = None, manifest: str | None = None,
+            summary: str | None = None, job_name: str = "load", at_once: int = FEEDS_AT_ONCE) -> list[FeedRun]:
     """Folder sweep (S6): every feed, or the one named; ignored feeds and feeds
-    without a plan are skipped; a failing feed does not stop the others."""
-    runs = []
-    for feed in feeds:
-        if feed.ignore or (only and feed.name != only) or feed.name not in plans:
-            continue
+    without a plan are skipped; a failing feed does not stop the others.
+
+    ``steps`` are each feed's own, ``manifest`` is a folder for all feeds
+    (a sub-folder each), and with ``summary`` the run's load summary is
+    written there as JSON, a row per folder (K7), beside the errors of failed feeds.
+    """
+    chosen = [f for f in feeds if not f.ignore and (not only or f.name == only) and f.name in plans]
+
+    def one(feed: Feed) -> FeedRun:
         try:
-            runs.append(run_feed(spark, feed, plans[feed.name], targets[feed.name], job_start))
+            return run_feed(spark, feed, plans[feed.name], targets[feed.name], job_start, steps=(steps or {}).get(feed.name),
+                            manifest=f"{manifest.rstrip('/')}/{feed.name}" if manifest else None)
         except Exception as exc:  # noqa: BLE001 - reported per feed, the sweep goes on
-            failed = FeedRun(feed.name, None, "", error=f"{type(exc).__name__}: {exc}")
-            runs.append(failed)
+            return FeedRun(feed.name, None, "", error=f"{type(exc).__name__}: {exc}")
+
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        runs = list(pool.map(one, chosen))
+    if summary:
+        write_summary(spark, runs, summary, job_name)
+        days = [f.log_expire_days for f in chosen if f.log_expire_days is not None]
+        if days:
+            expire_runs(spark, summary, int(time.time() * 1000), min(days), prefix="run-")   # R2
     return runs
 
 
-def file_metrics(runs: Sequence[FeedRun]) -> DataFrame | None:
+def file_metrics(spark: SparkSession, runs: Sequence[FeedRun]) -> DataFrame | None:
     """Per-file rows of all runs, for counters and the summary."""
-    frames = [r.land.files for r in runs if r.land is not None]
-    if not frames:
-        return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.withColumn("load_timestamp", F.lit(None).cast("timestamp_ntz"))
+    paths = [r.files_path for r in runs if r.files_path]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def write_summary(spark: SparkSession, runs: Sequence[FeedRun], root: str, job_name: str) -> str:
+    """The load summary of a sweep (K7) and its failed feeds (A11) under a folder of its own; returns the folder."""
+    out = f"{root.rstrip('/')}/run-{datetime.now():%Y%m%d-%H%M%S-%f}"
+    files = file_metrics(spark, runs)
+    if files is not None:
+        load_summary(files, job_name).write.json(f"{out}/folders")
+    failed = [(r.feed, r.error) for r in runs if r.error]
+    spark.createDataFrame(failed, "feed string, error string").coalesce(1).write.json(f"{out}/failed")
+    return out

@@ -154,8 +154,14 @@ def plan_from_spec(spec: DataFrame) -> SpecPlan:
     """
     rows = [r.asDict() for r in spec.collect()]
     wrk, stg, tgt = (_layer_rows(rows, l) for l in LAYERS)
-    landing = [LandingField(landing_name(r["source_fields"]), (r["type"] or "string").strip())
-               for r in wrk if r["source_system"] == FLAT_FILE]
+    # Numbers that the stage holds as integers or decimals land with all their digits.
+    exact = {landing_name(r["source_fields"]) for r in stg
+             if isinstance(spark_type(r["type"]), (T.IntegralType, T.DecimalType))}
+    landing = []
+    for r in wrk:
+        if r["source_system"] == FLAT_FILE:
+            name, kind = landing_name(r["source_fields"]), (r["type"] or "string").strip()
+            landing.append(LandingField(name, "number" if kind == "float64" and name in exact else kind))
     stage = [ColumnMap(landing_name(r["source_fields"]), r["target_field"], r["type"]) for r in stg]
     target = [ColumnMap(r["source_fields"], r["target_field"], r["type"]) for r in tgt
               if r["source_system"] != SYSTEM_GENERATED]

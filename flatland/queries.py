@@ -344,7 +344,7 @@ def q_scan_roundtrip(spark, sf_dir):
         ColumnMap("c_mktsegment", "c_mktsegment", "string"), ColumnMap("load_timestamp", "load_timestamp", "timestamp")])
 
 
-LINEITEM_FIELDS = ([LandingField(c, "float64") for c in LINEITEM_COLS[:8]]
+LINEITEM_FIELDS = ([LandingField(c, "number" if c.endswith("key") or c == "l_linenumber" else "float64") for c in LINEITEM_COLS[:8]]
                    + [LandingField("l_returnflag"), LandingField("l_linestatus"),
                       LandingField("l_shipdate", "timestamp")])
 LINEITEM_STAGE = [ColumnMap(c, c, t) for c, t in [
@@ -798,7 +798,8 @@ def _infer_sql(table_name: str, cols: list[str]) -> str:
         " ELSE 4000 END"
     landing = ("CASE WHEN n_nonnull = 0 THEN 'string' WHEN n_bad_number = 0 THEN 'float64' "
                "WHEN n_bad_datetime = 0 THEN CASE WHEN has_time THEN 'timestamp' ELSE 'date' END ELSE 'string' END")
-    return f"""SELECT '{table_name}' AS table_name, column_name, landing_type,
+    name = table_name.replace("'", "''")
+    return f"""SELECT '{name}' AS table_name, column_name, landing_type,
   CASE WHEN landing_type = 'timestamp' THEN 'timestamp(0)' WHEN landing_type = 'date' THEN 'date'
        WHEN landing_type = 'float64' THEN CASE WHEN all_integral THEN
             CASE WHEN max_number > 9223372036854775807.0 OR min_number < -9223372036854775808.0 THEN 'decimal(38,0)'
@@ -1052,11 +1053,8 @@ def q_load_summary(spark, sf_dir):
     summary.write.json(f"{run}/summary")                                       # K7
     back = spark.read.schema(summary.schema).json(f"{run}/summary")
     flat = flatten_summary(back)
-    totals = back.select("jobRecordsLoaded", "jobFilesLoaded")
-    folders = back.select(F.explode("folders").alias("f")).select(F.col("f.folderPath").alias("folder"),
-                                                                  F.col("f.folderRecordsLoaded").alias("folderRecordsLoaded"))
+    folders = back.select(F.col("folderPath").alias("folder"), "folderRecordsLoaded", "jobRecordsLoaded", "jobFilesLoaded")
     return (flat.join(folders, "folder")
-            .join(totals.withColumn("jobName", F.lit("events-load")), "jobName")
             .select("jobName", "folder", "fileName", "fileRawRecords", "fileRecordsLoaded", "folderRecordsLoaded",
                     "jobRecordsLoaded", "jobFilesLoaded"))
 
@@ -1217,15 +1215,18 @@ SUPPLIER_COLS = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
 
 def _analyzer_folder(spark, sf_dir):
     def build(d):
-        write_delimited(spark, _as_text(table(spark, sf_dir, "customer")), d, "customer", n_files=2,
-                        delimiter=",", quoting=0, extension="csv")
+        # Two files of one layout, and two of another name with other columns: four subjects.
+        customer = _as_text(table(spark, sf_dir, "customer"))
+        for odd in (0, 1):
+            write_delimited(spark, customer.filter(F.col("c_custkey").cast("long") % 2 == odd), d, f"customer.{odd}", n_files=1,
+                            delimiter=",", quoting=0, extension="csv")
         write_delimited(spark, _as_text(table(spark, sf_dir, "supplier")), d, "supplier", n_files=1,
                         delimiter="\t", extension="tsv")
         write_delimited(spark, _as_text(table(spark, sf_dir, "nation")), d, "nation", n_files=1,
                         delimiter="|", quoting=0, extension="dat")
         write_delimited(spark, _as_text(table(spark, sf_dir, "region")), d, "region", n_files=1,
                         delimiter="|", quoting=0, extension="json")   # not an analyzer extension
-    return fixture(spark, sf_dir, "analyzer_folder", build)
+    return fixture(spark, sf_dir, "analyzer_folder_by_file", build)
 
 
 def _subject_sql(subject: str, table_name: str, cols: list[str]) -> str:
@@ -1234,7 +1235,8 @@ def _subject_sql(subject: str, table_name: str, cols: list[str]) -> str:
 
 
 @query("profile_folder", " UNION ALL ".join([
-    _subject_sql("customer_00000", "customer", CUSTOMER_COLS),
+    _subject_sql("customer.0_00000", "(SELECT * FROM customer WHERE c_custkey % 2 = 0) c", CUSTOMER_COLS),
+    _subject_sql("customer.1_00000", "(SELECT * FROM customer WHERE c_custkey % 2 = 1) c", CUSTOMER_COLS),
     _subject_sql("nation_00000", "nation", NATION_COLS),
     _subject_sql("supplier_00000", "supplier", SUPPLIER_COLS)]))
 def q_profile_folder(spark, sf_dir):
@@ -1243,7 +1245,7 @@ def q_profile_folder(spark, sf_dir):
 
 
 @query("file_settings", """
-SELECT * FROM (VALUES ('customer_00000.csv', 'csv', ',', 'utf-8'), ('customer_00001.csv', 'csv', ',', 'utf-8'),
+SELECT * FROM (VALUES ('customer.0_00000.csv', '0_00000.csv', ',', 'utf-8'), ('customer.1_00000.csv', '1_00000.csv', ',', 'utf-8'),
                       ('nation_00000.dat', 'dat', '|', 'utf-8'), ('supplier_00000.tsv', 'tsv', chr(9), 'utf-8'))
        AS t(file_name, extension, delimiter, encoding)""")
 def q_file_settings(spark, sf_dir):
@@ -1271,3 +1273,215 @@ def q_load_errors(spark, sf_dir):
     return out.select("feed", F.col("bad_files").cast("int").alias("bad_files"),
                       F.col("warnings").cast("int").alias("warnings"),
                       F.col("files_loaded").cast("int").alias("files_loaded"), "records_loaded")
+
+
+# --------------------------------------------------------------------------
+# Exact integers from landing to publish
+# --------------------------------------------------------------------------
+
+# Neighbours here differ only beyond a double's 53 bits.
+BIG_KEY = 900719925474099300
+
+
+def _orders_spec_for(spark, stage_types: dict[str, str], key: str):
+    """A three-layer spec of orders' columns with the given stage types."""
+    rows = []
+    for layer in ("wrk", "stg", "tgt"):
+        fields = [(c, {"decimal(12,2)": "float64", "bigint": "float64"}.get(t, t) if layer == "wrk" else t) for c, t in stage_types.items()]
+        for i, (c, t) in enumerate([(None, None), *fields]):
+            r = dict.fromkeys(SPEC_COLUMNS)
+            r.update(action="Add Field" if c else "Create Table", schema=f"{layer}_schema", target_table=f"{layer}_orders", target_field=c,
+                     type=t, source_system="Flat File" if layer == "wrk" and c else "DB Internal" if c else None, source_fields=c,
+                     pk="Y" if layer == "tgt" and c == key else None, layer=layer, position=i)
+            rows.append(tuple(r[x] for x in SPEC_COLUMNS))
+    return spark.createDataFrame(rows, SPEC_SCHEMA)
+
+
+@query("exact_keys", f"""
+SELECT {BIG_KEY} + o_orderkey AS big_key, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice FROM orders""")
+def q_exact_keys(spark, sf_dir):
+    """18-digit keys through land, stage, latest row per key and publish: none lost, none changed."""
+    from flatland.plans.run import run_feed
+    d = _feed_dir(spark, sf_dir, "orders_big", lambda: table(spark, sf_dir, "orders").select(
+        (F.lit(BIG_KEY) + F.col("o_orderkey")).alias("big_key"), "o_totalprice"), n_files=2)
+    plan = plan_from_spec(_orders_spec_for(spark, {"big_key": "bigint", "o_totalprice": "decimal(12,2)"}, "big_key"))
+    run = new_run_dir(spark, "exact_keys")
+    target = VersionedTable(spark, f"{run}/target", ["big_key"], _buckets(spark))
+    result = run_feed(spark, Feed("orders_big", d), plan, target, JOB_TIME, run_dir=f"{run}/load")
+    return target.read(result.target_version).select("big_key", "o_totalprice")
+
+
+@query("exact_casts", """
+SELECT o_orderkey, 9007199254740992 + o_orderkey AS from_bigint, 9007199254740992 + o_orderkey AS from_text,
+       CAST(round_even(o_orderkey / 2, 0) AS INTEGER) AS from_decimal
+FROM orders""")
+def q_exact_casts(spark, sf_dir):
+    big = F.lit(9007199254740992) + F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", big.alias("b"), F.concat(F.lit(" +"), big.cast("string")).alias("t"),
+                                              (F.col("o_orderkey").cast("decimal(20,1)") / 2).cast("decimal(20,1)").alias("d"))
+    return map_columns(o, [ColumnMap("o_orderkey", "o_orderkey", "bigint"), ColumnMap("b", "from_bigint", "bigint"),
+                           ColumnMap("t", "from_text", "bigint"), ColumnMap("d", "from_decimal", "integer")])
+
+
+# --------------------------------------------------------------------------
+# Publish: text partitions, duplicate stage keys
+# --------------------------------------------------------------------------
+
+_TEXT_PART_SQL = "CASE o_orderkey % 4 WHEN 0 THEN '01' WHEN 1 THEN '1' WHEN 2 THEN '' ELSE '2024-01-01' END"
+
+
+@query("publish_text_partitions", f"""
+SELECT {_TEXT_PART_SQL} || '/' || o_orderkey AS k, o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS o_totalprice
+FROM orders""")
+def q_publish_text_partitions(spark, sf_dir):
+    """A text partition value with leading zeros, one that is empty and one like a date, published twice."""
+    from flatland.operators.publish import PartitionedTable, publish_partitions
+    part = F.when(F.col("o_orderkey") % 4 == 0, "01").when(F.col("o_orderkey") % 4 == 1, "1").when(F.col("o_orderkey") % 4 == 2, "").otherwise("2024-01-01")
+    o = table(spark, sf_dir, "orders").select(F.concat(part, F.lit("/"), F.col("o_orderkey").cast("string")).alias("k"), "o_orderkey", "o_totalprice")
+    target = PartitionedTable(spark, f"{new_run_dir(spark, 'publish_text')}/target", ["k"], part_expr=F.split_part("k", F.lit("/"), F.lit(1)))
+    publish_partitions(spark, o.drop("o_orderkey"), target)
+    publish_partitions(spark, o.filter(F.col("o_orderkey") % 3 == 0).select("k", (F.col("o_totalprice") + 1).alias("o_totalprice")), target)
+    return target.read()
+
+
+@query("duplicate_stage_keys", """
+SELECT 'versioned' AS layout, count(*) > count(DISTINCT o_custkey) AS refused, CAST(0 AS BIGINT) AS published FROM orders
+UNION ALL SELECT 'partitioned', count(*) > count(DISTINCT o_custkey), 0 FROM orders""")
+def q_duplicate_stage_keys(spark, sf_dir):
+    """A stage with duplicate keys is refused and leaves no target."""
+    from flatland.operators.publish import PartitionedTable, publish_partitions
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
+    run = new_run_dir(spark, "duplicate_keys")
+    versioned, parts = VersionedTable(spark, f"{run}/v"), PartitionedTable(spark, f"{run}/p", ["o_custkey"])
+    out = []
+    for layout, target, go in (("versioned", versioned, lambda: publish(spark, o, versioned, ["o_custkey"])),
+                               ("partitioned", parts, lambda: publish_partitions(spark, o, parts))):
+        try:
+            go()
+            refused = False
+        except ValueError:
+            refused = True
+        left = target.read()
+        out.append((layout, refused, 0 if left is None else left.count()))
+    return spark.createDataFrame(out, "layout string, refused boolean, published long")
+
+
+# --------------------------------------------------------------------------
+# Steps after the latest row per key; files loaded once
+# --------------------------------------------------------------------------
+
+def _events_plan(spark):
+    types = {"event_id": "bigint", "ts": "timestamp", "user_id": "bigint", "event_type": "varchar(20)", "value": "float64", "props": "string"}
+    return plan_from_spec(_orders_spec_for(spark, types, "user_id"))
+
+
+_LATEST_EVENT = """SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC NULLS FIRST, ts DESC NULLS FIRST,
+  event_type DESC NULLS FIRST, value DESC NULLS FIRST, props DESC NULLS FIRST) AS rn FROM events"""
+
+
+@query("steps_after_latest", f"""
+SELECT user_id, event_id, event_type FROM ({_LATEST_EVENT}) e WHERE rn = 1 AND event_type <> 'click'""")
+def q_steps_after_latest(spark, sf_dir):
+    """A step that deletes a user's latest row must not bring an older one back."""
+    from flatland.plans.run import FeedSteps, run_all
+    d = _feed_dir(spark, sf_dir, "events", lambda: table(spark, sf_dir, "events"), n_files=3)
+    run = new_run_dir(spark, "steps_after_latest")
+    target = VersionedTable(spark, f"{run}/target", ["user_id"], _buckets(spark))
+    steps = FeedSteps(stage=[Step("no clicks", "delete", pred=F.col("event_type") == "click")])
+    (done,) = run_all(spark, [Feed("events", d)], {"events": _events_plan(spark)}, {"events": target}, JOB_TIME, steps={"events": steps})
+    if done.error:
+        raise RuntimeError(done.error)
+    return target.read().select("user_id", "event_id", "event_type")
+
+
+@query("load_once", """
+WITH n AS (SELECT count(*) FILTER (WHERE o_orderkey % 2 = 0) AS even, count(*) AS total FROM orders)
+SELECT 1 AS run_no, 2 AS files, even AS records_loaded, even AS target_rows FROM n
+UNION ALL SELECT 2, 0, 0, even FROM n
+UNION ALL SELECT 3, 2, total - even, total FROM n""")
+def q_load_once(spark, sf_dir):
+    """Three runs over one folder: all files, none again, then the files that have arrived since."""
+    from flatland.plans.run import file_metrics, run_all
+    run = new_run_dir(spark, "load_once")
+    feed, plan = Feed("orders", f"{run}/in"), plan_from_spec(_orders_spec(spark))
+    target = VersionedTable(spark, f"{run}/target", ["o_orderkey"], _buckets(spark))
+    o = _as_text(table(spark, sf_dir, "orders"))
+    out = []
+    for n in (1, 2, 3):
+        if n != 2:
+            write_delimited(spark, o.filter(F.col("o_orderkey").cast("long") % 2 == n // 2), f"{run}/in", f"orders{n}", n_files=2)
+        runs = run_all(spark, [feed], {"orders": plan}, {"orders": target}, JOB_TIME, manifest=f"{run}/manifest", summary=f"{run}/summary")
+        if runs[0].error:
+            raise RuntimeError(runs[0].error)
+        files = file_metrics(spark, runs)
+        out.append((n, files.count(), files.agg(F.coalesce(F.sum("records_loaded"), F.lit(0))).first()[0], target.read().count()))
+    return spark.createDataFrame(out, "run_no int, files int, records_loaded long, target_rows long")
+
+
+# --------------------------------------------------------------------------
+# Date layouts (V4); quoted files at any split size
+# --------------------------------------------------------------------------
+
+# Layout number: (DuckDB format, Spark pattern, what is lost of the value).
+DATE_LAYOUTS = [
+    ("%Y-%m-%d %H:%M", "yyyy-MM-dd HH:mm", "minute"), ("%Y-%m-%dT%H:%M:%SZ", "yyyy-MM-dd'T'HH:mm:ss'Z'", "second"), ("%Y-%m-%dT%H:%M", "yyyy-MM-dd'T'HH:mm", "minute"),
+    (" %Y-%m-%d ", " yyyy-MM-dd ", "day"), ("%Y/%m/%d", "yyyy/MM/dd", "day"), ("%Y-%-m-%-d", "yyyy-M-d", "day"), ("%b %-d, %Y", "MMM d, yyyy", "day"),
+    ("%-d %B %Y", "d MMMM yyyy", "day"), ("%-m/%-d/%y", "M/d/yy", "day"), ("%d-%b-%y", "dd-MMM-yy", "day"),
+    ("%Y-%m-%d %H:%M:%S+00:00", "yyyy-MM-dd HH:mm:ss'+00:00'", "second"), ("%Y-%m-%d %H:%M:%S.1234567", "yyyy-MM-dd HH:mm:ss'.1234567'", "tenths"),
+]
+# Dates before 2000 with two-digit years read as 20xx, so the planted times are from then on.
+_LAYOUT_T = "(TIMESTAMP '2001-03-04' + to_seconds(o_orderkey * 86399))"
+
+
+@query("date_layouts", f"""
+SELECT o_orderkey, CASE r {' '.join(
+    f"WHEN {i} THEN " + (f"date_trunc('second', t) + to_microseconds(123456)" if lost == "tenths" else f"date_trunc('{lost}', t)")
+    for i, (_, _, lost) in enumerate(DATE_LAYOUTS))} ELSE date_trunc('day', t) END AS ts
+FROM (SELECT o_orderkey, o_orderkey % {len(DATE_LAYOUTS) + 1} AS r, {_LAYOUT_T.replace("o_orderkey * 86399", "(o_orderkey % 20000) * 86399")} AS t FROM orders) s""")
+def q_date_layouts(spark, sf_dir):
+    """The layouts that files really have, trimmed, and one of the feed's own."""
+    def build(d):
+        o = table(spark, sf_dir, "orders")
+        r = F.col("o_orderkey") % (len(DATE_LAYOUTS) + 1)
+        t = F.timestamp_add("SECOND", (F.col("o_orderkey") % 20000) * 86399, F.lit("2001-03-04").cast("timestamp_ntz"))
+        text = F.date_format(t, "'year' yyyy, 'day' MM'of'dd")
+        for i, (_, pattern, _) in enumerate(DATE_LAYOUTS):
+            text = F.when(r == i, F.date_format(t, pattern)).otherwise(text)
+        write_delimited(spark, o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), text.alias("ts")), d, "orders_dates", n_files=3)
+    d = fixture(spark, sf_dir, "feed_orders_dates", build)
+    feed = Feed("orders_dates", d, date_layouts=("'year' yyyy, 'day' MM'of'dd",))
+    res = land_feed(spark, feed, [LandingField("o_orderkey", "number"), LandingField("ts", "timestamp")], JOB_TIME)
+    return map_columns(res.rows, [ColumnMap("o_orderkey", "o_orderkey", "bigint"), ColumnMap("ts", "ts", "timestamp")])
+
+
+_QUOTED_CELL_SQL = """CASE o_orderkey % 5 WHEN 0 THEN '5" pipe' WHEN 1 THEN 'a' || chr(13) || 'b' WHEN 2 THEN 'two' || chr(10) || 'lines, "said" he'
+  WHEN 3 THEN 'plain' ELSE repeat('x"y', 200) END"""
+
+
+@query("quoted_any_split", f"""
+SELECT split_bytes, o_orderkey, REPLACE({_QUOTED_CELL_SQL}, '"', '') AS cell,
+       (SELECT count(*) + count(*) FILTER (WHERE o_orderkey % 5 = 2) FROM orders WHERE o_orderkey % 40 < 10) AS raw_records
+FROM orders, (VALUES (97), (4096), (0)) AS s(split_bytes) WHERE o_orderkey % 40 < 10""")
+def q_quoted_any_split(spark, sf_dir):
+    """Bare quotes, a lone CR, line breaks and doubled quotes: one result at every split size. A file
+    with a surplus cell after a value of 100 KB is set aside; the others land."""
+    def build(d):
+        o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 40 < 10)
+        r = F.col("o_orderkey") % 5
+        # As written: a bare quote in an unquoted cell, others quoted.
+        cell = (F.when(r == 0, F.lit('5" pipe')).when(r == 1, F.lit('"a\rb"')).when(r == 2, F.lit('"two\nlines, ""said"" he"'))
+                .when(r == 3, F.lit("plain")).otherwise(F.concat(F.lit('"'), F.repeat(F.lit('x""y'), 200), F.lit('"'))))
+        line = F.concat(F.col("o_orderkey").cast("string"), F.lit(","), cell)
+        write_delimited(spark, o.select(line.alias("o_orderkey,cell")), d, "quoted", n_files=2, extension="csv")
+        bad = o.filter(F.col("o_orderkey") % 40 == 1).select(F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), F.repeat(F.lit('z""'), 50_000), F.lit('",surplus')).alias("o_orderkey,cell"))
+        write_delimited(spark, bad.limit(1), d, "ragged", n_files=1, extension="csv")
+    d = fixture(spark, sf_dir, "feed_quoted_any_split", build)
+    out = None
+    for split in (97, 4096, 0):
+        feed = Feed("quoted", d, extension="csv", delimiter=",", quoting=0, quoted_split_bytes=split or None)
+        res = land_feed(spark, feed, [LandingField("o_orderkey", "number")], JOB_TIME)
+        raw = res.files.filter(F.col("status") == "loaded").agg(F.sum("raw_records").alias("raw_records"))
+        part = map_columns(res.rows, [ColumnMap("o_orderkey", "o_orderkey", "bigint"), ColumnMap("cell", "cell", "string")]).select(
+            F.lit(split).alias("split_bytes"), "o_orderkey", "cell").join(F.broadcast(raw))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         current = jdir.get() if jdir.isDefined() else None
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _FALLBACK_ROOT is None:
             _FALLBACK_ROOT = tempfile.mkdtemp(prefix="flatland-ckpt-")
         current = _FALLBACK_ROOT

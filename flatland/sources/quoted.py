@@ -2,32 +2,42 @@
 
 Spark's CSV reader can only follow a quoted value across line breaks with
 ``multiLine``, which reads each file in one task. A feed whose single file
-holds a third of all rows would then be one task. Here a quoted file is read
-as plain text lines, which split like any text file, and records are put
-back together from quote parity:
-
-1. Pass A (JVM): quotes per line, summed per split; a running sum over the
-   splits of each file says whether a split starts inside a quoted value.
-   That table has one row per split, as the scan's own split list does.
+holds a third of all rows would then be one task. Here every quoted file,
+whatever its size, is read as plain text lines, which split like any text
+file, and records are put back together by one rule:
+
+* a quote opens a value only at the start of a field (a quote elsewhere in an
+  unquoted cell is text), two quotes in a row are one quote of the text, any other
+  quote in a quoted value closes it; a line end outside a value ends the record.
+
+Without the doubled quotes each quote is a step between the states outside
+and inside: one at a field start turns the state over, any other one leaves it
+outside whatever it was. So a run of text either sets the state or turns
+it over or not, and runs can be put together in any grouping:
+
+1. Pass A (``mapInArrow``): for each split, whether it sets the state, and the
+   parity of the steps after that; a window over the splits of a file says
+   which start inside a value.
 2. Pass B (``mapInArrow``, no shuffle): each task walks its splits' lines in
-   order. A line starts a record when the quotes before it balance. Records
-   that start and end in the split come out whole; the piece before a split's
-   first record start ("head") and an unfinished last record ("tail") come
-   out as fragments.
+   order. Records that start and end in the split come out whole; the piece
+   before a split's first record start ("head") and an unfinished last record
+   ("tail") come out as fragments.
 3. Fragments (at most two per split) are tied to the record they belong to:
    a head belongs to the nearest earlier tail of its file. They are grouped
-   per record and joined in order, so one group is one record.
+   per record and joined in order, so one group is one record. A record of
+   more than ``MAX_RECORD_BYTES`` (a quote that is never closed) is not put
+   together: it becomes a row that makes its file bad.
 4. ``from_csv`` parses every record with the reader's own options, corrupt
    record column included, so short and long rows are flagged exactly as by
    the file reader.
 
-Quoting must follow the usual rule that a quote inside a quoted value is
-doubled; then quote parity decides record boundaries exactly. Text is read as
-UTF-8; other encodings keep the multi-line reader.
+Text is read as UTF-8, gzip files as one split; feeds in other encodings keep
+the multi-line reader, at any size.
 """
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 import numpy as np
@@ -35,21 +45,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flatland.operators.joins import is_broadcast, join_small
+
+_SPLIT_LOCK = threading.Lock()
 SPLITTABLE_ENCODINGS = {"utf-8", "utf8", "us-ascii", "ascii"}
 
+#: A longer record is taken for a quote that is never closed.
+MAX_RECORD_BYTES = 64 << 20
+
 FRAGMENT_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),      # record | head | tail
     T.StructField("path", T.StringType()),
     T.StructField("name", T.StringType()),
     T.StructField("block", T.LongType()),
     T.StructField("first", T.BooleanType()),    # the file's first record: its header
-    T.StructField("text", T.StringType()),
+    T.StructField("text", T.StringType()),      # empty if longer than MAX_RECORD_BYTES
+    T.StructField("size", T.LongType()),        # bytes
 ])
 
 
-def can_split(path: str, encoding: str) -> bool:
-    """gzip cannot be split at all; other codecs and plain text can."""
-    return encoding.lower() in SPLITTABLE_ENCODINGS and not path.lower().endswith(".gz")
+def can_split(encoding: str) -> bool:
+    """Whether files of this encoding are read as lines of text."""
+    return encoding.lower() in SPLITTABLE_ENCODINGS
 
 
 @contextmanager
@@ -59,15 +76,16 @@ def _split_size(spark: SparkSession, split_bytes: int | None):
         yield
         return
     key = "spark.sql.files.maxPartitionBytes"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, str(int(split_bytes)))
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+    with _SPLIT_LOCK:                   # the setting is the session's; feeds of a sweep run side by side
+        old = spark.conf.get(key, None)
+        spark.conf.set(key, str(int(split_bytes)))
+        try:
+            yield
+        finally:
+            if old is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, old)
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -81,94 +99,178 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
                     F.col("_metadata.file_block_start").alias("block")))
 
 
-def split_table(lines: DataFrame) -> DataFrame:
-    """Pass A: per split, its quote parity, its line count, and whether it
-    starts inside a quoted value (a running sum over the file's splits)."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    per_split = lines.groupBy("path", "block").agg((F.sum(quotes) % 2).alias("parity"),
-                                                   F.count(F.lit(1)).alias("n_lines"),
-                                                   F.min_by(F.col("value").endswith("\r"), "row").alias("crlf"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2 == 1
-    return per_split.withColumn("inside", inside)
+def quote_steps(lines, delimiter: str):
+    """(line of each quote, whether it is at a field start), doubled quotes left out."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
+    slim = pc.replace_substring(lines, '""', "").cast(pa.large_string())
+    if len(slim) == 0:
+        return np.empty(0, np.int64), np.empty(0, bool)
+    _, offs, data = slim.buffers()
+    offsets = np.frombuffer(offs, dtype=np.int64)[slim.offset:slim.offset + len(slim) + 1]
+    raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8)
+    at = offsets[0] + np.flatnonzero(raw[offsets[0]:offsets[-1]] == 0x22)
+    line = np.searchsorted(offsets, at, side="right") - 1
+    sign = np.frombuffer(delimiter.encode(), dtype=np.uint8)
+    start = at - offsets[line] >= len(sign)
+    for k, byte in enumerate(sign):
+        start &= raw[np.maximum(at - len(sign) + k, 0)] == byte
+    return line, start | (at == offsets[line])
+
+
+def states_before(line: np.ndarray, turns: np.ndarray, n: int, state: int) -> tuple[np.ndarray, int, bool]:
+    """State before each of ``n`` lines, after all of them, and whether the run sets it.
+
+    ``turns``: quotes at a field start; the others set the state to outside.
+    """
+    total = np.cumsum(turns)                                   # turns up to and with each quote
+    sets = np.flatnonzero(~turns)
+    last = np.full(len(turns), -1, dtype=np.int64)
+    last[sets] = sets
+    last = np.maximum.accumulate(last) if len(last) else last  # the setting quote at or before each
+    base = np.where(last >= 0, total[np.maximum(last, 0)], 0) if len(last) else last
+    after = np.where(last >= 0, 0, state) + total - base if len(last) else last
+    upto = np.searchsorted(line, np.arange(n), side="left") - 1
+    before = np.where(upto >= 0, after[np.maximum(upto, 0)], state) & 1 if len(after) else np.full(n, state)
+    end = int(after[-1] & 1) if len(after) else state
+    return before, end, len(sets) > 0
+
+
+def _split_rows(delimiter: str):
+    """Pass A body: (path, block, sets, parity, n_lines, crlf) of every split."""
+    import pyarrow as pa
+
+    def run(batches):
+        now = None
 
-def split_start_states(lines: DataFrame) -> DataFrame:
-    """(path, block) of every split that starts inside a quoted value."""
-    return split_table(lines).filter("inside").select("path", "block")
+        def row():
+            return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.string()), pa.array([now[1]], pa.int64()), pa.array([now[2]], pa.bool_()),
+                                               pa.array([now[3]], pa.int32()), pa.array([now[4]], pa.int64()), pa.array([now[5]], pa.bool_())],
+                                              names=["path", "block", "sets", "parity", "n_lines", "crlf"])
 
+        for batch in batches:
+            for a, b in _runs_of_splits(batch):
+                values = batch.column("value").slice(a, b - a)
+                key = batch.column("path")[a].as_py(), batch.column("block")[a].as_py()
+                if now is None or key != (now[0], now[1]):
+                    if now is not None:
+                        yield row()
+                    now = [*key, False, 0, 0, values[0].as_py().endswith("\r")]
+                line, turns = quote_steps(values, delimiter)
+                _, now[3], sets = states_before(line, turns, b - a, now[3])
+                now[2] |= sets
+                now[4] += b - a
+        if now is not None:
+            yield row()
 
-def _cut_records(odd_starts):
+    return run
+
+
+def _runs_of_splits(batch) -> list[tuple[int, int]]:
+    """Bounds of the runs of lines of one split in a batch."""
+    import pyarrow.compute as pc
+
+    n = batch.num_rows
+    if n == 0:
+        return []
+    paths, blocks = batch.column("path"), batch.column("block").to_numpy()
+    new = np.ones(n, dtype=bool)
+    if n > 1:
+        same = pc.equal(paths.slice(1), paths.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        new[1:] = ~same | (blocks[1:] != blocks[:-1])
+    bounds = [*np.flatnonzero(new).tolist(), n]
+    return list(zip(bounds, bounds[1:]))
+
+
+def split_table(lines: DataFrame, delimiter: str) -> DataFrame:
+    """Pass A: per split its line count, whether it starts inside a quoted
+    value, and whether its file's lines end with CR LF (as its first line does)."""
+    rows = lines.select("path", "block", "value").mapInArrow(
+        _split_rows(delimiter), "path string, block long, sets boolean, parity int, n_lines long, crlf boolean")
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum("parity").over(before), F.lit(0))
+    rows = rows.withColumn("turned", turned)
+    # Turns since the last split that sets the state, that one's own included.
+    since = F.col("turned") - F.coalesce(F.last(F.when(F.col("sets"), F.col("turned")), ignorenulls=True).over(before), F.lit(0))
+    first = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select("path", "block", "n_lines", (since % 2 == 1).alias("inside"), F.first("crlf").over(first).alias("crlf"))
+
+
+def _cut_records(delimiter: str):
     """Pass B body: Arrow batches of whole splits' lines, in order -> records and fragments.
 
-    Quote counts, parities and record texts are Arrow/numpy kernels over the
-    batch; Python only steps from one split (or batch) to the next, carrying
-    the open record across batch boundaries.
+    States and record texts are Arrow/numpy kernels over the batch; Python
+    only steps from one split (or batch) to the next, carrying the open
+    record across batch boundaries.
     """
     import pyarrow as pa
     import pyarrow.compute as pc
 
     names = [f.name for f in FRAGMENT_SCHEMA.fields]
 
+    class Open:
+        """Lines of a piece that is not ended yet; only their size once it is too long."""
+
+        def __init__(self):
+            self.lines, self.size = [], 0
+
+        def add(self, lines):
+            self.size += int(pc.sum(pc.binary_length(lines)).as_py() or 0) + len(lines)
+            if self.size <= MAX_RECORD_BYTES:
+                self.lines.append(lines)
+            else:
+                self.lines = []
+
+        def text(self):
+            if not self.lines:
+                return pa.array([""])
+            lines = pa.concat_arrays(self.lines) if len(self.lines) > 1 else self.lines[0]
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines)], type=pa.int32()), lines), "\n")
+
     def run(batches):
-        odd, crlf = odd_starts.value
         st = {"key": None}
         out: list[pa.RecordBatch] = []
 
-        def joined(parts):
-            lines = pa.concat_arrays(parts) if len(parts) > 1 else parts[0]
-            offsets = pa.array([0, len(lines)], type=pa.int32())
-            return pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n")
-
-        def emit(kind, texts, first=None):
+        def emit(kind, texts, first=None, size=None):
             m = len(texts)
             if m == 0:
                 return
             first = pa.array(np.zeros(m, dtype=bool)) if first is None else pa.array(first)
+            sizes = pc.binary_length(texts).cast(pa.int64()) if size is None else pa.array([size], pa.int64())
             out.append(pa.RecordBatch.from_arrays([
                 pa.array([kind] * m, pa.string()), pa.array([st["key"][0]] * m, pa.string()),
                 pa.array([st["name"]] * m, pa.string()), pa.array(np.full(m, st["key"][1], dtype=np.int64)),
-                first, texts.cast(pa.string())], names=names))
+                first, texts.cast(pa.string()), sizes], names=names))
 
         def flush():
             if st["key"] is None:
                 return
-            if st["head"]:
-                emit("head", joined(st["head"]))
+            if st["head"].size:
+                emit("head", st["head"].text(), None, st["head"].size)
             if st["rec"] is not None:
-                emit("record" if st["parity"] == 0 else "tail", joined(st["rec"]), [st["rec_first"]])
+                emit("record" if st["state"] == 0 else "tail", st["rec"].text(), [st["rec_first"]], st["rec"].size)
             st["key"] = None
 
         for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            values = batch.column("value")
-            paths = batch.column("path")
-            blocks = batch.column("block").to_numpy()
-            new_run = np.ones(n, dtype=bool)
-            if n > 1:
-                same_path = pc.equal(paths.slice(1), paths.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-                new_run[1:] = ~same_path | (blocks[1:] != blocks[:-1])
-            bounds = list(np.flatnonzero(new_run)) + [n]
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                key = (paths[a].as_py(), int(blocks[a]))
+            for a, b in _runs_of_splits(batch):
+                key = (batch.column("path")[a].as_py(), batch.column("block")[a].as_py())
                 if key != st["key"]:
                     flush()
-                    st.update(key=key, name=batch.column("name")[a].as_py(), parity=1 if key in odd else 0,
-                              head=[], rec=None, rec_first=False, seen_start=False)
-                vals = values.slice(a, b - a)
-                if key[0] in crlf:
+                    st.update(key=key, name=batch.column("name")[a].as_py(), state=int(batch.column("inside")[a].as_py() or 0),
+                              head=Open(), rec=None, rec_first=False, seen_start=False)
+                vals = batch.column("value").slice(a, b - a)
+                if batch.column("crlf")[a].as_py():
                     vals = pc.replace_substring_regex(vals, "\r$", "")
-                q = pc.count_substring(vals, '"').to_numpy(zero_copy_only=False).astype(np.int64) & 1
-                before = (st["parity"] + np.cumsum(q) - q) & 1
+                line, turns = quote_steps(vals, delimiter)
+                before, st["state"], _ = states_before(line, turns, b - a, st["state"])
                 starts = np.flatnonzero(before == 0)
                 lead = int(starts[0]) if len(starts) else b - a
                 if lead:
-                    (st["rec"] if st["rec"] is not None else st["head"]).append(vals.slice(0, lead))
+                    (st["rec"] if st["rec"] is not None else st["head"]).add(vals.slice(0, lead))
                 if len(starts):
                     if st["rec"] is not None:
-                        emit("record", joined(st["rec"]), [st["rec_first"]])
+                        emit("record", st["rec"].text(), [st["rec_first"]], st["rec"].size)
                     first = np.zeros(len(starts), dtype=bool)
                     if key[1] == 0 and not st["seen_start"]:
                         # The header is the file's first record that is not a blank line.
@@ -181,9 +283,9 @@ def _cut_records(odd_starts):
                         body = vals.slice(int(starts[0]), int(starts[-1] - starts[0]))
                         offsets = pa.array((starts - starts[0]).astype(np.int32))
                         emit("record", pc.binary_join(pa.ListArray.from_arrays(offsets, body), "\n"), first[:-1])
-                    st["rec"] = [vals.slice(int(starts[-1]))]
+                    st["rec"] = Open()
+                    st["rec"].add(vals.slice(int(starts[-1])))
                     st["rec_first"] = bool(first[-1])
-                st["parity"] = int((st["parity"] + int(q.sum())) & 1)
             if out:
                 yield from out
                 out.clear()
@@ -195,51 +297,58 @@ def _cut_records(odd_starts):
 def stitch(fragments: DataFrame) -> DataFrame:
     """Records that cross split boundaries, from their fragments (step 3).
 
-    The owner of each fragment is found on fragment keys only (no text), then
-    the text is grouped per owner: one group is one record.
+    The owner and the size of each record are found on fragment keys only (no
+    text), then the text of those that are not too long is grouped per owner: one group is one record.
     """
     pieces = fragments.filter(F.col("kind") != "record").withColumn(
         "kind_ord", F.when(F.col("kind") == "head", F.lit(0)).otherwise(F.lit(1)))
     upto = Window.partitionBy("path").orderBy("block", "kind_ord").rowsBetween(Window.unboundedPreceding, 0)
-    owners = (pieces.select("path", "block", "kind_ord",
-                            F.last(F.when(F.col("kind_ord") == 1, F.col("block")), ignorenulls=True)
-                            .over(upto).alias("owner")))
+    owned = (pieces.select("path", "block", "kind_ord", "size",
+                           F.last(F.when(F.col("kind_ord") == 1, F.col("block")), ignorenulls=True)
+                           .over(upto).alias("owner")))
+    owners = owned.withColumn("total", F.sum("size").over(Window.partitionBy("path", "owner"))).drop("size")
     joined = pieces.join(owners, ["path", "block", "kind_ord"])
-    parts = F.sort_array(F.collect_list(F.struct("block", "kind_ord", "text")))
+    text = F.when(F.col("total") <= MAX_RECORD_BYTES, F.col("text")).otherwise(F.lit(""))
+    parts = F.sort_array(F.collect_list(F.struct("block", "kind_ord", text.alias("text"))))
     return (joined.groupBy("path", "owner")
             .agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n").alias("text"),
-                 F.max("first").alias("first"), F.first("name").alias("name")))
+                 F.max("first").alias("first"), F.first("name").alias("name"), F.max("total").alias("size")))
 
 
 def quoted_records(spark: SparkSession, paths: list[str], out_dir: str,
-                   split_bytes: int | None = None) -> DataFrame:
+                   split_bytes: int | None = None, delimiter: str = ",", n_cols: int = 1) -> DataFrame:
     """(path, name, text): one row per data record of the files, headers dropped.
 
     The split table (pass A) and pass B's output are written under
-    ``out_dir`` once, so the text is scanned twice (parity and line counts,
+    ``out_dir`` once, so the text is scanned twice (states and line counts,
     then records) and never again; ``split_line_counts`` reads the line
-    counts back for reconciliation.
+    counts back for reconciliation. A record that is too long is a row of
+    more than ``n_cols`` cells that says so.
     """
     with _split_size(spark, split_bytes):
         lines = _lines(spark, paths)
-        split_table(lines).write.mode("overwrite").parquet(f"{out_dir}/splits")
+        split_table(lines, delimiter).write.mode("overwrite").parquet(f"{out_dir}/splits")
         splits = spark.read.parquet(f"{out_dir}/splits")
-        odd = {(r["path"], int(r["block"])) for r in splits.filter("inside").select("path", "block").collect()}
-        # A file's line ending is that of its first line (the header), in its first split.
-        crlf = {r["path"] for r in splits.filter((F.col("block") == 0) & F.col("crlf")).select("path").collect()}
-        odd_bc = spark.sparkContext.broadcast((frozenset(odd), frozenset(crlf)))
-        (lines.drop("row").mapInArrow(_cut_records(odd_bc), FRAGMENT_SCHEMA)
+        # Only splits that do not start as a record of LF lines are joined; few of them are broadcast, else the
+        # lines are dealt by split and put in order again.
+        odd = splits.filter(F.col("inside") | F.col("crlf")).select("path", "block", "inside", "crlf")
+        n_odd = odd.count()
+        marked = join_small(lines, odd, ["path", "block"], "left", n_odd)
+        if not is_broadcast(odd, n_odd):
+            marked = marked.repartition("path", "block").sortWithinPartitions("path", "block", "row")
+        (marked.select("path", "name", "block", "inside", "crlf", "value").mapInArrow(_cut_records(delimiter), FRAGMENT_SCHEMA)
          .write.mode("overwrite").parquet(f"{out_dir}/fragments"))
     frags = spark.read.parquet(f"{out_dir}/fragments")
-    whole = frags.filter(F.col("kind") == "record").select("path", "name", "first", "text")
-    records = whole.unionByName(stitch(frags).select("path", "name", "first", "text"))
-    return (records.filter(~F.col("first") & (F.col("text") != ""))    # blank lines are not records
-            .select("path", "name", "text"))
+    whole = frags.filter(F.col("kind") == "record").select("path", "name", "first", "text", "size")
+    records = whole.unionByName(stitch(frags).select("path", "name", "first", "text", "size"))
+    too_long = F.concat(F.format_string("record of %d bytes", "size"), F.lit(delimiter * n_cols))
+    return (records.filter(~F.col("first") & ((F.col("text") != "") | (F.col("size") > MAX_RECORD_BYTES)))    # blank lines are not records
+            .select("path", "name", F.when(F.col("size") > MAX_RECORD_BYTES, too_long).otherwise(F.col("text")).alias("text")))
 
 
 def split_line_counts(spark: SparkSession, out_dir: str) -> DataFrame:
     """(path, raw_records): physical lines per file minus the header, never below
-    0, from the split table of ``quoted_records`` (lines end at "\\n")."""
+    0, from the split table of ``quoted_records`` (lines end at "\n")."""
     splits = spark.read.parquet(f"{out_dir}/splits")
     return splits.groupBy("path").agg(F.greatest(F.sum("n_lines") - 1, F.lit(0)).alias("raw_records"))
 

@@ -28,6 +28,7 @@ from flatland.operators.land import _PATH, AUDIT_FILE, LandingField, format_job_
 from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
 from flatland.operators.stage import dedup_latest
 from flatland.plans.feed import Feed
+from flatland.session import new_run_dir
 from flatland.sources.files import feed_name_glob
 
 
@@ -111,11 +112,14 @@ def publish_batches(spark: SparkSession, target: VersionedTable | PartitionedTab
     """
     def run(rows: DataFrame, batch_id: int) -> None:
         staged = transform(rows) if transform else rows
-        latest = dedup_latest(staged.drop(AUDIT_FILE) if AUDIT_FILE in staged.columns and AUDIT_FILE not in order_desc
-                              else staged, keys, order_desc)
+        # Written once: the publish reads it for its key check, its partitions and its rows.
+        path = new_run_dir(spark, "stream-batch")
+        dedup_latest(staged, keys, order_desc).write.parquet(path)
+        latest = spark.read.parquet(path)
         if isinstance(target, PartitionedTable):
             publish_partitions(spark, latest, target)
         else:
             publish(spark, latest, target, keys, version=batch_id + 1)
+        storage.delete(spark, path)
     return run
 

@@ -111,14 +111,3 @@ def test_spark_types():
     assert spark_type("integer").simpleString() == "int"
     assert spark_type("decimal(7,2)").simpleString() == "decimal(7,2)"
     assert spark_type("timestamp(0)").simpleString() == "timestamp_ntz"
-
-
-def test_byte_size_reads_spark_byte_strings():
-    import pytest
-
-    from flatland.operators.land import byte_size
-    assert byte_size("128m") == byte_size("128MB") == 128 << 20
-    assert byte_size("134217728b") == byte_size("134217728") == 134217728
-    assert byte_size(" 4k ") == 4096 and byte_size("1g") == 1 << 30
-    with pytest.raises(ValueError):
-        byte_size("lots")

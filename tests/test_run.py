@@ -24,8 +24,8 @@ def plan(keys=("k",)):
                 ColumnMap("load_timestamp", "load_timestamp", "timestamp(0)")],
         keys=list(keys),
         stage_schema=T.StructType([]),
-        target_schema=T.StructType([T.StructField(n, T.StringType()) for n in
-                                    ["k", "v", "modify_date_time", "load_file_name", "load_timestamp"]]),
+        target_schema=T.StructType.fromDDL("k long, v string, modify_date_time timestamp_ntz, load_file_name string, "
+                                           "load_timestamp timestamp_ntz"),
         tables={})
 
 
