@@ -8,11 +8,12 @@ Two documents link when ``100 * |A n B| >= percent * |A u B|`` for their sets of
 2. Documents with equal sets are one class, held by the smallest id. From here on classes count, so thousands of copies are one.
 3. Only classes with ``SHARED`` prefix tokens that other classes have, too, can link; their texts are fetched, once.
 4. Partition into groups: classes with a common min-hash key meet in blocks of bounded size, dealt anew for
-   each key, and are linked there exactly; the connected groups of what was found are the rows of the matrix.
+   each key, and are linked there exactly; connected classes are a component from then on, and components whose smallest
+   documents have the same min-hash are a group.
 5. Token-group matrix: the union of the prefix tokens of each group, with the sizes of its members. A query's overlap
-   with a group is bounded by the tokens it shares with the union; only groups of another component with ``SHARED`` of them and
-   a fitting size are opened, in blocks of bounded size, and the query is compared there with the members, exactly. Links within a group
-   need no second look, which saves the square of a group's size without losing a component.
+   with a group is bounded by the tokens it shares with the union; only groups that have ``SHARED`` of them from another component and
+   a fitting size are opened, in blocks of bounded size, and the query is compared there with the members, exactly. Links within a
+   component need no second look, which saves the square of its size without losing one between components.
 6. Components of all links are spread to the copies.
 
 Set comparisons use 64-bit token hashes recomputed from whole texts. Bound of a block: BLOCK_ROWS classes
@@ -173,18 +174,23 @@ def link_block(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tup
     return links
 
 
-def open_group(members: list[tuple[int, np.ndarray]], queries: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
-    """One link for each query's component that has one with a member of the group."""
-    block = _Sets([s for _, s in members])
-    done: set[int] = set()
+def open_group(members: list[tuple[int, int, np.ndarray]], queries: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """A link for each two components, by (label, id, set) of members and queries, that link in this group."""
+    block = _Sets([s for _, _, s in members])
+    own = np.array([label for label, _, _ in members])
+    joined: dict[int, set[int]] = {}
     links = []
     for label, doc_id, tokens in queries:
-        if label in done:
+        done = joined.setdefault(label, set())
+        open_to = own < label
+        if done:
+            open_to &= ~np.isin(own, list(done))
+        if not open_to.any():
             continue
-        found = np.flatnonzero(block.linked(tokens, percent))
-        if len(found):
-            done.add(label)
-            links.append((doc_id, members[found[0]][0]))
+        for i in np.flatnonzero(block.linked(tokens, percent) & open_to):
+            if own[i] not in done:
+                done.add(own[i])
+                links.append((doc_id, members[i][1]))
     return links
 
 
@@ -296,36 +302,38 @@ def _group_links(candidates: DataFrame, size: int, percent: int, partitions: int
 
 
 def _matrix_links(scratch: _Scratch, candidates: DataFrame, tokens: DataFrame, labels: DataFrame, size: int, percent: int, share: int, partitions: int) -> DataFrame:
-    """Links between groups: bound each query's overlap with other groups and open those that qualify."""
-    groups = candidates.select("doc_id", "h1", "n").distinct().join(labels, F.col("doc_id") == F.col("node"), "left").select(
-        "doc_id", "h1", "n", F.coalesce("component", "doc_id").alias("label"))
+    """Links between components: bound each query's overlap with the groups and open those that qualify."""
+    slim = candidates.select("doc_id", "h1", "n", F.get("keys", 0).alias("key")).distinct().join(labels, F.col("doc_id") == F.col("node"), "left").select(
+        "doc_id", "h1", "n", "key", F.coalesce("component", "doc_id").alias("label"))
+    # A component goes to the group of its smallest document's min-hash, so what is alike meets in few groups, linked or not.
+    place = slim.where("doc_id = label").groupBy("label").agg(F.min("key").alias("grp"))
+    groups = slim.join(place, "label").select("doc_id", "h1", "n", "label", "grp")
     marked = scratch.keep(tokens.select("token", "doc_id", "h1").distinct().join(groups, ["doc_id", "h1"]), "marked")
-    # The matrix: a row for each token of a group's union, with the sizes of the members that have it.
-    matrix = marked.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    between = matrix.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    matrix = matrix.join(between, "token").withColumnRenamed("label", "other")
-    asked = marked.join(between, "token", "left_semi")
-    # Each pair of groups is looked at from one side, by the members of the group with the larger label.
-    bounded = (asked.join(matrix, "token").where((F.col("other") < F.col("label")) & (100 * F.col("most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("least")))
+    # The matrix: a row for each token of a group's union, with the sizes and the smallest component of the members that have it.
+    matrix = marked.groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    between = matrix.groupBy("token").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first <> last").select("token", "first")
+    asked = marked.join(between, "token").where(F.col("label") > F.col("first")).select("token", "doc_id", "h1", "n", "label")
+    matrix = matrix.join(between, "token", "left_semi").drop("hi").withColumnRenamed("grp", "other")
+    # Two components are looked at from one side: by the members of the one with the larger label.
+    bounded = (asked.join(matrix, "token")
+               .where((F.col("lo") < F.col("label")) & (100 * F.col("most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("least")))
                .groupBy("doc_id", "h1", "label", "other").agg(F.count("*").alias("overlap")).where(F.col("overlap") >= share))
     opened = scratch.keep(bounded.select("doc_id", "h1", "label", "other"), "opened")
-    shape = groups.groupBy("label").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
-    shape = shape.join(opened.select(F.col("other").alias("label")).distinct(), "label", "left_semi").select(
-        F.col("label").alias("other"), _blocks_of(F.col("rows"), F.col("tokens")).alias("blocks"))
-    members = (groups.join(shape, F.col("label") == F.col("other"))
+    shape = groups.groupBy(F.col("grp").alias("other")).agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
+    shape = shape.join(opened.select("other").distinct(), "other", "left_semi").select("other", _blocks_of(F.col("rows"), F.col("tokens")).alias("blocks"))
+    members = (groups.join(shape, F.col("grp") == F.col("other"))
                .select("doc_id", "h1", F.lit(0).alias("kind"), "label", "other", F.pmod(F.xxhash64("doc_id", "h1"), F.col("blocks")).alias("part")))
     queries = (opened.join(shape, "other")
                .select("doc_id", "h1", F.lit(1).alias("kind"), "label", "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1).cast("array<long>")).alias("part")))
-    # Queries of a group are many in one block only if that group is; they are dealt over blocks of their own, too.
-    wide = queries.groupBy("other", "part").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("turns"))
+    # Where very many ask for one block, they are dealt over copies of it.
+    wide = queries.groupBy("other", "part").agg(F.ceil(F.count("*") / (4 * BLOCK_ROWS)).cast("int").alias("turns"))
     queries = queries.join(wide, ["other", "part"]).withColumn("turn", F.pmod(F.xxhash64("doc_id", "h1"), F.col("turns"))).drop("turns")
     members = members.join(wide, ["other", "part"]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1).cast("array<long>"))).drop("turns")
     frame = (members.unionByName(queries).withColumn("block", F.xxhash64("other", "part", "turn"))
              .join(candidates.select("doc_id", "h1", "text"), ["doc_id", "h1"]))
 
     def solve(rows):
-        members = [(r[2], r[3]) for r in rows if r[0] == 0]
-        queries = [(r[1], r[2], r[3]) for r in rows if r[0] == 1]
+        members, queries = ([r[1:] for r in rows if r[0] == kind] for kind in (0, 1))
         return open_group(members, queries, percent) if members and queries else []
 
     return _by_block(frame, size, solve, partitions)
