@@ -6,7 +6,8 @@ Two documents link when ``100 * |A n B| >= percent * |A u B|`` for their sets of
    keeps common passages out of the prefixes. One pass writes each document's size, set hash, min-hash keys and prefix: its
    first ``n - ceil(t * n) + SHARED`` tokens. Two linked sets share at least ``SHARED`` prefix tokens.
 2. Documents with equal sets are one class, held by the smallest id. From here on classes count, so thousands of copies are one.
-3. Only classes with ``SHARED`` prefix tokens that other classes have, too, can link; their texts are fetched, once.
+3. Only classes with ``SHARED`` prefix tokens that other classes have, too, can link: one shuffle of (token, class), hot tokens
+   apart, finds them. Their texts are fetched, once.
 4. Partition into groups: classes with a common min-hash key meet in blocks of bounded size, dealt anew for
    each key, and are linked there exactly; connected classes are a component from then on, and components whose smallest
    documents have the same min-hash are a group.
@@ -85,8 +86,13 @@ def token_counts(docs: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _signature(tokens: np.ndarray, counts: np.ndarray, percent: int) -> tuple[int, int, list[int], np.ndarray]:
-    """Two set hashes, the min-hash keys and the prefix of a set."""
+def hot_count(counts: np.ndarray) -> int:
+    """Count from which a counter's tokens are hot. Counters never count too little, so any other token has fewer rows."""
+    return 4 * int(counts.mean()) + 1000
+
+
+def _signature(tokens: np.ndarray, counts: np.ndarray, percent: int, from_hot: int) -> tuple[int, int, list[int], np.ndarray, np.ndarray]:
+    """Two set hashes, the min-hash keys, and the prefix of a set: its hot tokens apart."""
     with np.errstate(over="ignore"):
         first = int(mix(tokens).sum(dtype=np.uint64))
         second = int(np.bitwise_xor.reduce(mix(tokens ^ np.uint64(0x5BD1E9955BD1E995))))
@@ -100,7 +106,8 @@ def _signature(tokens: np.ndarray, counts: np.ndarray, percent: int) -> tuple[in
         prefix = np.concatenate((tokens[weight < last], own[:size - int((weight < last).sum())]))
     else:
         prefix = tokens
-    return first, second, keys, prefix
+    hot = counts[(prefix & np.uint64(SKETCH - 1)).astype(np.int64)] >= from_hot
+    return first, second, keys, prefix[~hot], prefix[hot]
 
 
 def _signed(x) -> np.ndarray:
@@ -108,27 +115,61 @@ def _signed(x) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """doc_id, n, h1, h2, keys and prefix of every row (keys and prefix only where another set could link)."""
+    """doc_id, n, h1, h2, keys, prefix and hot of every row (the last three only where another set could link)."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    least = least_size(percent)
+    least, none, from_hot = least_size(percent), np.empty(0, np.uint64), hot_count(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
             for first, last, words in iter_words(batch.column(1)):
-                n, h1, h2, keys, prefixes = [], [], [], [], []
+                n, h1, h2, lists = [], [], [], ([], [], [])
                 for tokens in shingle_sets(words, size):
+                    a, b, *own = _signature(tokens, counts, percent, from_hot) if len(tokens) else (0, 0, none, none, none)
                     n.append(len(tokens))
-                    a, b, own, prefix = _signature(tokens, counts, percent) if len(tokens) else (0, 0, [], tokens)
                     h1.append(a)
                     h2.append(b)
-                    keys.append(_signed(own) if len(tokens) >= least else np.empty(0, np.int64))
-                    prefixes.append(prefix.view(np.int64) if len(tokens) >= least else np.empty(0, np.int64))
+                    for to, x in zip(lists, own):
+                        to.append(_signed(x if len(tokens) >= least else none))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, last - first), pa.array(n, pa.int64()), pa.array(_signed(h1)), pa.array(_signed(h2)),
-                    _lists(keys), _lists(prefixes)], names=["doc_id", "n", "h1", "h2", "keys", "prefix"])
+                    *[_lists(x) for x in lists]], names=["doc_id", "n", "h1", "h2", "keys", "prefix", "hot"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, keys array<long>, prefix array<long>, hot array<long>")
+
+
+def common_tokens(full: DataFrame, partitions: int) -> DataFrame:
+    """(token, h1), each once, of the prefix tokens that classes with different sets have.
+
+    Hot tokens are taken as common without a look. Of the others each has a bounded number of rows; they are
+    dealt by token and sorted, and a run of one token with several classes is kept.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = h1 = np.empty(0, np.int64)
+
+        def kept(token, h1):
+            new = np.ones(len(token), dtype=bool)
+            new[1:] = (token[1:] != token[:-1]) | (h1[1:] != h1[:-1])
+            token, h1 = token[new], h1[new]
+            same = np.zeros(len(token) + 1, dtype=bool)
+            same[1:-1] = token[1:] == token[:-1]
+            keep = same[1:] | same[:-1]
+            return pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(h1[keep])], names=["token", "h1"])
+
+        for batch in batches:
+            token, h1 = (np.concatenate((a, batch.column(i).to_numpy())) for i, a in enumerate((token, h1)))
+            if len(token):
+                done = int(np.searchsorted(token, token[-1], side="left"))     # the last token may go on
+                if done:
+                    yield kept(token[:done], h1[:done])
+                    token, h1 = token[done:], h1[done:]
+        if len(token):
+            yield kept(token, h1)
 
-    return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, keys array<long>, prefix array<long>")
+    cold = full.select(F.explode("prefix").alias("token"), "h1").repartition(partitions, "token").sortWithinPartitions("token", "h1")
+    hot = full.select(F.explode("hot").alias("token"), "h1").distinct()
+    return cold.mapInArrow(run, "token long, h1 long").unionByName(hot)
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -262,7 +303,7 @@ def link_documents(documents: DataFrame, size: int = 5, percent: int = 80, doc_i
     links = copies
     least, share = least_size(percent), shared_tokens(percent)
     if percent < 100:
-        candidates, tokens = _candidates(scratch, docs, full.where(F.col("n") >= least), holders, share)
+        candidates, tokens = _candidates(scratch, docs, full.where(F.col("n") >= least), holders, share, partitions)
         labels = connected_components(_group_links(candidates, size, percent, partitions))
         more = _matrix_links(scratch, candidates, tokens, labels, size, percent, share, partitions)
         links = copies.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))).unionByName(more)
@@ -272,18 +313,15 @@ def link_documents(documents: DataFrame, size: int = 5, percent: int = 80, doc_i
     return slim.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _candidates(scratch: _Scratch, docs: DataFrame, full: DataFrame, holders: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+def _candidates(scratch: _Scratch, docs: DataFrame, full: DataFrame, holders: DataFrame, share: int, partitions: int) -> tuple[DataFrame, DataFrame]:
     """Classes that may link with another one, with texts; and their common prefix tokens."""
-    # A class is signed by the row of its holder; rows that repeat it say the same.
-    classes = full.join(holders.withColumnRenamed("holder", "doc_id"), ["h1", "h2", "doc_id"], "left_semi")
-    each = classes.select("doc_id", "h1", "n", F.explode("prefix").alias("token"))
-    # h1 tells apart classes whose holder is the same repeated id.
-    common = (each.groupBy("token").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("token"))
-    tokens = scratch.keep(each.join(common, "token").select("token", "doc_id", "h1", "n"), "tokens")
-    able = tokens.groupBy("doc_id", "h1").agg(F.countDistinct("token").alias("c")).where(F.col("c") >= share).select("doc_id", "h1")
-    rows = classes.select("doc_id", "h1", "n", "keys").join(able, ["doc_id", "h1"], "left_semi").dropDuplicates(["doc_id", "h1"])
+    tokens = scratch.keep(common_tokens(full, partitions), "tokens")
+    able = scratch.keep(tokens.groupBy("h1").agg(F.count("*").alias("c")).where(F.col("c") >= share).select("h1"), "able")
+    # A class is read from a row of its holder; rows that repeat it say the same.
+    held = holders.withColumnRenamed("holder", "doc_id").join(able, "h1", "left_semi")
+    rows = full.select("doc_id", "h1", "h2", "n", "keys").join(held, ["doc_id", "h1", "h2"], "left_semi").drop("h2").dropDuplicates(["doc_id", "h1"])
     candidates = scratch.keep(docs.join(rows, "doc_id").select("doc_id", "h1", "n", "keys", "text").distinct(), "candidates")
-    return candidates, tokens.join(able, ["doc_id", "h1"], "left_semi")
+    return candidates, tokens.join(able, "h1", "left_semi")
 
 
 def _group_links(candidates: DataFrame, size: int, percent: int, partitions: int) -> DataFrame:
@@ -308,7 +346,7 @@ def _matrix_links(scratch: _Scratch, candidates: DataFrame, tokens: DataFrame, l
     # A component goes to the group of its smallest document's min-hash, so what is alike meets in few groups, linked or not.
     place = slim.where("doc_id = label").groupBy("label").agg(F.min("key").alias("grp"))
     groups = slim.join(place, "label").select("doc_id", "h1", "n", "label", "grp")
-    marked = scratch.keep(tokens.select("token", "doc_id", "h1").distinct().join(groups, ["doc_id", "h1"]), "marked")
+    marked = scratch.keep(tokens.join(groups, "h1"), "marked")
     # The matrix: a row for each token of a group's union, with the sizes and the smallest component of the members that have it.
     matrix = marked.groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     between = matrix.groupBy("token").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first <> last").select("token", "first")

@@ -176,6 +176,14 @@ def test_large_groups_are_dealt_in_blocks(spark, monkeypatch):
     assert got == brute_components(rows, 3, 85)
 
 
+def test_hot_tokens_are_kept_apart(spark, monkeypatch):
+    rows = families(random.Random(9), 150, 50, 4)
+    for threshold in (1, 40, 100):
+        monkeypatch.setattr(ngram_join, "hot_count", lambda counts, t=threshold: t)
+        got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect())
+        assert got == brute_components(rows, 3, 85)
+
+
 def test_join_of_nothing(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.link_documents(frame, 3, 90).count() == 0
