@@ -15,7 +15,7 @@ Two documents link when ``100 * |A n B| >= percent * |A u B|`` for their sets of
    with a group is bounded by the tokens it shares with the union; only groups that have ``SHARED`` of them from another component and
    a fitting size are opened, in blocks of bounded size, and the query is compared there with the members, exactly. Links within a
    component need no second look, which saves the square of its size without losing one between components.
-6. Components of all links are spread to the copies.
+6. Components that meet are joined, and spread to the copies.
 
 Set comparisons use 64-bit token hashes recomputed from whole texts. Bound of a block: BLOCK_ROWS classes
 and BLOCK_TOKENS tokens on average; larger groups have more blocks.
@@ -216,12 +216,12 @@ def link_block(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tup
 
 
 def open_group(members: list[tuple[int, int, np.ndarray]], queries: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
-    """A link for each two components, by (label, id, set) of members and queries, that link in this group."""
+    """The two components' labels of each link found, once, by (label, id, set) of members and queries of a group."""
     block = _Sets([s for _, _, s in members])
     own = np.array([label for label, _, _ in members])
     joined: dict[int, set[int]] = {}
     links = []
-    for label, doc_id, tokens in queries:
+    for label, _, tokens in queries:
         done = joined.setdefault(label, set())
         open_to = own < label
         if done:
@@ -231,7 +231,7 @@ def open_group(members: list[tuple[int, int, np.ndarray]], queries: list[tuple[i
         for i in np.flatnonzero(block.linked(tokens, percent) & open_to):
             if own[i] not in done:
                 done.add(own[i])
-                links.append((doc_id, members[i][1]))
+                links.append((label, int(own[i])))
     return links
 
 
@@ -273,19 +273,18 @@ class _Scratch:
     """Tables written to the shared folder between the steps."""
 
     def __init__(self, spark: SparkSession):
-        self._spark, self._paths = spark, []
+        self._spark, self._paths = spark, {}
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         path = new_run_dir(self._spark, f"ngram-{name}")
         frame.write.parquet(path)
-        self._paths.append(path)
+        self._paths[name] = path
         return self._spark.read.parquet(path)
 
-    def drop(self) -> None:
-        """Delete all of them but the first, which the result reads."""
-        for path in self._paths[1:]:
-            storage.delete(self._spark, path)
-        del self._paths[1:]
+    def drop(self, but: str) -> None:
+        """Delete all but the one that the result reads."""
+        for name in [n for n in self._paths if n != but]:
+            storage.delete(self._spark, self._paths.pop(name))
 
 
 def link_documents(documents: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -299,18 +298,26 @@ def link_documents(documents: DataFrame, size: int = 5, percent: int = 80, doc_i
 
     # Classes of equal sets, held by their smallest id.
     holders = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("holder"))
-    copies = full.select("doc_id", "h1", "h2").join(holders, ["h1", "h2"]).where("doc_id <> holder").select(F.col("doc_id").alias("a"), F.col("holder").alias("b"))
-    links = copies
     least, share = least_size(percent), shared_tokens(percent)
+    labels = more = spark.createDataFrame([], "node long, component long")
     if percent < 100:
         candidates, tokens = _candidates(scratch, docs, full.where(F.col("n") >= least), holders, share, partitions)
         labels = connected_components(_group_links(candidates, size, percent, partitions))
         more = _matrix_links(scratch, candidates, tokens, labels, size, percent, share, partitions)
-        links = copies.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))).unionByName(more)
-    found = connected_components(links)
-    scratch.drop()                  # the components are checkpointed
-    slim = signed.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("node"), "left")
-    return slim.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # The component of each row so far; a row without words is one of its own.
+    rows = signed.select("doc_id", "n", "h1", "h2").join(holders.withColumnsRenamed({"h1": "a1", "h2": "a2"}),
+                                                         (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2")) & (F.col("n") > 0), "left")
+    rows = rows.join(labels, F.col("holder") == F.col("node"), "left").select(
+        "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "holder", "doc_id")).alias("label"))
+    rows = scratch.keep(rows, "rows")
+    # Components that meet in the matrix, and those of rows with one id.
+    met = rows.groupBy("doc_id").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(F.col("doc_id").alias("id"), "lo")
+    met = rows.join(met, F.col("doc_id") == F.col("id")).select(F.col("label").alias("a"), F.col("lo").alias("b"))
+    met = met.unionByName(more.toDF("a", "b")).distinct().checkpoint()
+    if not met.isEmpty():
+        rows = rows.join(connected_components(met), F.col("label") == F.col("node"), "left").withColumn("label", F.coalesce("component", "label"))
+    scratch.drop(but="rows")
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"))
 
 
 def _candidates(scratch: _Scratch, docs: DataFrame, full: DataFrame, holders: DataFrame, share: int, partitions: int) -> tuple[DataFrame, DataFrame]:
