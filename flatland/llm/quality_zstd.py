@@ -7,7 +7,7 @@ of the text, becomes a probability through a logistic curve fitted on labelled r
 
 Learning uses a bounded sample: ``SAMPLE_PIECES`` pieces a class for the dictionaries and
 ``CALIBRATION_ROWS`` whole texts for the curve, those with the smallest hashes of id and place, so the sample does not depend
-on how rows are stored. Only the dictionaries (``DICTIONARY_BYTES`` each) and two numbers go to the tasks. Scoring is a
+on how rows are stored. Lines that both classes have (notices, licences) are left out of either dictionary, and each line is in it once. Only the dictionaries (``DICTIONARY_BYTES`` each) and two numbers go to the tasks. Scoring is a
 scan without a shuffle.
 
 Defined cases: null and empty texts have difference 0 and so the curve's value there; repeated rows get
@@ -60,6 +60,33 @@ def train_dictionary(pieces: list[bytes], size: int = DICTIONARY_BYTES) -> bytes
         return b"\n".join(pieces)[:size].ljust(8, b" ")
 
 
+def distinct_lines(pieces: dict[int, list[str]]) -> dict[int, list[bytes]]:
+    """The pieces of either class without lines that both have, and each line once."""
+    lines = [{line for piece in pieces[q] for line in piece.split("\n")} for q in (0, 1)]
+    both = lines[0] & lines[1]
+    out: dict[int, list[bytes]] = {}
+    for q in (0, 1):
+        seen = set(both)
+        out[q] = []
+        for piece in pieces[q]:
+            own = [line for line in piece.split("\n") if line not in seen]
+            seen.update(own)
+            if any(own):
+                out[q].append("\n".join(own).encode("utf-8", "surrogatepass"))
+    return out
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The dictionaries of the sample's pieces (quality, place, text); none unless both classes are there."""
+    pieces: dict[int, list[str]] = {0: [], 1: []}
+    for batch in batches:
+        for quality, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            pieces[quality].append(text)
+    distinct = distinct_lines(pieces)
+    if all(distinct.values()):
+        yield pa.RecordBatch.from_arrays([pa.array([train_dictionary(distinct[q])], pa.binary()) for q in (1, 0)], names=["good", "bad"])
+
+
 class Difference:
     """(size with the bad dictionary - size with the good one) / bytes, over all pieces of a text."""
 
@@ -145,11 +172,13 @@ def train_quality(documents: DataFrame, labels: DataFrame, learn: Column | None
               .select("doc_id", "quality", "text", F.explode(F.sequence(F.lit(0), n_pieces - 1)).alias("piece"))
               .select("doc_id", "quality", "piece", F.substring(text_col, F.col("piece") * SAMPLE_CHARS + 1, F.lit(SAMPLE_CHARS)).alias("text"),
                       F.xxhash64(F.col("doc_id").cast("string"), "piece").alias("draw")))
-    got = {q: [r[0].encode("utf-8", "surrogatepass") for r in pieces.where(F.col("quality") == q)
-               .orderBy("draw", "doc_id", "piece", "text").limit(SAMPLE_PIECES).select("text").collect() if r[0]] for q in (0, 1)}
-    if not got[0] or not got[1]:
+    place = F.row_number().over(Window.partitionBy("quality").orderBy("draw", "doc_id", "piece", "text"))
+    pieces = pieces.where(F.length("text") > 0).withColumn("place", place).where(F.col("place") <= SAMPLE_PIECES)
+    # At most 2 * SAMPLE_PIECES pieces meet in the one task that trains; the dictionaries come back.
+    trained = pieces.select("quality", "place", "text").repartition(1).sortWithinPartitions("quality", "place").mapInArrow(_train, "good binary, bad binary").first()
+    if trained is None:
         return neutral
-    model = QualityModel(train_dictionary(got[1]), train_dictionary(got[0]))
+    model = QualityModel(bytes(trained["good"]), bytes(trained["bad"]))
     fit = measure(sample.where(F.col("curve")), model, keep=["quality"]).select("row.quality", "difference").toPandas()
     if fit["quality"].nunique() < 2:            # too few rows to set some aside: those of the dictionaries then
         fit = measure(sample, model, keep=["quality"]).select("row.quality", "difference").limit(CALIBRATION_ROWS).toPandas()
