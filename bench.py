@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["land_lineitem", "dedup_latest", "publish_upsert_composite", "publish_partitions", "profile_columns",
+HEADLINE = ["land_lineitem", "land_counts", "dedup_latest", "publish_upsert_composite", "publish_partitions", "profile_columns",
             "entry_load", "scan_quoted_multiline"]
 
 

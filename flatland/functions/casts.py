@@ -82,8 +82,9 @@ def strict_double(c: Column) -> tuple[Column, Column]:
 # Cheap shape test: only texts that look like one of the layouts above (three
 # parts of digits or a month's name; or eight digits) are handed to the
 # parsers, so ordinary words cost one regex, not a parse for each layout.
-_DATE_SHAPE = (r"^(?:[0-9]{1,4}[-/.][0-9A-Za-z]{1,9}[-/.][0-9]{1,4}|[0-9]{8}"
-               r"|[0-9]{1,2} [A-Za-z]{3,9},? [0-9]{4}|[A-Za-z]{3,9} [0-9]{1,2},? [0-9]{4})(?![0-9A-Za-z])")
+_DATE_SHAPE = (r"^\s*(?:[0-9]{1,4}[-/.][0-9A-Za-z]{1,9}[-/.][0-9]{1,4}|[0-9]{8}"
+               r"|[0-9]{1,2} [A-Za-z]{3,9},? [0-9]{4}|[A-Za-z]{3,9} [0-9]{1,2},? [0-9]{4})(?![0-9A-SU-Za-z])")
+_ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?: [0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?)?$"
 # A time's zone (Z or an offset) and what Spark's microseconds cannot hold.
 _ZONE = r"(?<=[0-9])\s*(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})$"
 _FRACTION = r"(:[0-9]{2}\.[0-9]{6})[0-9]+$"
@@ -105,8 +106,10 @@ def parse_datetime(c: Column, layouts: list[str] | tuple[str, ...] = ()) -> Colu
     """
     own = [F.try_to_timestamp(F.trim(c), F.lit(fmt)) for fmt in layouts]
     t = datetime_text(c)
-    known = F.when(t.rlike(_DATE_SHAPE), F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in DATETIME_FORMATS]))
-    return F.coalesce(*own, known).cast(T.TimestampNTZType())
+    # The commonest spelling needs no rewriting and is tried on the text as it is.
+    plain = F.when(c.rlike(_ISO_SHAPE), F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATETIME_FORMATS[:2]]))
+    known = F.when(c.rlike(_DATE_SHAPE), F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in DATETIME_FORMATS]))
+    return F.coalesce(*own, plain, known).cast(T.TimestampNTZType())
 
 
 def datetime_value(attempt: Column) -> Column:

@@ -79,12 +79,3 @@ def stage_name_col(c: Column) -> Column:
         split = F.concat(c.substr(F.lit(1), F.length(c) - len(kw)), F.lit("_" + kw))
         out = F.when(hit, split) if out is None else out.when(hit, split)
     return out.otherwise(c)
-
-
-def file_stem_col(file_name: Column) -> Column:
-    """File name without its last extension."""
-    return F.regexp_extract(file_name, r"^(.*?)(\.[^.]*)?$", 1)
-
-
-def file_extension_col(file_name: Column) -> Column:
-    return F.regexp_extract(file_name, r"\.([^.]*)$", 1)

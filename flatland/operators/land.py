@@ -234,14 +234,18 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     field_types.pop(AUDIT_FILE, None)
     wanted = [landing_name(f.source) for f in fields]
 
-    header_rows = file_headers(spark, list(read_path.values()), feed.encoding).collect()
+    # Headers are read once; the driver gets each different header once, and a number of it for each file.
+    heads = file_headers(spark, list(read_path.values()), feed.encoding)
+    heads.withColumn("number", F.when(F.col("header").isNotNull(), F.xxhash64("header"))).write.mode("overwrite").parquet(f"{run_dir}/headers")
+    heads = spark.read.parquet(f"{run_dir}/headers")
+    texts = {r["number"]: r["header"] for r in heads.groupBy("number").agg(F.min("header").alias("header")).collect()}
     groups: dict[str, list[str]] = defaultdict(list)
     header_bad: list[tuple[str, str]] = []
-    for r in header_rows:
-        if r["header"] is None:
+    for r in heads.select("path", "number").collect():
+        if texts[r["number"]] is None:
             header_bad.append((r["path"], "empty file"))
         else:
-            groups[r["header"]].append(r["path"])
+            groups[texts[r["number"]]].append(r["path"])
 
     parts = []
     split_counts: list[DataFrame] = []

@@ -52,7 +52,8 @@ def profile_long(long: DataFrame, by: Sequence[str] = ("column_name", "position"
     num, bad_num = strict_double(s)
     exponent = s.contains("e") | s.contains("E")
     facts = long.select(*by, "s", num.alias("v"), bad_num.alias("b"), parse_datetime(s).alias("t"),
-                        _digits_left(s).alias("l"), _digits_right(s).alias("r"), exponent.alias("e"))
+                        F.when(num.isNotNull(), _digits_left(s)).alias("l"), F.when(num.isNotNull(), _digits_right(s)).alias("r"),
+                        exponent.alias("e"))
     v, t = F.col("v"), F.col("t")
     finite = v.isNotNull() & (F.abs(v) != float("inf"))
     plain = finite & ~F.col("e")
@@ -147,4 +148,4 @@ def distinct_values(df: DataFrame, columns: Sequence[str], top_n: int = 10) -> D
     # aggregate and its shuffle is reused instead of scanning the input again.
     present = F.when(F.col("frequency") > 0, F.col("value"))
     n_distinct = counts.groupBy("column_name").agg(F.count(present).alias("n_distinct"))
-    return top.join(F.broadcast(n_distinct), "column_name")
+    return top.join(F.broadcast(n_distinct), "column_name")      # one row per given column

@@ -1,4 +1,4 @@
-"""Key checks (A10, O3) and spec-vs-header conformance as a query."""
+"""Key checks (A10, O3)."""
 
 from __future__ import annotations
 
@@ -41,13 +41,3 @@ def key_check(df: DataFrame, keys: Sequence[str], table_name: str, sample_size:
     return one.select(F.lit(table_name).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"),
                       (F.col("duplicate_keys") == 0).alias("is_unique"), (F.col("null_key_rows") == 0).alias("no_nulls"),
                       "duplicate_keys", "null_key_rows", "sample")
-
-
-def missing_columns(spec_fields: DataFrame, headers: DataFrame) -> DataFrame:
-    """Spec source fields absent from each header group (V2) as a left anti join.
-
-    ``spec_fields``: (feed, column_name); ``headers``: (feed, header_id, column_name).
-    """
-    groups = headers.select("feed", "header_id").distinct()
-    wanted = spec_fields.join(groups, "feed")
-    return wanted.join(headers, ["feed", "header_id", "column_name"], "left_anti")

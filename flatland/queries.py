@@ -360,6 +360,15 @@ def q_land_lineitem(spark, sf_dir):
     return map_columns(res.rows, LINEITEM_STAGE)
 
 
+@query("land_counts", """
+SELECT 'lineitem' AS feed, 'loaded' AS status, count(*) AS raw_records, count(*) AS records_loaded FROM lineitem""")
+def q_land_counts(spark, sf_dir):
+    """The counters every load pays for: landed rows and the files' line counts."""
+    d = _feed_dir(spark, sf_dir, "lineitem", lambda: table(spark, sf_dir, "lineitem"), n_files=8)
+    files = land_feed(spark, Feed("lineitem", d), LINEITEM_FIELDS, JOB_TIME).files
+    return files.groupBy("feed", "status").agg(F.sum("raw_records").alias("raw_records"), F.sum("records_loaded").alias("records_loaded"))
+
+
 DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -773,12 +782,9 @@ def q_profile_columns(spark, sf_dir):
     return profile_columns(_lineitem_text_rows(spark, sf_dir))
 
 
-@query("distinct_values", """
+@query("distinct_values", f"""
 WITH kv AS (
-  SELECT 'l_returnflag' AS column_name, l_returnflag AS value FROM lineitem
-  UNION ALL SELECT 'l_linestatus', l_linestatus FROM lineitem
-  UNION ALL SELECT 'l_quantity', CAST(l_quantity AS VARCHAR) FROM lineitem
-  UNION ALL SELECT 'l_suppkey', CAST(l_suppkey AS VARCHAR) FROM lineitem),
+  {" UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM lineitem" for c in LINEITEM_COLS)}),
 c AS (SELECT column_name, value, count(*) AS frequency FROM kv GROUP BY ALL),
 n AS (SELECT column_name, count(value) AS n_distinct FROM c GROUP BY ALL)
 SELECT c.column_name, value, frequency, rank, n_distinct FROM (
@@ -786,7 +792,7 @@ SELECT c.column_name, value, frequency, rank, n_distinct FROM (
   FROM c) c JOIN n USING (column_name) WHERE rank <= 10""")
 def q_distinct_values(spark, sf_dir):
     rows = _lineitem_text_rows(spark, sf_dir)
-    return distinct_values(rows, ["l_returnflag", "l_linestatus", "l_quantity", "l_suppkey"], top_n=10)
+    return distinct_values(rows, LINEITEM_COLS, top_n=10)
 
 
 def _infer_sql(table_name: str, cols: list[str]) -> str:

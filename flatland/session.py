@@ -111,16 +111,3 @@ def scratch_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder for one run of one operator."""
     return f"{scratch_root(spark)}/runs/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def to_local(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can open a local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.sep == "\\"

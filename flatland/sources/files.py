@@ -9,6 +9,8 @@ text scan aggregated per file.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +68,7 @@ def _opener(path: str):
         raw = open(local, "rb")
     else:
         fs, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://"))
-        raw = fs.open_input_stream(inner)
+        raw = fs.open_input_file(inner)         # seekable, as zip needs
     low = path.lower()
     if low.endswith(".gz"):
         return gzip.GzipFile(fileobj=raw)
@@ -82,6 +84,8 @@ def _opener(path: str):
 
 
 HEADER_SCHEMA = "path string, header string"
+#: Files opened at a time where the Python workers cannot open them.
+OPEN_AT_ONCE = 32
 
 
 def python_can_open(path: str) -> bool:
@@ -97,21 +101,14 @@ def python_can_open(path: str) -> bool:
         return False
 
 
-def _jvm_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First non-blank line per file through Spark's text reader (any Hadoop file system).
+def _jvm_headers(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
+    """First non-blank line per file through the Hadoop file system (any store Spark reads).
 
-    Only each file's first split is kept; within it, lines come in file order,
-    so the line with the smallest row id is the first one.
+    Each file is opened and read up to that line and no further, a bounded number at a time.
     """
-    lines = (spark.read.text(paths)
-             .select(F.col("_metadata.file_path").alias("path"), "value",
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("row"))
-             .filter((F.col("block") == 0) & (F.trim("value") != "")))
-    firsts = lines.groupBy("path").agg(F.min_by("value", "row").alias("header"))
-    listing = spark.createDataFrame([(p,) for p in paths], "path string")
-    cleaned = F.regexp_replace(F.regexp_replace("header", "\r$", ""), "^\ufeff", "")
-    return listing.join(firsts, "path", "left").select("path", cleaned.alias("header"))
+    with ThreadPoolExecutor(max_workers=OPEN_AT_ONCE) as pool:
+        heads = list(pool.map(lambda p: storage.first_line(spark, p, encoding), paths))
+    return spark.createDataFrame(list(zip(paths, heads)), HEADER_SCHEMA)
 
 
 def file_headers(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
@@ -119,12 +116,12 @@ def file_headers(spark: SparkSession, paths: list[str], encoding: str = "utf-8")
 
     Only the first line is read, so the cost per file is one small read, not
     a block scan. A zero-byte file yields a null header. Where Python cannot
-    open the files, Spark's text reader reads each file's first split.
+    open the files, Hadoop's file system reads the line.
     """
     if not paths:
         return spark.createDataFrame([], HEADER_SCHEMA)
     if not python_can_open(paths[0]):
-        return _jvm_headers(spark, paths)
+        return _jvm_headers(spark, paths, encoding)
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
     listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
 
