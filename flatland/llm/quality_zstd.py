@@ -3,11 +3,13 @@
 Two zstandard dictionaries are trained from labelled text, one of each class. A text is cut into pieces that
 cover it whole; every piece is compressed with either dictionary. Text that the good
 dictionary shortens more is like good text: the difference of the two sizes, divided by the bytes
-of the text, becomes a probability through a logistic curve fitted on labelled rows that the dictionaries have not seen.
+of the text, becomes a probability through rising steps (isotonic regression) fitted on labelled rows that the dictionaries have
+not seen, with a small share of a logistic curve so that no two differences tie. Steps follow texts that say little of either
+class, such as one word repeated, where a curve alone is pulled about by far-off rows.
 
 Learning uses a bounded sample: ``SAMPLE_PIECES`` pieces a class for the dictionaries and
 ``CALIBRATION_ROWS`` whole texts for the curve, those with the smallest hashes of id and place, so the sample does not depend
-on how rows are stored. Lines that both classes have (notices, licences) are left out of either dictionary, and each line is in it once. Only the dictionaries (``DICTIONARY_BYTES`` each) and two numbers go to the tasks. Scoring is a
+on how rows are stored. Lines that several pieces have (notices, licences) tell of no class and are left out of the dictionaries. Only the dictionaries (``DICTIONARY_BYTES`` each) and two numbers go to the tasks. Scoring is a
 scan without a shuffle.
 
 Defined cases: null and empty texts have difference 0 and so the curve's value there; repeated rows get
@@ -19,6 +21,7 @@ as the empty text in the fold.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,16 +41,22 @@ SAMPLE_PIECES = 2500
 CALIBRATION_ROWS = 4000
 #: Pulls the curve's slope towards 0 where calibration rows are few.
 RIDGE = 1e-6
+#: Groups of calibration rows of equal number, and at least so many rows in each.
+GROUPS, GROUP_ROWS = 40, 12
+#: Share of the logistic curve in the score: it keeps apart texts that fall into one step.
+CURVE_SHARE = 0.02
 
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Two dictionaries (None: no model) and the curve 1 / (1 + exp(-(slope * x + offset)))."""
+    """Two dictionaries (None: no model), the curve 1 / (1 + exp(-(slope * x + offset))) and rising steps through (at, share)."""
 
     good: bytes | None
     bad: bytes | None
     slope: float = 0.0
     offset: float = 0.0
+    at: tuple[float, ...] = ()
+    share: tuple[float, ...] = ()
 
 
 def train_dictionary(pieces: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
@@ -61,18 +70,23 @@ def train_dictionary(pieces: list[bytes], size: int = DICTIONARY_BYTES) -> bytes
 
 
 def distinct_lines(pieces: dict[int, list[str]]) -> dict[int, list[bytes]]:
-    """The pieces of either class without lines that both have, and each line once."""
-    lines = [{line for piece in pieces[q] for line in piece.split("\n")} for q in (0, 1)]
-    both = lines[0] & lines[1]
+    """The pieces of either class with those lines only that are in one piece of all.
+
+    A class that has no such line keeps each of its lines that the other has not, once.
+    """
+    lines = {q: Counter(line for piece in pieces[q] for line in set(piece.split("\n"))) for q in (0, 1)}
     out: dict[int, list[bytes]] = {}
     for q in (0, 1):
-        seen = set(both)
-        out[q] = []
-        for piece in pieces[q]:
-            own = [line for line in piece.split("\n") if line not in seen]
-            seen.update(own)
-            if any(own):
-                out[q].append("\n".join(own).encode("utf-8", "surrogatepass"))
+        for most in (1, len(pieces[q])):
+            seen = set(lines[1 - q])
+            out[q] = []
+            for piece in pieces[q]:
+                own = [line for line in piece.split("\n") if line not in seen and lines[q][line] <= most]
+                seen.update(own if most > 1 else ())
+                if any(own):
+                    out[q].append("\n".join(own).encode("utf-8", "surrogatepass"))
+            if out[q]:
+                break
     return out
 
 
@@ -140,9 +154,34 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / unit), float(w[1])
 
 
+def fit_steps(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Rising shares of label 1 along x (isotonic regression over groups of rows), at the groups' means."""
+    order = np.argsort(x, kind="stable")
+    groups = np.array_split(order, max(1, min(GROUPS, len(x) // GROUP_ROWS)))
+    mean = float((weight * y).sum() / weight.sum())
+    steps: list[list[float]] = []                   # weight, share, sum of x by weight
+    for g in groups:
+        w = float(weight[g].sum())
+        steps.append([w, float((weight[g] * y[g]).sum() + mean) / (w + 1), float((weight[g] * x[g]).sum())])
+        while len(steps) > 1 and steps[-2][1] >= steps[-1][1]:
+            w, share, moment = steps.pop()
+            last = steps[-1]
+            last[1] = (last[0] * last[1] + w * share) / (last[0] + w)
+            last[0] += w
+            last[2] += moment
+    return tuple(m / w for w, _, m in steps), tuple(s for _, s, _ in steps)
+
+
+def scores(x: np.ndarray, model: QualityModel) -> np.ndarray:
+    """Calibrated scores of differences."""
+    logistic = 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -700, 700)))
+    if not model.at:
+        return logistic
+    return (1 - CURVE_SHARE) * np.interp(x, model.at, model.share) + CURVE_SHARE * logistic
+
+
 def curve(x: float, model: QualityModel) -> float:
-    s = model.slope * x + model.offset
-    return 1 / (1 + math.exp(-s)) if s >= 0 else math.exp(s) / (1 + math.exp(s))
+    return float(scores(np.array([x]), model)[0])
 
 
 def train_quality(documents: DataFrame, labels: DataFrame, learn: Column | None = None, doc_id: str = "doc_id", text: str = "text",
@@ -186,9 +225,13 @@ def train_quality(documents: DataFrame, labels: DataFrame, learn: Column | None
     slope, offset = fit_curve(fit["difference"].to_numpy(dtype=float), fit["quality"].to_numpy(dtype=float))
     # The curve saw as many rows of either class as there were, up to its bound; set the prior right beyond it.
     f1, f0 = int((fit["quality"] == 1).sum()), int((fit["quality"] == 0).sum())
-    if f1 and f0:
-        offset += math.log(n1 / n0) - math.log(f1 / f0)
-    return QualityModel(model.good, model.bad, slope, offset)
+    if not f1 or not f0:
+        return QualityModel(model.good, model.bad, slope, offset)
+    offset += math.log(n1 / n0) - math.log(f1 / f0)
+    x, y = fit["difference"].to_numpy(dtype=float), fit["quality"].to_numpy(dtype=float)
+    weight = np.where(y == 1, n1 / f1, n0 / f0)
+    at, share = fit_steps(x, y, weight * len(x) / weight.sum())
+    return QualityModel(model.good, model.bad, slope, offset, at, share)
 
 
 def measure(documents: DataFrame, model: QualityModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -200,8 +243,8 @@ def measure(documents: DataFrame, model: QualityModel, text: str = "text", keep:
         model = shared.value
         difference = Difference(model)
         for batch in batches:
-            x = [difference(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.float64()), pa.array([curve(v, model) for v in x], pa.float64())],
+            x = np.array([difference(t.as_py()) for t in batch.column(1)], dtype=np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x), pa.array(scores(x, model))],
                                              names=["row", "difference", "score"])
 
     return frame.mapInArrow(run, with_row(frame, "difference double, score double"))
