@@ -105,10 +105,11 @@ def parse_datetime(c: Column, layouts: list[str] | tuple[str, ...] = ()) -> Colu
     ``layouts`` are a feed's own, tried first on the trimmed text as it is.
     """
     own = [F.try_to_timestamp(F.trim(c), F.lit(fmt)) for fmt in layouts]
-    t = datetime_text(c)
     # The commonest spelling needs no rewriting and is tried on the text as it is.
     plain = F.when(c.rlike(_ISO_SHAPE), F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATETIME_FORMATS[:2]]))
-    known = F.when(c.rlike(_DATE_SHAPE), F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in DATETIME_FORMATS]))
+    # Within ``transform`` the rewritten text is made once, and the generated code stays small.
+    tried = F.transform(F.array(datetime_text(c)), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in DATETIME_FORMATS]))
+    known = F.when(c.rlike(_DATE_SHAPE), F.get(tried, F.lit(0)))
     return F.coalesce(*own, plain, known).cast(T.TimestampNTZType())
 
 
