@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,9 @@ CALIBRATION_ROWS = 4000
 #: Pulls the curve's slope towards 0 where calibration rows are few.
 RIDGE = 1e-6
 #: Groups of calibration rows of equal number, and at least so many rows in each.
-GROUPS, GROUP_ROWS = 40, 12
+GROUPS, GROUP_ROWS = 40, 4
+#: Rows' worth of the logistic curve that count in each group, so a small sample still tells the classes apart.
+CURVE_ROWS = 3
 #: Share of the logistic curve in the score: it keeps apart texts that fall into one step.
 CURVE_SHARE = 0.02
 
@@ -154,15 +156,14 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / unit), float(w[1])
 
 
-def fit_steps(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[tuple[float, ...], tuple[float, ...]]:
-    """Rising shares of label 1 along x (isotonic regression over groups of rows), at the groups' means."""
+def fit_steps(x: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: np.ndarray) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Rising shares of label 1 along x (isotonic regression over groups of rows), at the groups' means; ``prior``: the curve's share."""
     order = np.argsort(x, kind="stable")
     groups = np.array_split(order, max(1, min(GROUPS, len(x) // GROUP_ROWS)))
-    mean = float((weight * y).sum() / weight.sum())
     steps: list[list[float]] = []                   # weight, share, sum of x by weight
     for g in groups:
         w = float(weight[g].sum())
-        steps.append([w, float((weight[g] * y[g]).sum() + mean) / (w + 1), float((weight[g] * x[g]).sum())])
+        steps.append([w, float((weight[g] * y[g]).sum() + CURVE_ROWS * prior[g].mean()) / (w + CURVE_ROWS), float((weight[g] * x[g]).sum())])
         while len(steps) > 1 and steps[-2][1] >= steps[-1][1]:
             w, share, moment = steps.pop()
             last = steps[-1]
@@ -230,8 +231,9 @@ def train_quality(documents: DataFrame, labels: DataFrame, learn: Column | None
     offset += math.log(n1 / n0) - math.log(f1 / f0)
     x, y = fit["difference"].to_numpy(dtype=float), fit["quality"].to_numpy(dtype=float)
     weight = np.where(y == 1, n1 / f1, n0 / f0)
-    at, share = fit_steps(x, y, weight * len(x) / weight.sum())
-    return QualityModel(model.good, model.bad, slope, offset, at, share)
+    logistic = QualityModel(model.good, model.bad, slope, offset)
+    at, share = fit_steps(x, y, weight * len(x) / weight.sum(), scores(x, logistic))
+    return replace(logistic, at=at, share=share)
 
 
 def measure(documents: DataFrame, model: QualityModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -55,7 +55,7 @@ def test_steps_rise():
     rng = np.random.default_rng(1)
     x = rng.normal(size=500)
     y = (rng.random(500) < 1 / (1 + np.exp(-8 * x))).astype(float)
-    at, share = quality_zstd.fit_steps(x, y, np.ones(500))
+    at, share = quality_zstd.fit_steps(x, y, np.ones(500), 1 / (1 + np.exp(-8 * x)))
     assert list(at) == sorted(at) and list(share) == sorted(share) and 0 < share[0] < 0.1 and 0.9 < share[-1] < 1
     model = quality_zstd.QualityModel(b"g", b"b", 1.0, 0.0, at, share)
     got = quality_zstd.scores(np.linspace(-5, 5, 1000), model)
