@@ -1491,3 +1491,31 @@ def q_quoted_any_split(spark, sf_dir):
             F.lit(split).alias("split_bytes"), "o_orderkey", "cell").join(F.broadcast(raw))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("quoted_whole_table", f"""
+SELECT split_bytes, o_orderkey, REPLACE({_QUOTED_CELL_SQL}, '"', '') AS cell,
+       (SELECT count(*) + count(*) FILTER (WHERE o_orderkey % 5 = 2) FROM orders) AS raw_records
+FROM orders, (VALUES (32768), (262144), (0)) AS s(split_bytes)""")
+def q_quoted_whole_table(spark, sf_dir):
+    """As ``quoted_any_split`` over all of orders, at split sizes that suit whole files and still cut values. The
+    file that is set aside holds every order too; some of its values have 150 KB and a surplus cell after them."""
+    def build(d):
+        o = table(spark, sf_dir, "orders")
+        r, key = F.col("o_orderkey") % 5, F.col("o_orderkey").cast("string")
+        cell = (F.when(r == 0, F.lit('5" pipe')).when(r == 1, F.lit('"a\rb"')).when(r == 2, F.lit('"two\nlines, ""said"" he"'))
+                .when(r == 3, F.lit("plain")).otherwise(F.concat(F.lit('"'), F.repeat(F.lit('x""y'), 200), F.lit('"'))))
+        write_delimited(spark, o.select(F.concat(key, F.lit(","), cell).alias("o_orderkey,cell")), d, "quoted", n_files=2, extension="csv")
+        long = F.concat(F.lit('"'), F.repeat(F.lit('z""'), 50_000), F.lit('",surplus'))
+        bad = F.concat(key, F.lit(","), F.when(F.col("o_orderkey") % 5000 == 1, long).otherwise(cell))
+        write_delimited(spark, o.select(bad.alias("o_orderkey,cell")), d, "ragged", n_files=1, extension="csv")
+    d = fixture(spark, sf_dir, "feed_quoted_whole_table", build)
+    out = None
+    for split in (32768, 262144, 0):
+        feed = Feed("quoted", d, extension="csv", delimiter=",", quoting=0, quoted_split_bytes=split or None)
+        res = land_feed(spark, feed, [LandingField("o_orderkey", "number")], JOB_TIME)
+        raw = res.files.filter(F.col("status") == "loaded").agg(F.sum("raw_records").alias("raw_records"))
+        part = map_columns(res.rows, [ColumnMap("o_orderkey", "o_orderkey", "bigint"), ColumnMap("cell", "cell", "string")]).select(
+            F.lit(split).alias("split_bytes"), "o_orderkey", "cell").join(F.broadcast(raw))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -6,7 +6,7 @@ from flatland.operators.land import LandingField, land_feed
 from flatland.plans.feed import Feed
 from flatland.sources.quoted import quoted_records
 
-from .conftest import write
+from .conftest import SF_SMALL, write
 
 JOB = "2024-01-01 00:00:00"
 
@@ -109,3 +109,19 @@ def test_line_endings_inside_values_follow_the_file(spark, feed_dir):
     _same(whole.rows, split.rows)
     got = [r["t"] for r in split.rows.filter("id < 3").orderBy("id").collect()]
     assert got == ["a\r\nb", "c\nd"]                           # an LF file keeps a CRLF inside a value
+
+
+def test_every_order_passes_the_record_rule(spark):
+    from __spark_entry__ import queries
+    keys = [r[0] for r in spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey").collect()]
+    got = queries()["quoted_whole_table"](spark, SF_SMALL).groupBy("split_bytes").agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys")).collect()
+    assert {r["split_bytes"]: r["keys"] for r in got} == {n: sorted(keys) for n in (32768, 262144, 0)}
+
+
+def test_each_kind_of_cell_at_97_bytes(spark, feed_dir):
+    kinds = [('5" pipe', "5 pipe"), ('"a\rb"', "a\rb"), ('"two\nlines, ""said"" he"', "two\nlines, said he"), ("plain", "plain"),
+             ('"' + 'x""y' * 200 + '"', "xy" * 200)]
+    write(feed_dir / "cells.csv", "id,cell\n" + "".join(f"{i},{kinds[i % 5][0]}\n" for i in range(100)))
+    feed = Feed("cells", str(feed_dir), extension="csv", delimiter=",", quoting=0, quoted_split_bytes=97)
+    rows = land_feed(spark, feed, [LandingField("id", "number")], JOB).rows.collect()
+    assert sorted((int(r["id"]), r["cell"].replace('"', "")) for r in rows) == [(i, kinds[i % 5][1]) for i in range(100)]
