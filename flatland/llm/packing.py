@@ -5,7 +5,7 @@ packed depends on nothing but the histogram of lengths (at most ``capacity`` num
 driver plans on that: it takes the longest length left, enumerates undominated
 fillings around it and uses the chosen filling as often as the counts allow. Best-fit packing of the histogram
 is the first incumbent; branch and bound goes on from the fillings of least waste while the waste so far leaves room for a
-better plan than the incumbent, and stops at the lower bound or after ``NODES`` fillings.
+better plan than the incumbent. It stops at the lower bound, or begins no new dive after ``NODES`` fillings or ``DIVES`` for each length.
 
 Every use of a filling empties a length or a kind of sequence, so a plan has a few fillings for each of the ``capacity``
 lengths, whatever the data; it is sent to the tasks as a table of runs: the pieces of length l with ranks a to b go into sequences s, s + 1 and so on. Ranks within a length come
@@ -27,7 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The search begins no new dive after this many fillings, or after DIVES for each of the lengths if that is more.
 NODES = 2000
+DIVES = 16
 RANK_GROUP = 2000
 #: Fillings tried at each node of the search.
 WIDTH = 3
@@ -247,17 +249,18 @@ def plan_packing(counts: dict[int, int], capacity: int, nodes: int = NODES) -> P
     total = sum(x * n for x, n in counts.items())
     if incumbent.sequences <= bound:
         return incumbent
-    spent = 0
-    # A node: lengths left, waste so far, fillings so far. The most promising child is on top.
-    stack: list[tuple[dict[int, int], int, list]] = [(counts, 0, [])]
-    while stack and spent < nodes:
-        left, waste, chosen = stack.pop()
-        while True:
-            # Waste that a plan with one sequence less than the incumbent may have.
-            if waste > (incumbent.sequences - 1) * capacity - total:
-                break
+    budget, spent = max(nodes, DIVES * len(counts)), 0
+    # A node: the fillings so far as (earlier ones, filling, times), and the waste so far. The most promising child is on top.
+    # What is left is worked out again when a node is taken, so that the many nodes of a dive stay small.
+    stack: list[tuple[tuple | None, int]] = [(None, 0)]
+    while stack and spent < budget and incumbent.sequences > bound:
+        chosen, waste = stack.pop()
+        left = _left(counts, chosen)
+        # A dive that has begun goes on to its leaf, unless its waste is too much, whatever the budget. Its waste may be
+        # that of a plan with one sequence less than the incumbent.
+        while waste <= (incumbent.sequences - 1) * capacity - total:
             if not left:
-                incumbent = Plan(capacity, chosen)
+                incumbent = Plan(capacity, _fillings(chosen))
                 break
             spent += 1
             lengths = sorted(left, reverse=True)
@@ -267,29 +270,42 @@ def plan_packing(counts: dict[int, int], capacity: int, nodes: int = NODES) -> P
             if not rest[longest]:
                 del rest[longest]
             keys = [x for x in lengths if x in rest]
-            width = WIDTH if len(chosen) < 64 else 1
-            options = completions(rest, keys, capacity - longest, width) or [{}]
+            options = completions(rest, keys, capacity - longest, WIDTH) or [{}]
             children = []
             for option in options:
                 filling = dict(option)
                 filling[longest] = filling.get(longest, 0) + 1
                 times = min(left[x] // n for x, n in filling.items())
-                after = dict(left)
-                for x, n in filling.items():
-                    after[x] -= n * times
-                    if not after[x]:
-                        del after[x]
                 lost = (capacity - sum(x * n for x, n in filling.items())) * times
-                children.append((after, waste + lost, [*chosen, (filling, times)]))
+                children.append(((chosen, filling, times), waste + lost))
             stack.extend(reversed(children[1:]))
-            left, waste, chosen = children[0]
-            if spent >= nodes and left:
-                break
-        if incumbent.sequences <= bound:
-            break
+            chosen, waste = children[0]
+            _take(left, *chosen[1:])
     return incumbent
 
 
+def _take(left: dict[int, int], filling: dict[int, int], times: int) -> None:
+    for x, n in filling.items():
+        left[x] -= n * times
+        if not left[x]:
+            del left[x]
+
+
+def _fillings(chosen: tuple | None) -> list[tuple[dict[int, int], int]]:
+    out = []
+    while chosen:
+        chosen, filling, times = chosen
+        out.append((filling, times))
+    return out[::-1]
+
+
+def _left(counts: dict[int, int], chosen: tuple | None) -> dict[int, int]:
+    left = dict(counts)
+    for filling, times in _fillings(chosen):
+        _take(left, filling, times)
+    return left
+
+
 def _runs(plan: Plan) -> dict[int, tuple[np.ndarray, ...]]:
     """By length: first ranks of runs, pieces in each sequence, first sequence and offset."""
     runs: dict[int, list[tuple[int, int, int, int]]] = {}

@@ -123,6 +123,21 @@ def test_plan_is_optimal_on_small_sets():
         assert packing.lower_bound(dict(Counter(lengths)), capacity) <= fewest(lengths, capacity) == plan.sequences
 
 
+def test_plan_reaches_the_bound_with_every_length():
+    capacity = 2048
+    lengths = np.maximum(1, np.random.default_rng(1).lognormal(5.6, 1.1, 1_000_000).astype(int))
+    first = np.where(lengths % capacity, lengths % capacity, capacity)
+    counts = Counter(first.tolist()) + Counter({capacity: int(((lengths - first) // capacity).sum())})
+    bound = packing.lower_bound(counts, capacity)
+    assert len(counts) == capacity and packing.best_fit(counts, capacity).sequences > bound
+    plan = packing.plan_packing(counts, capacity)
+    used = Counter()
+    for filling, times in plan.fillings:
+        assert sum(x * n for x, n in filling.items()) <= capacity
+        used.update({x: n * times for x, n in filling.items()})
+    assert used == counts and plan.sequences == bound
+
+
 def packed_ok(rows, capacity):
     for _, own in itertools.groupby(sorted(rows, key=lambda r: (r.sequence_id, r.offset)), key=lambda r: r.sequence_id):
         at = 0
