@@ -107,7 +107,10 @@ def landing_type(p: DataFrame | None = None) -> Column:
 
 
 def db_type() -> Column:
-    """Database type from the profile facts and the landing type."""
+    """Database type from the profile facts and the landing type.
+
+    A value longer than the ladder's last size makes its column unbounded text, where I5 would cut it.
+    """
     lt = F.col("landing_type")
     scale = F.col("max_right") + 1
     precision = F.least(F.col("max_left") + scale + 2, F.lit(38))
@@ -121,6 +124,7 @@ def db_type() -> Column:
             .when(lt == "date", F.lit("date"))
             .when(lt == "float64", F.when(F.col("all_integral"), int_class).otherwise(decimal))
             .when(F.col("n_nonnull") == 0, F.lit("varchar(?)"))
+            .when(F.col("max_len") > VARCHAR_LADDER[-1], F.lit("text"))
             .otherwise(F.format_string("varchar(%d)", varchar_size(F.col("max_len")))))
 
 

@@ -22,7 +22,7 @@ from flatland import storage
 from flatland.operators.land import LandResult, format_job_time, land_feed, quarantine_rows
 from flatland.operators.metrics import expire_runs, load_summary
 from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
-from flatland.operators.stage import Step, add_modify_stamp, dedup_latest, map_columns, run_steps
+from flatland.operators.stage import Step, add_modify_stamp, cut_cells, dedup_latest, map_columns, run_steps
 from flatland.plans.feed import Feed
 from flatland.plans.spec import SpecPlan, enforce_schema
 from flatland.session import new_run_dir, scratch_root
@@ -110,7 +110,11 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
     # one row per file, kept with the run. Files of a feed are read together, so
     # a file's times are those of the feed's landing.
     times = {"file_start": F.lit(started).cast("timestamp_ntz"), "file_end": F.lit(datetime.now()).cast("timestamp_ntz")}
-    land.files.withColumns(times).write.mode("overwrite").parquet(f"{run_dir}/files")
+    report = land.files.withColumns(times)
+    # Cells that the stage's varchar(n) types cut, per column, of the files that load; null for the others.
+    cut = cut_cells(wrk, plan.stage)
+    report = report.join(cut, "load_file_name", "left") if cut is not None else report.withColumn("cells_cut", F.lit(None).cast("map<string,bigint>"))
+    report.write.mode("overwrite").parquet(f"{run_dir}/files")
     files = spark.read.parquet(f"{run_dir}/files")
     quarantine_rows(files, job_ts).write.mode("overwrite").parquet(f"{run_dir}/quarantine")   # K5
     result = FeedRun(feed.name, land, land.parsed_path, files_path=f"{run_dir}/files",

@@ -48,6 +48,17 @@ def test_inference_rules(spark):
     assert got["sizes"] == ("string", "varchar(255)")      # floor(77*1.3)=100 -> first size above is 255
 
 
+def test_text_past_the_ladder_is_unbounded(spark, feed_dir, tmp_path):
+    assert infer(spark, {"long": ["x" * 4001]})["long"] == ("string", "text")
+    write(feed_dir / "a.txt", "id\tbody\n1\t" + "w " * 4999 + "end\n")
+    rows = spark.createDataFrame([("1", "w " * 4999 + "end")], "id string, body string")
+    spec = build_spec(spark, infer_types(profile_columns(rows)), NAMES)
+    spec = spec.withColumn("pk", F.when((F.col("layer") == "tgt") & (F.col("target_field") == "id"), "x"))
+    target = VersionedTable(spark, str(tmp_path / "t"), ["id"], 4)
+    run_feed(spark, Feed("a", str(feed_dir)), plan_from_spec(spec), target, "2024-01-01 00:00:00")
+    assert target.read().first()["body"] == "w " * 4999 + "end"
+
+
 def test_varchar_ladder_edges(spark):
     got = infer(spark, {"l7": ["x" * 7], "l8": ["x" * 8], "l4000": ["x" * 4000]})
     assert got["l7"][1] == "varchar(10)" and got["l8"][1] == "varchar(20)" and got["l4000"][1] == "varchar(4000)"

@@ -52,6 +52,15 @@ def test_steps_run_only_when_rows_loaded(spark, tmp_path):
     assert run.stage_path is None and run.target_version is None and target.versions() == []
 
 
+def test_cut_cells_are_in_the_file_report(spark, tmp_path):
+    write(tmp_path / "f" / "a.txt", "k\tv\n1\tabcde\n2\tabcdef\n3\tabcdefg\n")
+    write(tmp_path / "f" / "b.txt", "k\tv\n4\tabc\n")
+    target = VersionedTable(spark, str(tmp_path / "t"), ["k"], 4)
+    run = run_feed(spark, Feed("f", str(tmp_path / "f")), plan(), target, "2024-01-01 00:00:00")
+    cut = {r["load_file_name"]: r["cells_cut"] for r in spark.read.parquet(run.files_path).collect()}
+    assert cut == {"a.txt": {"v": 2, "load_file_name": 0}, "b.txt": {"v": 0, "load_file_name": 0}}
+
+
 def test_required_settings(spark):
     df = spark.createDataFrame([("c", 1, "string", "varchar(10)")], "column_name string, position int, "
                                                                      "landing_type string, db_type string")
