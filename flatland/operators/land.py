@@ -8,7 +8,7 @@ Plan per feed
 3. one CSV read per header group, every column a string, bound by position
    within the group, with the corrupt-record column kept for ragged rows;
    quoted files are cut into records first, in parallel splits
-   (sources/quoted.py), which also yields their line counts;
+   (sources/quoted.py), which also yields their line counts and tells files that end inside a value;
 4. clean cells (null markers, quotes), add lineage columns, strictly cast the
    spec's typed columns and record the first reason a row is bad;
 5. write those parsed rows once to the run folder (parse once, cut lineage);
@@ -35,8 +35,9 @@ from flatland.operators.joins import BROADCAST_ROW_LIMIT, join_small
 from flatland.plans.feed import Feed
 from flatland.session import new_run_dir
 from flatland.sources.archives import expand_archives
-from flatland.sources.files import file_headers, list_feed_files, raw_line_counts, split_header
-from flatland.sources.quoted import can_split, parse_records, quoted_records, split_line_counts
+from flatland.sources.encodings import keeps_ascii, spark_charset
+from flatland.sources.files import UNREADABLE, file_headers, list_feed_files, raw_line_counts, split_header
+from flatland.sources.quoted import LineScan, invalid_bytes, parse_records, scan_lines, stitch
 
 AUDIT_FILE = "load_file_name"
 AUDIT_TS = "load_timestamp"
@@ -45,6 +46,8 @@ _REASON = "_reason"
 _CORRUPT = "_corrupt_record"
 _SHAPE = "_shape"
 _SAMPLE = "_sample"
+_PIECE = "_piece"
+_FAULTS = f"{_PATH} string, reason string, sample string"
 
 
 @dataclass(frozen=True)
@@ -60,7 +63,7 @@ class LandResult:
     rows: DataFrame        # landed rows of good files
     files: DataFrame       # one row per listed file: counts, status, reason
     quarantine: DataFrame  # one row per bad file
-    parsed_path: str       # run-scoped parquet of every parsed row
+    parsed_path: str       # run-scoped parquet of every parsed row, for read_parsed
 
 
 def format_job_time(job_start: datetime | str) -> str:
@@ -74,7 +77,7 @@ def csv_options(feed: Feed) -> dict[str, str]:
     record kept, no whitespace trimming; quoted feeds parse quotes (doubled
     quote as escape) across lines, unquoted feeds take quotes literally and
     stay splittable."""
-    opts = {"header": "true", "enforceSchema": "true", "sep": feed.delimiter, "encoding": feed.encoding,
+    opts = {"header": "true", "enforceSchema": "true", "sep": feed.delimiter, "encoding": spark_charset(feed.encoding) or "UTF-8",
             "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     if feed.quoted:
@@ -102,12 +105,12 @@ def too_many_fields(corrupt: "F.Column", n_cols: int, feed: Feed) -> "F.Column":
 
 
 def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, str], job_ts: str,
-               load_file_name: "F.Column", path: "F.Column") -> DataFrame:
+               load_file_name: "F.Column", path: "F.Column", keep: "F.Column | None" = None) -> DataFrame:
     """Positional string columns -> named, cleaned, strictly cast rows with lineage.
 
     ``raw`` holds ``_c0.._cN`` and the corrupt-record column. Adds the
     audit columns, ``_path``, the first reason the row is bad (or null) and
-    the row shape (ok / short / long).
+    the row shape (ok / short / long); ``keep`` is one column more that goes through.
 
     Two projections: the first cleans every cell and parses each typed cell
     once; the second derives value, bad flag and reason from those results.
@@ -115,7 +118,7 @@ def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, s
     once, so no parse runs twice for a cell.
     """
     positional = [f"_c{i}" for i in range(len(names))]
-    first = [path.alias(_PATH), load_file_name.alias(AUDIT_FILE), F.col(_CORRUPT)]
+    first = [path.alias(_PATH), load_file_name.alias(AUDIT_FILE), F.col(_CORRUPT), *([keep] if keep is not None else [])]
     for i, (pos, name) in enumerate(zip(positional, names)):
         cell = clean_cell(F.col(pos), feed.null_value, feed.quoted)
         kind = fields.get(name, "string")
@@ -152,6 +155,8 @@ def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, s
     cols.append(F.coalesce(*samples).alias(_SAMPLE))
     cols.append(F.when(long_row, F.lit("long")).when(F.col(_CORRUPT).isNotNull(), F.lit("short"))
                 .otherwise(F.lit("ok")).alias(_SHAPE))
+    if keep is not None:
+        cols.append(F.col(_PIECE))
     return parsed.select(*cols)
 
 
@@ -167,35 +172,87 @@ def _load_file_name(file_name: "F.Column", file_path: "F.Column", expand_dir: st
                   F.regexp_extract(file_name, r"^[0-9]{6}-(.*)\.plain$", 1)).otherwise(file_name)
 
 
-def _scan_group(spark: SparkSession, feed: Feed, paths: list[str], names: list[str],
-                fields: dict[str, str], job_ts: str, expand_dir: str,
-                records_dir: str) -> tuple[DataFrame, DataFrame | None]:
-    """One header group: quoted files by the record reader (sources/quoted.py), whatever
-    their size; unquoted ones, and quoted ones in an encoding it does not read, by the CSV reader.
+def reads_lines(feed: Feed) -> bool:
+    """Whether the feed goes through the line reader: quoted files, and encodings Spark's readers do not know.
 
-    Returns the parsed rows and, from the record reader, the files' line
-    counts from its own first pass, so those files are not scanned again.
+    Encodings of wider units (UTF-16, UTF-32) have no line ends in their bytes; their quoted files keep the multi-line reader.
     """
-    schema = positional_schema(len(names))
-    if feed.quoted and can_split(feed.encoding):
-        records = quoted_records(spark, paths, records_dir, feed.quoted_split_bytes, feed.delimiter, len(names))
-        raw = parse_records(records, schema, csv_options(feed))
-        rows = clean_cast(raw, names, feed, fields, job_ts, _load_file_name(F.col("name"), F.col("path"), expand_dir), F.col("path"))
-        return rows, split_line_counts(spark, records_dir)
-    raw = csv_reader(spark, feed, schema).csv(paths)
+    return keeps_ascii(feed.encoding) and (feed.quoted or spark_charset(feed.encoding) is None)
+
+
+@dataclass
+class _Group:
+    """The files of one header: how to make rows of their records."""
+
+    number: int
+    names: list[str]
+    feed: Feed
+    fields: dict[str, str]
+    job_ts: str
+    expand_dir: str
+    scan: LineScan | None = None
+
+    def rows(self, records: DataFrame, pieces: bool) -> DataFrame:
+        """Parsed rows of records (path, name, text); with ``pieces`` those of ``records`` go along unparsed."""
+        keep = ["piece"] if pieces else []
+        raw = parse_records(records, positional_schema(len(self.names)), csv_options(self.feed), keep)
+        piece = F.when(F.col("piece").isNotNull(), F.struct(F.lit(self.number).alias("group"), F.col("name"), F.col("piece"))) if pieces else F.lit(None).cast(_PIECE_TYPE)
+        return clean_cast(raw, self.names, self.feed, self.fields, self.job_ts,
+                          _load_file_name(F.col("name"), F.col("path"), self.expand_dir), F.col("path"), piece.alias(_PIECE))
+
+
+_PIECE_TYPE = "struct<group:int,name:string,piece:struct<kind:string,block:bigint,first:boolean,text:string>>"
+
+
+def _scan_group(spark: SparkSession, group: _Group, paths: list[str], line_sep: str, records_dir: str) -> DataFrame:
+    """Parsed rows of one header group: by the line reader (sources/quoted.py), which also tells the files'
+    line counts and faults, or by the CSV reader."""
+    feed, names = group.feed, group.names
+    if reads_lines(feed):
+        group.scan = scan_lines(spark, paths, records_dir, feed.quoted_split_bytes, feed.delimiter if feed.quoted else None, feed.encoding, line_sep)
+        return group.rows(group.scan.records, pieces=True)
+    raw = csv_reader(spark, feed, positional_schema(len(names))).csv(paths)
     path = F.col("_metadata.file_path")
-    return clean_cast(raw, names, feed, fields, job_ts, _load_file_name(F.col("_metadata.file_name"), path, expand_dir), path), None
+    return clean_cast(raw, names, feed, group.fields, group.job_ts, _load_file_name(F.col("_metadata.file_name"), path, group.expand_dir), path)
+
+
+def read_parsed(spark: SparkSession, path: str) -> DataFrame:
+    """Every parsed row of a landing, good or bad; the text pieces of records over split boundaries are no rows."""
+    parsed = spark.read.parquet(path)
+    return parsed.where(F.col(_PIECE).isNull()).drop(_PIECE) if _PIECE in parsed.columns else parsed
+
+
+def _write_parsed(spark: SparkSession, groups: list[tuple[_Group, DataFrame]], path: str) -> DataFrame:
+    """Parse every record once, into ``path``; records over split boundaries are put together from there and added."""
+    parsed = groups[0][1]
+    for _, part in groups[1:]:
+        parsed = parsed.unionByName(part, allowMissingColumns=True)
+    parsed.write.mode("overwrite").parquet(path)
+    if _PIECE not in parsed.columns:
+        return spark.read.parquet(path)
+    pieces = spark.read.parquet(path).where(F.col(_PIECE).isNotNull())
+    numbers = {r["group"] for r in pieces.select(f"{_PIECE}.group").distinct().collect()}       # header groups
+    seams = None
+    for group, _ in groups:
+        if group.number in numbers:
+            own = pieces.where(F.col(f"{_PIECE}.group") == group.number).select(F.col(_PATH).alias("path"), f"{_PIECE}.name", f"{_PIECE}.piece")
+            rows = group.rows(stitch(own), pieces=False)
+            seams = rows if seams is None else seams.unionByName(rows, allowMissingColumns=True)
+    if seams is not None:
+        seams.write.mode("append").parquet(path)
+    return read_parsed(spark, path)
 
 
 def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None) -> tuple[DataFrame, DataFrame]:
-    """(landed rows, bad files): a file with any bad row lands nothing (V5)."""
+    """(landed rows, bad files): a file that is bad as a whole (``header_bad``: path, reason, sample) or has any bad row lands nothing (V5)."""
     # Per bad file: its smallest reason with that reason's smallest offending text.
     first = F.min(F.struct(F.col(_REASON).alias("r"), F.col(_SAMPLE).alias("s")))
     row_bad = (parsed.filter(F.col(_REASON).isNotNull())
                .groupBy(_PATH).agg(first.alias("m"), F.count(F.lit(1)).alias("bad_rows"))
                .select(_PATH, F.col("m.r").alias("reason"), F.col("m.s").alias("sample"), "bad_rows"))
-    bad = (header_bad.withColumn("sample", F.lit(None).cast("string"))
-           .withColumn("bad_rows", F.lit(None).cast("long")).unionByName(row_bad))
+    # A file may have a fault as a whole and bad rows too; it is one bad file.
+    whole = header_bad.withColumn("bad_rows", F.lit(None).cast("long"))
+    bad = whole.unionByName(row_bad.join(whole.select(_PATH), _PATH, "left_anti"))
     bound = n_files
     if bound is None or bound > BROADCAST_ROW_LIMIT:
         # The file count does not bound the list small enough: count the bad
@@ -235,57 +292,63 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     wanted = [landing_name(f.source) for f in fields]
 
     # Headers are read once; the driver gets each different header once, and a number of it for each file.
-    heads = file_headers(spark, list(read_path.values()), feed.encoding)
-    heads.withColumn("number", F.when(F.col("header").isNotNull(), F.xxhash64("header"))).write.mode("overwrite").parquet(f"{run_dir}/headers")
+    heads = file_headers(spark, list(read_path.values()), feed.encoding, feed.delimiter if feed.quoted else None)
+    number = F.when(F.col("header").isNotNull(), F.xxhash64("header", "line_sep"))
+    heads.withColumn("number", number).write.mode("overwrite").parquet(f"{run_dir}/headers")
     heads = spark.read.parquet(f"{run_dir}/headers")
-    texts = {r["number"]: r["header"] for r in heads.groupBy("number").agg(F.min("header").alias("header")).collect()}
-    groups: dict[str, list[str]] = defaultdict(list)
-    header_bad: list[tuple[str, str]] = []
-    for r in heads.select("path", "number").collect():
-        if texts[r["number"]] is None:
-            header_bad.append((r["path"], "empty file"))
+    texts = {r["number"]: (r["h"]["header"], r["h"]["line_sep"]) for r in heads.groupBy("number").agg(F.min(F.struct("header", "line_sep")).alias("h")).collect()}
+    layouts: dict[tuple[str, str], list[str]] = defaultdict(list)
+    header_bad: list[tuple[str, str, str | None]] = []
+    for r in heads.select("path", "number", "fault").collect():
+        if r["fault"] is not None:
+            header_bad.append((r["path"], r["fault"], None))
+        elif r["number"] is None:
+            header_bad.append((r["path"], "empty file", None))
         else:
-            groups[texts[r["number"]]].append(r["path"])
+            layouts[texts[r["number"]]].append(r["path"])
 
-    parts = []
-    split_counts: list[DataFrame] = []
+    groups: list[tuple[_Group, DataFrame]] = []
     counted: set[str] = set()
-    for gi, (header, group_paths) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
+    for gi, ((header, line_sep), group_paths) in enumerate(sorted(layouts.items(), key=lambda kv: min(kv[1]))):
         names = [landing_name(n, feed.quoted) for n in split_header(header, feed.delimiter, feed.quoted)]
         # A header's empty names (a trailing delimiter) are numbered by place.
         names = [n or f"column_{i + 1}" for i, n in enumerate(names)]
         dupes = sorted({n for n in names if names.count(n) > 1})
         missing = [w for w in wanted if w not in set(names) | {AUDIT_FILE, AUDIT_TS}]
         if dupes:
-            header_bad += [(p, "duplicate column: " + ", ".join(dupes)) for p in group_paths]
+            header_bad += [(p, "duplicate column: " + ", ".join(dupes), None) for p in group_paths]
         elif missing:
-            header_bad += [(p, "missing column: " + ", ".join(missing)) for p in group_paths]
+            header_bad += [(p, "missing column: " + ", ".join(missing), None) for p in group_paths]
         else:
-            part, counts = _scan_group(spark, feed, sorted(group_paths), names, field_types, job_ts,
-                                       expand_dir, f"{run_dir}/records/g{gi:04d}")
-            parts.append(part)
-            if counts is not None:
-                split_counts.append(counts)
+            group = _Group(gi, names, feed, field_types, job_ts, expand_dir)
+            groups.append((group, _scan_group(spark, group, sorted(group_paths), line_sep, f"{run_dir}/records/g{gi:04d}")))
+            if group.scan is not None:
                 counted.update(group_paths)
 
-    parsed_path = f"{run_dir}/parsed"
-    if parts:
-        parsed = parts[0]
-        for p in parts[1:]:
-            parsed = parsed.unionByName(p, allowMissingColumns=True)
-        parsed.write.mode("overwrite").parquet(parsed_path)
-        parsed = spark.read.parquet(parsed_path)
-    else:
-        parsed = None
+    # Line counts: from the line reader's first pass where it read the file, else one text scan over the remaining
+    # files, which also looks for bytes that Spark's reader would replace.
+    unreadable = {p for p, reason, _ in header_bad if reason.startswith(UNREADABLE)}
+    rest = [p for p in read_path.values() if p not in counted and p not in unreadable]
+    raw_line_counts(spark, rest, feed.encoding).write.mode("overwrite").parquet(f"{run_dir}/lines")
+    raw = spark.read.parquet(f"{run_dir}/lines")
+    known_bad = [p for p, _, _ in header_bad]
+    faults = (raw.where(F.col("invalid").isNotNull() & ~F.col("path").isin(known_bad))
+              .select(F.col("path").alias(_PATH), F.lit(invalid_bytes(feed.encoding)).alias("reason"), F.col("invalid").alias("sample")))
+    raw = raw.drop("invalid")
+    header_bad_df = spark.createDataFrame(header_bad, _FAULTS).unionByName(faults)
+    for group, _ in groups:
+        if group.scan is not None:
+            raw = raw.unionByName(group.scan.line_counts())
+            header_bad_df = header_bad_df.unionByName(group.scan.faults.withColumnRenamed("path", _PATH))
 
+    parsed_path = f"{run_dir}/parsed"
     n_files = len(paths)
-    header_bad_df = spark.createDataFrame(header_bad, f"{_PATH} string, reason string")
-    if parsed is not None:
+    if groups:
+        parsed = _write_parsed(spark, groups, parsed_path)
         rows, bad = split_verdict(parsed, header_bad_df, n_files)
         loaded = rows.groupBy(_PATH).agg(F.count(F.lit(1)).alias("records_loaded"))
     else:
-        bad = (header_bad_df.withColumn("sample", F.lit(None).cast("string"))
-               .withColumn("bad_rows", F.lit(None).cast("long")))
+        bad = header_bad_df.withColumn("bad_rows", F.lit(None).cast("long"))
         rows = spark.createDataFrame([], f"{_PATH} string, {AUDIT_FILE} string")
         rows = rows.withColumn(AUDIT_TS, F.lit(job_ts).cast("timestamp_ntz"))
         loaded = spark.createDataFrame([], f"{_PATH} string, records_loaded long")
@@ -293,11 +356,6 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     listing_df = spark.createDataFrame(
         [(read_path[p], p, p.rstrip("/").rsplit("/", 1)[-1]) for p in paths],
         f"{_PATH} string, source_path string, {AUDIT_FILE} string")
-    # Line counts: from the split reader's parity pass where it read the file,
-    # else one text scan over the remaining files.
-    raw = raw_line_counts(spark, [p for p in read_path.values() if p not in counted])
-    for c in split_counts:
-        raw = raw.unionByName(c)
     files = (listing_df
              .join(raw, listing_df[_PATH] == raw["path"], "left").drop("path")
              .join(loaded, _PATH, "left")

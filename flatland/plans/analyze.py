@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from flatland import storage
 from flatland.functions.names import landing_name_col
-from flatland.operators.land import land_feed, profile_rows
+from flatland.operators.land import land_feed, profile_rows, read_parsed
 from flatland.operators.profile import infer_types, profile_long, unpivot
 from flatland.plans.feed import Feed
 from flatland.session import new_run_dir
@@ -69,7 +69,7 @@ def profile_files(spark: SparkSession, paths: list[str], encoding: str = "utf-8"
         res = land_feed(spark, feed, [], "1970-01-01 00:00:00", run_dir=f"{run}/{i:04d}", paths=sorted(group))
         if not storage.exists(spark, f"{res.parsed_path}/_SUCCESS"):
             continue                        # no file of this layout could be read (duplicate columns)
-        rows = profile_rows(spark.read.parquet(res.parsed_path)).drop("load_timestamp")
+        rows = profile_rows(read_parsed(spark, res.parsed_path)).drop("load_timestamp")
         long = long.unionByName(unpivot(rows, [c for c in rows.columns if c != "load_file_name"], subject=subject_of(F.col("load_file_name"))))
     return infer_types(profile_long(long, by=("subject", "column_name", "position")))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from flatland.sources.encodings import codec_name
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -11,7 +13,7 @@ class Feed:
 
     ``quoting`` follows the usual delimited-text modes: 0 minimal, 1 all,
     2 non-numeric (treated like 0), 3 none. ``delimiter`` is literal text
-    (a real tab, not backslash-t).
+    (a real tab, not backslash-t). ``encoding`` may be spelt in any usual way.
     """
 
     name: str
@@ -33,6 +35,7 @@ class Feed:
     def __post_init__(self):
         if self.delimiter == "\\t":
             object.__setattr__(self, "delimiter", "\t")
+        object.__setattr__(self, "encoding", codec_name(self.encoding))
         if self.quoting not in (0, 1, 2, 3):
             raise ValueError(f"quoting must be 0..3, got {self.quoting}")
 

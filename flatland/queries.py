@@ -310,10 +310,10 @@ def q_modify_stamp(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 from flatland.functions.casts import strict_double, strict_timestamp  # noqa: E402
-from flatland.operators.land import _SHAPE, LandingField, land_feed  # noqa: E402
+from flatland.operators.land import _SHAPE, LandingField, land_feed, read_parsed  # noqa: E402
 from flatland.plans.feed import Feed  # noqa: E402
 from flatland.sources.files import detect_delimiter, file_headers, raw_line_counts  # noqa: E402
-from flatland.sources.writers import write_archives, write_delimited  # noqa: E402
+from flatland.sources.writers import write_archives, write_delimited, write_lines  # noqa: E402
 
 
 def _as_text(df: DataFrame) -> DataFrame:
@@ -653,7 +653,7 @@ def q_ragged_rows(spark, sf_dir):
         write_delimited(spark, o.select(line.alias("\t".join(ORDERS_COLS))), d, "orders_ragged", n_files=3)
     d = fixture(spark, sf_dir, "feed_orders_ragged", build)
     res = land_feed(spark, Feed("orders", d), [LandingField("o_orderkey", "float64")], JOB_TIME)
-    parsed = spark.read.parquet(res.parsed_path)
+    parsed = read_parsed(spark, res.parsed_path)
     return parsed.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderpriority",
                          F.col(_SHAPE).alias("row_shape"))
 
@@ -747,7 +747,7 @@ def q_clean_names(spark, sf_dir):
 def _lineitem_text_rows(spark, sf_dir):
     d = _feed_dir(spark, sf_dir, "lineitem", lambda: table(spark, sf_dir, "lineitem"), n_files=8)
     res = land_feed(spark, Feed("lineitem", d), [], JOB_TIME)
-    return profile_rows(spark.read.parquet(res.parsed_path)).drop("load_file_name", "load_timestamp")
+    return profile_rows(read_parsed(spark, res.parsed_path)).drop("load_file_name", "load_timestamp")
 
 
 _DT_SQL = "try_strptime({s}, '%Y-%m-%d %H:%M:%S')"
@@ -908,7 +908,7 @@ def q_spec_plan(spark, sf_dir):
     feed = Feed("part", d)
     # 1. profile the files, 2. write the spec, 3. a user marks the key, 4. plan from the spec file alone.
     probe = land_feed(spark, feed, [], JOB_TIME)
-    rows = profile_rows(spark.read.parquet(probe.parsed_path)).drop("load_file_name", "load_timestamp")
+    rows = profile_rows(read_parsed(spark, probe.parsed_path)).drop("load_file_name", "load_timestamp")
     spec = build_spec(spark, infer_types(profile_columns(rows)), _spec_names("part"))
     spec = spec.withColumn("pk", F.when((F.col("layer") == "tgt") & (F.col("target_field") == "p_partkey"),
                                         F.lit("Y")).otherwise(F.col("pk")))
@@ -1464,41 +1464,12 @@ _QUOTED_CELL_SQL = """CASE o_orderkey % 5 WHEN 0 THEN '5" pipe' WHEN 1 THEN 'a'
   WHEN 3 THEN 'plain' ELSE repeat('x"y', 200) END"""
 
 
-@query("quoted_any_split", f"""
-SELECT split_bytes, o_orderkey, REPLACE({_QUOTED_CELL_SQL}, '"', '') AS cell,
-       (SELECT count(*) + count(*) FILTER (WHERE o_orderkey % 5 = 2) FROM orders WHERE o_orderkey % 40 < 10) AS raw_records
-FROM orders, (VALUES (97), (4096), (0)) AS s(split_bytes) WHERE o_orderkey % 40 < 10""")
-def q_quoted_any_split(spark, sf_dir):
-    """Bare quotes, a lone CR, line breaks and doubled quotes: one result at every split size. A file
-    with a surplus cell after a value of 100 KB is set aside; the others land."""
-    def build(d):
-        o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 40 < 10)
-        r = F.col("o_orderkey") % 5
-        # As written: a bare quote in an unquoted cell, others quoted.
-        cell = (F.when(r == 0, F.lit('5" pipe')).when(r == 1, F.lit('"a\rb"')).when(r == 2, F.lit('"two\nlines, ""said"" he"'))
-                .when(r == 3, F.lit("plain")).otherwise(F.concat(F.lit('"'), F.repeat(F.lit('x""y'), 200), F.lit('"'))))
-        line = F.concat(F.col("o_orderkey").cast("string"), F.lit(","), cell)
-        write_delimited(spark, o.select(line.alias("o_orderkey,cell")), d, "quoted", n_files=2, extension="csv")
-        bad = o.filter(F.col("o_orderkey") % 40 == 1).select(F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), F.repeat(F.lit('z""'), 50_000), F.lit('",surplus')).alias("o_orderkey,cell"))
-        write_delimited(spark, bad.limit(1), d, "ragged", n_files=1, extension="csv")
-    d = fixture(spark, sf_dir, "feed_quoted_any_split", build)
-    out = None
-    for split in (97, 4096, 0):
-        feed = Feed("quoted", d, extension="csv", delimiter=",", quoting=0, quoted_split_bytes=split or None)
-        res = land_feed(spark, feed, [LandingField("o_orderkey", "number")], JOB_TIME)
-        raw = res.files.filter(F.col("status") == "loaded").agg(F.sum("raw_records").alias("raw_records"))
-        part = map_columns(res.rows, [ColumnMap("o_orderkey", "o_orderkey", "bigint"), ColumnMap("cell", "cell", "string")]).select(
-            F.lit(split).alias("split_bytes"), "o_orderkey", "cell").join(F.broadcast(raw))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 @query("quoted_whole_table", f"""
 SELECT split_bytes, o_orderkey, REPLACE({_QUOTED_CELL_SQL}, '"', '') AS cell,
        (SELECT count(*) + count(*) FILTER (WHERE o_orderkey % 5 = 2) FROM orders) AS raw_records
 FROM orders, (VALUES (32768), (262144), (0)) AS s(split_bytes)""")
 def q_quoted_whole_table(spark, sf_dir):
-    """As ``quoted_any_split`` over all of orders, at split sizes that suit whole files and still cut values. The
+    """Bare quotes, a lone CR, line breaks and doubled quotes over all of orders: one result at every split size. The
     file that is set aside holds every order too; some of its values have 150 KB and a surplus cell after them."""
     def build(d):
         o = table(spark, sf_dir, "orders")
@@ -1519,3 +1490,59 @@ def q_quoted_whole_table(spark, sf_dir):
             F.lit(split).alias("split_bytes"), "o_orderkey", "cell").join(F.broadcast(raw))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("file_faults", """
+WITH o AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'good' WHEN 1 THEN 'open' ELSE 'bytes' END AS f FROM orders),
+n AS (SELECT f, count(*) AS raw_records, sum(o_orderkey) AS keys FROM o GROUP BY f)
+SELECT split_bytes, f || '_00000.csv' AS load_file_name, CASE f WHEN 'good' THEN 'loaded' ELSE 'bad' END AS status,
+       CASE f WHEN 'open' THEN 'file ends inside a quoted value' WHEN 'bytes' THEN 'bytes that utf-8 does not have' END AS reason, raw_records,
+       CASE f WHEN 'good' THEN raw_records ELSE 0 END AS records_loaded, CAST(CASE f WHEN 'good' THEN keys END AS BIGINT) AS keys
+FROM n, (VALUES (8192), (65536), (0)) AS s(split_bytes)""")
+def q_file_faults(spark, sf_dir):
+    """All of orders in three files: one is fine, one has a quote that is never closed, one has bytes that are
+    no UTF-8. What is loaded and why not is the same at every split size."""
+    def build(d):
+        key = F.col("o_orderkey")
+        o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+        first = {r["m"]: r["k"] for r in o.groupBy((key % 3).alias("m")).agg(F.min("o_orderkey").alias("k")).collect()}
+        cells = {"good": F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit('"')),
+                 "open": F.when(key == first.get(1), F.lit('"never closed')).otherwise(F.col("o_orderpriority")),
+                 "bytes": F.when(key == first.get(2), F.concat(F.lit('"caf'), F.unhex(F.lit("E9")).cast("string"), F.lit('"'))).otherwise(F.col("o_orderpriority"))}
+        for m, (name, cell) in enumerate(cells.items()):
+            write_lines(spark, o.where(key % 3 == m).select(F.concat(key.cast("string"), F.lit(","), cell).alias("line")), "o_orderkey,cell", d, name, "csv")
+    d = fixture(spark, sf_dir, "feed_file_faults", build)
+    out = None
+    for split in (8192, 65536, 0):
+        res = land_feed(spark, Feed("faults", d, extension="csv", delimiter=",", quoting=0, quoted_split_bytes=split or None),
+                        [LandingField("o_orderkey", "number")], JOB_TIME)
+        keys = res.rows.groupBy("load_file_name").agg(F.sum(F.col("o_orderkey").cast("bigint")).alias("keys"))
+        part = res.files.join(keys, "load_file_name", "left").select(
+            F.lit(split).alias("split_bytes"), "load_file_name", "status", "reason", "raw_records", "records_loaded", "keys")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_ACCENTED_SQL = "'façade n° ' || o_orderkey || chr(10) || 'ñandú, « ' || o_orderpriority || ' »'"
+
+
+@query("encoded_copies", f"""
+SELECT copy, split_bytes, o_orderkey, {_ACCENTED_SQL} AS cell
+FROM orders, (VALUES ('utf-8', 16384), ('latin-1', 16384), ('latin-1', 0), ('cr', 16384)) AS s(copy, split_bytes)""")
+def q_encoded_copies(spark, sf_dir):
+    """Copies of one quoted file in UTF-8, in Latin-1 and with lines that end with CR alone, read in many splits: equal rows."""
+    def lines(end):
+        cell = F.concat(F.lit("façade n° "), F.col("o_orderkey").cast("string"), F.lit(end + "ñandú, « "), F.col("o_orderpriority"), F.lit(" »"))
+        return table(spark, sf_dir, "orders").select(F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), cell, F.lit('"')).alias("line"))
+    folders = {
+        "utf-8": fixture(spark, sf_dir, "feed_copy_utf8", lambda d: write_lines(spark, lines("\n"), "o_orderkey,cell", d, "copy", "csv")),
+        "latin-1": fixture(spark, sf_dir, "feed_copy_latin1", lambda d: write_lines(spark, lines("\n"), "o_orderkey,cell", d, "copy", "csv", encoding="latin-1")),
+        "cr": fixture(spark, sf_dir, "feed_copy_cr", lambda d: write_lines(spark, lines("\r"), "o_orderkey,cell", d, "copy", "csv", line_sep="\r"))}
+    out = None
+    for copy, split in (("utf-8", 16384), ("latin-1", 16384), ("latin-1", 0), ("cr", 16384)):
+        feed = Feed("copies", folders[copy], extension="csv", delimiter=",", quoting=0, encoding=copy.replace("cr", "utf-8"), quoted_split_bytes=split or None)
+        res = land_feed(spark, feed, [LandingField("o_orderkey", "number")], JOB_TIME)
+        part = map_columns(res.rows, [ColumnMap("o_orderkey", "o_orderkey", "bigint"), ColumnMap("cell", "cell", "string")]).select(
+            F.lit(copy).alias("copy"), F.lit(split).alias("split_bytes"), "o_orderkey", "cell")
+        out = part if out is None else out.unionByName(part)
+    return out

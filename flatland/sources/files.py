@@ -9,6 +9,9 @@ text scan aggregated per file.
 
 from __future__ import annotations
 
+import codecs
+import lzma
+import zlib
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
@@ -18,6 +21,7 @@ from pyspark.sql import types as T
 
 from flatland import storage
 from flatland.plans.feed import Feed
+from flatland.sources.encodings import codec_name
 
 # Compressed forms accepted next to a feed's own extension.
 COMPRESSED_EXTENSIONS = ["gz", "zip", "bz2", "xz"]
@@ -83,9 +87,12 @@ def _opener(path: str):
     return raw
 
 
-HEADER_SCHEMA = "path string, header string"
+HEADER_SCHEMA = "path string, header string, line_sep string, fault string"
 #: Files opened at a time where the Python workers cannot open them.
 OPEN_AT_ONCE = 32
+#: Bytes read at first for a header, and at most; a longer header is a fault.
+HEADER_STEP, HEADER_BYTES = 1 << 14, 1 << 22
+UNREADABLE = "file cannot be read"
 
 
 def python_can_open(path: str) -> bool:
@@ -101,49 +108,128 @@ def python_can_open(path: str) -> bool:
         return False
 
 
-def _jvm_headers(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
-    """First non-blank line per file through the Hadoop file system (any store Spark reads).
+def first_record(text: str, delimiter: str | None, at_end: bool) -> tuple[str | None, str] | None:
+    """The first record that is not blank and what ends its lines; None if the text is too short to tell.
 
-    Each file is opened and read up to that line and no further, a bounded number at a time.
+    Records end by the rule of the line reader (sources/quoted.py); ``delimiter`` None means that quotes are
+    text. A line end is LF, CR LF or CR. Of a text without any record the record is None.
     """
+    start, state, n = 0, "field", len(text)             # field: at the start of one; cell; inside
+    i = 0
+    while i < n:
+        c = text[i]
+        if state == "inside":
+            if c == '"':
+                if i + 1 == n and not at_end:
+                    return None
+                if text[i + 1:i + 2] == '"':
+                    i += 1
+                else:
+                    state = "cell"
+        elif c in "\r\n":
+            if c == "\r" and i + 1 == n and not at_end:
+                return None
+            end = "\r\n" if text[i:i + 2] == "\r\n" else c
+            if text[start:i].strip():
+                return text[start:i], end
+            i += len(end) - 1
+            start, state = i + 1, "field"
+        elif c == '"' and state == "field" and delimiter is not None:
+            state = "inside"
+        elif delimiter is not None and text.startswith(delimiter, i):
+            i += len(delimiter) - 1
+            state = "field"
+        else:
+            state = "cell"
+        i += 1
+    if not at_end:
+        return None
+    if state == "inside":
+        raise ValueError("file ends inside a quoted value")
+    return (text[start:] if text[start:].strip() else None), "\n"
+
+
+def _header_row(path: str, read, codec: str, delimiter: str | None) -> tuple[str, str | None, str | None, str | None]:
+    """(path, header, line separator, fault) from ``read(n)``: the first n bytes, fewer at the end of the file."""
+    size = HEADER_STEP
+    while True:
+        data = read(size)
+        at_end = len(data) < size
+        whole = True
+        try:
+            text = codecs.getincrementaldecoder(codec)().decode(data, at_end)
+        except UnicodeDecodeError as e:         # bytes behind the header are the scan's business
+            text, whole = data[:e.start].decode(codec), False
+        try:
+            found = first_record(text.lstrip("\ufeff"), delimiter, at_end and whole)
+            if not found and not whole:
+                return path, None, None, f"bytes that {codec} does not have"
+        except ValueError as e:
+            return path, None, None, str(e)
+        if found:
+            # The header's own line breaks (in quoted names) do not make another layout.
+            return path, found[0], "\r" if found[1] == "\r" else "\n", None
+        if size >= HEADER_BYTES:
+            return path, None, None, f"header of more than {HEADER_BYTES} bytes"
+        size *= 4
+
+
+def _jvm_headers(spark: SparkSession, paths: list[str], codec: str = "utf-8", delimiter: str | None = None) -> DataFrame:
+    """Headers through the Hadoop file system (any store Spark reads).
+
+    Each file is opened and read as far as its first record and no further, a bounded number at a time.
+    """
+    def one(path: str) -> tuple:
+        return _header_row(path, lambda n: storage.read_prefix(spark, path, n), codec, delimiter)
+
     with ThreadPoolExecutor(max_workers=OPEN_AT_ONCE) as pool:
-        heads = list(pool.map(lambda p: storage.first_line(spark, p, encoding), paths))
-    return spark.createDataFrame(list(zip(paths, heads)), HEADER_SCHEMA)
+        return spark.createDataFrame(list(pool.map(one, paths)), HEADER_SCHEMA)
 
 
-def file_headers(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
-    """First non-blank line of each file (S8), read on the executors.
+def file_headers(spark: SparkSession, paths: list[str], encoding: str = "utf-8", delimiter: str | None = None) -> DataFrame:
+    """First non-blank record of each file (S8), read on the executors.
 
-    Only the first line is read, so the cost per file is one small read, not
-    a block scan. A zero-byte file yields a null header. Where Python cannot
-    open the files, Hadoop's file system reads the line.
+    Only the first bytes are read, so the cost per file is one small read, not
+    a block scan. ``delimiter``: of quoted files, whose header may hold line ends in its
+    names; without one it is the first line. A file without records has a null header; one whose header
+    cannot be read has a fault. Where Python cannot open the files, Hadoop's file system reads them.
     """
     if not paths:
         return spark.createDataFrame([], HEADER_SCHEMA)
+    codec = codec_name(encoding)
     if not python_can_open(paths[0]):
-        return _jvm_headers(spark, paths, encoding)
+        return _jvm_headers(spark, paths, codec, delimiter)
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
     listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
 
-    def read_first_lines(batches):
+    def read_headers(batches):
         for pdf in batches:
             out = []
             for p in pdf["path"]:
-                header = None
                 fh = _opener(p)
-                if fh is not None:
-                    try:
-                        for raw in fh:
-                            text = raw.decode(encoding, errors="replace").rstrip("\r\n")
-                            if text.strip() != "":
-                                header = text.lstrip("\ufeff")
-                                break
-                    finally:
-                        fh.close()
-                out.append((p, header))
-            yield pd.DataFrame(out, columns=["path", "header"])
-
-    return listing.mapInPandas(read_first_lines, HEADER_SCHEMA)
+                if fh is None:                  # an archive without members
+                    out.append((p, None, None, None))
+                    continue
+                held = b""
+
+                def read(size):
+                    nonlocal held
+                    while len(held) < size:
+                        more = fh.read(size - len(held))
+                        if not more:
+                            break
+                        held += more
+                    return held[:size]
+
+                try:
+                    out.append(_header_row(p, read, codec, delimiter))
+                except (OSError, EOFError, zlib.error, lzma.LZMAError) as e:
+                    out.append((p, None, None, f"{UNREADABLE}: {e}"))
+                finally:
+                    fh.close()
+            yield pd.DataFrame(out, columns=["path", "header", "line_sep", "fault"])
+
+    return listing.mapInPandas(read_headers, HEADER_SCHEMA)
 
 
 def detect_delimiter(header: "F.Column") -> "F.Column":
@@ -153,17 +239,22 @@ def detect_delimiter(header: "F.Column") -> "F.Column":
             .otherwise(F.lit(",")))
 
 
-def raw_line_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Physical lines per file minus the header line, never below 0.
+def raw_line_counts(spark: SparkSession, paths: list[str], codec: str = "iso8859-1") -> DataFrame:
+    """path, physical lines minus the header line, never below 0 (S7), and ``invalid``: a line with bytes
+    that the encoding does not have (for those Spark's readers would replace: UTF-8, ASCII).
 
     One text scan over all files; blank lines and line breaks inside quoted
     values count, as they do for a plain line count. Files with no lines are
     absent here and must be filled in from the listing.
     """
     if not paths:
-        return spark.createDataFrame([], "path string, raw_records long")
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"))
-    return lines.groupBy("path").agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("raw_records"))
+        return spark.createDataFrame([], "path string, raw_records long, invalid string")
+    line = F.col("value")
+    wrong = {"utf-8": ~F.is_valid_utf8(line), "utf-8-sig": ~F.is_valid_utf8(line),
+             "ascii": F.octet_length(line) != F.octet_length(F.regexp_replace(F.make_valid_utf8(line), r"[^\x00-\x7F]", ""))}.get(codec)
+    invalid = F.lit(None).cast("string") if wrong is None else F.min(F.when(wrong, F.substring(F.make_valid_utf8(line), 1, 200)))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    return lines.groupBy("path").agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("raw_records"), invalid.alias("invalid"))
 
 
 def split_header(header: str, delimiter: str, quoted: bool) -> list[str]:
@@ -171,4 +262,5 @@ def split_header(header: str, delimiter: str, quoted: bool) -> list[str]:
     if not quoted:
         return header.split(delimiter)
     import csv
-    return next(csv.reader([header], delimiter=delimiter, quotechar='"', doublequote=True))
+    import io
+    return next(csv.reader(io.StringIO(header, newline=""), delimiter=delimiter, quotechar='"', doublequote=True))

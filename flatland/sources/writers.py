@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatland import storage
+from flatland.sources.encodings import codec_name, spark_charset
 
 _CODEC_SUFFIX = {None: "", "gzip": ".gz", "bzip2": ".bz2"}
 
@@ -47,11 +48,42 @@ def write_delimited(spark: SparkSession, df: DataFrame, out_dir: str, base_name:
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(tmp)
+    return _named_parts(spark, tmp, out_dir, base_name, extension + _CODEC_SUFFIX[compression])
+
+
+def write_lines(spark: SparkSession, lines: DataFrame, header: str, out_dir: str, base_name: str, extension: str = "txt",
+                n_files: int = 1, encoding: str = "utf-8", line_sep: str = "\n") -> list[str]:
+    """Write a column of whole lines, byte for byte, as files of a feed; each begins with the header.
+
+    In another encoding than UTF-8 the lines are encoded by Spark's CSV writer, which knows those of ``SPARK_CHARSETS``.
+    """
+    tmp = f"{out_dir.rstrip('/')}/_tmp_{base_name}"
+    dealt = lines.toDF(header).repartition(n_files)
+    codec = codec_name(encoding)
+    if codec == "utf-8":
+        # The text writer has no header: it is the first line of every task's rows.
+        def with_header(batches):
+            import pyarrow as pa
+
+            yield pa.RecordBatch.from_arrays([pa.array([header.encode()])], names=["line"])
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(0)], names=["line"])
+        dealt.select(F.col(f"`{header}`").cast("binary").alias("line")).mapInArrow(with_header, "line binary").select(
+            F.col("line").cast("string")).write.mode("overwrite").option("lineSep", line_sep).text(tmp)
+    else:
+        (dealt.write.mode("overwrite").option("header", True).option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+         .option("escapeQuotes", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .option("encoding", spark_charset(codec)).option("lineSep", line_sep).csv(tmp))
+    return _named_parts(spark, tmp, out_dir, base_name, extension)
+
+
+def _named_parts(spark: SparkSession, tmp: str, out_dir: str, base_name: str, extension: str) -> list[str]:
+    """Move the part files of a finished write to their names in ``out_dir``."""
     parts = sorted(p for p, is_dir in storage.list_dir(spark, tmp)
                    if not is_dir and p.rsplit("/", 1)[-1].startswith("part-"))
     out = []
     for i, p in enumerate(parts):
-        dst = f"{out_dir.rstrip('/')}/{base_name}_{i:05d}.{extension}{_CODEC_SUFFIX[compression]}"
+        dst = f"{out_dir.rstrip('/')}/{base_name}_{i:05d}.{extension}"
         storage.rename(spark, p, dst)
         out.append(dst)
     storage.delete(spark, tmp)

@@ -135,20 +135,14 @@ def list_dir_times(spark: SparkSession, path: str) -> list[tuple[str, bool, int]
             for st in fs.listStatus(jpath)]
 
 
-def first_line(spark: SparkSession, path: str, encoding: str = "utf-8") -> str | None:
-    """First line of a (possibly compressed) file that is not blank; None if there is none."""
+def read_prefix(spark: SparkSession, path: str, size: int) -> bytes:
+    """The first ``size`` bytes of a (possibly compressed) file, fewer if it is shorter."""
     jvm = spark.sparkContext._jvm
     fs, jpath = _fs(spark, path)
     stream = fs.open(jpath)
     try:
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(jpath)
         source = codec.createInputStream(stream) if codec is not None else stream
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, encoding))
-        while True:
-            line = reader.readLine()
-            if line is None:
-                return None
-            if line.strip():
-                return line.lstrip("\ufeff")
+        return bytes(source.readNBytes(size))
     finally:
         stream.close()

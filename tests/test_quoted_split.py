@@ -125,3 +125,116 @@ def test_each_kind_of_cell_at_97_bytes(spark, feed_dir):
     feed = Feed("cells", str(feed_dir), extension="csv", delimiter=",", quoting=0, quoted_split_bytes=97)
     rows = land_feed(spark, feed, [LandingField("id", "number")], JOB).rows.collect()
     assert sorted((int(r["id"]), r["cell"].replace('"', "")) for r in rows) == [(i, kinds[i % 5][1]) for i in range(100)]
+
+
+# Whole-file faults, encodings and line ends --------------------------------
+
+SIZES = (61, 1024, None)
+
+
+def _land(spark, feed_dir, size, **kw):
+    feed = Feed("f", str(feed_dir), extension="csv", delimiter=",", quoting=0, quoted_split_bytes=size, **kw)
+    res = land_feed(spark, feed, [LandingField("id", "number")], JOB)
+    files = {r["load_file_name"]: (r["status"], r["reason"], r["sample"], r["records_loaded"]) for r in res.files.collect()}
+    return sorted((r["load_file_name"], int(r["id"]), r["t"]) for r in res.rows.collect()), files
+
+
+def _body(n, cell='"x y"'):
+    return "".join(f"{i},{cell}\n" for i in range(n))
+
+
+def test_a_file_that_ends_inside_a_value_is_bad_at_any_size(spark, feed_dir):
+    write(feed_dir / "good.csv", "id,t\n" + _body(40))
+    write(feed_dir / "open.csv", 'id,t\n1,"open\n2,b\n3,c')
+    write(feed_dir / "late.csv", "id,t\n" + _body(60) + '60,"open\n' + "".join(f"{i},plain\n" for i in range(61, 90)))
+    write(feed_dir / "doubled.csv", 'id,t\n1,"a""\n')
+    write(feed_dir / "closed.csv", 'id,t\n1,"open\n2,b\n3,"c\n')                # the third quote closes the first
+    for size in SIZES:
+        rows, files = _land(spark, feed_dir, size)
+        bad = ("bad", "file ends inside a quoted value", None, 0)
+        assert files == {"good.csv": ("loaded", None, None, 40), "open.csv": bad, "late.csv": bad, "doubled.csv": bad, "closed.csv": ("loaded", None, None, 1)}
+        assert [r for r in rows if r[0] == "closed.csv"] == [("closed.csv", 1, "open\n2,b\n3,c")]
+
+
+def test_bytes_that_the_encoding_has_not_make_the_file_bad(spark, feed_dir):
+    (feed_dir / "bytes.csv").write_bytes(b"id,t\n" + _body(50).encode() + b'50,caf\xe9\n51,"\xff\xfe"\n')
+    write(feed_dir / "good.csv", "id,t\n" + _body(20, '"é 漢字"'))
+    for size in SIZES:
+        rows, files = _land(spark, feed_dir, size)
+        assert files == {"bytes.csv": ("bad", "bytes that utf-8 does not have", "50,caf�", 0), "good.csv": ("loaded", None, None, 20)}
+        assert rows == [("good.csv", i, "é 漢字") for i in range(20)]
+
+
+def test_unquoted_files_with_bytes_that_are_no_utf8_are_bad(spark, feed_dir):
+    (feed_dir / "bytes.txt").write_bytes(b"id\tt\n1\tcaf\xe9\n2\tb\n")
+    (feed_dir / "head.txt").write_bytes(b"id\tt\xe9\n1\ta\n")
+    write(feed_dir / "good.txt", "id\tt\n1\té\n2\tb�\n")
+    res = land_feed(spark, Feed("f", str(feed_dir)), [LandingField("id", "number")], JOB)
+    files = {r["load_file_name"]: (r["status"], r["reason"], r["sample"]) for r in res.files.collect()}
+    reason = "bytes that utf-8 does not have"
+    assert files == {"bytes.txt": ("bad", reason, "1\tcaf�"), "head.txt": ("bad", reason, None), "good.txt": ("loaded", None, None)}
+    assert sorted(r["t"] for r in res.rows.collect()) == ["b�", "é"]
+
+
+def test_copies_in_several_encodings_give_equal_rows(spark, tmp_path):
+    text = "id,t\n" + "".join(f'{i},"Käse, ""{i}""\nà la carte – €"\n' for i in range(60)).replace("– €", "§")
+    want = None
+    for name, spelt in (("utf-8", "UTF8"), ("latin-1", "latin-1"), ("cp1252", "CP1252"), ("utf-8-sig", "utf-8-sig"), ("iso8859-15", "latin9")):
+        write(tmp_path / name / "a.csv", text, name)
+        for size in SIZES:
+            rows, files = _land(spark, tmp_path / name, size, encoding=spelt)
+            want = want or rows
+            assert rows == want and len(rows) == 60 and rows[7][2] == 'Käse, 7\nà la carte §'
+
+
+def test_double_byte_and_unquoted_odd_encodings(spark, tmp_path):
+    write(tmp_path / "sjis" / "a.csv", "id,t\n" + "".join(f'{i},"表示 | ソ"\n' for i in range(30)), "shift_jis")     # trail bytes of \ and |
+    feed = Feed("s", str(tmp_path / "sjis"), extension="csv", delimiter=",", quoting=0, encoding="Shift_JIS", quoted_split_bytes=64)
+    assert {r["t"] for r in land_feed(spark, feed, [], JOB).rows.collect()} == {"表示 | ソ"}
+    write(tmp_path / "plain" / "a.txt", "id\tt\r\n" + "".join(f'{i}\t“{i}” 5" €\r\n' for i in range(30)), "cp1252")
+    rows = land_feed(spark, Feed("p", str(tmp_path / "plain"), encoding="windows-1252"), [LandingField("id", "number")], JOB).rows.collect()
+    assert sorted((int(r["id"]), r["t"]) for r in rows) == [(i, f'“{i}” 5" €') for i in range(30)]
+    try:
+        Feed("x", "/nowhere", encoding="no such encoding")
+        raise AssertionError("taken")
+    except ValueError as e:
+        assert "no such encoding" in str(e)
+
+
+def test_lines_that_end_with_cr_alone(spark, feed_dir):
+    write(feed_dir / "mac.csv", 'id,t\r' + "".join(f'{i},"a\rb {i}"\r' for i in range(50)))
+    write(feed_dir / "unix.csv", 'id,t\n' + "".join(f'{i},"a\nb {i}"\n' for i in range(50)))
+    for size in SIZES:
+        rows, files = _land(spark, feed_dir, size)
+        assert {f: v[:2] for f, v in files.items()} == {"mac.csv": ("loaded", None), "unix.csv": ("loaded", None)}
+        assert rows == [(f, i, f"a\nb {i}") for f in ("mac.csv", "unix.csv") for i in range(50)]
+
+
+def test_header_faults_are_of_one_file(spark, feed_dir):
+    write(feed_dir / "open.csv", 'id,"t\n1,a\n2,b\n')
+    write(feed_dir / "two_lines.csv", 'id,"t\n"\n1,a\n')                         # a name over two lines: another column
+    write(feed_dir / "good.csv", "\n  \nid,t\n1,a\n")
+    (feed_dir / "broken.csv.gz").write_bytes(b"\x1f\x8b\x08\x00nonsense")
+    rows, files = _land(spark, feed_dir, None)
+    assert files["open.csv"][:2] == ("bad", "file ends inside a quoted value") and files["good.csv"][:2] == ("loaded", None)
+    assert files["broken.csv.gz"][1].startswith("file cannot be read") and files["two_lines.csv"][0] == "loaded"
+    assert [r for r in rows if r[0] == "good.csv"] == [("good.csv", 1, "a")]
+
+
+def test_first_record_at_any_length_read(spark):
+    import csv
+    import random
+
+    from flatland.sources.files import first_record
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choice(['a', ',', '"', '""', '\n', '\r', '\r\n', ' ']) for _ in range(rng.randint(0, 12)))
+        try:
+            whole = first_record(text, ",", True)
+        except ValueError:
+            whole = "open"
+        for n in range(len(text)):
+            part = first_record(text[:n], ",", False)
+            assert part is None or part == whole, (text, n)
+        if whole != "open" and whole[0] is not None and '"' not in text:
+            assert next(r for r in csv.reader(text.splitlines(keepends=True)) if "".join(r).strip() or len(r) > 1) == whole[0].split(",")
