@@ -70,6 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def split_session(spark: SparkSession, split_bytes: int | None) -> SparkSession:
+    """A session that reads files in splits of that size; the caller's own is left alone, as feeds of a sweep run side by side."""
+    if not split_bytes:
+        return spark
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(int(split_bytes)))
+    return own
+
+
 _SHIPPED: set[str] = set()
 
 

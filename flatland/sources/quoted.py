@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatland.operators.joins import is_broadcast, join_small
+from flatland.session import split_session
 from flatland.sources.encodings import decode_lines
 
 UNCLOSED = "file ends inside a quoted value"
@@ -70,15 +71,6 @@ def invalid_bytes(codec: str) -> str:
     return f"bytes that {codec} does not have"
 
 
-def _split_session(spark: SparkSession, split_bytes: int | None) -> SparkSession:
-    """A session with that scan split size; the caller's own is left alone, as feeds of a sweep run side by side."""
-    if not split_bytes:
-        return spark
-    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(int(split_bytes)))
-    return own
-
-
 def _lines(spark: SparkSession, paths: list[str], line_sep: str) -> DataFrame:
     # In a file whose lines end CR LF the CR belongs to the line ending and is dropped in pass B (so a line break
     # inside a value reads as LF, as the multi-line reader has it); in an LF file it is data.
@@ -319,7 +311,7 @@ class LineScan:
 def scan_lines(spark: SparkSession, paths: list[str], out_dir: str, split_bytes: int | None = None, delimiter: str | None = ",",
                codec: str = "utf-8", line_sep: str = "\n") -> LineScan:
     """Read files as lines of records; ``delimiter`` None: no quotes, each line is a record."""
-    own = _split_session(spark, split_bytes)
+    own = split_session(spark, split_bytes)
     lines = _lines(own, paths, line_sep)
     split_table(lines, delimiter, codec).write.mode("overwrite").parquet(f"{out_dir}/splits")
     splits = own.read.parquet(f"{out_dir}/splits")
