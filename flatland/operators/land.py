@@ -36,7 +36,7 @@ from flatland.plans.feed import Feed
 from flatland.session import new_run_dir
 from flatland.sources.archives import expand_archives
 from flatland.sources.encodings import keeps_ascii, spark_charset
-from flatland.sources.files import UNREADABLE, file_headers, list_feed_files, raw_line_counts, split_header
+from flatland.sources.files import UNREADABLE, file_headers, list_feed_files, raw_line_counts, scanned, split_header
 from flatland.sources.quoted import LineScan, invalid_bytes, parse_records, scan_lines, stitch
 
 AUDIT_FILE = "load_file_name"
@@ -64,6 +64,7 @@ class LandResult:
     files: DataFrame       # one row per listed file: counts, status, reason
     quarantine: DataFrame  # one row per bad file
     parsed_path: str       # run-scoped parquet of every parsed row, for read_parsed
+    bad: DataFrame         # _path, reason, sample and bad_rows of the bad files, by the path that was read
 
 
 def format_job_time(job_start: datetime | str) -> str:
@@ -212,13 +213,13 @@ def _scan_group(spark: SparkSession, group: _Group, paths: list[str], line_sep:
         group.scan = scan_lines(spark, paths, records_dir, feed.quoted_split_bytes, feed.delimiter if feed.quoted else None, feed.encoding, line_sep)
         return group.rows(group.scan.records, pieces=True)
     raw = csv_reader(spark, feed, positional_schema(len(names))).csv(paths)
-    path = F.col("_metadata.file_path")
-    return clean_cast(raw, names, feed, group.fields, group.job_ts, _load_file_name(F.col("_metadata.file_name"), path, group.expand_dir), path)
+    path = scanned("file_path")
+    return clean_cast(raw, names, feed, group.fields, group.job_ts, _load_file_name(scanned("file_name"), path, group.expand_dir), path)
 
 
-def read_parsed(spark: SparkSession, path: str) -> DataFrame:
-    """Every parsed row of a landing, good or bad; the text pieces of records over split boundaries are no rows."""
-    parsed = spark.read.parquet(path)
+def read_parsed(spark: SparkSession, *paths: str) -> DataFrame:
+    """Every parsed row of landings, good or bad; the text pieces of records over split boundaries are no rows."""
+    parsed = spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
     return parsed.where(F.col(_PIECE).isNull()).drop(_PIECE) if _PIECE in parsed.columns else parsed
 
 
@@ -245,14 +246,11 @@ def _write_parsed(spark: SparkSession, groups: list[tuple[_Group, DataFrame]], p
 
 def split_verdict(parsed: DataFrame, header_bad: DataFrame, n_files: int | None) -> tuple[DataFrame, DataFrame]:
     """(landed rows, bad files): a file that is bad as a whole (``header_bad``: path, reason, sample) or has any bad row lands nothing (V5)."""
-    # Per bad file: its smallest reason with that reason's smallest offending text.
-    first = F.min(F.struct(F.col(_REASON).alias("r"), F.col(_SAMPLE).alias("s")))
-    row_bad = (parsed.filter(F.col(_REASON).isNotNull())
-               .groupBy(_PATH).agg(first.alias("m"), F.count(F.lit(1)).alias("bad_rows"))
-               .select(_PATH, F.col("m.r").alias("reason"), F.col("m.s").alias("sample"), "bad_rows"))
-    # A file may have a fault as a whole and bad rows too; it is one bad file.
-    whole = header_bad.withColumn("bad_rows", F.lit(None).cast("long"))
-    bad = whole.unionByName(row_bad.join(whole.select(_PATH), _PATH, "left_anti"))
+    # Per bad file: what is wrong with it as a whole, else its smallest reason with that reason's smallest offending text.
+    whole = header_bad.select(_PATH, F.lit(0).alias("of_row"), "reason", "sample")
+    by_row = parsed.filter(F.col(_REASON).isNotNull()).select(_PATH, F.lit(1).alias("of_row"), F.col(_REASON).alias("reason"), F.col(_SAMPLE).alias("sample"))
+    bad = (whole.unionByName(by_row).groupBy(_PATH).agg(F.min(F.struct("of_row", "reason", "sample")).alias("m"), F.sum("of_row").alias("n"))
+           .select(_PATH, "m.reason", "m.sample", F.when(F.col("m.of_row") == 1, F.col("n")).alias("bad_rows")))
     bound = n_files
     if bound is None or bound > BROADCAST_ROW_LIMIT:
         # The file count does not bound the list small enough: count the bad
@@ -370,4 +368,4 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
                      "reason", F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"), "sample"))
     quarantine = quarantine_rows(files, job_ts)
     rows = rows.drop(_PATH) if _PATH in rows.columns else rows
-    return LandResult(rows=rows, files=files, quarantine=quarantine, parsed_path=parsed_path)
+    return LandResult(rows=rows, files=files, quarantine=quarantine, parsed_path=parsed_path, bad=bad)

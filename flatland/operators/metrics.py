@@ -8,6 +8,8 @@ its files[] (K7): run metadata, never data rows, and never a whole job in one ro
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,8 +127,8 @@ def new_files(listing: DataFrame, manifest: DataFrame, on: str = "load_file_name
     return join_small(listing, manifest.select(on), on, "left_anti", manifest_rows)
 
 
-def expire_runs(spark, runs_root: str, now_ms: int, keep_days: int, dry_run: bool = False, prefix: str = "") -> list[str]:
-    """Delete run folders (whose names begin with ``prefix``) older than ``keep_days`` whole days.
+def expire_runs(spark, runs_root: str, now_ms: int, keep_days: int, dry_run: bool = False, name: str = ".*") -> list[str]:
+    """Delete run folders older than ``keep_days`` whole days (R1, R2, K10), of those whose whole name matches ``name`` (a pattern).
 
     A run folder holds one run's parsed rows, stage, file counters and
     quarantine list: the archive and the logs of a load. Age is whole days
@@ -137,7 +139,7 @@ def expire_runs(spark, runs_root: str, now_ms: int, keep_days: int, dry_run: boo
     from flatland import storage
     gone = []
     for path, is_dir, modified_ms in storage.list_dir_times(spark, runs_root):
-        mine = path.rstrip("/").rsplit("/", 1)[-1].startswith(prefix)
+        mine = re.fullmatch(name, path.rstrip("/").rsplit("/", 1)[-1]) is not None
         if is_dir and mine and (now_ms - modified_ms) // 86_400_000 > keep_days:
             if not dry_run:
                 storage.delete(spark, path)

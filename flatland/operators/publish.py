@@ -9,14 +9,17 @@ while it is being read. Two target layouts:
   idempotent, and readers always see one whole version. The whole target is
   rewritten per publish (bucketed by key, so it is never shuffled).
 * ``PartitionedTable``: the target is partitioned by a column computed from
-  the key, and a publish rewrites only the partitions the stage touches.
+  the key, and a publish rewrites only the partitions the stage touches. What
+  it wrote becomes the table by one commit: readers see all of it or nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import uuid
+from dataclasses import dataclass
 from typing import Sequence
 from urllib.parse import unquote
 
@@ -30,6 +33,11 @@ from flatland.operators.joins import join_small
 # Fixed value: the folder of rows whose partition value is null.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _VERSION_RE = re.compile(r"/v(\d{6})$")
+_COMMIT_RE = re.compile(r"/c(\d{8})$")
+_MADE_FOR_RE = re.compile(r"/c(\d{8})-[0-9a-f]{12}(\.json)?$")
+_FOLDER = "_folder"
+#: Partitions that one statement adds to a catalog table.
+PARTITIONS_AT_ONCE = 500
 
 
 def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str],
@@ -181,8 +189,22 @@ def _rebalanced(df: DataFrame, part: str) -> DataFrame:
     return df.hint("rebalance", part)
 
 
+class ConcurrentPublish(RuntimeError):
+    """Another publish committed first; read the table again and publish anew."""
+
+
+@dataclass(frozen=True)
+class Commit:
+    """One state of a ``PartitionedTable``: where each partition's rows are, and what made it."""
+
+    number: int
+    schema: T.StructType
+    folders: dict[str, str]         # partition value as text -> folder below the root
+    done: dict[str, int]            # by source: the last of its numbered loads that is in the table
+
+
 class PartitionedTable:
-    """A keyed target stored ``partitionBy`` a column computed from the key.
+    """A keyed target stored by a column computed from the key, with all-or-nothing commits.
 
     A publish reads and rewrites only the partitions the stage touches, so
     its cost follows the stage, not the table: with keys that arrive roughly
@@ -192,14 +214,14 @@ class PartitionedTable:
     the key columns only: a key then always lives in one partition, which is
     what lets delete-by-key look at the touched partitions alone.
 
-    Partitions are replaced with dynamic partition overwrite: new files are
-    written aside and moved in when the job commits, so a failed write leaves
-    the table as it was. A reader during that commit may see some partitions
-    new and some old; the publish itself is an idempotent upsert, so
-    re-running it after a failure converges to the same table.
+    Every write puts its partitions into a folder of its own, ``data/c<number>-<id>``; nothing that a reader may be
+    reading is changed. A list of all partitions and their folders follows (``manifests``), and then one small
+    file, ``commits/c<number>``, which must not exist yet, names the list: that file is the switch. Before it the table is the old
+    one, whatever has been written; after it, the new one. A writer whose number is taken raises ``ConcurrentPublish``.
+    Readers look up the newest commit once and keep its folders until ``expire`` removes them.
 
-    Text partition values are written with a mark before them, so that they are
-    read back as text: ``01`` and ``1``, an empty text and null stay apart.
+    The partition column is in the files, so values are read back as they were; folders only tell them apart. Text values have
+    a mark before them: ``01`` and ``1``, an empty text and null stay apart.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
@@ -211,20 +233,101 @@ class PartitionedTable:
         self.part_expr = part_expr if part_expr is not None else F.pmod(
             F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(buckets))
 
-    def exists(self) -> bool:
-        return storage.exists(self.spark, f"{self.root}/_SUCCESS")
-
-    def read_with_part(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.root) if self.exists() else None
+    # Commits
+
+    def commits(self) -> list[int]:
+        """Numbers of the commits, oldest first; one that is being created (still empty) is none yet."""
+        found = [(int(m.group(1)), p) for p, is_dir in storage.list_dir(self.spark, f"{self.root}/commits")
+                 if not is_dir and (m := _COMMIT_RE.search(p))]
+        found.sort()
+        while found and not (storage.read_small_text(self.spark, found[-1][1]) or "").strip():
+            found.pop()
+        return [n for n, _ in found]
+
+    def commit(self, number: int | None = None) -> Commit | None:
+        """The newest commit, or that of a number."""
+        if number is None:
+            numbers = self.commits()
+            if not numbers:
+                return None
+            number = numbers[-1]
+        name = (storage.read_small_text(self.spark, f"{self.root}/commits/c{number:08d}") or "").strip()
+        spec = json.loads(storage.read_small_text(self.spark, f"{self.root}/manifests/{name}"))
+        return Commit(number, T.StructType.fromJson(spec["schema"]), spec["folders"], spec["done"])
 
-    def read(self) -> DataFrame | None:
-        df = self.read_with_part()
+    def exists(self) -> bool:
+        return bool(self.commits())
+
+    def _switch(self, base: Commit | None, schema: T.StructType, folders: dict[str, str], done: tuple[str, int] | None) -> Commit:
+        """Make a list of folders the table, if ``base`` is still the newest commit."""
+        loads = {**(base.done if base else {}), **dict([done] if done else [])}
+        number = (base.number if base else 0) + 1
+        name = f"c{number:08d}-{uuid.uuid4().hex[:12]}.json"
+        storage.mkdirs(self.spark, f"{self.root}/manifests")
+        storage.write_small_text(self.spark, f"{self.root}/manifests/{name}",
+                                 json.dumps({"schema": json.loads(schema.json()), "folders": folders, "done": loads}))
+        storage.mkdirs(self.spark, f"{self.root}/commits")
+        if not storage.create_new(self.spark, f"{self.root}/commits/c{number:08d}", name):
+            raise ConcurrentPublish(f"{self.root}: commit {number} has been made by another publish")
+        return Commit(number, schema, folders, loads)
+
+    def _write_folders(self, base: Commit | None, df: DataFrame) -> tuple[T.StructType, dict[str, str]]:
+        """Write rows (with the partition column) into a folder of their own; returns the partitions written."""
+        where = f"data/c{(base.number if base else 0) + 1:08d}-{uuid.uuid4().hex[:12]}"
+        dealt = _rebalanced(df, self.part_col).withColumn(_FOLDER, F.col(self.part_col).cast("string"))
+        dealt.write.partitionBy(_FOLDER).parquet(f"{self.root}/{where}")
+        folders = {}
+        for path, is_dir in storage.list_dir(self.spark, f"{self.root}/{where}"):
+            name = path.rstrip("/").rsplit("/", 1)[-1]
+            if is_dir and name.startswith(f"{_FOLDER}="):
+                folders[unquote(name[len(_FOLDER) + 1:])] = f"{where}/{name}"
+        return df.schema, folders
+
+    # Reading
+
+    def _folders(self, commit: Commit, values: Sequence[str] | None = None) -> DataFrame:
+        """The rows of a commit, or of some of its partitions."""
+        paths = [f"{self.root}/{f}" for v, f in commit.folders.items() if values is None or v in values]
+        if not paths:
+            return self.spark.createDataFrame([], commit.schema)
+        return self.spark.read.schema(commit.schema).parquet(*paths)
+
+    def read_with_part(self, number: int | None = None) -> DataFrame | None:
+        commit = self.commit(number)
+        return None if commit is None else self._folders(commit)
+
+    def read(self, number: int | None = None) -> DataFrame | None:
+        """The table, or as it was at a commit that has not been expired."""
+        df = self.read_with_part(number)
         return None if df is None else df.drop(self.part_col)
 
     def partitions(self) -> list[str]:
-        """Partition folder names, e.g. ``_key_part=17``."""
-        return sorted(p.rstrip("/").rsplit("/", 1)[-1] for p, is_dir in storage.list_dir(self.spark, self.root)
-                      if is_dir and f"/{self.part_col}=" in p)
+        """Partition names, e.g. ``_key_part=17``."""
+        commit = self.commit()
+        return sorted(f"{self.part_col}={v}" for v in commit.folders) if commit else []
+
+    def catalog_view(self, name: str) -> str:
+        """Let SQL read the newest commit as ``name``: a view over a catalog table that has each partition at its own folder.
+
+        The table belongs to one commit; replacing the view switches all partitions at once.
+        """
+        commit = self.commit()
+        if commit is None:
+            raise ValueError(f"{self.root}: nothing has been published")
+        own = f"{name}_c{commit.number:08d}"
+        if not self.spark.catalog.tableExists(own):
+            storage.mkdirs(self.spark, f"{self.root}/catalog")
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in commit.schema.fields)
+            self.spark.sql(f"CREATE TABLE {own} ({columns}, `{_FOLDER}` STRING) USING parquet PARTITIONED BY (`{_FOLDER}`) LOCATION '{self.root}/catalog'")
+            listed = list(commit.folders.items())
+            for at in range(0, len(listed), PARTITIONS_AT_ONCE):
+                parts = " ".join(f"PARTITION (`{_FOLDER}` = {_sql_text(v)}) LOCATION {_sql_text(f'{self.root}/{f}')}" for v, f in listed[at:at + PARTITIONS_AT_ONCE])
+                self.spark.sql(f"ALTER TABLE {own} ADD IF NOT EXISTS {parts}")
+        columns = ", ".join(f"`{f.name}`" for f in commit.schema.fields if f.name != self.part_col)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {own}")
+        return name
+
+    # Writing
 
     def with_part(self, df: DataFrame) -> DataFrame:
         out = df.withColumn(self.part_col, self.part_expr)
@@ -232,71 +335,76 @@ class PartitionedTable:
             out = out.withColumn(self.part_col, F.coalesce(F.concat(F.lit("p"), F.col(self.part_col)), F.lit("null")))
         return out
 
-    def overwrite_partitions(self, df: DataFrame) -> None:
-        """Replace the partitions that ``df`` (with the partition column) has rows of; ``df`` may read this table."""
-        (_rebalanced(df, self.part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.part_col).parquet(self.root))
+    def overwrite_partitions(self, df: DataFrame, base: Commit | None = None, done: tuple[str, int] | None = None) -> Commit:
+        """Replace the partitions that ``df`` (with the partition column) has rows of; ``df`` may read this table.
 
-    def replace(self, df: DataFrame) -> None:
-        """Replace the whole table with ``df``, which may read this table.
-
-        The new rows are written to a folder of their own first; then they
-        replace their partitions, and partitions without rows go last. At no
-        time is there no table.
+        ``base``: the commit that ``df`` was made from (the newest one if not given).
         """
-        staging = f"{self.root}.staging/{uuid.uuid4().hex[:12]}"
-        self.with_part(df).write.parquet(staging)
-        new = self.spark.read.parquet(staging)
-        # As many values as the table has partitions.
-        kept = {f"{self.part_col}={NULL_FOLDER if r[0] is None else r[0]}" for r in new.select(F.col(self.part_col).cast("string")).distinct().collect()}
-        old = {unquote(p): p for p in self.partitions()} if self.exists() else {}
-        self.overwrite_partitions(new)
-        for name, folder in old.items():
-            if name not in kept:
-                storage.delete(self.spark, f"{self.root}/{folder}")
-        storage.delete(self.spark, staging)
-
-    def write(self, df: DataFrame) -> None:
+        base = base or self.commit()
+        schema, folders = self._write_folders(base, df)
+        return self._switch(base, schema, {**(base.folders if base else {}), **folders}, done)
+
+    def replace(self, df: DataFrame, done: tuple[str, int] | None = None) -> Commit:
+        """Replace the whole table with ``df``, which may read this table."""
+        base = self.commit()
+        schema, folders = self._write_folders(base, self.with_part(df))
+        return self._switch(base, schema, folders, done)
+
+    def write(self, df: DataFrame) -> Commit:
         """Load the table with ``df`` in place of what it holds."""
-        if self.exists():
-            self.replace(df)
-        else:
-            _rebalanced(self.with_part(df), self.part_col).write.mode("overwrite").partitionBy(self.part_col).parquet(self.root)
+        return self.replace(df)
+
+    def expire(self, keep_last: int = 1) -> list[int]:
+        """Drop all but the newest ``keep_last`` commits and the folders that only they, or failed writes, have; returns the numbers dropped."""
+        numbers = self.commits()
+        kept = numbers[-max(1, keep_last):]
+        used = {f.split("/")[1] for n in kept for f in self.commit(n).folders.values()}
+        old = [n for n in numbers if n not in kept]
+        for n in old:
+            storage.delete(self.spark, f"{self.root}/commits/c{n:08d}")
+        for path, _ in storage.list_dir(self.spark, f"{self.root}/data") + storage.list_dir(self.spark, f"{self.root}/manifests"):
+            m = _MADE_FOR_RE.search(path.rstrip("/"))
+            name = path.rstrip("/").rsplit("/", 1)[-1]
+            # Folders for a number yet to come belong to a publish that is running.
+            if m and kept and int(m.group(1)) <= kept[-1] and name not in used and (not name.endswith(".json") or int(m.group(1)) < kept[0]):
+                storage.delete(self.spark, path)
+        return old
 
 
-def touched_partitions(current: DataFrame, part: str, touched: list) -> DataFrame:
-    """The target's rows in the touched partitions only: a partition filter, so
-    the scan lists and reads those partition folders and no others."""
-    hit = F.col(part).isin([t for t in touched if t is not None])
-    return current.filter(hit | F.col(part).isNull() if None in touched else hit)
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def publish_partitions(spark: SparkSession, stage: DataFrame, table: PartitionedTable,
-                       stage_key_rows: int | None = None) -> list:
+                       stage_key_rows: int | None = None, done: tuple[str, int] | None = None) -> list:
     """Publish ``stage`` into ``table`` by key, rewriting only touched partitions.
 
     1. the stage's partition values (at most the table's partition count) are
-       collected and used as a partition filter, so untouched partitions are
-       never read;
+       collected; only the folders of those partitions are read;
     2. the touched partitions are upserted (anti join on the key) and written
-       once: files are written aside and replace their partitions when the
-       job commits; all other partitions stay as they are.
+       once, aside; one commit makes them the table's, and all other partitions stay
+       as they are.
 
-    Returns the touched partition values.
+    Returns the touched partition values. ``done`` (a source and the number of its load, such as a stream's
+    batch) is kept in the commit; a load that is already in the table is not published again.
     """
     part = table.part_col
     keys = list(table.keys)
+    base = table.commit()
+    if done and base and base.done.get(done[0], -1) >= done[1]:
+        return []
     assert_unique_keys(stage, keys)
-    stage = stage.dropna(subset=keys)
-    staged = table.with_part(stage)
-    current = table.read_with_part()
-    touched = sorted((r[0] for r in staged.select(part).distinct().collect()), key=lambda v: (v is not None, v))
-    if current is None:
-        table.write(stage)
+    staged = table.with_part(stage.dropna(subset=keys))
+    values = staged.select(part, F.col(part).cast("string").alias("name")).distinct().collect()
+    touched = sorted((r[0] for r in values), key=lambda v: (v is not None, v))
+    if base is None:
+        schema, folders = table._write_folders(None, staged)
+        table._switch(None, schema, folders, done)
         return touched
     if not touched:
         return []
-    hit = touched_partitions(current, part, touched)
+    names = {NULL_FOLDER if r["name"] is None else r["name"] for r in values}
+    hit = table._folders(base, names)
     merged = upsert(hit, staged.select(*hit.columns), keys, stage_key_rows)
-    table.overwrite_partitions(merged)
+    table.overwrite_partitions(merged, base, done)
     return touched

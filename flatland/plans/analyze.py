@@ -9,13 +9,15 @@ aggregate keyed by subject.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatland import storage
-from flatland.functions.names import landing_name_col
+from flatland.functions.names import landing_name
+from flatland.operators.joins import join_small
 from flatland.operators.land import land_feed, profile_rows, read_parsed
 from flatland.operators.profile import infer_types, profile_long, unpivot
 from flatland.plans.feed import Feed
@@ -45,9 +47,20 @@ _STEM = (rf"^(.+?)(?:\.(?:{'|'.join(PROFILE_EXTENSIONS)}))?(?:\.(?:{'|'.join(COM
 PROFILE_FOLDER_SCHEMA = "subject string, column_name string, position int, s string"
 
 
-def subject_of(file_name: Column) -> Column:
-    """The cleaned stem of a file: its name without the data and compression extensions."""
-    return landing_name_col(F.regexp_extract(file_name, _STEM, 1))
+def subjects(paths: list[str]) -> dict[str, str]:
+    """Subject of each file name: its cleaned stem, and where several files share one, the whole cleaned name (then a number)."""
+    names = sorted({p.rstrip("/").rsplit("/", 1)[-1] for p in paths})
+    stems = {n: landing_name(re.match(_STEM, n).group(1)) for n in names}
+    out: dict[str, str] = {}
+    for n in names:
+        alone = sum(s == stems[n] for s in stems.values()) == 1
+        own = stems[n] if alone else landing_name(n.replace(".", "_"))
+        taken, k = set(out.values()), 2
+        base = own
+        while own in taken:
+            own, k = f"{base}_{k}", k + 1
+        out[n] = own
+    return out
 
 
 def profile_folder(spark: SparkSession, folder: str, encoding: str = "utf-8", null_value: str | None = None) -> DataFrame:
@@ -63,6 +76,7 @@ def profile_files(spark: SparkSession, paths: list[str], encoding: str = "utf-8"
         if r["header"] is not None:
             groups[(r["header"], r["delimiter"])].append(r["path"])
     run = new_run_dir(spark, "analyze")
+    named = spark.createDataFrame(sorted(subjects(paths).items()), "load_file_name string, subject string")
     long = spark.createDataFrame([], PROFILE_FOLDER_SCHEMA)
     for i, ((_, delim), group) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
         feed = Feed(f"analyze-{i}", group[0].rsplit("/", 1)[0], delimiter=delim, encoding=encoding, null_value=null_value, quoting=1)
@@ -70,7 +84,9 @@ def profile_files(spark: SparkSession, paths: list[str], encoding: str = "utf-8"
         if not storage.exists(spark, f"{res.parsed_path}/_SUCCESS"):
             continue                        # no file of this layout could be read (duplicate columns)
         rows = profile_rows(read_parsed(spark, res.parsed_path)).drop("load_timestamp")
-        long = long.unionByName(unpivot(rows, [c for c in rows.columns if c != "load_file_name"], subject=subject_of(F.col("load_file_name"))))
+        columns = [c for c in rows.columns if c != "load_file_name"]
+        rows = join_small(rows, named, "load_file_name", "inner", len(paths))
+        long = long.unionByName(unpivot(rows, columns, subject=F.col("subject")))
     return infer_types(profile_long(long, by=("subject", "column_name", "position")))
 
 

@@ -25,7 +25,7 @@ from flatland.operators.publish import PartitionedTable, VersionedTable, publish
 from flatland.operators.stage import Step, add_modify_stamp, cut_cells, dedup_latest, map_columns, run_steps
 from flatland.plans.feed import Feed
 from flatland.plans.spec import SpecPlan, enforce_schema
-from flatland.session import new_run_dir, scratch_root
+from flatland.session import new_run_dir, run_name, scratch_root
 from flatland.sources.files import list_feed_files, listing_frame
 
 
@@ -71,9 +71,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
-def unloaded_files(spark: SparkSession, feed: Feed, manifest: str) -> list[str]:
+def unloaded_files(spark: SparkSession, feed: Feed, manifest: str, listing: list[tuple[str, int, int]] | None = None) -> list[str]:
     """The feed's files that the manifest has not; a file delivered again (a later change) counts as new."""
-    listing = list_feed_files(spark, feed)
+    listing = list_feed_files(spark, feed) if listing is None else listing
     if not listing:
         return []
     frame = listing_frame(spark, listing).withColumn("feed", F.lit(feed.name))
@@ -96,10 +96,12 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
     """
     steps = steps or FeedSteps(stage=tuple(stage_steps), target=tuple(target_steps))
     if feed.archive_expire_days is not None:
-        expire_runs(spark, f"{scratch_root(spark)}/runs", int(time.time() * 1000), feed.archive_expire_days, prefix=f"feed-{feed.name}-")   # R1
+        expire_runs(spark, f"{scratch_root(spark)}/runs", int(time.time() * 1000), feed.archive_expire_days, name=run_name(f"feed-{feed.name}"))   # R1
     run_dir = run_dir or new_run_dir(spark, f"feed-{feed.name}")
     job_ts = format_job_time(job_start)
-    paths = unloaded_files(spark, feed, manifest) if manifest else None
+    # Listed once, before anything is read: a file that is replaced while it loads has another time then, and is loaded again.
+    listing = list_feed_files(spark, feed) if manifest else None
+    paths = unloaded_files(spark, feed, manifest, listing) if manifest else None
     started = datetime.now()
     land = land_feed(spark, feed, plan.landing, job_ts, run_dir, paths=paths)
     # K1: the landing table of this run is its parsed rows (already written
@@ -134,7 +136,7 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
         if keep_versions and isinstance(target, VersionedTable):
             target.expire(keep_versions)
     if manifest:
-        modified = listing_frame(spark, list_feed_files(spark, feed)).select(F.col("path").alias("source_path"), "modified_ms")
+        modified = listing_frame(spark, listing).select(F.col("path").alias("source_path"), "modified_ms")
         done = files.filter(F.col("status") != "bad").join(modified, "source_path").withColumn("load_timestamp", F.lit(job_ts).cast("timestamp_ntz"))
         done.select(*[f.name for f in T.StructType.fromDDL(MANIFEST_SCHEMA).fields]).coalesce(1).write.mode("append").parquet(manifest)   # K6
     return result
@@ -212,7 +214,7 @@ def run_all(spark: SparkSession, feeds: Sequence[Feed], plans: dict[str, SpecPla
         write_summary(spark, runs, summary, job_name)
         days = [f.log_expire_days for f in chosen if f.log_expire_days is not None]
         if days:
-            expire_runs(spark, summary, int(time.time() * 1000), min(days), prefix="run-")   # R2
+            expire_runs(spark, summary, int(time.time() * 1000), min(days), name=r"run-[0-9-]+")   # R2
     return runs
 
 

@@ -10,6 +10,7 @@ no such setting (local tests) do we pick a folder ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -120,3 +121,8 @@ def scratch_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder for one run of one operator."""
     return f"{scratch_root(spark)}/runs/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def run_name(label: str) -> str:
+    """Pattern of the names that ``new_run_dir`` gives to a label's folders, and to no other label's."""
+    return f"{re.escape(label)}-[0-9a-f]{{12}}"

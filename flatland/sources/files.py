@@ -239,6 +239,12 @@ def detect_delimiter(header: "F.Column") -> "F.Column":
             .otherwise(F.lit(",")))
 
 
+def scanned(field: str) -> "F.Column":
+    """``file_path`` or ``file_name`` of a scan as the listing has it: the scan's metadata is percent-encoded."""
+    path = F.col(f"_metadata.{field}")
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+
+
 def raw_line_counts(spark: SparkSession, paths: list[str], codec: str = "iso8859-1") -> DataFrame:
     """path, physical lines minus the header line, never below 0 (S7), and ``invalid``: a line with bytes
     that the encoding does not have (for those Spark's readers would replace: UTF-8, ASCII).
@@ -253,7 +259,7 @@ def raw_line_counts(spark: SparkSession, paths: list[str], codec: str = "iso8859
     wrong = {"utf-8": ~F.is_valid_utf8(line), "utf-8-sig": ~F.is_valid_utf8(line),
              "ascii": F.octet_length(line) != F.octet_length(F.regexp_replace(F.make_valid_utf8(line), r"[^\x00-\x7F]", ""))}.get(codec)
     invalid = F.lit(None).cast("string") if wrong is None else F.min(F.when(wrong, F.substring(F.make_valid_utf8(line), 1, 200)))
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    lines = spark.read.text(paths).select(scanned("file_path").alias("path"), "value")
     return lines.groupBy("path").agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("raw_records"), invalid.alias("invalid"))
 
 

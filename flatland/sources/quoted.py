@@ -50,6 +50,7 @@ from pyspark.sql import types as T
 from flatland.operators.joins import is_broadcast, join_small
 from flatland.session import split_session
 from flatland.sources.encodings import decode_lines
+from flatland.sources.files import scanned
 
 UNCLOSED = "file ends inside a quoted value"
 
@@ -76,8 +77,8 @@ def _lines(spark: SparkSession, paths: list[str], line_sep: str) -> DataFrame:
     # inside a value reads as LF, as the multi-line reader has it); in an LF file it is data.
     return (spark.read.option("lineSep", line_sep).text(paths)
             .select(F.col("value").cast("binary").alias("value"), F.monotonically_increasing_id().alias("row"),
-                    F.col("_metadata.file_path").alias("path"),
-                    F.col("_metadata.file_name").alias("name"),
+                    scanned("file_path").alias("path"),
+                    scanned("file_name").alias("name"),
                     F.col("_metadata.file_block_start").alias("block")))
 
 

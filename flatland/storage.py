@@ -68,6 +68,22 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file that must not exist yet; False if it does. Of several writers one succeeds."""
+    fs, jpath = _fs(spark, path)
+    try:
+        out = fs.create(jpath, False)
+    except Exception as e:  # noqa: BLE001 - a Java exception of the file system's own kind
+        if fs.exists(jpath):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def read_small_text(spark: SparkSession, path: str) -> str | None:
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):

@@ -9,14 +9,16 @@ so tests must not expect the newest files moved).
 
 Each micro-batch lands its new files exactly as a batch load does
 (``land_feed``): header groups bound by name, archives, quoted files in
-splits, strict casts and per-file verdicts. Parsed rows go to
-``sink/_runs/batch=<id>`` (written once; the landed rows are those of good
-files, on read) and per-file counters to ``sink/_metrics/batch=<id>``; both
-are replaced when a batch is replayed, so a replay leaves the same result.
+splits, strict casts and per-file verdicts. What a batch writes (parsed rows, bad
+files, per-file counters) goes to a folder of its own for each attempt; then the batch is
+published (``on_batch``); last, one small file ``_batches/b<id>`` names the attempt's folder. Readers
+go by these files, so they see all of a batch or nothing, and a batch that failed between any two writes is
+done again from the start and leaves one result. A batch that has its file is not done again.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from typing import Callable
 
@@ -24,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatland import storage
-from flatland.operators.land import _PATH, AUDIT_FILE, LandingField, format_job_time, land_feed, split_verdict
+from flatland.operators.joins import join_small
+from flatland.operators.land import _PATH, _REASON, _SAMPLE, _SHAPE, AUDIT_FILE, LandingField, format_job_time, land_feed, read_parsed
 from flatland.operators.publish import PartitionedTable, VersionedTable, publish, publish_partitions
 from flatland.operators.stage import dedup_latest
 from flatland.plans.feed import Feed
@@ -53,16 +56,23 @@ def incremental_land(spark: SparkSession, feed: Feed, fields: list[LandingField]
     arrivals = stream.load(feed.path).select("path", "length")
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
+        marker = f"{sink}/_batches/b{batch_id:08d}"
+        if storage.exists(spark, marker):
+            return
         # The batch's new files: a listing (one row per file), not data.
         paths = sorted(r["path"] for r in batch.collect())
         if not paths:
             return
         # The batch's parsed rows are written once, in its run folder; its
         # landed rows are those minus its bad files, on read (no second copy).
-        res = land_feed(spark, feed, fields, job_ts, run_dir=f"{sink}/_runs/batch={batch_id}", paths=paths)
-        batch_counters(res.files, batch_id).write.mode("overwrite").parquet(f"{sink}/_metrics/batch={batch_id}")
+        attempt = f"_runs/b{batch_id:08d}-{uuid.uuid4().hex[:12]}"
+        res = land_feed(spark, feed, fields, job_ts, run_dir=f"{sink}/{attempt}", paths=paths)
+        res.bad.write.parquet(f"{sink}/{attempt}/bad")
+        batch_counters(res.files, batch_id).write.parquet(f"{sink}/{attempt}/counters")
         if on_batch is not None:
             on_batch(res.rows, batch_id)
+        storage.mkdirs(spark, f"{sink}/_batches")
+        storage.create_new(spark, marker, attempt)
 
     q = (arrivals.writeStream.foreachBatch(land_batch)
          .option("checkpointLocation", checkpoint)
@@ -76,39 +86,45 @@ def batch_counters(files: DataFrame, batch_id: int) -> DataFrame:
                         "records_loaded", "status", "reason")
 
 
+def finished_batches(spark: SparkSession, sink: str) -> list[str]:
+    """Folders of the batches that are done, in order."""
+    sink = sink.rstrip("/")
+    marks = sorted(p for p, is_dir in storage.list_dir(spark, f"{sink}/_batches") if not is_dir and not p.endswith(".crc"))
+    names = [(storage.read_small_text(spark, p) or "").strip() for p in marks]
+    return [f"{sink}/{n}" for n in names if n]
+
+
 def read_counters(spark: SparkSession, sink: str) -> DataFrame:
     """Counters of every landed micro-batch, one row per file."""
-    return spark.read.parquet(f"{sink.rstrip('/')}/_metrics").drop("batch")
+    folders = [f"{b}/counters" for b in finished_batches(spark, sink)]
+    return spark.read.parquet(*folders) if folders else spark.createDataFrame([], COUNTERS_SCHEMA)
 
 
-def read_landed(spark: SparkSession, sink: str) -> DataFrame:
-    """Landed rows of every batch: each batch's parsed rows minus its bad files.
+COUNTERS_SCHEMA = f"batch_id long, {AUDIT_FILE} string, raw_records long, records_loaded long, status string, reason string"
 
-    A bad file is one with a bad row (files with a bad header were never
-    parsed); the list of them is an aggregate of the parsed rows' reason
-    column, broadcast when its counted size allows.
-    """
-    runs = sorted(p for p, is_dir in storage.list_dir(spark, f"{sink}/_runs") if is_dir)
-    parsed_dirs = [f"{r}/parsed" for r in runs if storage.exists(spark, f"{r}/parsed/_SUCCESS")]
+
+def read_landed(spark: SparkSession, sink: str) -> DataFrame:
+    """Landed rows of every batch that is done: each batch's parsed rows minus its bad files."""
+    batches = finished_batches(spark, sink)
+    parsed_dirs = [f"{b}/parsed" for b in batches if storage.exists(spark, f"{b}/parsed/_SUCCESS")]
     if not parsed_dirs:
         return spark.createDataFrame([], f"{AUDIT_FILE} string, load_timestamp timestamp_ntz")
-    parsed = spark.read.option("mergeSchema", "true").parquet(*parsed_dirs)
-    no_header_bad = spark.createDataFrame([], f"{_PATH} string, reason string")
-    rows, _bad = split_verdict(parsed, no_header_bad, None)
-    return rows.drop(_PATH)
+    bad = spark.read.parquet(*[f"{b}/bad" for b in batches]).select(_PATH)
+    return join_small(read_parsed(spark, *parsed_dirs), bad, _PATH, "left_anti", bad.count()).drop(_PATH, _REASON, _SHAPE, _SAMPLE)
 
 
 def publish_batches(spark: SparkSession, target: VersionedTable | PartitionedTable, keys: list[str],
                     order_desc: list[str],
-                    transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+                    transform: Callable[[DataFrame], DataFrame] | None = None, stream: str = "stream") -> Callable[[DataFrame, int], None]:
     """``on_batch`` hook: stage, keep the latest row per key, publish.
 
     Into a ``VersionedTable`` the batch id fixes the target version
     (batch + 1), and the base is the newest version below it, so a replayed
     batch rewrites the same version; its versions are this stream's batches,
     so such a table must be the stream's own. Into a ``PartitionedTable`` each batch
-    rewrites only the partitions its keys fall in; a replay of the last batch
-    (the only one Spark replays) repeats an idempotent upsert.
+    rewrites only the partitions its keys fall in, by one commit that holds the
+    batch id: a batch that is in the table already is not published again. Streams
+    that share such a table have a ``stream`` name each.
     """
     def run(rows: DataFrame, batch_id: int) -> None:
         staged = transform(rows) if transform else rows
@@ -117,7 +133,7 @@ def publish_batches(spark: SparkSession, target: VersionedTable | PartitionedTab
         dedup_latest(staged, keys, order_desc).write.parquet(path)
         latest = spark.read.parquet(path)
         if isinstance(target, PartitionedTable):
-            publish_partitions(spark, latest, target)
+            publish_partitions(spark, latest, target, done=(stream, batch_id))
         else:
             publish(spark, latest, target, keys, version=batch_id + 1)
         storage.delete(spark, path)

@@ -161,3 +161,15 @@ def test_quarantine_keeps_a_sample_of_the_offending_text(spark, feed_dir):
     q = {r["load_file_name"]: (r["reason"], r["sample"], r["bad_rows"]) for r in res.quarantine.collect()}
     assert q == {"b.txt": ("bad number in k", "yy", 2), "c.txt": ("too many fields", "1\tx\textra", 1)}
     assert res.rows.count() == 2
+
+
+def test_file_names_with_blanks_and_signs(spark, feed_dir):
+    for quoting, folder in ((3, feed_dir / "plain"), (1, feed_dir / "quoted")):
+        names = ["a b.csv", "ä+1%.csv", "c#d.csv"]
+        for n in names:
+            write(folder / n, "k,v\n1,2\n")
+        write(folder / "bad %20.csv", "k,v\nx,2\n")
+        res = land_feed(spark, Feed("s", str(folder), extension="csv", delimiter=",", quoting=quoting), [LandingField("k", "float64")], "2024-01-01 00:00:00")
+        files = {r["load_file_name"]: (r["status"], r["raw_records"], r["records_loaded"]) for r in res.files.collect()}
+        assert files == {**{n: ("loaded", 1, 1) for n in names}, "bad %20.csv": ("bad", 1, 0)}
+        assert sorted(r["load_file_name"] for r in res.rows.collect()) == sorted(names)

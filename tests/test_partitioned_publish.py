@@ -1,15 +1,12 @@
 """Publish into a key-partitioned target rewrites only the partitions the stage touches."""
 
-import os
+import threading
 
+import pytest
 from pyspark.sql import functions as F
 
-from flatland.operators.publish import PartitionedTable, publish_partitions, upsert
-
-
-def _files(root, part):
-    d = os.path.join(root, part)
-    return sorted((f, os.path.getmtime(os.path.join(d, f))) for f in os.listdir(d) if f.endswith(".parquet"))
+from flatland import storage
+from flatland.operators.publish import ConcurrentPublish, PartitionedTable, publish_partitions, upsert
 
 
 def test_only_touched_partitions_are_rewritten(spark, tmp_path):
@@ -18,14 +15,12 @@ def test_only_touched_partitions_are_rewritten(spark, tmp_path):
     t = PartitionedTable(spark, root, ["k"], part_expr=F.floor(F.col("k") / 10))
     t.write(base)
     assert len(t.partitions()) == 10
-    before = {p: _files(root, p) for p in t.partitions()}
+    before = t.commit().folders
     stage = spark.createDataFrame([(5, -1), (15, -2), (205, -3), (None, -4)], "k long, v long")
     touched = publish_partitions(spark, stage, t)
     assert touched == [0, 1, 20]
-    after = {p: _files(root, p) for p in t.partitions()}
-    for p in before:
-        if p not in ("_key_part=0", "_key_part=1"):
-            assert after[p] == before[p]                   # untouched: same files, not rewritten
+    after = t.commit().folders
+    assert {p for p in after if after[p] != before.get(p)} == {"0", "1", "20"}          # the others keep their files
     expected = upsert(base, stage, ["k"])
     got = t.read()
     assert got.count() == 101
@@ -40,3 +35,94 @@ def test_first_publish_creates_the_table(spark, tmp_path):
     stage = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, v string")
     publish_partitions(spark, stage, t)
     assert sorted(r["k"] for r in t.read().collect()) == [1, 2]
+
+
+def _table(spark, root, rows=100):
+    t = PartitionedTable(spark, root, ["k"], part_expr=F.floor(F.col("k") / 10))
+    t.write(spark.range(rows).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")))
+    return t
+
+
+def _rows(df):
+    return sorted((r["k"], r["v"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("fails", ["write_small_text", "create_new", "list_dir"])
+def test_a_publish_that_fails_between_writes_leaves_the_old_table(spark, tmp_path, monkeypatch, fails):
+    t = _table(spark, str(tmp_path / "t"))
+    old = _rows(t.read())
+    stage = spark.createDataFrame([(k, -k) for k in range(0, 300, 7)], "k long, v long")
+    real = getattr(storage, fails)
+
+    def broken(sp, path, *a):
+        if "/manifests/" in path or "/commits/c" in path or "/data/" in path:
+            raise OSError("injected")
+        return real(sp, path, *a)
+    monkeypatch.setattr(storage, fails, broken)
+    with pytest.raises(OSError):
+        publish_partitions(spark, stage, t)
+    monkeypatch.undo()
+    assert _rows(t.read()) == old and t.commits() == [1]
+    publish_partitions(spark, stage, t)
+    assert _rows(t.read()) == sorted({**dict(old), **{k: -k for k in range(0, 300, 7)}}.items())
+
+
+def test_a_job_that_fails_while_writing_leaves_the_old_table(spark, tmp_path):
+    t = _table(spark, str(tmp_path / "t"))
+    old = _rows(t.read())
+    stage = spark.range(50).select(F.col("id").alias("k"), F.when(F.col("id") == 44, F.raise_error(F.lit("injected"))).otherwise(F.col("id")).cast("long").alias("v"))
+    with pytest.raises(Exception, match="injected"):
+        publish_partitions(spark, stage, t)
+    assert _rows(t.read()) == old
+
+
+def test_readers_see_the_old_table_or_the_new_one(spark, tmp_path):
+    t = _table(spark, str(tmp_path / "t"))
+    held = t.read()
+    seen, stop = [], threading.Event()
+
+    def watch():
+        while not stop.is_set():
+            values = {r["v"] < 0 for r in t.read().where("k < 100").select("v").collect()}
+            seen.append(values)
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    for sign in (-1, 1, -1):
+        publish_partitions(spark, spark.range(100).select(F.col("id").alias("k"), (sign * (F.col("id") + 1)).alias("v")), t)
+    stop.set()
+    watcher.join()
+    assert seen and all(len(v) == 1 for v in seen)                             # never some partitions old, some new
+    assert _rows(held) == [(k, k * 10) for k in range(100)]                    # a reader keeps what it began with
+    assert _rows(t.read(1)) == _rows(held)
+    assert t.expire(1) == [1, 2, 3] and t.commits() == [4]
+    assert _rows(t.read()) == [(k, -k - 1) for k in range(100)]
+
+
+def test_of_two_publishes_from_one_state_one_commits(spark, tmp_path):
+    t = _table(spark, str(tmp_path / "t"))
+    base = t.commit()
+    rows = spark.createDataFrame([(1, 1)], "k long, v long")
+    t.overwrite_partitions(t.with_part(rows), base)
+    with pytest.raises(ConcurrentPublish):
+        t.overwrite_partitions(t.with_part(rows), base)
+    assert t.commits() == [1, 2]
+
+
+def test_sql_reads_one_commit_through_a_view(spark, tmp_path):
+    t = _table(spark, str(tmp_path / "t"))
+    t.catalog_view("partitioned_target")
+    assert _rows(spark.table("partitioned_target")) == _rows(t.read())
+    publish_partitions(spark, spark.createDataFrame([(5, -5), (None, 1), (1000, 1)], "k long, v long"), t)
+    assert spark.table("partitioned_target").count() == 100
+    t.catalog_view("partitioned_target")
+    assert _rows(spark.table("partitioned_target")) == _rows(t.read())
+    spark.sql("DROP VIEW partitioned_target")
+
+
+def test_a_load_is_published_once_and_new_columns_read_as_null(spark, tmp_path):
+    t = PartitionedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
+    for batch in (0, 1, 1, 0):
+        publish_partitions(spark, spark.createDataFrame([(batch, batch)], "k long, v long"), t, done=("s", batch))
+    assert t.commits() == [1, 2] and _rows(t.read()) == [(0, 0), (1, 1)]
+    t.overwrite_partitions(t.with_part(spark.createDataFrame([(9, 9, "x")], "k long, v long, w string")))
+    assert t.read().columns == ["k", "v", "w"]

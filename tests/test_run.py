@@ -91,3 +91,55 @@ def test_run_keeps_file_counters_and_quarantine(spark, tmp_path):
     assert files == {"a.txt": "loaded", "b.txt": "bad"}
     q = spark.read.parquet(run.quarantine_path).collect()
     assert [(r["load_file_name"], r["reason"]) for r in q] == [("b.txt", "bad number in k")]
+
+
+def test_expiry_takes_only_the_feeds_own_run_folders(spark, tmp_path):
+    import os
+    import time
+
+    from flatland.operators.metrics import expire_runs
+    from flatland.session import run_name
+    names = ["feed-sales-0123456789ab", "feed-sales-eu-0123456789ab", "feed-sales-0123456789ab-0123456789ab", "feed-salesx-0123456789ab"]
+    old = time.time() - 9 * 86_400
+    for n in names:
+        (tmp_path / n).mkdir()
+        os.utime(tmp_path / n, (old, old))
+    gone = expire_runs(spark, str(tmp_path), int(time.time() * 1000), 5, name=run_name("feed-sales"))
+    assert [g.rsplit("/", 1)[-1] for g in gone] == names[:1]
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(names[1:])
+
+
+def test_a_file_replaced_while_it_loads_is_loaded_again(spark, tmp_path):
+    import os
+
+    folder = tmp_path / "f"
+    write(folder / "a.txt", "k\tv\n1\tone\n")
+    os.utime(folder / "a.txt", (1_700_000_000, 1_700_000_000))
+    target = VersionedTable(spark, str(tmp_path / "t"), ["k"], 4)
+
+    def replace_it(df):
+        if "dos" not in (folder / "a.txt").read_text():
+            write(folder / "a.txt", "k\tv\n1\tone\n2\tdos\n")
+        return df
+    step = Step("a new delivery", "transform", fn=replace_it)
+    manifest = str(tmp_path / "manifest")
+    run_feed(spark, Feed("f", str(folder)), plan(), target, "2024-01-01 00:00:00", stage_steps=[step], manifest=manifest)
+    assert {r["k"] for r in target.read().collect()} == {1}
+    run_feed(spark, Feed("f", str(folder)), plan(), target, "2024-01-02 00:00:00", manifest=manifest)
+    assert {r["k"] for r in target.read().collect()} == {1, 2}
+    again = run_feed(spark, Feed("f", str(folder)), plan(), target, "2024-01-03 00:00:00", manifest=manifest)
+    assert again.stage_path is None
+
+
+def test_files_of_one_stem_are_subjects_of_their_own(spark, tmp_path):
+    from flatland.plans.analyze import analyze_folder, profile_folder, subjects
+    write(tmp_path / "in" / "sales.csv", "id,amount\n1,2.5\n")
+    write(tmp_path / "in" / "sales.txt", "id\tname\n1\tx\n")
+    write(tmp_path / "in" / "Sales Csv.tab", "id\tother\n7\ty\n")
+    got = {(r["subject"], r["column_name"], r["position"]) for r in profile_folder(spark, str(tmp_path / "in")).collect()}
+    assert got == {("sales_csv_2", "id", 1), ("sales_csv_2", "amount", 2), ("sales_txt", "id", 1), ("sales_txt", "name", 2),
+                   ("sales_csv", "id", 1), ("sales_csv", "other", 2)}
+    assert subjects(["x/a.csv", "x/b.csv.gz"]) == {"a.csv": "a", "b.csv.gz": "b"}
+    analyze_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "settings")).count() == 3
+    assert {r["subject"] for r in spark.read.option("header", True).csv(str(tmp_path / "out" / "profile")).collect()} == {"sales_csv", "sales_txt", "sales_csv_2"}
