@@ -4,8 +4,13 @@ Documents are tokenised once, in place; per piece only its length and a checksum
 packed depends on nothing but the histogram of lengths (at most ``capacity`` numbers, whatever the data), so the
 driver plans on that: it takes the longest length left, enumerates undominated
 fillings around it and uses the chosen filling as often as the counts allow. Best-fit packing of the histogram
-is the first incumbent; branch and bound goes on from the fillings of least waste while the waste so far leaves room for a
-better plan than the incumbent. It stops at the lower bound, or begins no new dive after ``NODES`` fillings or ``DIVES`` for each length.
+is the first incumbent. Branch and bound goes on from the fillings of least waste, while the waste so far leaves room for a better plan
+than the incumbent, and ends when it meets a lower bound (``lower_bound``: volume, pairs, and dual feasible functions).
+
+Fillings are found by sums, not by trial: bit k of a number says whether k tokens can be made from the lengths looked at so far, so one shift
+and one ``or`` add a length. The first plan goes by the best filling at each step; later ones leave it at one step, then at two, and
+so on, the earliest steps first (limited discrepancy). Packing is NP-hard, so the search is bounded by its work (``WORK`` lengths
+looked at, the first plan aside), which is the same for every table.
 
 Every use of a filling empties a length or a kind of sequence, so a plan has a few fillings for each of the ``capacity``
 lengths, whatever the data; it is sent to the tasks as a table of runs: the pieces of length l with ranks a to b go into sequences s, s + 1 and so on. Ranks within a length come
@@ -17,6 +22,8 @@ length 1; repeated rows are packed as often as they are there; a table without r
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import json
 import zlib
 from collections.abc import Iterator
@@ -27,9 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The search begins no new dive after this many fillings, or after DIVES for each of the lengths if that is more.
-NODES = 2000
-DIVES = 16
+#: Lengths the search may look at after its first plan.
+WORK = 2_000_000
 RANK_GROUP = 2000
 #: Fillings tried at each node of the search.
 WIDTH = 3
@@ -118,7 +124,11 @@ class Plan:
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """The largest of the bounds that pair lengths over capacity - k with those from k on."""
+    """The largest of three kinds of bounds on the number of sequences.
+
+    Volume; lengths over capacity - k stand alone and those from k on share with the others; and the dual feasible
+    functions u_k, in which a length counts floor((k + 1) x / capacity) / k, or x / capacity where that division leaves no rest.
+    """
     lengths = np.array(sorted(counts), dtype=np.int64)
     numbers = np.array([counts[x] for x in lengths.tolist()], dtype=np.int64)
     if not len(lengths):
@@ -131,6 +141,11 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
         room = int(((capacity - lengths) * numbers)[large].sum())
         rest = int((lengths * numbers)[small].sum()) - room
         best = max(best, alone + int(numbers[large].sum()) + max(0, -(-rest // capacity)))
+    for k in range(1, min(capacity, 100) + 1):
+        # In units of 1 / (k * capacity), so that the sums are whole numbers.
+        share, rest = np.divmod((k + 1) * lengths, capacity)
+        units = np.where(rest == 0, k * lengths, share * capacity)
+        best = max(best, -(-int((units * numbers).sum()) // (k * capacity)))
     return best
 
 
@@ -171,116 +186,136 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     return Plan(capacity, [(dict(key), n) for key, n in plan.items()])
 
 
-def completions(counts: dict[int, int], lengths: list[int], space: int, width: int, budget: int = 4000) -> list[dict[int, int]]:
-    """Up to ``width`` undominated fillings of ``space``, of least waste first.
-
-    ``lengths``: those left, longest first. A filling is dominated if one of its lengths, or
-    two together, could be exchanged for one longer length that still fits; depth-first search from the longest lengths
-    meets a filling's dominating ones first. A filling without waste ends the search as soon as ``width`` are found.
-    """
-    found: list[tuple[int, int, tuple[int, ...]]] = []
-    steps = 0
-    seen: set[tuple[int, ...]] = set()
-
-    def keep(waste: int, chosen: tuple[int, ...]) -> None:
-        if chosen not in seen:
-            seen.add(chosen)
-            found.append((waste, len(chosen), chosen))
-
-    # Fillings without waste by one or two lengths are looked up at once.
-    if space in counts:
-        keep(0, (space,))
-    if len(found) < width:
-        for a in lengths:
-            b = space - a
-            if b <= 0 or b > a:
-                if b > a:
-                    break
-                continue
-            if b in counts and (a != b or counts[a] > 1):
-                keep(0, (a, b))
-                if len(found) >= width:
-                    break
-    stack: list[tuple[int, int, tuple[int, ...]]] = [(0, space, ())]
-    least = lengths[-1] if lengths else 0
-    while stack and steps < budget and sum(1 for f in found if f[0] == 0) < width:
-        at, left, chosen = stack.pop()
-        steps += 1
-        if left < least or at >= len(lengths):
-            keep(left, chosen)
-            continue
-        # The first length that fits, and the way that passes it over.
-        lo, hi = at, len(lengths)
-        while lo < hi:
-            mid = (lo + hi) // 2
-            if lengths[mid] <= left:
-                hi = mid
-            else:
-                lo = mid + 1
-        if lo == len(lengths):
-            keep(left, chosen)
-            continue
-        x = lengths[lo]
-        used = 0
-        for c in reversed(chosen):
-            if c != x:
-                break
-            used += 1
-        if used < counts[x]:
-            stack.append((lo + 1, left, chosen))
-            stack.append((lo, left - x, (*chosen, x)))
-        else:
-            stack.append((lo + 1, left, chosen))
-    out = []
-    for waste, _, chosen in sorted(found, key=lambda f: (f[0], f[1], tuple(-x for x in f[2]))):
-        if any(waste + x >= y > x for x in chosen[-1:] for y in lengths if y not in chosen and waste + x >= y > x) and out:
-            continue                    # dominated: its last length could be a longer one
-        out.append({x: chosen.count(x) for x in chosen})
-        if len(out) == width:
+def _sums(lengths: list[int], counts: dict[int, int], space: int, stop: bool) -> list[int]:
+    """Reachable sums (as bits) from none, the first, the first two ... of the lengths; with ``stop`` up to the first that reaches ``space``."""
+    mask, reach = (1 << (space + 1)) - 1, 1
+    out = [reach]
+    for x in lengths:
+        n, step = min(counts[x], space // x), 1
+        while n > 0:
+            take = min(step, n)
+            reach |= (reach << (x * take)) & mask
+            n -= take
+            step *= 2
+        out.append(reach)
+        if stop and reach >> space & 1:
             break
     return out
 
 
-def plan_packing(counts: dict[int, int], capacity: int, nodes: int = NODES) -> Plan:
+def _trace(lengths: list[int], counts: dict[int, int], sums: list[int], target: int) -> dict[int, int]:
+    """Lengths that add up to ``target``: of each, from the last of the list on, as few as can be."""
+    at = next(i for i, reach in enumerate(sums) if reach >> target & 1)
+    out: dict[int, int] = {}
+    while at:
+        at -= 1
+        x, n = lengths[at], 0
+        while not (target >= 0 and sums[at] >> target & 1):
+            target -= x
+            n += 1
+        if n:
+            out[x] = n
+    return out
+
+
+def _dominated(filling: dict[int, int], counts: dict[int, int], available: int, waste: int) -> bool:
+    """Whether some of the filling's lengths could be exchanged for one longer length left, or two for one as long.
+
+    ``available``: the lengths left, as bits. The fillings have few lengths, so their sums are soon made.
+    """
+    once, many = 0, 0                       # sums of one length, of two and more
+    for x, n in filling.items():
+        for _ in range(n):
+            many |= (many << x) | (once << x)
+            once |= 1 << x
+        if n == counts[x]:
+            available &= ~(1 << x)          # all of them are in the filling
+    # What can be put in their place: a sum of two and more, or what is 1 to ``waste`` longer than any sum.
+    longer, span = (once | many) << 1 if waste else 0, 1
+    while span < waste:
+        step = min(span, waste - span)
+        longer |= longer << step
+        span += step
+    return bool(available & (many | longer))
+
+
+def completions(counts: dict[int, int], lengths: list[int], space: int, width: int, most_waste: int | None = None) -> tuple[list[dict[int, int]], int]:
+    """Up to ``width`` undominated fillings of ``space`` with at most so much waste, least waste first, and the lengths looked at.
+
+    ``lengths``: those left, longest first. The first filling is one of least waste that does without the shorter lengths
+    as far as it can; the others use the shortest ones instead, or waste more.
+    """
+    most_waste = space if most_waste is None else min(most_waste, space)
+    if space in counts:                     # one length fills it: every other filling is dominated
+        return [{space: 1}], 1
+    fit = [x for x in lengths if x <= space]
+    if not fit:
+        return ([{}] if space <= most_waste else []), 1
+    sums = _sums(fit, counts, space, stop=True)
+    work = len(lengths) + 2 * len(sums)
+    top = sums[-1].bit_length() - 1
+    if space - top > most_waste:
+        return [], work
+    out = [_trace(fit, counts, sums, top)]
+    if width > 1:
+        available = sum(1 << x for x in fit)
+        rising = fit[::-1]
+        all_sums = _sums(rising, counts, space, stop=False)
+        work += 2 * len(all_sums)
+        reach, target = all_sums[-1], top
+        while len(out) < width and target >= 0 and space - target <= min(most_waste, space - top + TRIED_WASTE):
+            other = _trace(rising, counts, all_sums, target)
+            work += len(all_sums)
+            if other not in out and not _dominated(other, counts, available, space - target):
+                out.append(other)
+            reach &= (1 << target) - 1
+            target = reach.bit_length() - 1
+    return out, work
+
+
+#: How much more than the least waste the other fillings may have.
+TRIED_WASTE = 32
+
+
+def plan_packing(counts: dict[int, int], capacity: int, work: int = WORK) -> Plan:
     """Branch and bound over fillings of the histogram; never worse than best fit."""
     counts = {x: n for x, n in counts.items() if n > 0}
     incumbent = best_fit(counts, capacity)
     bound = lower_bound(counts, capacity)
     total = sum(x * n for x, n in counts.items())
-    if incumbent.sequences <= bound:
-        return incumbent
-    budget, spent = max(nodes, DIVES * len(counts)), 0
-    # A node: the fillings so far as (earlier ones, filling, times), and the waste so far. The most promising child is on top.
-    # What is left is worked out again when a node is taken, so that the many nodes of a dive stay small.
-    stack: list[tuple[tuple | None, int]] = [(None, 0)]
-    while stack and spent < budget and incumbent.sequences > bound:
-        chosen, waste = stack.pop()
+    # A node: steps off the best fillings so far, its depth, the fillings so far as (earlier ones, filling, times), their waste, and
+    # which of its own fillings is next. What is left is worked out again when a node is taken, so that the many nodes of a dive stay small.
+    order = itertools.count()
+    heap: list[tuple[int, int, int, tuple | None, int, int]] = [(0, 0, next(order), None, 0, 0)]
+    spent, first = 0, True
+    while heap and (first or spent < work) and incumbent.sequences > bound:
+        off, depth, _, chosen, waste, nth = heapq.heappop(heap)
         left = _left(counts, chosen)
-        # A dive that has begun goes on to its leaf, unless its waste is too much, whatever the budget. Its waste may be
-        # that of a plan with one sequence less than the incumbent.
-        while waste <= (incumbent.sequences - 1) * capacity - total:
+        lengths = sorted(left, reverse=True)
+        # A dive goes on to its leaf unless its waste is more than that of a plan with one sequence less than the incumbent.
+        while (room := (incumbent.sequences - 1) * capacity - total - waste) >= 0:
             if not left:
                 incumbent = Plan(capacity, _fillings(chosen))
                 break
-            spent += 1
-            lengths = sorted(left, reverse=True)
             longest = lengths[0]
-            rest = dict(left)
-            rest[longest] -= 1
-            if not rest[longest]:
-                del rest[longest]
-            keys = [x for x in lengths if x in rest]
-            options = completions(rest, keys, capacity - longest, WIDTH) or [{}]
-            children = []
-            for option in options:
-                filling = dict(option)
-                filling[longest] = filling.get(longest, 0) + 1
-                times = min(left[x] // n for x, n in filling.items())
-                lost = (capacity - sum(x * n for x, n in filling.items())) * times
-                children.append(((chosen, filling, times), waste + lost))
-            stack.extend(reversed(children[1:]))
-            chosen, waste = children[0]
-            _take(left, *chosen[1:])
+            left[longest] -= 1
+            rest, others = (left, lengths) if left[longest] else ({x: n for x, n in left.items() if n}, lengths[1:])
+            options, looked = completions(rest, others, capacity - longest, nth + 1, room)
+            left[longest] += 1
+            spent += looked
+            if len(options) <= nth:
+                break
+            if nth + 1 < WIDTH:
+                heapq.heappush(heap, (off + 1, depth, next(order), chosen, waste, nth + 1))
+            filling = dict(options[nth])
+            filling[longest] = filling.get(longest, 0) + 1
+            times = min(left[x] // n for x, n in filling.items())
+            waste += (capacity - sum(x * n for x, n in filling.items())) * times
+            chosen = (chosen, filling, times)
+            depth, nth = depth + 1, 0
+            _take(left, filling, times)
+            lengths = [x for x in lengths if x in left]
+        first = False
     return incumbent
 
 

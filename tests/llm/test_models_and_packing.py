@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -138,6 +139,58 @@ def test_plan_reaches_the_bound_with_every_length():
     assert used == counts and plan.sequences == bound
 
 
+def all_fillings(counts, space):
+    lengths = sorted(counts)
+
+    def go(at, left, have):
+        if at == len(lengths):
+            yield dict(have)
+            return
+        x = lengths[at]
+        for n in range(min(counts[x], left // x) + 1):
+            yield from go(at + 1, left - n * x, {**have, x: n} if n else have)
+    return list(go(0, space, {}))
+
+
+def test_completions_are_undominated_and_waste_least():
+    rng = random.Random(9)
+
+    def used(f):
+        return sum(x * n for x, n in f.items())
+
+    def better(f, counts, space):
+        """An exchange of one length for one longer, or of some for one as long or longer, that still fits."""
+        pieces = [x for x, n in f.items() for _ in range(n)]
+        for k in range(1, len(pieces) + 1):
+            for part in itertools.combinations(pieces, k):
+                for y, n in counts.items():
+                    if n > f.get(y, 0) and sum(part) <= y <= sum(part) + space - used(f) and (k > 1 or y > part[0]):
+                        return True
+        return False
+
+    for _ in range(300):
+        counts = dict(Counter(rng.randint(1, 14) for _ in range(rng.randint(1, 8))))
+        space = rng.randint(0, 30)
+        got, _ = packing.completions(counts, sorted(counts, reverse=True), space, 3)
+        every = all_fillings(counts, space)
+        assert all(f in every for f in got) and space - used(got[0]) == min(space - used(f) for f in every)
+        for f in got:
+            assert not better(f, counts, space), (counts, space, f)
+
+
+@pytest.mark.parametrize("low, high, n, most", [(520, 689, 30_000, 10_000), (500, 759, 5_000, 1_640), (300, 700, 20_000, 4_900)])
+def test_search_is_bounded_by_its_work(low, high, n, most):
+    rng = random.Random(1)
+    counts = Counter(rng.randint(low, high) for _ in range(n))
+    start = time.process_time()
+    plan = packing.plan_packing(dict(counts), 2048)
+    assert time.process_time() - start < 10 and plan.sequences <= most
+    used = Counter()
+    for filling, times in plan.fillings:
+        used.update({x: k * times for x, k in filling.items()})
+    assert used == counts
+
+
 def packed_ok(rows, capacity):
     for _, own in itertools.groupby(sorted(rows, key=lambda r: (r.sequence_id, r.offset)), key=lambda r: r.sequence_id):
         at = 0
