@@ -50,6 +50,80 @@ def test_extract_handles_rows(spark):
     assert html_extract.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+PROSE = "<p>" + "This is a sentence of prose, with quite a few words in it, one after another. " * 3 + "</p>"
+WHOLE = "<h1>Title</h1><p>" + "The article has many words here, and they go on for long. " * 6 + "</p><p>" + "Second paragraph of the article follows it. " * 6 + "</p>"
+
+
+def whole_article(markup):
+    text = text_of(markup)
+    return text.startswith("Title The article has many words") and text.endswith("Second paragraph of the article follows it.")
+
+
+@pytest.mark.parametrize("start", ["<section>", "<h1>Title</h1>", "<pre>code</pre>", "<ul><li>a</li></ul>", "plain text"])
+def test_a_head_without_its_end(start):
+    assert "The article has many words" in text_of(f"<html><head><title>t</title><meta a=b><link c=d>{start}<article>{WHOLE}</article>")
+
+
+@pytest.mark.parametrize("noise", [
+    f"<footer>{PROSE * 8}</footer>", f"<nav>{PROSE * 8}</nav>", f"<aside>{PROSE * 5}</aside>", f"<form>{PROSE * 6}</form>",
+    f"<section id='comments'>{PROSE * 4}</section>", f"<div class='comments'><div class='comment'><p>{'One long comment of a reader, who has much to say. ' * 60}</p></div></div>",
+    f"<div class='site-footer'>{PROSE * 3}</div>", f"<div id=mainNav>{PROSE}</div>", f"<div class='related-posts'>{PROSE * 2}</div>", f"<div class='ad-slot'>{PROSE}</div>"])
+def test_boilerplate_of_many_paragraphs_goes(noise):
+    assert whole_article(f"<body><article>{WHOLE}</article>{noise}</body>")
+    assert whole_article(f"<body><div>{WHOLE}</div>{noise}</body>")
+
+
+def test_comments_inside_the_article_go():
+    comments = "".join("<li>" + PROSE for _ in range(4))
+    assert whole_article(f"<body><article>{WHOLE}<ol class='comment-list'>{comments}</ol></article></body>")
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "post social-sharing-on", "article search-result", "legal", "hidden-gems", "no-sidebar site", "page-with-comments"])
+def test_a_word_in_a_name_does_not_lose_the_article(name):
+    assert whole_article(f"<body><nav><a href=x>Home</a></nav><div class=\"{name}\">{WHOLE}</div><footer>&copy; 2020</footer></body>")
+    assert whole_article(f"<body><div class=\"{name}\"><nav><a href=x>Home</a></nav><div>{WHOLE}</div><div class='sidebar'>{PROSE}</div></div></body>")
+    assert whole_article(f"<body><form id=aspnetForm action=x><div>{WHOLE}</div></form></body>")
+
+
+def test_nested_templates_and_formulas():
+    assert "LEAK" not in text_of(f"<body><template><template>a</template>LEAK of the template's words</template><article>{WHOLE}</article>")
+    words = "words and more words " * 8
+    assert text_of(f"<article><p>{words}where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>").endswith("where x=2 holds.")
+
+
+def test_stray_tags_take_linear_time():
+    import time
+    start = time.process_time()
+    assert whole_article("<body>" + "<div>" * 25_000 + "</section>" * 100_000 + f"<article>{WHOLE}</article>")
+    text_of("<div>" * 26_000 + "<p>x</section>" * 66_000)
+    assert time.process_time() - start < 10
+
+
+def test_labelling_is_the_cheapest_of_all():
+    """Every labelling of the graph of a small page, priced by itself."""
+    rng = random.Random(11)
+    parts = ["<p>Some words of a block that is not too short, really.</p>", "<nav><a href=x>Home</a></nav>", "<div class=sidebar><p>Aside words.</p></div>", "<h2>Head</h2>",
+             "<footer>&copy; 2020</footer>", "<ul><li><a href=y>One</a><li>Two of them</ul>", "<article><p>Long text with many words, and more of them, and a full stop.</p></article>"]
+    for _ in range(60):
+        markup = "<body>" + "".join(rng.choice(parts) for _ in range(rng.randint(1, 3)))
+        texts, costs, edges = html_extract.page_graph(markup)
+        n = len(costs)
+        if not 0 < n <= 13:
+            continue
+
+        def price(side):
+            return sum(max(0, -c) if side[v] else max(0, c) for v, c in enumerate(costs)) + sum(w for a, b, w in edges if side[a] != side[b])
+        best = min(price([bool(x >> v & 1) for v in range(n)]) for x in range(1 << n))
+        assert price(html_extract.min_cut(costs, edges)) == pytest.approx(best)
+        assert html_extract.main_text(markup)[0] == " ".join(t for t, s in zip(texts, html_extract.min_cut(costs, edges)) if s)
+
+
+def test_a_very_long_page():
+    body = "".join(f"<p>Paragraph {i} of the long article, which has some words and a stop.</p>" for i in range(5000))
+    text = text_of(f"<nav><a href=x>Home</a></nav><article>{body}</article><footer>{PROSE * 20}</footer>")
+    assert text.startswith("Paragraph 0 of") and text.endswith("a stop.") and text.count("Paragraph") == 5000
+
+
 def test_min_cut_is_minimal():
     rng = random.Random(3)
     for _ in range(60):
