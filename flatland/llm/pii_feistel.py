@@ -3,17 +3,24 @@
 Values are found by pattern and kept only if they are valid: card numbers by the Luhn digit, IBANs by modulo 97,
 IPv4 octets by range, dates by the calendar, telephone numbers by shape and length, social security numbers by their assigned
 ranges, mail addresses by shape. A valid value is a number of a finite set (all card numbers of 16 digits, all days from 1900 to
-2099, ...); an eight-round Feistel network, keyed, with the kind and format as tweak, permutes that set (walking on
+2099, ...); an eight-round Feistel network, keyed, with the kind as tweak, permutes that set (walking on
 until it is back in the set). So the result has the same format and is valid again, equal values get equal pseudonyms in all
 documents, different values different ones, and who has the key can undo it.
 
-Text without a valid value is left as it is, digit for digit. Each document is worked on by itself: no shuffle.
+What is permuted is the value, not its spelling: a number without its spaces, dots and dashes, a mail name or IBAN without its case, a
+day whatever its layout; the result is written in the spelling found, so one value in several spellings stays linked. A day is permuted
+among those whose month and day have as many digits and, above 12, stay above 12: so it fits every layout in which it was found.
+
+A match that is not valid may have swallowed a neighbour (``... 7034 EUR 50``, a card number and its check code): its shorter forms, cut at its
+separators, are tried, then other kinds, and then the search goes on within it. Text without a valid value is left as it
+is, digit for digit. Each document is worked on by itself: no shuffle.
 
 Defined cases: null stays null and empty stays empty; equal rows give equal rows; a value whose set is a single one stays.
 """
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import re
@@ -23,6 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Lengths of the countries' IBANs (fixed values of the registry).
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28,
+    "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18,
+    "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32,
+    "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15,
+    "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25,
+    "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 ROUNDS = 8
 KINDS = ("email", "iban", "card", "phone", "ssn", "ip", "date")
 
@@ -31,15 +47,34 @@ _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), (datetime.date(2100,
 _BEFORE, _AFTER = r"(?<!\w)(?<!\d[.,/-])", r"(?!\w)(?![.,/-]\d)"
 _SHAPES = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![\w-])",
-    "iban": _BEFORE + r"[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})" + _AFTER,
+    "iban": _BEFORE + r"[A-Za-z]{2}\d{2}(?:(?: [A-Za-z0-9]{4}){2,7}(?: [A-Za-z0-9]{1,3})?|[A-Za-z0-9]{11,30})" + _AFTER,
     "ip": _BEFORE + r"\d{1,3}(?:\.\d{1,3}){3}" + _AFTER,
-    "date": _BEFORE + r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?!\w)(?![./-]\d)",
+    "date": _BEFORE + r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?!\w)|(?=[Tt]\d\d:))(?![./-]\d)",
     "ssn": _BEFORE + r"\d{3}-\d{2}-\d{4}" + _AFTER,
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|" + _BEFORE + r"\d{3}(?P<p>[.-])\d{3}(?P=p)\d{4}" + _AFTER,
     "card": _BEFORE + r"(?:\d{13,19}|\d{4}(?P<c>[ -])\d{4}(?P=c)\d{4}(?P=c)\d{1,4}(?:(?P=c)\d{1,3})?|\d{4}(?P<a>[ -])\d{6}(?P=a)\d{5})" + _AFTER,
 }
 _FIND = re.compile("|".join(f"(?P<{kind}>{shape})" for kind, shape in _SHAPES.items()))
+_EACH = {kind: re.compile(shape) for kind, shape in _SHAPES.items()}
+#: What may stand behind a shorter form of a match, and how many of its last groups may be left out.
+_CUT = re.compile(r"[ .-]")
+_LEFT_OUT = 8
 _SEEN = re.compile(r"[0-9@]")
+
+
+def _day_classes() -> tuple[dict[tuple[int, int], list[int]], list[tuple[int, int]]]:
+    """Days since the first by (digits of the month, 1 to 9, 10 to 12 or more for the day), and the class of each day."""
+    classes: dict[tuple[int, int], list[int]] = {}
+    of_day = []
+    for n in range(_DAYS):
+        d = datetime.date.fromordinal(_FIRST_DAY + n)
+        own = (len(str(d.month)), 0 if d.day < 10 else 1 if d.day <= 12 else 2)
+        classes.setdefault(own, []).append(n)
+        of_day.append(own)
+    return classes, of_day
+
+
+_CLASSES, _CLASS_OF = _day_classes()
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -95,6 +130,10 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def _is_card(digits: str) -> bool:
+    return len(set(digits)) > 1 and luhn_digit(digits[:-1]) == digits[-1]
+
+
 def _iban_check(country: str, rest: str) -> str:
     value = int("".join(str(int(c, 36)) for c in rest + country + "00"))
     return f"{98 - value % 97:02d}"
@@ -137,10 +176,15 @@ class Pseudonyms:
         permute = self._permute(kind)
         if kind == "card":
             digits = re.sub(r"[ -]", "", s)
-            if len(set(digits)) < 2 or luhn_digit(digits[:-1]) != digits[-1]:
+            if not _is_card(digits):
                 return None
-            body = str(permute(str(len(digits)), 10 ** (len(digits) - 1), int(digits[:-1]))).zfill(len(digits) - 1)
-            return _spread(s, body + luhn_digit(body))
+            # A longer number is permuted among those whose first 16 digits are a valid one, too, or are not.
+            short = _is_card(digits[:16])
+            while True:
+                body = str(permute(str(len(digits)), 10 ** (len(digits) - 1), int(digits[:-1]))).zfill(len(digits) - 1)
+                digits = body + luhn_digit(body)
+                if len(set(digits)) > 1 and _is_card(digits[:16]) == short:
+                    return _spread(s, digits)
         if kind == "ip":
             octets = s.split(".")
             if any(int(o) > 255 or len(o) > 1 and o[0] == "0" for o in octets):
@@ -166,16 +210,20 @@ class Pseudonyms:
             # The country code's first digit stays, so the number is still one of that region.
             spare = 1 if s[0] == "+" else 0
             n = len(digits) - spare
-            return _spread(s, digits[:spare] + str(permute(re.sub(r"\d", "9", s) + digits[:spare], 10 ** n, int(digits[spare:]))).zfill(n))
+            return _spread(s, digits[:spare] + str(permute(f"{n}{'+' * spare}{digits[:spare]}", 10 ** n, int(digits[spare:]))).zfill(n))
         if kind == "iban":
             plain = s.replace(" ", "")
-            country, check, rest = plain[:2], plain[2:4], plain[4:]
-            if not 15 <= len(plain) <= 34 or _iban_check(country, rest) != check:
+            if plain != plain.upper() and plain != plain.lower():
+                return None
+            country, check, rest = plain[:2].upper(), plain[2:4], plain[4:].upper()
+            if len(plain) != IBAN_LENGTHS.get(country, len(plain)) or not 15 <= len(plain) <= 34 or _iban_check(country, rest) != check:
                 return None
             new = _mixed(country + rest, 2, permute)[2:]
-            return _spread(s, country + _iban_check(country, new) + new)
+            out = country + _iban_check(country, new) + new
+            return _spread(s, out if plain == plain.upper() else out.lower())
         local, _, domain = s.rpartition("@")
-        return _mixed(local, 0, lambda tweak, size, number: permute(f"{tweak}@{domain}", size, number)) + "@" + domain
+        new = _mixed(local.lower(), 0, lambda tweak, size, number: permute(f"{tweak}@{domain.lower()}", size, number))
+        return "".join(n.upper() if c.isupper() else n for n, c in zip(new, local)) + "@" + domain
 
     @staticmethod
     def _day(s: str) -> tuple[int, str, str] | None:
@@ -205,30 +253,51 @@ class Pseudonyms:
         if found is None:
             return None
         day, order, form = found
-        # Walk on to a day that reads back as itself in this format (as many digits, day and month in the same order).
-        while True:
-            day = permute(order + form, _DAYS, day)
-            out = self._written(day, order, form)
-            if self._day(out) == (day, order, form):
-                return out
+        own = _CLASSES[_CLASS_OF[day]]
+        at = bisect.bisect_left(own, day)
+        return self._written(own[permute(f"{_CLASS_OF[day]}", len(own), at)], order, form)
+
+    def _valid(self, text: str, m: re.Match) -> tuple[int, str, str] | None:
+        """End, kind and pseudonym of the longest valid value that starts where the match does."""
+        start = m.start()
+        first = next(k for k in KINDS if m[k] is not None)
+        for kind in (first, *(k for k in KINDS if k != first)):
+            found = m if kind == first else _EACH[kind].match(text, start)
+            if found is None or kind not in self._kinds:
+                continue
+            # A mail address has no shorter form: its name may hold what separates the groups of numbers.
+            end = found.end()
+            cuts = [] if kind in ("email", "date", "ip") else [start + c.start() for c in _CUT.finditer(text[start:end])][:-_LEFT_OUT - 1:-1]
+            # Of a card number the shortest form counts, so that what follows it, on the way back too, changes nothing.
+            for stop in (*reversed(cuts), end) if kind == "card" else (end, *cuts):
+                if stop != end and not _EACH[kind].fullmatch(text[start:stop]):
+                    continue
+                new = self.value(kind, text[start:stop])
+                if new is not None:
+                    return stop, kind, new
+        return None
 
     def __call__(self, text: str | None) -> tuple[str | None, dict[str, int]]:
         counts: dict[str, int] = {}
         if not text or not _SEEN.search(text):
             return text, counts
-        parts, at = [], 0
-        for m in _FIND.finditer(text):
-            kind = next(k for k in KINDS if m[k] is not None)
-            if kind not in self._kinds:
+        parts, at, begin = [], 0, 0
+        while m := _FIND.search(text, begin):
+            found = self._valid(text, m)
+            if found is None:
+                # Go on behind the first word of the match: what follows may be a value of its own.
+                begin = _WORD_END.match(text, m.start()).end()
                 continue
-            new = self.value(kind, m[0])
-            if new is not None:
-                parts += (text[at:m.start()], new)
-                at = m.end()
-                counts[kind] = counts.get(kind, 0) + 1
+            end, kind, new = found
+            parts += (text[at:m.start()], new)
+            at = begin = end
+            counts[kind] = counts.get(kind, 0) + 1
         return ("".join(parts) + text[at:] if parts else text), counts
 
 
+_WORD_END = re.compile(r"\w+|.", re.S)
+
+
 def pseudonymise(documents: DataFrame, key: bytes, kinds: tuple[str, ...] = KINDS, undo: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text, n_replaced and kinds (name: count) of every row."""
     docs = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
