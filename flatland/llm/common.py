@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +30,6 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds
 
 
-def fold_of_value(doc_id: int | None, folds: int = 5) -> int:
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -48,3 +42,20 @@ def whole_row(frame: DataFrame, keep: list[str] | None = None) -> Column:
 def with_row(frame: DataFrame, more: str) -> T.StructType:
     """Schema of the struct ``row`` of a frame and what is added to it."""
     return T.StructType([frame.schema["row"], *T.StructType.fromDDL(more).fields])
+
+
+def smallest_by_hash(frame: DataFrame, group: list[str], draw: str, size: int | Column, ties: list[str]) -> DataFrame:
+    """The ``size`` rows of each group with the smallest hash ``draw`` (a long), equal ones by ``ties``.
+
+    A histogram of the hashes' upper bits tells the bucket that holds the last of them; what is below is taken as it is, and only that bucket
+    is sorted: no group is sorted in one task.
+    """
+    cells = frame.withColumn("_bucket", F.shiftright(draw, 48))
+    upto = F.sum("count").over(Window.partitionBy(*group).orderBy("_bucket"))
+    edges = (cells.groupBy(*group, "_bucket").count().withColumn("_upto", upto).withColumn("_size", F.lit(size) if isinstance(size, int) else size)
+             .where("_upto >= _size").groupBy(*group).agg(F.min(F.struct("_bucket", (F.col("_size") - (F.col("_upto") - F.col("count"))).alias("left"))).alias("_edge")))
+    cells = cells.join(edges, group, "left")
+    below = cells.where("_edge IS NULL OR _bucket < _edge._bucket")
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(draw, *ties))
+    on_edge = cells.where("_bucket = _edge._bucket").withColumn("_place", place).where("_place <= _edge.left").drop("_place")
+    return below.unionByName(on_edge).drop("_bucket", "_edge")

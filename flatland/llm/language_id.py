@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatland.llm.common import fold_of
+from flatland.llm.common import fold_of, smallest_by_hash
 
 SAMPLE_ROWS = 20_000
 MODEL_WORDS = 30_000
@@ -83,8 +83,17 @@ def _counted(frame: DataFrame, split) -> DataFrame:
 
 
 def _most_frequent(counts: DataFrame, size: int, group: list[str]) -> DataFrame:
-    best = Window.partitionBy(*group).orderBy(F.desc("n"), "item")
-    return counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= size).select("lang", "item", "n")
+    """The ``size`` most frequent items of each group; of those with the last count the ones with the smallest hashes.
+
+    The last count comes from a histogram of the counts, so the items of a language are never sorted in one task.
+    """
+    upto = F.sum("items").over(Window.partitionBy(*group).orderBy(F.desc("n")))
+    last = (counts.groupBy(*group, "n").agg(F.count("*").alias("items")).withColumn("upto", upto).where(F.col("upto") >= size)
+            .groupBy(*group).agg(F.max(F.struct("n", (F.lit(size) - (F.col("upto") - F.col("items"))).alias("left"))).alias("last")))
+    marked = counts.join(last, group, "left")
+    above = marked.where("last IS NULL OR n > last.n").select("lang", "item", "n")
+    tied = marked.where("n = last.n").withColumn("draw", F.xxhash64("item"))
+    return above.unionByName(smallest_by_hash(tied, [*group, "last"], "draw", F.col("last.left"), ["item"]).select("lang", "item", "n"))
 
 
 def _log_frequencies(rows, languages: list[str], group=lambda item: "") -> dict[str, list[float]]:
@@ -116,7 +125,7 @@ def train_languages(documents: DataFrame, learn: Column | None = None, doc_id: s
         last = rows.select("draw").orderBy("draw").limit(SAMPLE_ROWS).agg(F.max("draw")).first()[0]
     sample = rows if last is None else rows.where(F.col("draw") <= last)
     counts = _counted(sample.select("lang", F.col("text").alias("item"), F.lit(1).cast("long").alias("n")), words_of).checkpoint()
-    words = _most_frequent(counts.where(F.col("n") > 1) if total > 50 else counts, MODEL_WORDS, ["lang"]).collect()
+    words = _most_frequent(counts, MODEL_WORDS, ["lang"]).collect()
     grams = _counted(counts.withColumn("n", F.lit(1).cast("long") + F.floor(F.log2("n")).cast("long")),
                      lambda w: [g for size in range(1, LONGEST_GRAM + 1) for g in grams_of(w, size)])
     grams = _most_frequent(grams.withColumn("size", F.length("item")), MODEL_GRAMS, ["lang", "size"]).collect()

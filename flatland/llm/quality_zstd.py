@@ -28,10 +28,10 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatland.llm.common import fold_of, whole_row, with_row
+from flatland.llm.common import fold_of, smallest_by_hash, whole_row, with_row
 
 PIECE_BYTES = 2048
 DICTIONARY_BYTES = 256 << 10
@@ -93,7 +93,7 @@ def distinct_lines(pieces: dict[int, list[str]]) -> dict[int, list[bytes]]:
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The dictionaries of the sample's pieces (quality, place, text); none unless both classes are there."""
+    """The dictionaries of the sample's pieces (quality, draw, text); none unless both classes are there."""
     pieces: dict[int, list[str]] = {0: [], 1: []}
     for batch in batches:
         for quality, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
@@ -194,10 +194,8 @@ def train_quality(documents: DataFrame, labels: DataFrame, learn: Column | None
     # A fifth of the labelled documents are for the curve, the others for the dictionaries.
     turn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("turn")), F.lit(5))
     draw = F.xxhash64(F.col("doc_id").cast("string"), F.lit("draw"))
-    first = Window.partitionBy("quality", "curve").orderBy("draw", "doc_id")
     size = F.when(F.col("curve"), CALIBRATION_ROWS // 2).otherwise(SAMPLE_PIECES)
-    chosen = (marks.withColumns({"curve": turn == 0, "draw": draw}).withColumn("place", F.row_number().over(first))
-              .where(F.col("place") <= size).select("doc_id", "quality", "curve"))
+    chosen = smallest_by_hash(marks.withColumns({"curve": turn == 0, "draw": draw}), ["quality", "curve"], "draw", size, ["doc_id"]).drop("draw")
     texts = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").isNotNull())
     # At most 2 * (SAMPLE_PIECES + CALIBRATION_ROWS / 2) ids: small enough to send to every task.
     sample = texts.join(F.broadcast(chosen), "doc_id")
@@ -212,16 +210,17 @@ def train_quality(documents: DataFrame, labels: DataFrame, learn: Column | None
               .select("doc_id", "quality", "text", F.explode(F.sequence(F.lit(0), n_pieces - 1)).alias("piece"))
               .select("doc_id", "quality", "piece", F.substring(text_col, F.col("piece") * SAMPLE_CHARS + 1, F.lit(SAMPLE_CHARS)).alias("text"),
                       F.xxhash64(F.col("doc_id").cast("string"), "piece").alias("draw")))
-    place = F.row_number().over(Window.partitionBy("quality").orderBy("draw", "doc_id", "piece", "text"))
-    pieces = pieces.where(F.length("text") > 0).withColumn("place", place).where(F.col("place") <= SAMPLE_PIECES)
+    pieces = smallest_by_hash(pieces.where(F.length("text") > 0), ["quality"], "draw", SAMPLE_PIECES, ["doc_id", "piece", "text"])
     # At most 2 * SAMPLE_PIECES pieces meet in the one task that trains; the dictionaries come back.
-    trained = pieces.select("quality", "place", "text").repartition(1).sortWithinPartitions("quality", "place").mapInArrow(_train, "good binary, bad binary").first()
+    trained = (pieces.repartition(1).sortWithinPartitions("quality", "draw", "doc_id", "piece", "text")
+               .select("quality", "draw", "text").mapInArrow(_train, "good binary, bad binary").first())
     if trained is None:
         return neutral
     model = QualityModel(bytes(trained["good"]), bytes(trained["bad"]))
     fit = measure(sample.where(F.col("curve")), model, keep=["quality"]).select("row.quality", "difference").toPandas()
-    if fit["quality"].nunique() < 2:            # too few rows to set some aside: those of the dictionaries then
-        fit = measure(sample, model, keep=["quality"]).select("row.quality", "difference").limit(CALIBRATION_ROWS).toPandas()
+    if fit["quality"].nunique() < 2:            # too few rows to set some aside: those of the dictionaries then, by their hashes
+        every = sample.withColumn("draw", draw).orderBy("draw", "doc_id", "quality", "text").limit(CALIBRATION_ROWS)
+        fit = measure(every, model, keep=["quality"]).select("row.quality", "difference").toPandas()
     fit = fit.sort_values(["quality", "difference"])
     slope, offset = fit_curve(fit["difference"].to_numpy(dtype=float), fit["quality"].to_numpy(dtype=float))
     # The curve saw as many rows of either class as there were, up to its bound; set the prior right beyond it.
