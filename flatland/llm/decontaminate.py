@@ -12,17 +12,20 @@ the item's m words (ASCII punctuation and case do not count).
    agrees with the item in any of the repeated samples. The number of repeats is set so that items edited at random up to the limit
    (and shifted by as much) are found with the target recall.
 4. Candidates are verified by the exact edit distance between the item and the best run within the window and k words around it.
+5. Items too short for that (fewer than ``least_words`` words; a text in a script without spaces is a few words at any length) are looked up as they
+   are, by one automaton over the texts: lower case, ASCII punctuation as spaces, and only between word boundaries, unless the script has none.
 
 Documents are scanned where they are; the items (grams, embeddings) go to every task, at most ``BLOCK_ITEMS`` items and ``BLOCK_WORDS`` words at a
 time, and a larger benchmark is worked off in blocks. The scan is repeatable, so lost executors cost only their tasks.
 
-Defined cases: null and empty texts are clean; items with fewer than ``least_words`` words identify nothing and are passed over; a null item id is an
-item like others; of the places where a document has an item the one with the least distance counts, then the first; repeated rows give
+Defined cases: null and empty texts are clean; items with fewer than ``LEAST_EXACT`` words (letters of a script without spaces: ``LEAST_LETTERS``)
+identify nothing and are passed over; a null item id is an item like others; of the places where a document has an item the one with the least distance counts, then the first; repeated rows give
 repeated results, repeated items with one id count once.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +41,7 @@ from flatland.llm.words import PUNCTUATION, iter_words, mix, runs_of
 EDITS = 0.2
 RECALL = 0.99
 LEAST_WORDS = 6
+LEAST_EXACT, LEAST_LETTERS = 3, 6
 LONGEST_GRAM = 4
 BLOCK_ITEMS = 20_000
 BLOCK_WORDS = 2_000_000
@@ -48,6 +52,9 @@ MOST_SAMPLES = 64
 #: The embedding has this many positions for each word of the item.
 STRETCH = 3
 _FILTER_BITS = 22
+_SPACES = re.compile(r"[^0-9a-z\x80-\U0010ffff]+")
+#: Letters of scripts that put no spaces between words: Thai, Lao, Myanmar, Khmer, kana, Bopomofo, Han (Unicode blocks, fixed values).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3105-\u312f\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _PAD = np.uint64(0x0123456789ABCDEF)
 
 
@@ -105,6 +112,7 @@ class Items:
     filters: dict[int, np.ndarray]
     samples: dict[int, list[np.ndarray]]                            # words of item: positions for each walk
     signatures: list[list[np.ndarray]]                              # item: signatures for each walk
+    short: list[tuple[object, str]]                                 # ids and plain texts of items that are looked up as they are
 
 
 def _signature(embedded: np.ndarray, positions: np.ndarray) -> np.ndarray:
@@ -136,7 +144,7 @@ def _differing(words: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarra
 
 def prepare_items(rows: list[tuple[object, str | None]], edits: float = EDITS, recall: float = RECALL, least_words: int = LEAST_WORDS) -> Items:
     rows = [(i, t) for i, t in rows if t]
-    ids, words = [], []
+    ids, words, short = [], [], []
     if rows:
         column = pc.utf8_lower(pa.array([t for _, t in rows], pa.large_string()))
         for first, _, block in iter_words(column, PUNCTUATION):
@@ -144,6 +152,11 @@ def prepare_items(rows: list[tuple[object, str | None]], edits: float = EDITS, r
                 if hi - lo >= least_words:
                     ids.append(rows[first + i][0])
                     words.append(block.hashes[lo:hi].copy())
+                else:
+                    plain = plain_text(column[first + i].as_py())
+                    letters = len(_UNSPACED.findall(plain))
+                    if hi - lo >= LEAST_EXACT or letters >= LEAST_LETTERS:
+                        short.append((rows[first + i][0], plain))
     limits = [int(edits * len(w)) for w in words]
     rng = np.random.default_rng(7)
     by_length: dict[int, list[int]] = {}
@@ -172,7 +185,47 @@ def prepare_items(rows: list[tuple[object, str | None]], edits: float = EDITS, r
         grams[size] = value[order], item[order], place[order]
         filters[size] = np.zeros(1 << _FILTER_BITS, dtype=bool)
         filters[size][(value >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-    return Items(ids, words, limits, grams, filters, samples, signatures)
+    return Items(ids, words, limits, grams, filters, samples, signatures, short)
+
+
+def plain_text(lower: str) -> str:
+    """A text in lower case with one space for whatever ASCII signs lie between its words."""
+    return _SPACES.sub(" ", lower).strip()
+
+
+def _ends_itself(sign: str) -> bool:
+    """Whether a word boundary is there whatever the next sign is."""
+    return not sign.isalnum() or _UNSPACED.match(sign) is not None
+
+
+class ShortItems:
+    """The places at which texts hold short items word for word."""
+
+    def __init__(self, short: list[tuple[object, str]]):
+        import ahocorasick
+
+        self._short = short
+        self._find = ahocorasick.Automaton() if short else None
+        by_text: dict[str, list[int]] = {}
+        for n, (_, plain) in enumerate(short):
+            by_text.setdefault(plain, []).append(n)
+        for plain, numbers in by_text.items():
+            self._find.add_word(plain, (plain, numbers))
+        if short:
+            self._find.make_automaton()
+
+    def __call__(self, lower: str | None) -> dict[int, int]:
+        """Number of each item found, and the word at which it first begins."""
+        out: dict[int, int] = {}
+        if not self._find or not lower:
+            return out
+        text = plain_text(lower)
+        for end, (plain, numbers) in self._find.iter(text):
+            start = end + 1 - len(plain)
+            if (start == 0 or text[start - 1] == " " or _ends_itself(plain[0])) and (end + 1 == len(text) or text[end + 1] == " " or _ends_itself(plain[-1])):
+                for n in numbers:
+                    out.setdefault(n, text.count(" ", 0, start))
+        return out
 
 
 def _windows(items: Items, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -261,8 +314,15 @@ def _scan(docs: DataFrame, items: Items) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
+        short = ShortItems(items.short)
         for batch in batches:
             column = pc.utf8_lower(batch.column(1).cast(pa.large_string()))
+            if items.short:
+                hits = sorted({(t, items.short[n][0]): w for t, text in enumerate(column) for n, w in sorted(short(text.as_py()).items(), reverse=True)}.items(), key=lambda x: x[0][0])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array([t for (t, _), _ in hits], pa.int64())), pa.array([i for (_, i), _ in hits], pa.int64()),
+                    pa.array([w for _, w in hits], pa.int64()), pa.array([0] * len(hits), pa.int32()), pa.array([1.0] * len(hits), pa.float64())],
+                    names=["doc_id", "item_id", "word", "distance", "similarity"])
             for first, _, words in iter_words(column, PUNCTUATION):
                 found = find_items(items, words.hashes, words.bounds)
                 best: dict[tuple[int, object], tuple[int, int, int]] = {}
@@ -289,9 +349,12 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, edits: floa
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
+            short = ShortItems(items.short)
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)
                 column = pc.utf8_lower(batch.column(1).cast(pa.large_string()))
+                if items.short:
+                    clean &= np.array([not short(t.as_py()) for t in column], dtype=bool)
                 for first, _, words in iter_words(column, PUNCTUATION):
                     for t, _ in find_items(items, words.hashes, words.bounds):
                         clean[first + t] = False

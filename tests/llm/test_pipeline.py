@@ -84,3 +84,34 @@ def test_quality_dictionaries_leave_shared_lines_out():
     got = quality_zstd.distinct_lines({0: ["spam\nnotice", "spam"], 1: ["prose\nnotice", "more"]})
     assert got == {0: [b"spam"], 1: [b"prose", b"more"]}
     assert np.isfinite(quality_zstd.Difference(quality_zstd.QualityModel(b"prose more" * 9, b"spam" * 9))("some text"))
+
+
+def test_one_of_each_group_stays_whatever_its_ids(spark):
+    """Rows that repeat id and text, copies without ids, and copies of rows with ids among those without."""
+    long = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, long), (1, long), (1, other), (None, long), (None, long + " end"), (None, "alone here " + " ".join(f"u{i}" for i in range(50))),
+            (None, "alone here " + " ".join(f"u{i}" for i in range(50))), (7, None), (7, None), (8, ""), (None, None), (9, other + " end")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert left.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in left.collect())
+    assert max(got.values()) == 1 and sum(i is None and t is not None for i, t in got) == 1
+    assert (None, rows[5][1]) in got and (7, None) in got and (8, "") in got and (None, long) not in got and (None, long + " end") not in got
+
+
+def test_smallest_by_hash_is_the_sorted_head(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from flatland.llm.common import smallest_by_hash
+    rng = random.Random(2)
+    rows = [(rng.choice("ab"), rng.choice([rng.randint(-2**63, 2**63 - 1), 5]), i) for i in range(500)] + [("c", 1, 1)]
+    frame = spark.createDataFrame(rows, "g string, draw long, i long")
+    for size in (1, 17, 100, 10_000):
+        got = smallest_by_hash(frame, ["g"], "draw", size, ["i"]).collect()
+        want = [r for g in "abc" for r in sorted((x for x in rows if x[0] == g), key=lambda x: x[1:])[:size]]
+        assert sorted((r.g, r.draw, r.i) for r in got) == sorted(want)
+    by_group = smallest_by_hash(frame, ["g"], "draw", F.when(F.col("g") == "a", 3).otherwise(8), ["i"]).groupBy("g").count().collect()
+    assert {r.g: r["count"] for r in by_group} == {"a": 3, "b": 8, "c": 1}

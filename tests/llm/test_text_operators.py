@@ -90,6 +90,54 @@ def test_pseudonyms_keep_format(kind):
         assert pii_feistel.Pseudonyms(b"other")(value)[0] != new[1]
 
 
+SWALLOWED = ["BE68 5390 0754 7034 EUR 50", "BE68 5390 0754 7034 IBAN", "4111 1111 1111 1111 123", "2024-01-05T10:00:00", "de89370400440532013000",
+             "12 4111 1111 1111 1111", "1234 5500-0055-5555-5559", "XX00 GB82 WEST 1234 5698 7654 32 99", "tel +49 30 1234567 8", "on 1.2.2024 10.0.0.1"]
+
+
+@pytest.mark.parametrize("text", SWALLOWED)
+def test_values_beside_others_are_found(text):
+    replace, undo = pii_feistel.Pseudonyms(KEY), pii_feistel.Pseudonyms(KEY, undo=True)
+    new, counts = replace(text)
+    assert sum(counts.values()) >= 1 and undo(new)[0] == text
+    # No part of the old text that is a valid value, by itself, is left in the new one where it stood.
+    for a in range(len(text)):
+        for b in range(a + 8, len(text) + 1):
+            part = text[a:b]
+            if (a and text[a - 1].isalnum()) or (b < len(text) and text[b].isalnum() and text[b] != "T"):
+                continue
+            if any(p.fullmatch(part) and replace.value(kind, part) for kind, p in pii_feistel._EACH.items()):
+                assert new[a:b] != part
+
+
+@pytest.mark.parametrize("spellings", [
+    ["2024-01-05", "1/5/2024", "01/05/2024", "5.1.2024", "05.01.2024"], ["2024-03-25", "25/03/2024", "3/25/2024", "25.3.2024"],
+    ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"], ["+49 30 1234567", "+49-30-1234567", "+49.30.1234567", "+49301234567"],
+    ["212-555-0199", "212.555.0199", "(212) 555-0199"], ["DE89370400440532013000", "de89370400440532013000", "DE89 3704 0044 0532 0130 00"],
+    ["Jane.Doe@Mail.org", "jane.doe@mail.org", "JANE.DOE@mail.ORG"],
+])
+def test_one_value_in_several_spellings_stays_linked(spellings):
+    replace, undo = pii_feistel.Pseudonyms(KEY), pii_feistel.Pseudonyms(KEY, undo=True)
+
+    def plain(s):
+        day = pii_feistel.Pseudonyms._day(s) if re.fullmatch(r"[\d./-]{8,10}", s) and re.search(r"\d{4}$|^\d{4}-\d\d-", s) and len(re.findall(r"\d", s)) <= 8 else None
+        return day[0] if day else re.sub(r"[ .()-]", "", s).lower() if "@" not in s else s.lower()
+
+    new = [replace(s)[0] for s in spellings]
+    assert len({plain(n) for n in new}) == 1 and plain(new[0]) != plain(spellings[0])
+    assert [undo(n)[0] for n in new] == spellings
+
+
+def test_round_trip_of_random_texts():
+    rng = random.Random(8)
+    replace, undo = pii_feistel.Pseudonyms(KEY), pii_feistel.Pseudonyms(KEY, undo=True)
+    values = [v for own in PERSONAL.values() for v in own] + CLEAN + SWALLOWED
+    for _ in range(400):
+        card = "".join(str(rng.randint(0, 9)) for _ in range(rng.choice([15, 16, 18])))
+        card += pii_feistel.luhn_digit(card)
+        text = rng.choice([" ", ", ", "\n", " - "]).join(rng.choice([*values, card, " ".join(card[i:i + 4] for i in range(0, len(card), 4))]) for _ in range(4))
+        assert undo(replace(text)[0])[0] == text
+
+
 def test_clean_text_stays():
     replace = pii_feistel.Pseudonyms(KEY)
     for text in [*CLEAN, " ".join(CLEAN), None, "", "no digits here", "1" * 100_000, "a@" * 50_000, "1.1." * 30_000]:
@@ -269,8 +317,11 @@ def test_contamination_equals_brute_force(spark):
         best = {}
         for n, item in items:
             w = norm(item)
-            if len(w) >= decontaminate.LEAST_WORDS and (d := brute_distance(w, norm(t))) <= int(decontaminate.EDITS * len(w)):
-                best[n] = min(best.get(n, d), d)
+            if len(w) >= decontaminate.LEAST_WORDS:
+                if (d := brute_distance(w, norm(t))) <= int(decontaminate.EDITS * len(w)):
+                    best[n] = min(best.get(n, d), d)
+            elif len(w) >= decontaminate.LEAST_EXACT and f" {' '.join(w)} " in f" {' '.join(norm(t))} ":
+                best[n] = 0
         want.update((i, n, d) for n, d in best.items())
     mine = Counter((r.doc_id, r.item_id, r.distance) for r in got)
     assert not mine - want                                              # nothing clean is reported
@@ -328,3 +379,44 @@ def test_columns_with_clashing_names(spark):
     assert line_dedup.dedup_lines(frame).columns == [*frame.columns, "n_removed"]
     bench = spark.createDataFrame([(1, "other words than those of the text")], "item_id long, text string").withColumn("row", F.lit(1))
     assert decontaminate.without_contaminated(frame, bench).collect() == frame.collect()
+
+
+SHORT = [(1, "What is the capital city?"), (2, "\u6771\u4eac\u306f\u65e5\u672c\u306e\u9996\u90fd\u3067\u3059\u3002\u4eba\u53e3\u306f\u3044\u304f\u3064\u3067\u3059\u304b\u3002"), (3, "Yes"), (4, "two words"), (None, "Is it so?")]
+
+
+def test_items_too_short_for_windows_are_looked_up(spark):
+    ja = SHORT[1][1]
+    texts = [(1, "He asked: what is -- the CAPITAL city... of it"), (2, "\u524d\u6587\u3002" + ja + "\u5f8c"), (3, "yes, two words of no item"), (4, "what is the capital cityscape"),
+             (5, None), (6, ""), (None, "so is it so? is it so"), (8, ja[:-4])]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame(SHORT + SHORT[:1], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.word, r.distance) for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert got == {(1, 1): (2, 0), (2, 2): (0, 0), (None, None): (1, 0)}
+    left = decontaminate.without_contaminated(docs, bench)
+    assert sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 6, 8]
+
+
+def test_sampling_reaches_its_target_on_long_items():
+    """Inserts, deletes and replacements, spread and bunched, in items of up to 400 words."""
+    rng = random.Random(12)
+    found = total = 0
+    for m in (60, 150, 400):
+        item = [f"w{rng.randint(0, 10**6)}" for _ in range(m)]
+        items = decontaminate.prepare_items([(1, " ".join(item))])
+        for trial in range(12):
+            copy, k = list(item), int(decontaminate.EDITS * m)
+            at = rng.randint(0, m // 2)
+            for _ in range(k):
+                place = min(len(copy) - 1, at + rng.randint(0, 2 * k) if trial % 2 else rng.randint(0, len(copy) - 1))
+                kind = rng.randint(0, 2)
+                if kind == 0:
+                    copy[place] = f"x{rng.randint(0, 10**9)}"
+                elif kind == 1:
+                    copy.insert(place, f"y{rng.randint(0, 10**9)}")
+                else:
+                    del copy[place]
+            text = " ".join([f"b{i}" for i in range(30)] + copy + [f"a{i}" for i in range(30)])
+            words = decontaminate.prepare_items([(1, text)], least_words=1).words[0]
+            total += 1
+            found += bool(decontaminate.find_items(items, words, np.array([0, len(words)])))
+    assert found >= 0.97 * total
