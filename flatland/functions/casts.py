@@ -42,7 +42,35 @@ DATETIME_FORMATS = [
     "d/M/yyyy",
     "d/M/yy",
     "d.M.yyyy[ H:mm[:ss]]",
+    "yyyy-M-d h:mm[:ss][.SSSSSS] a",
+    "M/d/yyyy h:mm[:ss][.SSSSSS] a",
+    "M/d/yy h:mm[:ss] a",
+    "MMMM d yyyy h:mm[:ss] a",
+    "MMM d yyyy h:mm[:ss] a",
+    "d/M/yyyy h:mm[:ss][.SSSSSS] a",
+    "yyyy.M.d[ H:mm[:ss]]",
+    "d-M-yyyy[ H:mm[:ss]]",
+    "yyyy-M",
 ]
+_SIGNS = {"yyyy": "[0-9]{4}", "yy": "[0-9]{2}", "M": "(?:0?[1-9]|1[0-2])", "MM": "(?:0[1-9]|1[0-2])", "MMM": "[A-Za-z]{3,4}", "MMMM": "[A-Za-z]{3,9}",
+          "d": "(?:0?[1-9]|[12][0-9]|3[01])", "dd": "(?:0[1-9]|[12][0-9]|3[01])", "H": "[0-9]{1,2}", "HH": "[0-9]{2}", "h": "[0-9]{1,2}", "mm": "[0-9]{2}",
+          "ss": "[0-9]{2}", "SSSSSS": "[0-9]{1,6}", "a": "[AaPp][Mm]", "[": "(?:", "]": ")?"}
+
+
+def _shape(layout: str) -> str:
+    """Pattern of the texts that a layout may read: cheap to test, where a parse that fails costs an exception."""
+    tokens = re.findall(r"([A-Za-z])(\1*)|(.)", layout)
+    return "^" + "".join(_SIGNS[a + b] if a else _SIGNS.get(c) or re.escape(c) for a, b, c in tokens) + "$"
+
+
+def _try_layout(t: Column, layout: str) -> Column:
+    return F.when(t.rlike(_SHAPES[layout]), F.try_to_timestamp(t, F.lit(layout)))
+
+
+_SHAPES = {layout: _shape(layout) for layout in DATETIME_FORMATS}
+
+#: Layouts of dates with a time, whose bits tell of a column that they may be read from.
+ISO_TIME, ISO_DATE = 0, 1
 
 # The representable range of the landing timestamp (nanosecond
 # precision in the original loader). Parsed values outside it become null
@@ -82,23 +110,55 @@ def strict_double(c: Column) -> tuple[Column, Column]:
 # Cheap shape test: only texts that look like one of the layouts above (three
 # parts of digits or a month's name; or eight digits) are handed to the
 # parsers, so ordinary words cost one regex, not a parse for each layout.
-_DATE_SHAPE = (r"^\s*(?:[0-9]{1,4}[-/.][0-9A-Za-z]{1,9}[-/.][0-9]{1,4}|[0-9]{8}"
+_WEEKDAY = r"(?:(?:[Mm]on|[Tt]ues|[Ww]ednes|[Tt]hurs|[Ff]ri|[Ss]atur|[Ss]un)day|[Mm]on|[Tt]ue|[Ww]ed|[Tt]hu|[Ff]ri|[Ss]at|[Ss]un)[,.]? +"
+_DATE_SHAPE = (rf"^\s*(?:{_WEEKDAY})?(?:[0-9]{{1,4}}[-/.][0-9A-Za-z]{{1,9}}[-/.][0-9]{{1,4}}|[0-9]{{8}}|[0-9]{{4}}-[0-9]{{1,2}}(?=\s*$)"
                r"|[0-9]{1,2} [A-Za-z]{3,9},? [0-9]{4}|[A-Za-z]{3,9} [0-9]{1,2},? [0-9]{4})(?![0-9A-SU-Za-z])")
 _ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?: [0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?)?$"
 # A time's zone (Z or an offset) and what Spark's microseconds cannot hold.
-_ZONE = r"(?<=[0-9])\s*(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})$"
+_ZONE = r"(?<=[0-9])\s*(?:Z|UTC|GMT|[+-][0-9]{2}(?::?[0-9]{2})?)$"
+_HALF_DAY = r"(?i)(?<=[0-9])\s*([ap])\.?m\.?$"
 _FRACTION = r"(:[0-9]{2}\.[0-9]{6})[0-9]+$"
 
 
 def datetime_text(c: Column) -> Column:
-    """The text in the spelling of the layouts: trimmed, a blank for ``T``, the comma after
-    a day gone, the wall clock of its own zone, at most microseconds."""
+    """The text in the spelling of the layouts: trimmed, without a weekday, a blank for ``T``, the comma after
+    a day gone, the wall clock of its own zone, at most microseconds, a blank before AM or PM."""
     t = F.regexp_replace(F.trim(c), r"(?<=[0-9])T(?=[0-9])", " ")
+    t = F.regexp_replace(t, rf"^{_WEEKDAY}", "")
     t = F.regexp_replace(t, r"(?<=[0-9A-Za-z]), ", " ")
-    t = F.when(t.contains(":"), F.regexp_replace(F.regexp_replace(t, _ZONE, ""), _FRACTION, "$1")).otherwise(t)
+    clock = F.regexp_replace(F.regexp_replace(t, _ZONE, ""), _FRACTION, "$1")
+    half = F.concat(F.regexp_replace(clock, _HALF_DAY, " "), F.upper(F.regexp_extract(clock, _HALF_DAY, 1)), F.lit("M"))
+    t = F.when(t.contains(":"), F.when(clock.rlike(_HALF_DAY), half).otherwise(clock)).otherwise(t)
     return t
 
 
+def layout_mask(c: Column, parsed: Column) -> Column:
+    """Bit i: the text can be read by layout i of ``DATETIME_FORMATS``; 0 if by none. ``parsed``: its ``parse_datetime``.
+
+    The bits of a column, combined by ``bit_and``, are the layouts that read all of it.
+    """
+    iso = F.when(F.length(F.trim(c)) > 10, F.lit(1 << ISO_TIME)).otherwise(F.lit(1 << ISO_DATE)).cast("long")
+
+    def bits(t: Column) -> Column:
+        each = [F.when(_try_layout(t, fmt).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, fmt in enumerate(DATETIME_FORMATS)]
+        return sum(each[1:], each[0])
+
+    # Within ``transform`` the rewritten text is made once.
+    tried = F.get(F.transform(F.array(datetime_text(c)), bits), F.lit(0))
+    return F.when(parsed.isNull(), F.lit(0).cast("long")).when(c.rlike(_ISO_SHAPE), iso).otherwise(tried)
+
+
+def first_layout(mask: Column) -> Column:
+    """The layout of the lowest bit of a mask; null without one."""
+    return F.coalesce(*[F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(fmt)) for i, fmt in enumerate(DATETIME_FORMATS)])
+
+
+def parse_by_layout(c: Column, layout: str, layouts: list[str] | tuple[str, ...] = ()) -> Column:
+    """A cell of a column whose layout is known: one parse; a text that it does not read is tried by the others."""
+    text = F.trim(c) if layout in DATETIME_FORMATS[:2] else datetime_text(c)
+    return F.coalesce(F.try_to_timestamp(text, F.lit(layout)).cast(T.TimestampNTZType()), parse_datetime(c, layouts))
+
+
 def parse_datetime(c: Column, layouts: list[str] | tuple[str, ...] = ()) -> Column:
     """First layout that parses, as a wall-clock timestamp (no time zone).
 
@@ -108,7 +168,7 @@ def parse_datetime(c: Column, layouts: list[str] | tuple[str, ...] = ()) -> Colu
     # The commonest spelling needs no rewriting and is tried on the text as it is.
     plain = F.when(c.rlike(_ISO_SHAPE), F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATETIME_FORMATS[:2]]))
     # Within ``transform`` the rewritten text is made once, and the generated code stays small.
-    tried = F.transform(F.array(datetime_text(c)), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in DATETIME_FORMATS]))
+    tried = F.transform(F.array(datetime_text(c)), lambda t: F.coalesce(*[_try_layout(t, fmt) for fmt in DATETIME_FORMATS]))
     known = F.when(c.rlike(_DATE_SHAPE), F.get(tried, F.lit(0)))
     return F.coalesce(*own, plain, known).cast(T.TimestampNTZType())
 
@@ -125,7 +185,7 @@ def strict_timestamp(c: Column) -> tuple[Column, Column]:
     return datetime_value(parsed), c.isNotNull() & parsed.isNull()
 
 
-_INTEGER_TEXT = r"^[+-]?[0-9]{1,38}$"
+_INTEGER_TEXT = r"^[+-]?[0-9]{1,38}(?:\.0*)?$"
 
 
 def pg_integer(c: Column, bigint: bool = False, source: T.DataType | None = None) -> Column:

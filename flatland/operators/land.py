@@ -20,7 +20,7 @@ Plan per feed
 from __future__ import annotations
 
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatland import storage
-from flatland.functions.casts import datetime_value, number_attempt, number_text, number_value, parse_datetime
+from flatland.functions.casts import datetime_value, number_attempt, number_text, number_value, parse_by_layout, parse_datetime
 from flatland.functions.names import landing_name
 from flatland.functions.nulls import clean_cell
 from flatland.operators.joins import BROADCAST_ROW_LIMIT, join_small
@@ -56,6 +56,7 @@ class LandingField:
 
     source: str
     type: str = "string"  # string | number (checked text, exact) | float64 | date | timestamp
+    layout: str | None = None  # of a date or timestamp column that one layout reads
 
 
 @dataclass
@@ -106,7 +107,8 @@ def too_many_fields(corrupt: "F.Column", n_cols: int, feed: Feed) -> "F.Column":
 
 
 def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, str], job_ts: str,
-               load_file_name: "F.Column", path: "F.Column", keep: "F.Column | None" = None) -> DataFrame:
+               load_file_name: "F.Column", path: "F.Column", keep: "F.Column | None" = None,
+               layouts: dict[str, str] | None = None) -> DataFrame:
     """Positional string columns -> named, cleaned, strictly cast rows with lineage.
 
     ``raw`` holds ``_c0.._cN`` and the corrupt-record column. Adds the
@@ -127,7 +129,9 @@ def clean_cast(raw: DataFrame, names: list[str], feed: Feed, fields: dict[str, s
         if kind in ("float64", "number"):
             first.append(number_attempt(cell).alias(f"_p{i}"))
         elif kind in ("date", "timestamp"):
-            first.append(parse_datetime(cell, feed.date_layouts).alias(f"_p{i}"))
+            layout = (layouts or {}).get(name)
+            attempt = parse_by_layout(cell, layout, feed.date_layouts) if layout else parse_datetime(cell, feed.date_layouts)
+            first.append(attempt.alias(f"_p{i}"))
     parsed = raw.select(*first)
 
     cols = [F.col(_PATH)]
@@ -191,6 +195,7 @@ class _Group:
     fields: dict[str, str]
     job_ts: str
     expand_dir: str
+    layouts: dict[str, str] = field(default_factory=dict)
     scan: LineScan | None = None
 
     def rows(self, records: DataFrame, pieces: bool) -> DataFrame:
@@ -199,7 +204,7 @@ class _Group:
         raw = parse_records(records, positional_schema(len(self.names)), csv_options(self.feed), keep)
         piece = F.when(F.col("piece").isNotNull(), F.struct(F.lit(self.number).alias("group"), F.col("name"), F.col("piece"))) if pieces else F.lit(None).cast(_PIECE_TYPE)
         return clean_cast(raw, self.names, self.feed, self.fields, self.job_ts,
-                          _load_file_name(F.col("name"), F.col("path"), self.expand_dir), F.col("path"), piece.alias(_PIECE))
+                          _load_file_name(F.col("name"), F.col("path"), self.expand_dir), F.col("path"), piece.alias(_PIECE), self.layouts)
 
 
 _PIECE_TYPE = "struct<group:int,name:string,piece:struct<kind:string,block:bigint,first:boolean,text:string>>"
@@ -214,7 +219,7 @@ def _scan_group(spark: SparkSession, group: _Group, paths: list[str], line_sep:
         return group.rows(group.scan.records, pieces=True)
     raw = csv_reader(spark, feed, positional_schema(len(names))).csv(paths)
     path = scanned("file_path")
-    return clean_cast(raw, names, feed, group.fields, group.job_ts, _load_file_name(scanned("file_name"), path, group.expand_dir), path)
+    return clean_cast(raw, names, feed, group.fields, group.job_ts, _load_file_name(scanned("file_name"), path, group.expand_dir), path, layouts=group.layouts)
 
 
 def read_parsed(spark: SparkSession, *paths: str) -> DataFrame:
@@ -287,6 +292,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     field_types = {landing_name(f.source): f.type for f in fields}
     field_types.pop(AUDIT_TS, None)
     field_types.pop(AUDIT_FILE, None)
+    layouts = {landing_name(f.source): f.layout for f in fields if f.layout}
     wanted = [landing_name(f.source) for f in fields]
 
     # Headers are read once; the driver gets each different header once, and a number of it for each file.
@@ -295,7 +301,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     heads.withColumn("number", number).write.mode("overwrite").parquet(f"{run_dir}/headers")
     heads = spark.read.parquet(f"{run_dir}/headers")
     texts = {r["number"]: (r["h"]["header"], r["h"]["line_sep"]) for r in heads.groupBy("number").agg(F.min(F.struct("header", "line_sep")).alias("h")).collect()}
-    layouts: dict[tuple[str, str], list[str]] = defaultdict(list)
+    by_header: dict[tuple[str, str], list[str]] = defaultdict(list)
     header_bad: list[tuple[str, str, str | None]] = []
     for r in heads.select("path", "number", "fault").collect():
         if r["fault"] is not None:
@@ -303,11 +309,11 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         elif r["number"] is None:
             header_bad.append((r["path"], "empty file", None))
         else:
-            layouts[texts[r["number"]]].append(r["path"])
+            by_header[texts[r["number"]]].append(r["path"])
 
     groups: list[tuple[_Group, DataFrame]] = []
     counted: set[str] = set()
-    for gi, ((header, line_sep), group_paths) in enumerate(sorted(layouts.items(), key=lambda kv: min(kv[1]))):
+    for gi, ((header, line_sep), group_paths) in enumerate(sorted(by_header.items(), key=lambda kv: min(kv[1]))):
         names = [landing_name(n, feed.quoted) for n in split_header(header, feed.delimiter, feed.quoted)]
         # A header's empty names (a trailing delimiter) are numbered by place.
         names = [n or f"column_{i + 1}" for i, n in enumerate(names)]
@@ -318,7 +324,7 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
         elif missing:
             header_bad += [(p, "missing column: " + ", ".join(missing), None) for p in group_paths]
         else:
-            group = _Group(gi, names, feed, field_types, job_ts, expand_dir)
+            group = _Group(gi, names, feed, field_types, job_ts, expand_dir, layouts)
             groups.append((group, _scan_group(spark, group, sorted(group_paths), line_sep, f"{run_dir}/records/g{gi:04d}")))
             if group.scan is not None:
                 counted.update(group_paths)

@@ -14,13 +14,13 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatland.functions.casts import VARCHAR_LADDER, parse_datetime, strict_double
+from flatland.functions.casts import VARCHAR_LADDER, first_layout, layout_mask, parse_datetime, strict_double
 
 PROFILE_FIELDS = [
     ("n_rows", "long"), ("n_nonnull", "long"), ("n_null", "long"), ("max_len", "int"),
     ("n_bad_number", "long"), ("n_bad_datetime", "long"), ("all_integral", "boolean"),
     ("min_number", "double"), ("max_number", "double"), ("max_left", "int"), ("max_right", "int"),
-    ("has_time", "boolean"),
+    ("has_time", "boolean"), ("date_layouts", "long"),
 ]
 
 
@@ -53,7 +53,7 @@ def profile_long(long: DataFrame, by: Sequence[str] = ("column_name", "position"
     exponent = s.contains("e") | s.contains("E")
     facts = long.select(*by, "s", num.alias("v"), bad_num.alias("b"), parse_datetime(s).alias("t"),
                         F.when(num.isNotNull(), _digits_left(s)).alias("l"), F.when(num.isNotNull(), _digits_right(s)).alias("r"),
-                        exponent.alias("e"))
+                        exponent.alias("e")).withColumn("m", layout_mask(s, F.col("t")))
     v, t = F.col("v"), F.col("t")
     finite = v.isNotNull() & (F.abs(v) != float("inf"))
     plain = finite & ~F.col("e")
@@ -69,6 +69,8 @@ def profile_long(long: DataFrame, by: Sequence[str] = ("column_name", "position"
         "max_number": F.max(F.when(finite, v)),
         "max_left": F.max(F.when(plain, F.col("l"))),
         "max_right": F.max(F.when(plain, F.col("r"))),
+        # Layouts that read every value: the column's vote.
+        "date_layouts": F.coalesce(F.bit_and(F.when(s.isNotNull(), F.col("m"))), F.lit(0)),
         "has_time": F.coalesce(F.bool_or(t != F.date_trunc("DAY", t).cast("timestamp_ntz")), F.lit(False)),
     }
     out = facts.groupBy(*by).agg(*[e.alias(k) for k, e in aggs.items()])
@@ -129,8 +131,10 @@ def db_type() -> Column:
 
 
 def infer_types(profile: DataFrame) -> DataFrame:
-    """Profile rows + ``landing_type`` + ``db_type``."""
-    return profile.withColumn("landing_type", landing_type()).withColumn("db_type", db_type())
+    """Profile rows + ``landing_type`` + ``db_type`` + ``date_layout`` (of date and timestamp columns that one layout reads)."""
+    out = profile.withColumn("landing_type", landing_type()).withColumn("db_type", db_type())
+    layout = F.when(F.col("landing_type").isin("date", "timestamp"), first_layout(F.col("date_layouts")))
+    return out.withColumn("date_layout", layout)
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str], top_n: int = 10) -> DataFrame:

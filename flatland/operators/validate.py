@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,26 @@ def key_check(df: DataFrame, keys: Sequence[str], table_name: str, sample_size:
     return one.select(F.lit(table_name).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"),
                       (F.col("duplicate_keys") == 0).alias("is_unique"), (F.col("null_key_rows") == 0).alias("no_nulls"),
                       "duplicate_keys", "null_key_rows", "sample")
+
+
+def key_offenders(df: DataFrame, keys: Sequence[str], n_keys: int = 5, n_rows: int = 5) -> DataFrame:
+    """Whole rows that break a key: ``offence`` and the columns of ``df``.
+
+    Up to ``n_rows`` rows of each of the first ``n_keys`` duplicated keys, in key order, and as many rows in all with a null in the
+    key; rows are taken in the order of all their columns. The keys are a bounded top-k of a combinable count and are
+    joined back to the table; the limit on rows (under Spark's threshold for it) is taken in every task before the shuffle,
+    so a key that holds a third of all rows is never gathered.
+    """
+    keys = list(keys)
+    if not 0 < n_keys * n_rows < 1000:
+        raise ValueError("a sample of offenders is less than 1,000 rows")
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(f"`{k}`").isNull()
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    order = [F.col(f"`{c}`").asc_nulls_first() for c in df.columns]
+    dups = df.filter(~any_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").orderBy(*keys).limit(n_keys).drop("_n")
+    rows = df.join(F.broadcast(dups), keys, "left_semi")                       # n_keys rows
+    each = rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_place") <= n_rows)
+    nulls = df.filter(any_null).orderBy(*order).limit(n_keys * n_rows)
+    return (each.select(F.lit("duplicate").alias("offence"), *columns).unionByName(nulls.select(F.lit("null key").alias("offence"), *columns)))

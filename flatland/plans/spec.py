@@ -34,6 +34,8 @@ SYSTEM_GENERATED = "System Generated"
 AUTO_COMMENT = "Automatically added by the application"
 NULL_COLUMN_COMMENT = "All records are NULL value, fix data type"
 LAYERS = ["wrk", "stg", "tgt"]
+#: How the comment of a landing row names the layout of a date column.
+LAYOUT_COMMENT = "date layout: "
 
 
 def read_spec(spark: SparkSession, path: str) -> DataFrame:
@@ -121,7 +123,8 @@ def build_spec(spark: SparkSession, inferred: DataFrame, names: dict[str, str])
                     source_table=lit(table), source_fields=source, layer=lit(layer))
         return inferred.select(*[cols[c].cast("int" if c == "position" else "string").alias(c) for c in SPEC_COLUMNS])
 
-    wrk = layer_rows("wrk", wrk_field, lit(None), F.col("landing_type"), FLAT_FILE, FLAT_FILE, src)
+    layout = F.concat(lit(LAYOUT_COMMENT), F.col("date_layout")) if "date_layout" in inferred.columns else lit(None)
+    wrk = layer_rows("wrk", wrk_field, layout, F.col("landing_type"), FLAT_FILE, FLAT_FILE, src)
     stg = layer_rows("stg", stg_field,
                      F.when(F.col("db_type") == "varchar(?)", lit(NULL_COLUMN_COMMENT)),
                      F.col("db_type"), DB_INTERNAL, names["wrk_table"], wrk_field)
@@ -161,7 +164,9 @@ def plan_from_spec(spec: DataFrame) -> SpecPlan:
     for r in wrk:
         if r["source_system"] == FLAT_FILE:
             name, kind = landing_name(r["source_fields"]), (r["type"] or "string").strip()
-            landing.append(LandingField(name, "number" if kind == "float64" and name in exact else kind))
+            note = r["comment"] or ""
+            layout = note[len(LAYOUT_COMMENT):] if kind in ("date", "timestamp") and note.startswith(LAYOUT_COMMENT) else None
+            landing.append(LandingField(name, "number" if kind == "float64" and name in exact else kind, layout))
     stage = [ColumnMap(landing_name(r["source_fields"]), r["target_field"], r["type"]) for r in stg]
     target = [ColumnMap(r["source_fields"], r["target_field"], r["type"]) for r in tgt
               if r["source_system"] != SYSTEM_GENERATED]

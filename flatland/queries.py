@@ -700,7 +700,7 @@ from flatland.functions.names import (LANDING_DROPPED_CHARS, STAGE_KEYWORDS,  #
                                       landing_name_col, stage_name_col)
 from flatland.operators.land import profile_rows  # noqa: E402
 from flatland.operators.profile import distinct_values, infer_types, profile_columns  # noqa: E402
-from flatland.operators.validate import key_check  # noqa: E402
+from flatland.operators.validate import key_check, key_offenders  # noqa: E402
 from flatland.plans.spec import build_spec, plan_from_spec, read_spec, write_spec  # noqa: E402
 
 _SUFFIXES = ["ID", "Name", " (USD)", "qty"]
@@ -779,7 +779,7 @@ def _profile_sql_for(table_name: str, cols: list[str], ts_parse: str = _DT_SQL)
 
 @query("profile_columns", _profile_sql_for("lineitem", LINEITEM_COLS))
 def q_profile_columns(spark, sf_dir):
-    return profile_columns(_lineitem_text_rows(spark, sf_dir))
+    return profile_columns(_lineitem_text_rows(spark, sf_dir)).drop("date_layouts")
 
 
 @query("distinct_values", f"""
@@ -1546,3 +1546,70 @@ def q_encoded_copies(spark, sf_dir):
             F.lit(copy).alias("copy"), F.lit(split).alias("split_bytes"), "o_orderkey", "cell")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("date_layout_vote", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day_first, CAST(o_orderdate AS DATE) AS month_first, CAST(o_orderdate AS DATE) AS dotted,
+       CAST(o_orderdate AS DATE) AS named, 'd/M/yyyy, M/d/yyyy, d.M.yyyy[ H:mm[:ss]], MMMM d yyyy[ H:mm[:ss]]' AS layouts
+FROM orders""")
+def q_date_layout_vote(spark, sf_dir):
+    """Orders' dates in four layouts, day first and month first among them: each column's layout is found from all
+    its values, kept in the spec, and read by that."""
+    def build(d):
+        o, t = table(spark, sf_dir, "orders"), F.col("o_orderdate")
+        write_delimited(spark, o.select("o_orderkey", F.date_format(t, "dd/MM/yyyy").alias("day_first"), F.date_format(t, "M/d/yyyy").alias("month_first"),
+                                        F.date_format(t, "dd.MM.yyyy").alias("dotted"), F.date_format(t, "EEEE, MMMM d, yyyy").alias("named")), d, "layouts", n_files=3)
+    from flatland.plans.spec import LAYOUT_COMMENT
+    d = fixture(spark, sf_dir, "feed_layout_vote", build)
+    feed = Feed("layouts", d)
+    probe = land_feed(spark, feed, [], JOB_TIME)
+    rows = profile_rows(read_parsed(spark, probe.parsed_path)).drop("load_file_name", "load_timestamp")
+    plan = plan_from_spec(build_spec(spark, infer_types(profile_columns(rows)), _spec_names("layouts")))
+    named = ", ".join(f.layout for f in plan.landing if f.layout)
+    res = land_feed(spark, feed, plan.landing, JOB_TIME)
+    return map_columns(res.rows, [ColumnMap("o_orderkey", "o_orderkey", "bigint"), *[ColumnMap(c, c, "date") for c in ("day_first", "month_first", "dotted", "named")]]
+                       ).withColumn("layouts", F.lit(named))
+
+
+# --------------------------------------------------------------------------
+# Offending rows of a key (A10, O3); mergeable sketches of columns (A4, U4)
+# --------------------------------------------------------------------------
+
+_OFFENDER_COLS = "l_orderkey, l_part, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate"
+
+
+@query("key_offenders", f"""
+WITH l AS (SELECT l_orderkey, nullif(l_linenumber, 7) AS l_part, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate FROM lineitem),
+d AS (SELECT l_orderkey, l_part FROM l WHERE l_orderkey IS NOT NULL AND l_part IS NOT NULL GROUP BY ALL HAVING count(*) > 1
+      ORDER BY l_orderkey, l_part LIMIT 20),
+r AS (
+  SELECT 'duplicate' AS offence, {_OFFENDER_COLS}, row_number() OVER (PARTITION BY l_orderkey, l_part ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS n
+  FROM l JOIN d USING (l_orderkey, l_part)
+  UNION ALL
+  SELECT 'null key', {_OFFENDER_COLS}, row_number() OVER (ORDER BY l_orderkey NULLS FIRST, l_part NULLS FIRST, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate)
+  FROM l WHERE l_orderkey IS NULL OR l_part IS NULL)
+SELECT offence, {_OFFENDER_COLS} FROM r WHERE n <= CASE offence WHEN 'duplicate' THEN 3 ELSE 60 END""")
+def q_key_offenders(spark, sf_dir):
+    """Whole rows that break a key: up to 3 of each of the first 20 duplicated keys, and 60 rows with a null in it."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.nullif(F.col("l_linenumber"), F.lit(7)).alias("l_part"), "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    return key_offenders(rows, ["l_orderkey", "l_part"], n_keys=20, n_rows=3)
+
+
+@query("sketch_distinct", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS close, true AS merged_equal FROM orders" for c in ORDERS_COLS))
+def q_sketch_distinct(spark, sf_dir):
+    """Sketches of every column of orders for each year's file, merged: within 6 percent of the exact counts, and the same as
+    those of the whole table at once."""
+    from flatland.operators.profile import unpivot
+    from flatland.operators.sketches import column_sketches, merge_sketches, sketch_facts
+    o = table(spark, sf_dir, "orders")
+    long = unpivot(o, ORDERS_COLS, file=F.year("o_orderdate").cast("string"))
+    stored = new_run_dir(spark, "sketches")
+    column_sketches(long, ["file", "column_name"]).write.partitionBy("file").parquet(stored)        # kept with each file
+    merged = sketch_facts(merge_sketches(spark.read.parquet(stored), ["column_name"])).select("column_name", F.col("n_distinct").alias("by_file"))
+    whole = sketch_facts(column_sketches(long, ["column_name"])).select("column_name", F.col("n_distinct").alias("at_once"))
+    exact = long.groupBy("column_name").agg(F.count_distinct("s").alias("n_distinct"))
+    apart = F.abs(F.col("by_file") - F.col("n_distinct")) <= F.greatest(F.lit(1), 0.06 * F.col("n_distinct"))
+    same = F.abs(F.col("by_file") - F.col("at_once")) <= F.greatest(F.lit(1), 0.06 * F.col("n_distinct"))
+    return exact.join(merged, "column_name").join(whole, "column_name").select("column_name", "n_distinct", apart.alias("close"), same.alias("merged_equal"))

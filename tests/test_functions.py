@@ -111,3 +111,35 @@ def test_spark_types():
     assert spark_type("integer").simpleString() == "int"
     assert spark_type("decimal(7,2)").simpleString() == "decimal(7,2)"
     assert spark_type("timestamp(0)").simpleString() == "timestamp_ntz"
+
+
+def test_more_date_layouts(spark):
+    from datetime import datetime
+
+    from flatland.functions.casts import strict_timestamp
+    ten = datetime(2024, 1, 5, 22, 0)
+    day = datetime(2024, 1, 5)
+    cases = {"2024-01-05 10:00:00 PM": ten, "1/5/2024 10:00:00.123 PM": ten.replace(microsecond=123000), "1/5/2024 10:00PM": ten, "1/5/24 10:00 pm": ten,
+             "Jan 5 2024 10:00 PM": ten, "2024.01.05": day, "Friday, January 5, 2024": day, "Fri 5 Jan 2024": day, "2024-01": datetime(2024, 1, 1),
+             "2024-01-05T22:00:00+02": ten, "2024-01-05 22:00-05": ten, "13-01-2024": datetime(2024, 1, 13), "05.01.2024 22:00": ten, "Friday": None,
+             "2024-13": None, "1/5/2024 25:00": None, "31/02/2024": None, "Sunny 5 2024": None}
+    df = spark.createDataFrame([(k,) for k in cases], "s string").select("s", strict_timestamp(F.col("s"))[0].alias("t"))
+    assert {r["s"]: r["t"] for r in df.collect()} == cases
+
+
+def test_layout_vote_of_a_column(spark):
+    from flatland.operators.profile import infer_types, profile_columns
+    rows = [("01/02/2024", "1/2/2024", "2024-01-02", "01/02/2024", "1.2.2024", "x"), ("13/05/2024", "5/13/2024", "2024-05-13", "5/13/2024", "13.5.2024", "2024-01-02"),
+            (None, "12/31/1999", None, "13/5/2024", "1.1.2000 10:30", None)]
+    got = infer_types(profile_columns(spark.createDataFrame(rows, "df string, mf string, iso string, mixed string, dot string, text string")))
+    assert {r["column_name"]: (r["landing_type"], r["date_layout"]) for r in got.collect()} == {
+        "df": ("date", "d/M/yyyy"), "mf": ("date", "M/d/yyyy"), "iso": ("date", "yyyy-M-d"), "mixed": ("date", None),
+        "dot": ("timestamp", "d.M.yyyy[ H:mm[:ss]]"), "text": ("string", None)}
+
+
+def test_integer_texts_with_a_zero_fraction_keep_their_digits(spark):
+    from pyspark.sql import types as T
+
+    from flatland.functions.casts import pg_integer
+    df = spark.createDataFrame([("9007199254740993.0",), ("-9007199254740993.",), ("2.5",)], "s string")
+    assert [r[0] for r in df.select(pg_integer(F.col("s"), True, T.StringType())).collect()] == [9007199254740993, -9007199254740993, 2]
