@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatland.functions.casts import VARCHAR_LADDER, first_layout, layout_mask, parse_datetime, strict_double
@@ -138,22 +138,24 @@ def infer_types(profile: DataFrame) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str], top_n: int = 10) -> DataFrame:
-    """Top ``top_n`` values per column by frequency, ties by value.
+    """Top ``top_n`` values per column by frequency, ties by value (A4, U4, O4), and each column's exact distinct count."""
+    return distinct_long(unpivot(df, columns), ["column_name"], top_n)
 
-    Unpivot to (column, value), count per pair with map-side combine, then a
-    row_number limit per column; Spark runs that limit partially before the
+
+def distinct_long(long: DataFrame, by: Sequence[str], top_n: int = 10) -> DataFrame:
+    """``distinct_values`` per group of an unpivoted frame (``s`` holds the cell text).
+
+    Count per (group, value) with map-side combine, then a
+    row_number limit per group; Spark runs that limit partially before the
     shuffle, so a column with billions of distinct values never gathers them
     in one task. Also returns each column's exact distinct count.
     """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-        for c in columns])).alias("kv")).select("kv.*")
-    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("column_name").orderBy(F.col("frequency").desc(), F.col("value").asc_nulls_first())
+    by = list(by)
+    counts = long.groupBy(*by, F.col("s").alias("value")).agg(F.count(F.lit(1)).alias("frequency"))
+    w = Window.partitionBy(*by).orderBy(F.col("frequency").desc(), F.col("value").asc_nulls_first())
     top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
     # Reads ``frequency`` so that both branches share one (column, value)
     # aggregate and its shuffle is reused instead of scanning the input again.
     present = F.when(F.col("frequency") > 0, F.col("value"))
-    n_distinct = counts.groupBy("column_name").agg(F.count(present).alias("n_distinct"))
-    return top.join(F.broadcast(n_distinct), "column_name")      # one row per given column
+    n_distinct = counts.groupBy(*by).agg(F.count(present).alias("n_distinct"))
+    return top.join(F.broadcast(n_distinct), by)                 # one row per given column

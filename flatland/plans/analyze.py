@@ -19,8 +19,9 @@ from flatland import storage
 from flatland.functions.names import landing_name
 from flatland.operators.joins import join_small
 from flatland.operators.land import land_feed, profile_rows, read_parsed
-from flatland.operators.profile import infer_types, profile_long, unpivot
+from flatland.operators.profile import distinct_long, infer_types, profile_long, unpivot
 from flatland.plans.feed import Feed
+from flatland.plans.spec import build_spec, write_spec
 from flatland.session import new_run_dir
 from flatland.sources.files import COMPRESSED_EXTENSIONS, PROFILE_EXTENSIONS, detect_delimiter, file_headers
 
@@ -68,8 +69,8 @@ def profile_folder(spark: SparkSession, folder: str, encoding: str = "utf-8", nu
     return profile_files(spark, analyzer_files(spark, folder), encoding, null_value)
 
 
-def profile_files(spark: SparkSession, paths: list[str], encoding: str = "utf-8", null_value: str | None = None) -> DataFrame:
-    """As ``profile_folder``, of the given files; without any the frame is empty."""
+def folder_cells(spark: SparkSession, paths: list[str], encoding: str = "utf-8", null_value: str | None = None) -> DataFrame:
+    """Every cell of the files, as the profiler reads them: subject, column_name, position, s."""
     settings = file_settings(spark, paths, encoding, null_value).select("path", "header", "delimiter").collect() if paths else []
     groups: dict[tuple[str, str], list[str]] = defaultdict(list)
     for r in settings:
@@ -87,12 +88,41 @@ def profile_files(spark: SparkSession, paths: list[str], encoding: str = "utf-8"
         columns = [c for c in rows.columns if c != "load_file_name"]
         rows = join_small(rows, named, "load_file_name", "inner", len(paths))
         long = long.unionByName(unpivot(rows, columns, subject=F.col("subject")))
-    return infer_types(profile_long(long, by=("subject", "column_name", "position")))
+    return long
+
+
+_CELL_KEY = ("subject", "column_name", "position")
+
+
+def profile_files(spark: SparkSession, paths: list[str], encoding: str = "utf-8", null_value: str | None = None) -> DataFrame:
+    """As ``profile_folder``, of the given files; without any the frame is empty."""
+    return infer_types(profile_long(folder_cells(spark, paths, encoding, null_value), by=_CELL_KEY))
+
+
+def analyze_folder(spark: SparkSession, folder: str, out: str, encoding: str = "utf-8", null_value: str | None = None,
+                   schemas: dict[str, str] | None = None, top_n: int = 10) -> None:
+    """Write what the analyzer finds, as CSV under ``out``: detected settings (K11), inferred types, the distinct-values
+    analysis (K8) and, with ``schemas`` (wrk, stg and tgt, all required: V12), each subject's spec (K9).
+    """
+    for layer in ("wrk", "stg", "tgt") if schemas is not None else ():
+        if not schemas.get(layer):
+            raise ValueError(f"setting {layer} is required before profiling")
+    out, paths = out.rstrip("/"), analyzer_files(spark, folder)
 
+    def save(df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{out}/{name}")
 
-def analyze_folder(spark: SparkSession, folder: str, out: str, encoding: str = "utf-8", null_value: str | None = None) -> None:
-    """Write what the analyzer finds: detected settings and inferred types (K11), as CSV."""
-    paths = analyzer_files(spark, folder)
     if paths:
-        file_settings(spark, paths, encoding, null_value).drop("header", "path").write.mode("overwrite").option("header", True).csv(f"{out.rstrip('/')}/settings")
-    profile_files(spark, paths, encoding, null_value).write.mode("overwrite").option("header", True).csv(f"{out.rstrip('/')}/profile")
+        save(file_settings(spark, paths, encoding, null_value).drop("header", "path", "line_sep", "fault"), "settings")
+    cells = folder_cells(spark, paths, encoding, null_value)
+    stored = new_run_dir(spark, "analyze-profile")
+    infer_types(profile_long(cells, by=_CELL_KEY)).write.parquet(stored)
+    profile = spark.read.parquet(stored)
+    save(profile, "profile")
+    save(distinct_long(cells, _CELL_KEY, top_n), "distinct")
+    if schemas is not None:
+        for r in profile.select("subject").distinct().orderBy("subject").collect():         # a subject a file
+            own, name = profile.where(F.col("subject") == r["subject"]), r["subject"]
+            names = {f"{layer}_schema": schemas[layer] for layer in ("wrk", "stg", "tgt")}
+            names |= {"wrk_table": f"wrk_{name}", "stg_table": f"stg_{name}", "tgt_table": name}
+            write_spec(build_spec(spark, own, names), f"{out}/specs/{name}")

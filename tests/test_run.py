@@ -143,3 +143,17 @@ def test_files_of_one_stem_are_subjects_of_their_own(spark, tmp_path):
     analyze_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert spark.read.option("header", True).csv(str(tmp_path / "out" / "settings")).count() == 3
     assert {r["subject"] for r in spark.read.option("header", True).csv(str(tmp_path / "out" / "profile")).collect()} == {"sales_csv", "sales_txt", "sales_csv_2"}
+    distinct = spark.read.option("header", True).csv(str(tmp_path / "out" / "distinct")).collect()
+    assert ("sales_txt", "name", "x", "1", "1") in {(r["subject"], r["column_name"], r["value"], r["frequency"], r["n_distinct"]) for r in distinct}
+
+
+def test_analyzer_writes_a_spec_for_each_subject_and_needs_its_settings(spark, tmp_path):
+    from flatland.plans.analyze import analyze_folder
+    from flatland.plans.spec import plan_from_spec, read_spec
+    write(tmp_path / "in" / "sales.csv", "id,day\n1,13/01/2024\n2,01/02/2024\n")
+    with pytest.raises(ValueError, match="stg"):
+        analyze_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"), schemas={"wrk": "w", "tgt": "t"})
+    analyze_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"), schemas={"wrk": "w", "stg": "s", "tgt": "t"})
+    plan_ = plan_from_spec(read_spec(spark, str(tmp_path / "out" / "specs" / "sales")))
+    assert [(f.source, f.type, f.layout) for f in plan_.landing if f.source in ("id", "day")] == [("id", "number", None), ("day", "date", "d/M/yyyy")]
+    assert plan_.tables["tgt"] == "t.sales"
