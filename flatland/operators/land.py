@@ -22,8 +22,9 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass, field
 from datetime import datetime
+from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -280,8 +281,11 @@ def quarantine_rows(files: DataFrame, job_ts: str) -> DataFrame:
 
 def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
               job_start: datetime | str, run_dir: str | None = None,
-              paths: list[str] | None = None) -> LandResult:
-    """Land every data file of ``feed`` (or the given ``paths``)."""
+              paths: list[str] | None = None, cells_cut: Callable[[list[str]], Column | None] | None = None) -> LandResult:
+    """Land every data file of ``feed`` (or the given ``paths``).
+
+    ``cells_cut`` gives, for the landed columns, an aggregate that is taken with the count of each file's rows.
+    """
     run_dir = run_dir or new_run_dir(spark, f"land-{feed.name}")
     job_ts = format_job_time(job_start)
     if paths is None:
@@ -350,7 +354,8 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
     if groups:
         parsed = _write_parsed(spark, groups, parsed_path)
         rows, bad = split_verdict(parsed, header_bad_df, n_files)
-        loaded = rows.groupBy(_PATH).agg(F.count(F.lit(1)).alias("records_loaded"))
+        cut = cells_cut(rows.columns) if cells_cut else None
+        loaded = rows.groupBy(_PATH).agg(F.count(F.lit(1)).alias("records_loaded"), *([cut.alias("cells_cut")] if cut is not None else []))
     else:
         bad = header_bad_df.withColumn("bad_rows", F.lit(None).cast("long"))
         rows = spark.createDataFrame([], f"{_PATH} string, {AUDIT_FILE} string")
@@ -371,7 +376,8 @@ def land_feed(spark: SparkSession, feed: Feed, fields: list[LandingField],
                      F.when(F.col("reason").isNotNull(), F.lit("bad"))
                       .when(F.coalesce("records_loaded", F.lit(0)) == 0, F.lit("empty"))
                       .otherwise(F.lit("loaded")).alias("status"),
-                     "reason", F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"), "sample"))
+                     "reason", F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"), "sample",
+                     *([F.when(F.col("reason").isNull(), F.col("cells_cut")).alias("cells_cut")] if "cells_cut" in loaded.columns else [])))
     quarantine = quarantine_rows(files, job_ts)
     rows = rows.drop(_PATH) if _PATH in rows.columns else rows
     return LandResult(rows=rows, files=files, quarantine=quarantine, parsed_path=parsed_path, bad=bad)

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from typing import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +41,15 @@ PARTITIONS_AT_ONCE = 500
 
 
 def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str],
-           stage_key_rows: int | None = None) -> DataFrame:
+           stage_key_rows: int | None = None, inserts: DataFrame | None = None) -> DataFrame:
     """Target minus rows matched by a stage key, plus stage rows with full keys.
 
     ``DELETE ... WHERE EXISTS (stage.k = target.k)`` is a left anti join on the
     keys: null key parts never match, so target rows with a null key survive
     (J1), and stage rows with a null key part are not inserted (P11). When the
     caller knows the stage row count and it is small, the stage keys are
-    broadcast and the target is not shuffled at all.
+    broadcast and the target is not shuffled at all. ``inserts``: the rows to insert, if
+    they are not simply those of the stage.
     """
     keys = list(keys)
     if not keys:
@@ -59,8 +60,9 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str],
     for k in keys:
         any_null = any_null | F.col(f"`{k}`").isNull()
     kept_null = target.filter(any_null)
-    inserts = stage.dropna(subset=keys)
-    stage_keys = inserts.select(*keys)
+    with_key = stage.dropna(subset=keys)
+    inserts = with_key if inserts is None else inserts
+    stage_keys = with_key.select(*keys)
     survivors = join_small(target.filter(~any_null), stage_keys, keys, "left_anti", stage_key_rows)
     return survivors.unionByName(kept_null).unionByName(inserts.select(*target.columns))
 
@@ -68,7 +70,18 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str],
 def assert_unique_keys(stage: DataFrame, keys: Sequence[str]) -> None:
     """Publish expects a de-duplicated stage (D23). Rows with a null key part are not published and don't count."""
     if not stage.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1").isEmpty():
-        raise ValueError(f"stage has duplicate keys on {list(keys)}; run dedup_latest first")
+        raise ValueError(f"{_DUPLICATE} on {list(keys)}; run dedup_latest first")
+
+
+_DUPLICATE = "stage has duplicate keys"
+
+
+def refuse_duplicates(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows, which fail when they are read if two have one key. Rows that are dealt by key already (a bucketed
+    publish) are not shuffled for it."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]))
+    refused = F.raise_error(F.lit(f"{_DUPLICATE} on {list(keys)}; run dedup_latest first"))
+    return rows.withColumn("_same", n).filter(F.when(F.col("_same") > 1, refused).isNull()).drop("_same")
 
 
 class VersionedTable:
@@ -170,16 +183,25 @@ def publish(spark: SparkSession, stage: DataFrame, table: VersionedTable, keys:
     bucket by bucket and never shuffled.
     """
     keys = list(keys)
-    assert_unique_keys(stage, keys)
+    inserts = None
     if table.bucketed:
+        # Checked where the stage's rows lie by key anyway: no pass and shuffle for the check alone.
         stage = stage.repartition(table.buckets, *keys)
+        inserts = refuse_duplicates(stage.dropna(subset=keys), keys)
+    else:
+        assert_unique_keys(stage, keys)
     existing = [v for v in table.versions() if version is None or v < version]
     if existing:
         target = table.read(existing[-1])
-        new = upsert(target, stage, keys, stage_key_rows)
+        new = upsert(target, stage, keys, stage_key_rows, inserts)
     else:
-        new = stage.dropna(subset=keys)
-    return table.write(new, version)
+        new = stage.dropna(subset=keys) if inserts is None else inserts
+    try:
+        return table.write(new, version)
+    except Exception as e:  # noqa: BLE001 - the check's own error is told as such
+        if _DUPLICATE in str(e):
+            raise ValueError(f"{_DUPLICATE} on {keys}; run dedup_latest first") from e
+        raise
 
 
 def _rebalanced(df: DataFrame, part: str) -> DataFrame:

@@ -39,18 +39,14 @@ def map_columns(df: DataFrame, mapping: Sequence[ColumnMap]) -> DataFrame:
     return df.select(*[db_cast(F.col(f"`{m.source}`"), m.type, kinds.get(m.source)).alias(m.target) for m in mapping])
 
 
-def cut_cells(df: DataFrame, mapping: Sequence[ColumnMap], by: str = "load_file_name") -> DataFrame | None:
-    """Per value of ``by``: cells_cut, how many cells of each varchar(n) column the mapping cuts (V9).
-
-    None if the mapping has no such column. One pass over these columns, combined map-side.
-    """
+def cut_cells(mapping: Sequence[ColumnMap], columns: Sequence[str]) -> Column | None:
+    """Aggregate: how many cells of each varchar(n) column (by its target name) the mapping cuts (V9); None without such columns."""
     sizes = {m.target: (m.source, n) for m in mapping for base, n, _ in [parse_db_type(m.type)]
-             if n and base in ("varchar", "character varying", "char") and m.source in df.columns}
-    if not sizes or by not in df.columns:
+             if n and base in ("varchar", "character varying", "char") and m.source in columns}
+    if not sizes:
         return None
-    counts = [F.count_if(F.length(F.col(f"`{c}`").cast("string")) > n).alias(t) for t, (c, n) in sizes.items()]
-    cut = F.create_map(*[x for t in sizes for x in (F.lit(t), F.col(f"`{t}`"))])
-    return df.groupBy(F.col(f"`{by}`").alias("_by")).agg(*counts).select(F.col("_by").alias(by), cut.alias("cells_cut"))
+    counts = {t: F.count_if(F.length(F.col(f"`{c}`").cast("string")) > n) for t, (c, n) in sizes.items()}
+    return F.create_map(*[x for t, count in counts.items() for x in (F.lit(t), count)])
 
 
 def add_modify_stamp(df: DataFrame, job_time: str | None = None, name: str = "modify_date_time") -> DataFrame:

@@ -103,7 +103,8 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
     listing = list_feed_files(spark, feed) if manifest else None
     paths = unloaded_files(spark, feed, manifest, listing) if manifest else None
     started = datetime.now()
-    land = land_feed(spark, feed, plan.landing, job_ts, run_dir, paths=paths)
+    # Cells that the stage's varchar(n) types cut are counted per column with the files' rows.
+    land = land_feed(spark, feed, plan.landing, job_ts, run_dir, paths=paths, cells_cut=lambda columns: cut_cells(plan.stage, columns))
     # K1: the landing table of this run is its parsed rows (already written
     # once) minus the bad files, a broadcast anti join on read; the landed
     # data is not copied a second time.
@@ -113,9 +114,8 @@ def run_feed(spark: SparkSession, feed: Feed, plan: SpecPlan, target: VersionedT
     # a file's times are those of the feed's landing.
     times = {"file_start": F.lit(started).cast("timestamp_ntz"), "file_end": F.lit(datetime.now()).cast("timestamp_ntz")}
     report = land.files.withColumns(times)
-    # Cells that the stage's varchar(n) types cut, per column, of the files that load; null for the others.
-    cut = cut_cells(wrk, plan.stage)
-    report = report.join(cut, "load_file_name", "left") if cut is not None else report.withColumn("cells_cut", F.lit(None).cast("map<string,bigint>"))
+    if "cells_cut" not in report.columns:
+        report = report.withColumn("cells_cut", F.lit(None).cast("map<string,bigint>"))
     report.write.mode("overwrite").parquet(f"{run_dir}/files")
     files = spark.read.parquet(f"{run_dir}/files")
     quarantine_rows(files, job_ts).write.mode("overwrite").parquet(f"{run_dir}/quarantine")   # K5

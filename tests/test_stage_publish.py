@@ -109,3 +109,16 @@ def test_versioned_table_is_read_again_by_a_new_session(spark, tmp_path):
     assert sorted(r["k"] for r in again.read().collect()) == [1, 2]
     publish(spark, spark.createDataFrame([(2, "B", 0.0)], "k long, v string, x double"), again, ["k"])
     assert {r["k"]: r["v"] for r in again.read().collect()} == {1: "a", 2: "B"}
+
+
+def test_duplicate_keys_are_refused_in_the_publish_itself(spark, tmp_path):
+    import pytest
+
+    from flatland.operators.publish import VersionedTable, publish
+    t = VersionedTable(spark, str(tmp_path / "t"), ["k"], 4)
+    publish(spark, spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), t, ["k"])
+    for rows in ([(1, "x"), (1, "y")], [(9, "x"), (9, "x")]):
+        with pytest.raises(ValueError, match="duplicate keys"):
+            publish(spark, spark.createDataFrame(rows, "k long, v string"), t, ["k"])
+    publish(spark, spark.createDataFrame([(None, "x"), (None, "y"), (2, "c")], "k long, v string"), t, ["k"])     # null keys are not published
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, "a"), (2, "c")]
