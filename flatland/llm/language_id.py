@@ -44,8 +44,10 @@ _WORD = re.compile(r"[^\W\d_]+")
 class LanguageModel:
     languages: list[str]
     prior: list[float]
-    words: dict[str, list[float]]
-    grams: dict[str, list[float]]
+    words: dict[str, int]               # row of the scores
+    word_scores: np.ndarray             # log frequency of each word (row) in each language
+    grams: dict[str, int]
+    gram_scores: np.ndarray
 
 
 def words_of(text: str) -> list[str]:
@@ -96,16 +98,19 @@ def _most_frequent(counts: DataFrame, size: int, group: list[str]) -> DataFrame:
     return above.unionByName(smallest_by_hash(tied, [*group, "last"], "draw", F.col("last.left"), ["item"]).select("lang", "item", "n"))
 
 
-def _log_frequencies(rows, languages: list[str], group=lambda item: "") -> dict[str, list[float]]:
-    """Smoothed log frequency of each item in each language, within its group (length of n-gram)."""
+def _log_frequencies(rows: pa.Table, languages: list[str], group=lambda item: 0) -> tuple[dict[str, int], np.ndarray]:
+    """Items by row, and their smoothed log frequencies in each language within their group (length of n-gram)."""
     at = {lang: i for i, lang in enumerate(languages)}
-    counts: dict[str, list[float]] = {}
-    total: dict[object, list[float]] = {}
-    for lang, item, n in rows:
-        counts.setdefault(item, [0.0] * len(languages))[at[lang]] += n
-        total.setdefault(group(item), [0.0] * len(languages))[at[lang]] += n
-    size = Counter(group(item) for item in counts)
-    return {item: [math.log((c + 0.5) / (t + 0.5 * size[group(item)])) for c, t in zip(own, total[group(item)])] for item, own in counts.items()}
+    items: dict[str, int] = {}
+    row = np.array([items.setdefault(x, len(items)) for x in rows.column("item").to_pylist()], dtype=np.int64)
+    lang = np.array([at[x] for x in rows.column("lang").to_pylist()], dtype=np.int64)
+    counts = np.zeros((len(items), len(languages)))
+    np.add.at(counts, (row, lang), rows.column("n").to_numpy())
+    of = np.array([group(x) for x in items], dtype=np.int64)
+    size = np.bincount(of)
+    total = np.zeros((len(size), len(languages)))
+    np.add.at(total, of, counts)
+    return items, np.log((counts + 0.5) / (total[of] + 0.5 * size[of][:, None])).astype(np.float32)
 
 
 def train_languages(documents: DataFrame, learn: Column | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
@@ -116,7 +121,7 @@ def train_languages(documents: DataFrame, learn: Column | None = None, doc_id: s
             .withColumn("draw", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     shares = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not shares:
-        return LanguageModel([], [], {}, {})
+        return LanguageModel([], [], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
     languages = sorted(shares)
     total = sum(shares.values())
     # The SAMPLE_ROWS-th smallest hash bounds the sample; a hash that many rows share is taken or left whole.
@@ -125,12 +130,12 @@ def train_languages(documents: DataFrame, learn: Column | None = None, doc_id: s
         last = rows.select("draw").orderBy("draw").limit(SAMPLE_ROWS).agg(F.max("draw")).first()[0]
     sample = rows if last is None else rows.where(F.col("draw") <= last)
     counts = _counted(sample.select("lang", F.col("text").alias("item"), F.lit(1).cast("long").alias("n")), words_of).checkpoint()
-    words = _most_frequent(counts, MODEL_WORDS, ["lang"]).collect()
+    words = _most_frequent(counts, MODEL_WORDS, ["lang"]).toArrow()
     grams = _counted(counts.withColumn("n", F.lit(1).cast("long") + F.floor(F.log2("n")).cast("long")),
                      lambda w: [g for size in range(1, LONGEST_GRAM + 1) for g in grams_of(w, size)])
-    grams = _most_frequent(grams.withColumn("size", F.length("item")), MODEL_GRAMS, ["lang", "size"]).collect()
+    grams = _most_frequent(grams.withColumn("size", F.length("item")), MODEL_GRAMS, ["lang", "size"]).toArrow()
     return LanguageModel(languages, [shares[x] / total for x in languages],
-                         _log_frequencies(words, languages), _log_frequencies(grams, languages, len))
+                         *_log_frequencies(words, languages), *_log_frequencies(grams, languages, len))
 
 
 class Predictor:
@@ -141,15 +146,15 @@ class Predictor:
         self._place: dict[str, int] = {}
         self._scores = np.zeros((1 << 12, max(1, len(model.languages))))
 
-    def _word(self, word: str) -> list[float] | None:
+    def _word(self, word: str) -> np.ndarray | None:
         own = self.model.words.get(word)
         if own is not None:
-            return own
+            return self.model.word_scores[own]
         get = self.model.grams.get
         for size in range(min(LONGEST_GRAM, len(word) + 2), 0, -1):
             known = [g for g in map(get, grams_of(word, size)) if g is not None]
             if known:
-                return [sum(x) / len(known) for x in zip(*known)]
+                return self.model.gram_scores[known].mean(axis=0)
         return None
 
     def _places(self, words: list[str]) -> list[int]:

@@ -74,7 +74,7 @@ def test_language_held_out(spark, odd):
 
 
 def test_language_backs_off_by_length():
-    model = language_id.LanguageModel(["a", "b"], [0.5, 0.5], {"known": [-1.0, -2.0]}, {"xyz": [-9.0, -1.0], "y": [-1.0, -9.0]})
+    model = language_id.LanguageModel(["a", "b"], [0.5, 0.5], {"known": 0}, np.array([[-1.0, -2.0]]), {"xyz": 0, "y": 1}, np.array([[-9.0, -1.0], [-1.0, -9.0]]))
     predict = language_id.Predictor(model)
     assert predict("Known")[0] == "a"
     assert predict("qxyzq")[0] == "b"           # the longest known n-gram
