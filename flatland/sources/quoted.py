@@ -72,14 +72,25 @@ def invalid_bytes(codec: str) -> str:
     return f"bytes that {codec} does not have"
 
 
-def _lines(spark: SparkSession, paths: list[str], line_sep: str) -> DataFrame:
+#: Bytes of small splits that one task walks, and such tasks at least for each core.
+TASK_BYTES = 32 << 20
+TASKS_PER_CORE = 2
+
+
+def _lines(spark: SparkSession, paths: list[str], line_sep: str, split_bytes: int | None = None) -> DataFrame:
     # In a file whose lines end CR LF the CR belongs to the line ending and is dropped in pass B (so a line break
     # inside a value reads as LF, as the multi-line reader has it); in an LF file it is data.
-    return (spark.read.option("lineSep", line_sep).text(paths)
-            .select(F.col("value").cast("binary").alias("value"), F.monotonically_increasing_id().alias("row"),
-                    scanned("file_path").alias("path"),
-                    scanned("file_name").alias("name"),
-                    F.col("_metadata.file_block_start").alias("block")))
+    lines = (spark.read.option("lineSep", line_sep).text(paths)
+             .select(F.col("value").cast("binary").alias("value"), F.monotonically_increasing_id().alias("row"),
+                     scanned("file_path").alias("path"),
+                     scanned("file_name").alias("name"),
+                     F.col("_metadata.file_block_start").alias("block")))
+    if not split_bytes or split_bytes >= TASK_BYTES:
+        return lines
+    # A task walks many small splits, one after the other: their number does not become that of the tasks, files and workers.
+    n_splits = lines.rdd.getNumPartitions()
+    n_tasks = max(-(-n_splits * split_bytes // TASK_BYTES), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    return lines.coalesce(n_tasks) if n_tasks < n_splits else lines
 
 
 def quote_steps(lines, delimiter: str | None):
@@ -313,7 +324,7 @@ def scan_lines(spark: SparkSession, paths: list[str], out_dir: str, split_bytes:
                codec: str = "utf-8", line_sep: str = "\n") -> LineScan:
     """Read files as lines of records; ``delimiter`` None: no quotes, each line is a record."""
     own = split_session(spark, split_bytes)
-    lines = _lines(own, paths, line_sep)
+    lines = _lines(own, paths, line_sep, split_bytes)
     split_table(lines, delimiter, codec).write.mode("overwrite").parquet(f"{out_dir}/splits")
     splits = own.read.parquet(f"{out_dir}/splits")
     last = F.max(F.struct("block", "ends_inside"))["ends_inside"]

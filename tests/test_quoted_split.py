@@ -238,3 +238,26 @@ def test_first_record_at_any_length_read(spark):
             assert part is None or part == whole, (text, n)
         if whole != "open" and whole[0] is not None and '"' not in text:
             assert next(r for r in csv.reader(text.splitlines(keepends=True)) if "".join(r).strip() or len(r) > 1) == whole[0].split(",")
+
+
+def test_small_splits_are_walked_by_few_tasks(spark, feed_dir):
+    from flatland.sources.quoted import TASKS_PER_CORE, _lines, scan_lines
+    from flatland.session import split_session
+    path = write(feed_dir / "docs.csv", "id,text\n" + "".join(f'{i},"a{i}\nb"\n' for i in range(2000)))
+    lines = _lines(split_session(spark, 64), [str(path)], "\n", 64)
+    n = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert lines.rdd.getNumPartitions() == n
+    assert lines.select("block").distinct().count() > 10 * n         # the splits stay as small as they were
+    scan = scan_lines(spark, [str(path)], str(feed_dir / "out"), 64)
+    assert scan.line_counts().first()["raw_records"] == 4000
+
+
+def test_a_large_table_is_written_by_its_own_splits(spark, tmp_path):
+    from flatland.sources.writers import write_delimited
+    n = spark.sparkContext.defaultParallelism + 3
+    many = write_delimited(spark, spark.range(0, 500, 1, n), str(tmp_path / "many"), "ids", n_files=2, at_least=True)
+    few = write_delimited(spark, spark.range(0, 500, 1, 1), str(tmp_path / "few"), "ids", n_files=2, at_least=True)
+    exact = write_delimited(spark, spark.range(0, 500, 1, n), str(tmp_path / "exact"), "ids", n_files=2)
+    assert (len(many), len(few), len(exact)) == (n, 2, 2)
+    for paths in (many, few, exact):
+        assert sorted(int(r["id"]) for r in spark.read.option("header", True).csv(paths).collect()) == list(range(500))
