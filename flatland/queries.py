@@ -321,8 +321,9 @@ def _as_text(df: DataFrame) -> DataFrame:
 
 
 def _feed_dir(spark, sf_dir, name, df_fn, n_files=3, **kw) -> str:
+    """Folder of a feed of a whole table, in ``n_files`` files or, of a larger table, more."""
     def build(d):
-        write_delimited(spark, _as_text(df_fn()), d, name, n_files=n_files, **kw)
+        write_delimited(spark, _as_text(df_fn()), d, name, n_files=n_files, at_least=True, **kw)
     return fixture(spark, sf_dir, f"feed_{name}", build)
 
 
@@ -511,11 +512,11 @@ SELECT * FROM (VALUES ('customer', 'comma'), ('lineitem', 'tab'), ('orders', 'pi
 def q_delimiter_detect(spark, sf_dir):
     def build(d):
         write_delimited(spark, _as_text(table(spark, sf_dir, "lineitem")), f"{d}/lineitem", "lineitem",
-                        n_files=2, delimiter="\t")
+                        n_files=2, at_least=True, delimiter="\t")
         write_delimited(spark, _as_text(table(spark, sf_dir, "orders")), f"{d}/orders", "orders",
-                        n_files=2, delimiter="|", quoting=0)
+                        n_files=2, at_least=True, delimiter="|", quoting=0)
         write_delimited(spark, _as_text(table(spark, sf_dir, "customer")), f"{d}/customer", "customer",
-                        n_files=2, delimiter=",", quoting=0)
+                        n_files=2, at_least=True, delimiter=",", quoting=0)
     d = fixture(spark, sf_dir, "feeds_delimiters", build)
     paths = [p for sub in ("lineitem", "orders", "customer") for p, _, _ in storage.glob_files(spark, f"{d}/{sub}/*.txt")]
     heads = file_headers(spark, paths)
@@ -1476,7 +1477,7 @@ def q_quoted_whole_table(spark, sf_dir):
         r, key = F.col("o_orderkey") % 5, F.col("o_orderkey").cast("string")
         cell = (F.when(r == 0, F.lit('5" pipe')).when(r == 1, F.lit('"a\rb"')).when(r == 2, F.lit('"two\nlines, ""said"" he"'))
                 .when(r == 3, F.lit("plain")).otherwise(F.concat(F.lit('"'), F.repeat(F.lit('x""y'), 200), F.lit('"'))))
-        write_delimited(spark, o.select(F.concat(key, F.lit(","), cell).alias("o_orderkey,cell")), d, "quoted", n_files=2, extension="csv")
+        write_delimited(spark, o.select(F.concat(key, F.lit(","), cell).alias("o_orderkey,cell")), d, "quoted", n_files=2, at_least=True, extension="csv")
         long = F.concat(F.lit('"'), F.repeat(F.lit('z""'), 50_000), F.lit('",surplus'))
         bad = F.concat(key, F.lit(","), F.when(F.col("o_orderkey") % 5000 == 1, long).otherwise(cell))
         write_delimited(spark, o.select(bad.alias("o_orderkey,cell")), d, "ragged", n_files=1, extension="csv")
@@ -1558,7 +1559,7 @@ def q_date_layout_vote(spark, sf_dir):
     def build(d):
         o, t = table(spark, sf_dir, "orders"), F.col("o_orderdate")
         write_delimited(spark, o.select("o_orderkey", F.date_format(t, "dd/MM/yyyy").alias("day_first"), F.date_format(t, "M/d/yyyy").alias("month_first"),
-                                        F.date_format(t, "dd.MM.yyyy").alias("dotted"), F.date_format(t, "EEEE, MMMM d, yyyy").alias("named")), d, "layouts", n_files=3)
+                                        F.date_format(t, "dd.MM.yyyy").alias("dotted"), F.date_format(t, "EEEE, MMMM d, yyyy").alias("named")), d, "layouts", n_files=3, at_least=True)
     from flatland.plans.spec import LAYOUT_COMMENT
     d = fixture(spark, sf_dir, "feed_layout_vote", build)
     feed = Feed("layouts", d)
