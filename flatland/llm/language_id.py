@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatland.llm.common import fold_of, smallest_by_hash
+from flatland.llm.common import fold_of
 
 SAMPLE_ROWS = 20_000
 MODEL_WORDS = 30_000
@@ -92,10 +92,30 @@ def _most_frequent(counts: DataFrame, size: int, group: list[str]) -> DataFrame:
     upto = F.sum("items").over(Window.partitionBy(*group).orderBy(F.desc("n")))
     last = (counts.groupBy(*group, "n").agg(F.count("*").alias("items")).withColumn("upto", upto).where(F.col("upto") >= size)
             .groupBy(*group).agg(F.max(F.struct("n", (F.lit(size) - (F.col("upto") - F.col("items"))).alias("left"))).alias("last")))
-    marked = counts.join(last, group, "left")
+    marked = _with_edge(counts, last, group, "last")
     above = marked.where("last IS NULL OR n > last.n").select("lang", "item", "n")
     tied = marked.where("n = last.n").withColumn("draw", F.xxhash64("item"))
-    return above.unionByName(smallest_by_hash(tied, [*group, "last"], "draw", F.col("last.left"), ["item"]).select("lang", "item", "n"))
+    # The same once more with the hashes of the tied items: a histogram of their upper bits, and places in its last bucket only.
+    tied = tied.withColumn("bucket", F.shiftright("draw", 48))
+    upto = F.sum("count").over(Window.partitionBy(*group).orderBy("bucket"))
+    edge = (tied.groupBy(*group, "last", "bucket").count().withColumn("upto", upto).where("upto >= last.left")
+            .groupBy(*group).agg(F.min(F.struct("bucket", (F.col("last.left") - (F.col("upto") - F.col("count"))).alias("left"))).alias("edge")))
+    tied = _with_edge(tied, edge, group, "edge")
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("draw", "item"))
+    on_edge = tied.where("bucket = edge.bucket").withColumn("place", place).where("place <= edge.left")
+    return above.unionByName(tied.where("bucket < edge.bucket").select("lang", "item", "n")).unionByName(on_edge.select("lang", "item", "n"))
+
+
+def _with_edge(frame: DataFrame, edges: DataFrame, group: list[str], name: str) -> DataFrame:
+    """The frame with its group's edge (null: none), looked up in a map; there is one edge a group, of which there are as many as languages of the model
+    (or that times the lengths of n-grams), and no join pairs rows by their counts."""
+    kind = edges.schema[name].dataType.simpleString()
+    key = F.to_json(F.struct(*group))
+    found = edges.select(key.alias("key"), name).collect()
+    if not found:
+        return frame.withColumn(name, F.lit(None).cast(kind))
+    pairs = [x for r in found for x in (F.lit(r["key"]), F.struct(*[F.lit(v).alias(k) for k, v in r[name].asDict().items()]).cast(kind))]
+    return frame.withColumn(name, F.try_element_at(F.create_map(*pairs), key))
 
 
 def _log_frequencies(rows: pa.Table, languages: list[str], group=lambda item: 0) -> tuple[dict[str, int], np.ndarray]:
@@ -133,7 +153,7 @@ def train_languages(documents: DataFrame, learn: Column | None = None, doc_id: s
     words = _most_frequent(counts, MODEL_WORDS, ["lang"]).toArrow()
     grams = _counted(counts.withColumn("n", F.lit(1).cast("long") + F.floor(F.log2("n")).cast("long")),
                      lambda w: [g for size in range(1, LONGEST_GRAM + 1) for g in grams_of(w, size)])
-    grams = _most_frequent(grams.withColumn("size", F.length("item")), MODEL_GRAMS, ["lang", "size"]).toArrow()
+    grams = _most_frequent(grams.withColumn("size", F.length("item")).checkpoint(), MODEL_GRAMS, ["lang", "size"]).toArrow()
     return LanguageModel(languages, [shares[x] / total for x in languages],
                          *_log_frequencies(words, languages), *_log_frequencies(grams, languages, len))
 

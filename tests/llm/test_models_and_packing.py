@@ -237,3 +237,14 @@ def test_fast_ids_equal_the_tokenizers_library():
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(400)] + ["", " " * 1_200_000, "a" * 50_000, "<|endoftext|>"]
     for t in texts:
         assert fast(t).tolist() == whole.encode(t, add_special_tokens=False).ids
+
+
+def test_most_frequent_items_are_chosen_without_a_join(spark):
+    """Of items with the last count those with the smallest hashes are taken; no join pairs rows by their counts."""
+    rows = [(lang, f"w{i}", i % 3 + 1) for lang in ("de", 'x"y') for i in range(40)] + [("fr", "seul", 1)]
+    counts = spark.createDataFrame(rows, "lang string, item string, n long")
+    got = language_id._most_frequent(counts, 20, ["lang"])
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    draw = {r["item"]: r["h"] for r in counts.select("item", F.xxhash64("item").alias("h")).collect()}
+    want = {r for lang in ("de", 'x"y', "fr") for r in sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[2], draw[r[1]]))[:20]}
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
