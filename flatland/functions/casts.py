@@ -69,6 +69,21 @@ def _try_layout(t: Column, layout: str) -> Column:
 
 _SHAPES = {layout: _shape(layout) for layout in DATETIME_FORMATS}
 
+
+
+def _by_sign(t: Column, each) -> Column:
+    """``each`` of the layouts that a text may match by the signs it holds: those of one family, in their order.
+
+    No text matches the shapes of two families, so the others need not be tried.
+    """
+    families: dict[str, list[str]] = {sign: [] for sign in ("/", "-", ".", "MMM", "")}
+    for layout in DATETIME_FORMATS:
+        required = re.sub(r"\[.*?\]+", "", layout)
+        families[next(sign for sign in families if sign in required)].append(layout)
+    return (F.when(t.contains("/"), each(families["/"])).when(t.contains("-"), each(families["-"])).when(t.contains("."), each(families["."]))
+            .when(t.rlike("[A-Za-z]{3}"), each(families["MMM"])).otherwise(each(families[""])))
+
+
 #: Layouts of dates with a time, whose bits tell of a column that they may be read from.
 ISO_TIME, ISO_DATE = 0, 1
 
@@ -82,9 +97,15 @@ TS_MAX = "2262-04-11 23:47:16.854775"
 VARCHAR_LADDER = [10, 20, 40, 60, 80, 100, 255, 500, 2000, 4000]
 
 
+# Texts that are no number by their first signs: digits before the sign of a date or time, letters that begin no inf or nan.
+# A cast that fails costs an exception, this test next to nothing.
+_NO_NUMBER = r"^(?:[0-9]+[-/:]|[A-HJ-MO-Za-hj-mo-z]|[iI](?![nN])|[nN](?![aA]))"
+
+
 def number_attempt(c: Column) -> Column:
     """try_cast to double, refusing the d/f type suffix Spark would accept."""
-    return F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c.try_cast("double"))
+    lettered = c.contains("d") | c.contains("D") | c.contains("f") | c.contains("F")
+    return F.when(~(c.rlike(_NO_NUMBER) | (lettered & c.rlike(r"[0-9.][dDfF]\s*$"))), c.try_cast("double"))
 
 
 def number_text(cell: Column, attempt: Column) -> Column:
@@ -140,8 +161,10 @@ def layout_mask(c: Column, parsed: Column) -> Column:
     iso = F.when(F.length(F.trim(c)) > 10, F.lit(1 << ISO_TIME)).otherwise(F.lit(1 << ISO_DATE)).cast("long")
 
     def bits(t: Column) -> Column:
-        each = [F.when(_try_layout(t, fmt).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, fmt in enumerate(DATETIME_FORMATS)]
-        return sum(each[1:], each[0])
+        def of(layouts: list[str]) -> Column:
+            each = [F.when(_try_layout(t, fmt).isNotNull(), F.lit(1 << DATETIME_FORMATS.index(fmt))).otherwise(F.lit(0)).cast("long") for fmt in layouts]
+            return sum(each[1:], each[0])
+        return _by_sign(t, of)
 
     # Within ``transform`` the rewritten text is made once.
     tried = F.get(F.transform(F.array(datetime_text(c)), bits), F.lit(0))
@@ -166,13 +189,21 @@ def parse_datetime(c: Column, layouts: list[str] | tuple[str, ...] = ()) -> Colu
     """
     own = [F.try_to_timestamp(F.trim(c), F.lit(fmt)) for fmt in layouts]
     # The commonest spelling needs no rewriting and is tried on the text as it is.
-    plain = F.when(c.rlike(_ISO_SHAPE), F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATETIME_FORMATS[:2]]))
+    # Of its two layouts only the one with or without a time is tried.
+    with_time, date = [F.try_to_timestamp(c, F.lit(DATETIME_FORMATS[i])) for i in (ISO_TIME, ISO_DATE)]
+    plain = F.when(c.rlike(_ISO_SHAPE), F.when(F.length(c) > 10, with_time).otherwise(date))
     # Within ``transform`` the rewritten text is made once, and the generated code stays small.
-    tried = F.transform(F.array(datetime_text(c)), lambda t: F.coalesce(*[_try_layout(t, fmt) for fmt in DATETIME_FORMATS]))
+    tried = F.transform(F.array(datetime_text(c)), lambda t: _by_sign(t, lambda layouts: F.coalesce(*[_try_layout(t, fmt) for fmt in layouts])))
     known = F.when(c.rlike(_DATE_SHAPE), F.get(tried, F.lit(0)))
     return F.coalesce(*own, plain, known).cast(T.TimestampNTZType())
 
 
+def number_datetime(c: Column) -> Column:
+    """``parse_datetime`` of a text that is a number (``number_attempt``): eight digits are its only layout."""
+    t = F.trim(c)
+    return F.when(F.length(t) == 8, _try_layout(t, "yyyyMMdd")).cast(T.TimestampNTZType())
+
+
 def datetime_value(attempt: Column) -> Column:
     """Parsed values outside the representable range land as null (not bad)."""
     lo, hi = F.lit(TS_MIN).cast("timestamp_ntz"), F.lit(TS_MAX).cast("timestamp_ntz")

@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatland.functions.casts import VARCHAR_LADDER, first_layout, layout_mask, parse_datetime, strict_double
+from flatland.functions.casts import VARCHAR_LADDER, first_layout, layout_mask, number_attempt, number_datetime, number_value, parse_datetime
 
 PROFILE_FIELDS = [
     ("n_rows", "long"), ("n_nonnull", "long"), ("n_null", "long"), ("max_len", "int"),
@@ -34,7 +34,8 @@ def _digits_right(text: Column) -> Column:
     """Digits right of the point, trailing zeros dropped (A8): '1.50' -> 1, '7' -> 0."""
     t = F.trim(text)
     frac = F.when(t.contains("."), F.split_part(t, F.lit("."), F.lit(2))).otherwise(F.lit(""))
-    return F.length(F.regexp_replace(frac, "0+$", ""))
+    # The pattern's end is also that before a line end.
+    return F.length(F.when(frac.contains("\n") | frac.contains("\r"), F.regexp_replace(frac, "0+$", "")).otherwise(F.rtrim(frac, F.lit("0"))))
 
 
 def unpivot(df: DataFrame, columns: Sequence[str] | None = None, **extra: Column) -> DataFrame:
@@ -49,9 +50,12 @@ def unpivot(df: DataFrame, columns: Sequence[str] | None = None, **extra: Column
 def profile_long(long: DataFrame, by: Sequence[str] = ("column_name", "position")) -> DataFrame:
     """Profile facts per group of an unpivoted frame (``s`` holds the cell text)."""
     s = F.col("s")
-    num, bad_num = strict_double(s)
     exponent = s.contains("e") | s.contains("E")
-    facts = long.select(*by, "s", num.alias("v"), bad_num.alias("b"), parse_datetime(s).alias("t"),
+    # Each cell is cast once; a number is no date but for its eight digits.
+    a = F.col("a")
+    num, bad_num = number_value(a), s.isNotNull() & a.isNull()
+    parsed = F.when(a.isNotNull(), number_datetime(s)).otherwise(parse_datetime(s))
+    facts = long.withColumn("a", number_attempt(s)).select(*by, "s", num.alias("v"), bad_num.alias("b"), parsed.alias("t"),
                         F.when(num.isNotNull(), _digits_left(s)).alias("l"), F.when(num.isNotNull(), _digits_right(s)).alias("r"),
                         exponent.alias("e")).withColumn("m", layout_mask(s, F.col("t")))
     v, t = F.col("v"), F.col("t")

@@ -143,3 +143,20 @@ def test_integer_texts_with_a_zero_fraction_keep_their_digits(spark):
     from flatland.functions.casts import pg_integer
     df = spark.createDataFrame([("9007199254740993.0",), ("-9007199254740993.",), ("2.5",)], "s string")
     assert [r[0] for r in df.select(pg_integer(F.col("s"), True, T.StringType())).collect()] == [9007199254740993, -9007199254740993, 2]
+
+
+def test_numbers_and_layout_families_are_read_as_by_all_layouts(spark):
+    """The tests that spare parses change no verdict: eight digits are a number's only date, one family of layouts a text's only one."""
+    from flatland.functions import casts
+    texts = ["19980304", " 19980304 ", "12345678", "1998.304", "1e5", "-5", "1.5f", "NaN", "inf", "Nation", "1998-03-04", "1998-03-04\n", "1998-03-04 05:06:07",
+             "3/4/98", "13/4/1998", "4-Mar-98", "4 March 1998", "March 4, 1998 5:06 pm", "04.03.1998", "1998.3.4 5:06", "1998-3", "19980304 050607", "12:30", "", None]
+    s = F.col("s")
+    attempt = casts.number_attempt(s)
+    plain = F.when(~s.rlike(r"[0-9.][dDfF]\s*$"), s.try_cast("double"))
+    every = F.coalesce(*[casts._try_layout(casts.datetime_text(s), fmt) for fmt in casts.DATETIME_FORMATS]).cast("timestamp_ntz")
+    rows = spark.createDataFrame([(t,) for t in texts], "s string").select(
+        "s", attempt.cast("string").alias("a"), plain.cast("string").alias("p"), casts.parse_datetime(s).alias("t"), every.alias("e"),
+        casts.number_datetime(s).alias("n")).collect()
+    for r in rows:
+        assert r["a"] == r["p"] and r["t"] == r["e"], r
+        assert r["a"] is None or r["n"] == r["t"], r
