@@ -30,12 +30,17 @@ from pyspark.sql import types as T
 from flatland import storage
 from flatland.operators.joins import join_small
 
-# Fixed value: the folder of rows whose partition value is null.
+# Fixed value: the name of a partition value that is null.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _VERSION_RE = re.compile(r"/v(\d{6})$")
 _COMMIT_RE = re.compile(r"/c(\d{8})$")
 _MADE_FOR_RE = re.compile(r"/c(\d{8})-[0-9a-f]{12}(\.json)?$")
 _FOLDER = "_folder"
+_NAME = "_part_name"
+#: The folder of a write in the path of one of its files.
+_WRITE_OF_FILE = r"^.*/(data/c[0-9]{8}-[0-9a-f]{12})/[^/]+$"
+#: Partitions of one write that get a folder each; those of a write that has more share files.
+OWN_FOLDERS = 256
 #: Partitions that one statement adds to a catalog table.
 PARTITIONS_AT_ONCE = 500
 
@@ -221,8 +226,9 @@ class Commit:
 
     number: int
     schema: T.StructType
-    folders: dict[str, str]         # partition value as text -> folder below the root
+    folders: dict[str, str]         # partition value as text -> folder below the root, its own or one that others share
     done: dict[str, int]            # by source: the last of its numbered loads that is in the table
+    files: dict[str, dict[str, list[str]]]      # shared folder -> file -> the partition values it was written with
 
 
 class PartitionedTable:
@@ -236,13 +242,18 @@ class PartitionedTable:
     the key columns only: a key then always lives in one partition, which is
     what lets delete-by-key look at the touched partitions alone.
 
-    Every write puts its partitions into a folder of its own, ``data/c<number>-<id>``; nothing that a reader may be
-    reading is changed. A list of all partitions and their folders follows (``manifests``), and then one small
+    Every write puts its partitions into a folder of its own, ``data/c<number>-<id>``: up to ``OWN_FOLDERS`` into a folder
+    each, and more into files that they share, whose number follows the rows. Nothing that a reader may be
+    reading is changed. A list of all partitions, their folders and the files' partitions follows (``manifests``), and then one small
     file, ``commits/c<number>``, which must not exist yet, names the list: that file is the switch. Before it the table is the old
     one, whatever has been written; after it, the new one. A writer whose number is taken raises ``ConcurrentPublish``.
     Readers look up the newest commit once and keep its folders until ``expire`` removes them.
 
-    The partition column is in the files, so values are read back as they were; folders only tell them apart. Text values have
+    Readers open the files that hold partitions they want, and leave out the rows of others. A publish also rewrites what is
+    left of a shared folder of whose partitions most have been replaced: so at most half of the partitions in such files
+    are replaced ones, and no more are moved than have been replaced.
+
+    The partition column is in the files, so values are read back as they were; names only tell them apart. Text values have
     a mark before them: ``01`` and ``1``, an empty text and null stay apart.
     """
 
@@ -275,44 +286,99 @@ class PartitionedTable:
             number = numbers[-1]
         name = (storage.read_small_text(self.spark, f"{self.root}/commits/c{number:08d}") or "").strip()
         spec = json.loads(storage.read_small_text(self.spark, f"{self.root}/manifests/{name}"))
-        return Commit(number, T.StructType.fromJson(spec["schema"]), spec["folders"], spec["done"])
+        return Commit(number, T.StructType.fromJson(spec["schema"]), spec["folders"], spec["done"], spec.get("files", {}))
 
     def exists(self) -> bool:
         return bool(self.commits())
 
-    def _switch(self, base: Commit | None, schema: T.StructType, folders: dict[str, str], done: tuple[str, int] | None) -> Commit:
-        """Make a list of folders the table, if ``base`` is still the newest commit."""
+    def _switch(self, base: Commit | None, schema: T.StructType, folders: dict[str, str], files: dict[str, dict[str, list[str]]],
+                done: tuple[str, int] | None) -> Commit:
+        """Make a list of folders the table, if ``base`` is still the newest commit. ``files``: those of the folder just written."""
+        used = set(folders.values())
+        files = {f: held for f, held in {**(base.files if base else {}), **files}.items() if f in used}
         loads = {**(base.done if base else {}), **dict([done] if done else [])}
         number = (base.number if base else 0) + 1
         name = f"c{number:08d}-{uuid.uuid4().hex[:12]}.json"
         storage.mkdirs(self.spark, f"{self.root}/manifests")
         storage.write_small_text(self.spark, f"{self.root}/manifests/{name}",
-                                 json.dumps({"schema": json.loads(schema.json()), "folders": folders, "done": loads}))
+                                 json.dumps({"schema": json.loads(schema.json()), "folders": folders, "files": files, "done": loads}))
         storage.mkdirs(self.spark, f"{self.root}/commits")
         if not storage.create_new(self.spark, f"{self.root}/commits/c{number:08d}", name):
             raise ConcurrentPublish(f"{self.root}: commit {number} has been made by another publish")
-        return Commit(number, schema, folders, loads)
+        return Commit(number, schema, folders, loads, files)
+
+    def _name(self) -> "F.Column":
+        return F.coalesce(F.col(self.part_col).cast("string"), F.lit(NULL_FOLDER))
+
+    def _write_folders(self, base: Commit | None, df: DataFrame,
+                       parts: int | None = None) -> tuple[T.StructType, dict[str, str], dict[str, dict[str, list[str]]]]:
+        """Write rows (with the partition column) into a folder of their own; returns the partitions written and the shared files'.
 
-    def _write_folders(self, base: Commit | None, df: DataFrame) -> tuple[T.StructType, dict[str, str]]:
-        """Write rows (with the partition column) into a folder of their own; returns the partitions written."""
+        ``parts``: how many partitions they are of, if that is known.
+        """
         where = f"data/c{(base.number if base else 0) + 1:08d}-{uuid.uuid4().hex[:12]}"
-        dealt = _rebalanced(df, self.part_col).withColumn(_FOLDER, F.col(self.part_col).cast("string"))
-        dealt.write.partitionBy(_FOLDER).parquet(f"{self.root}/{where}")
-        folders = {}
-        for path, is_dir in storage.list_dir(self.spark, f"{self.root}/{where}"):
-            name = path.rstrip("/").rsplit("/", 1)[-1]
-            if is_dir and name.startswith(f"{_FOLDER}="):
-                folders[unquote(name[len(_FOLDER) + 1:])] = f"{where}/{name}"
-        return df.schema, folders
+        if parts is None:
+            parts = df.select(self.part_col).distinct().limit(OWN_FOLDERS + 1).count()
+        dealt, folders, files = _rebalanced(df, self.part_col), {}, {}
+        if parts <= OWN_FOLDERS:
+            dealt.withColumn(_FOLDER, F.col(self.part_col).cast("string")).write.partitionBy(_FOLDER).parquet(f"{self.root}/{where}")
+            for path, is_dir in storage.list_dir(self.spark, f"{self.root}/{where}"):
+                name = path.rstrip("/").rsplit("/", 1)[-1]
+                if is_dir and name.startswith(f"{_FOLDER}="):
+                    folders[unquote(name[len(_FOLDER) + 1:])] = f"{where}/{name}"
+            return df.schema, folders, {}
+        dealt.write.parquet(f"{self.root}/{where}")
+        written = [p for p, is_dir in storage.list_dir(self.spark, f"{self.root}/{where}") if not is_dir and p.endswith(".parquet")]
+        if written:
+            # One column of what was written: a row for each file and partition.
+            held = self.spark.read.schema(df.schema).parquet(*written).select(F.col("_metadata.file_name").alias("file"), self._name().alias("name"))
+            for file, name in held.distinct().collect():
+                folders[name] = where
+                files.setdefault(file, []).append(name)
+        return df.schema, folders, {where: files}
 
     # Reading
 
     def _folders(self, commit: Commit, values: Sequence[str] | None = None) -> DataFrame:
         """The rows of a commit, or of some of its partitions."""
-        paths = [f"{self.root}/{f}" for v, f in commit.folders.items() if values is None or v in values]
-        if not paths:
-            return self.spark.createDataFrame([], commit.schema)
-        return self.spark.read.schema(commit.schema).parquet(*paths)
+        wanted: dict[str, set[str]] = {}
+        for v in commit.folders if values is None else commit.folders.keys() & set(values):
+            wanted.setdefault(commit.folders[v], set()).add(v)
+        whole, partly, live = [], [], set()
+        for folder, names in wanted.items():
+            files = commit.files.get(folder)
+            if files is None or all(names.issuperset(held) for held in files.values()):
+                whole.append(f"{self.root}/{folder}")
+                continue
+            for file, held in files.items():
+                taken = names.intersection(held)
+                if len(taken) == len(held):
+                    whole.append(f"{self.root}/{folder}/{file}")
+                elif taken:
+                    partly.append(f"{self.root}/{folder}/{file}")
+                    live.update((folder, v) for v in taken)
+        read = self.spark.read.schema(commit.schema)
+        rows = read.parquet(*whole) if whole else None
+        if partly:
+            marked = (read.parquet(*partly).withColumn(_FOLDER, F.regexp_extract(F.col("_metadata.file_path"), _WRITE_OF_FILE, 1))
+                      .withColumn(_NAME, self._name()))
+            listed = self.spark.createDataFrame(sorted(live), f"{_FOLDER} string, {_NAME} string")
+            kept = join_small(marked, listed, [_FOLDER, _NAME], "left_semi", len(live)).select(*[f"`{c}`" for c in commit.schema.names])
+            rows = kept if rows is None else rows.unionByName(kept)
+        return self.spark.createDataFrame([], commit.schema) if rows is None else rows
+
+    def left_over(self, commit: Commit, values: Sequence[str]) -> set[str]:
+        """The partitions that are left of shared folders of which fewer than half are, once ``values`` are replaced."""
+        left: dict[str, set[str]] = {}
+        for v, folder in commit.folders.items():
+            if folder in commit.files:
+                left.setdefault(folder, set()).add(v)
+        out: set[str] = set()
+        for folder, names in left.items():
+            names = names.difference(values)
+            if 2 * len(names) < len({v for held in commit.files[folder].values() for v in held}):
+                out |= names
+        return out
 
     def read_with_part(self, number: int | None = None) -> DataFrame | None:
         commit = self.commit(number)
@@ -329,7 +395,7 @@ class PartitionedTable:
         return sorted(f"{self.part_col}={v}" for v in commit.folders) if commit else []
 
     def catalog_view(self, name: str) -> str:
-        """Let SQL read the newest commit as ``name``: a view over a catalog table that has each partition at its own folder.
+        """Let SQL read the newest commit as ``name``: a view over a catalog table of its folders, less the partitions replaced since.
 
         The table belongs to one commit; replacing the view switches all partitions at once.
         """
@@ -341,12 +407,20 @@ class PartitionedTable:
             storage.mkdirs(self.spark, f"{self.root}/catalog")
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in commit.schema.fields)
             self.spark.sql(f"CREATE TABLE {own} ({columns}, `{_FOLDER}` STRING) USING parquet PARTITIONED BY (`{_FOLDER}`) LOCATION '{self.root}/catalog'")
-            listed = list(commit.folders.items())
+            listed = sorted(set(commit.folders.values()))
             for at in range(0, len(listed), PARTITIONS_AT_ONCE):
-                parts = " ".join(f"PARTITION (`{_FOLDER}` = {_sql_text(v)}) LOCATION {_sql_text(f'{self.root}/{f}')}" for v, f in listed[at:at + PARTITIONS_AT_ONCE])
+                parts = " ".join(f"PARTITION (`{_FOLDER}` = {_sql_text(f)}) LOCATION {_sql_text(f'{self.root}/{f}')}" for f in listed[at:at + PARTITIONS_AT_ONCE])
                 self.spark.sql(f"ALTER TABLE {own} ADD IF NOT EXISTS {parts}")
         columns = ", ".join(f"`{f.name}`" for f in commit.schema.fields if f.name != self.part_col)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {own}")
+        kept = ""
+        if any(commit.folders.get(v) != folder for folder, files in commit.files.items() for held in files.values() for v in held):
+            if not self.spark.catalog.tableExists(f"{own}_live"):
+                live = f"{self.root}/catalog_live/c{commit.number:08d}-{uuid.uuid4().hex[:12]}"
+                self.spark.createDataFrame(sorted((f, v) for v, f in commit.folders.items()), f"{_FOLDER} string, {_NAME} string").write.parquet(live)
+                self.spark.sql(f"CREATE TABLE {own}_live USING parquet LOCATION {_sql_text(live)}")
+            kept = (f" LEFT SEMI JOIN {own}_live AS l ON l.`{_NAME}` = coalesce(CAST(o.`{self.part_col}` AS STRING), '{NULL_FOLDER}')"
+                    f" AND (l.`{_FOLDER}` = o.`{_FOLDER}`)")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {own} AS o{kept}")
         return name
 
     # Writing
@@ -357,20 +431,20 @@ class PartitionedTable:
             out = out.withColumn(self.part_col, F.coalesce(F.concat(F.lit("p"), F.col(self.part_col)), F.lit("null")))
         return out
 
-    def overwrite_partitions(self, df: DataFrame, base: Commit | None = None, done: tuple[str, int] | None = None) -> Commit:
+    def overwrite_partitions(self, df: DataFrame, base: Commit | None = None, done: tuple[str, int] | None = None, parts: int | None = None) -> Commit:
         """Replace the partitions that ``df`` (with the partition column) has rows of; ``df`` may read this table.
 
-        ``base``: the commit that ``df`` was made from (the newest one if not given).
+        ``base``: the commit that ``df`` was made from (the newest one if not given). ``parts``: how many partitions it has, if known.
         """
         base = base or self.commit()
-        schema, folders = self._write_folders(base, df)
-        return self._switch(base, schema, {**(base.folders if base else {}), **folders}, done)
+        schema, folders, files = self._write_folders(base, df, parts)
+        return self._switch(base, schema, {**(base.folders if base else {}), **folders}, files, done)
 
     def replace(self, df: DataFrame, done: tuple[str, int] | None = None) -> Commit:
         """Replace the whole table with ``df``, which may read this table."""
         base = self.commit()
-        schema, folders = self._write_folders(base, self.with_part(df))
-        return self._switch(base, schema, folders, done)
+        schema, folders, files = self._write_folders(base, self.with_part(df))
+        return self._switch(base, schema, folders, files, done)
 
     def write(self, df: DataFrame) -> Commit:
         """Load the table with ``df`` in place of what it holds."""
@@ -402,10 +476,10 @@ def publish_partitions(spark: SparkSession, stage: DataFrame, table: Partitioned
     """Publish ``stage`` into ``table`` by key, rewriting only touched partitions.
 
     1. the stage's partition values (at most the table's partition count) are
-       collected; only the folders of those partitions are read;
+       collected; only files that hold those partitions are read;
     2. the touched partitions are upserted (anti join on the key) and written
-       once, aside; one commit makes them the table's, and all other partitions stay
-       as they are.
+       once, aside, with what is left of shared folders that are mostly replaced; one commit
+       makes them the table's, and all other partitions stay as they are.
 
     Returns the touched partition values. ``done`` (a source and the number of its load, such as a stream's
     batch) is kept in the commit; a load that is already in the table is not published again.
@@ -420,13 +494,14 @@ def publish_partitions(spark: SparkSession, stage: DataFrame, table: Partitioned
     values = staged.select(part, F.col(part).cast("string").alias("name")).distinct().collect()
     touched = sorted((r[0] for r in values), key=lambda v: (v is not None, v))
     if base is None:
-        schema, folders = table._write_folders(None, staged)
-        table._switch(None, schema, folders, done)
+        schema, folders, files = table._write_folders(None, staged, len(touched))
+        table._switch(None, schema, folders, files, done)
         return touched
     if not touched:
         return []
     names = {NULL_FOLDER if r["name"] is None else r["name"] for r in values}
+    names |= table.left_over(base, names)
     hit = table._folders(base, names)
     merged = upsert(hit, staged.select(*hit.columns), keys, stage_key_rows)
-    table.overwrite_partitions(merged, base, done)
+    table.overwrite_partitions(merged, base, done, len(names))
     return touched

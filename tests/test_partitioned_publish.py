@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flatland import storage
+from flatland.operators import publish
 from flatland.operators.publish import ConcurrentPublish, PartitionedTable, publish_partitions, upsert
 
 
@@ -126,3 +127,62 @@ def test_a_load_is_published_once_and_new_columns_read_as_null(spark, tmp_path):
     assert t.commits() == [1, 2] and _rows(t.read()) == [(0, 0), (1, 1)]
     t.overwrite_partitions(t.with_part(spark.createDataFrame([(9, 9, "x")], "k long, v long, w string")))
     assert t.read().columns == ["k", "v", "w"]
+
+
+def _files(t):
+    return {p for f in set(t.commit().folders.values()) for p, _ in storage.list_dir(t.spark, f"{t.root}/{f}") if p.endswith(".parquet")}
+
+
+def test_files_follow_the_rows_not_the_partitions(spark, tmp_path):
+    t = PartitionedTable(spark, str(tmp_path / "t"), ["k"], part_expr=F.floor(F.col("k") / 2))
+    for sign in (1, -1):
+        publish_partitions(spark, spark.range(600).select(F.col("id").alias("k"), (sign * F.col("id")).alias("v")), t)
+        assert len(t.partitions()) == 300 and len(_files(t)) <= 16
+    assert _rows(t.read()) == [(k, -k) for k in range(600)]
+
+
+def test_replaced_partitions_stay_hidden_and_mostly_replaced_writes_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "OWN_FOLDERS", 1)
+    t = _table(spark, str(tmp_path / "t"))
+    want = {k: k * 10 for k in range(100)}
+    first = t.commit().folders["0"]
+    for parts in ((0, 1, 2), (2, 3), (4, 5, 11)):
+        new = {p * 10 + d: -p for p in parts for d in (0, 10 // 2)}
+        publish_partitions(spark, spark.createDataFrame(sorted(new.items()), "k long, v long"), t)
+        want |= new
+        assert _rows(t.read()) == sorted(want.items())
+        t.catalog_view("mostly_replaced")
+        assert _rows(spark.table("mostly_replaced")) == sorted(want.items())
+    # Of the first write's ten partitions four were left: they have moved, and its folder goes with its commits.
+    folders = t.commit().folders
+    assert first not in folders.values() and folders["9"] == folders["4"]
+    assert _rows(t.read(1)) == [(k, k * 10) for k in range(100)]
+    t.expire(1)
+    assert not storage.exists(spark, f"{t.root}/{first}") and _rows(t.read()) == sorted(want.items())
+    spark.sql("DROP VIEW mostly_replaced")
+
+
+def test_null_partitions_are_replaced_and_read_like_others(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "OWN_FOLDERS", 1)
+    t = PartitionedTable(spark, str(tmp_path / "t"), ["k"], part_expr=F.when(F.col("k") >= 10, F.floor(F.col("k") / 10)))
+    t.write(spark.createDataFrame([(k, k) for k in (1, 2, 15, 25, 35, 45)] + [(None, 7)], "k long, v long"))
+    publish_partitions(spark, spark.createDataFrame([(2, -2), (15, -15)], "k long, v long"), t)
+    want = [(1, 1), (2, -2), (15, -15), (25, 25), (35, 35), (45, 45)]
+    assert _rows(t.read().dropna(subset=["k"])) == want and t.read().where("k IS NULL").count() == 1
+    publish_partitions(spark, spark.createDataFrame([(25, -25)], "k long, v long"), t)
+    want[3] = (25, -25)
+    assert _rows(t.read().dropna(subset=["k"])) == want and t.read().where("k IS NULL").count() == 1
+
+
+def test_own_and_shared_folders_of_one_table(spark, tmp_path, monkeypatch):
+    t = _table(spark, str(tmp_path / "t"))
+    assert t.commit().files == {}
+    monkeypatch.setattr(publish, "OWN_FOLDERS", 1)
+    publish_partitions(spark, spark.createDataFrame([(5, -5), (15, -15)], "k long, v long"), t)
+    monkeypatch.undo()
+    publish_partitions(spark, spark.createDataFrame([(16, -16)], "k long, v long"), t)
+    want = [(k, -k if k in (5, 15, 16) else k * 10) for k in range(100)]
+    assert len(t.commit().files) == 1 and _rows(t.read()) == want
+    t.catalog_view("own_and_shared")
+    assert _rows(spark.table("own_and_shared")) == want
+    spark.sql("DROP VIEW own_and_shared")
