@@ -237,6 +237,20 @@ def test_join_of_nothing(spark):
     assert ngram_join.link_documents(frame, 3, 90).count() == 0
 
 
+def test_the_matrix_steps_plan_stays_small(spark, monkeypatch):
+    """The driver holds each plan; what several steps use is in it once."""
+    seen, by_block = [], ngram_join._by_block
+
+    def counted(frame, *a):
+        seen.append(frame._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return by_block(frame, *a)
+    monkeypatch.setattr(ngram_join, "_by_block", counted)
+    rows = [(k, " ".join(f"w{(k // 2) * 7 + i}" for i in range(30 + k % 2))) for k in range(20)]
+    got = ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k // 2 * 2 for k in range(20)}
+    assert len(seen) == 2 and max(seen) <= 20, seen
+
+
 def test_words_of_random_bytes():
     rng = random.Random(8)
     texts = ["".join(rng.choice("aAbB é日\t\n\x0b\x00.,x") for _ in range(rng.randint(0, 50))) for _ in range(300)] + ["", "z" * 3_000_000]
