@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -251,6 +253,41 @@ def test_the_matrix_steps_plan_stays_small(spark, monkeypatch):
     assert len(seen) == 2 and max(seen) <= 20, seen
 
 
+def shuffle_files(spark) -> dict[str, int]:
+    """Bytes of the shuffle files that this session's block manager holds."""
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f: os.path.getsize(f) for f in found if re.search(r"/shuffle_\d+_\d+_\d+[.]data$", f) and os.path.exists(f)}
+
+
+def test_shuffle_files_of_the_ngram_join_go_with_their_step(spark):
+    """Texts are shuffled several times; what is read no more is not left for the driver's garbage collection."""
+    rows = families(random.Random(15), 1500, 200, 8)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").checkpoint()
+    before = shuffle_files(spark)
+    ngram_join.link_documents(frame, 3, 90)
+    for _ in range(50):                 # files are deleted in the background
+        left = sum(size for f, size in shuffle_files(spark).items() if f not in before)
+        if left < 200_000:
+            break
+        time.sleep(0.1)
+    assert left < 200_000 < sum(len(t) for _, t in rows) / 5, left
+
+
+def test_copies_for_blocks_are_dealt_in_rounds(spark, monkeypatch):
+    """Texts that go to several blocks each are not all shuffled at once."""
+    frames, keep = {}, ngram_join._Scratch.keep
+
+    def counted(self, name, *a):
+        frames[name] = len(a)
+        return keep(self, name, *a)
+    monkeypatch.setattr(ngram_join._Scratch, "keep", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 7)
+    rows = families(random.Random(5), 150, 50, 4) + [(3, "a b c d"), (None, "a b c d")]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect())
+    assert got == brute_components(rows, 3, 85)
+    assert frames["links"] == 3 and frames["more"] > 1 and frames["candidates"] == 1, frames
+
+
 def test_words_of_random_bytes():
     rng = random.Random(8)
     texts = ["".join(rng.choice("aAbB é日\t\n\x0b\x00.,x") for _ in range(rng.randint(0, 50))) for _ in range(300)] + ["", "z" * 3_000_000]
